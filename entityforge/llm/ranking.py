@@ -18,13 +18,16 @@ def ordered_table(scratch: Scratch, df: DataFrame, order: list[str], name: str)
     """`df` written in the order of `order`, with `part` and `row` (place of each row).
 
     A random salt is the last range key: rows that agree in all of `order` spread over partitions.
-    Such ties have no defined order among themselves.
+    Such ties have no defined order among themselves. Range bounds are sampled by a job of their own,
+    so `df` is written before, lest it be computed twice.
     """
     n = partitions_for(scratch.spark)
-    salted = df.withColumn("_salt", F.rand(7))
+    raw = scratch.write(df, f"{name}_raw")
+    salted = raw.withColumn("_salt", F.rand(7))
     keys = [F.col(c).asc_nulls_first() for c in order]
     laid = salted.repartitionByRange(n, *keys, F.col("_salt")).sortWithinPartitions(*keys, F.col("_salt"))
     table = scratch.write(laid, name)
+    scratch.drop(f"{name}_raw")
     file_no = F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).cast("long")
     return table.select(*df.columns, file_no.alias("part"), F.col("_metadata.row_index").alias("row"))
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entityforge.llm import mixing, sharding
+from entityforge.llm import mixing, packing, sharding
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,19 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """Where the installed package of public tokenizers keeps a file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 2048 tokens."""
+    packed = packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path(), 2048, 0)
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to source weights 5, 2, 1, repeating."""
     mixed = mixing.mix_sources(_table(spark, sf_dir, "documents"), (5, 2, 1), 3)
@@ -30,7 +43,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Name → (spark, sf_dir) → DataFrame."""
-    return {"op1_sharding": op1_sharding, "op8_mixing": op8_mixing}
+    return {"op1_sharding": op1_sharding, "op3_packing": op3_packing, "op8_mixing": op8_mixing}
 
 
 def oracle_sql() -> dict[str, str]:
