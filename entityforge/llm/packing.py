@@ -12,10 +12,10 @@ from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from entityforge.llm.columns import Columns, as_columns, map_columns, names
 from entityforge.llm.ranking import ordered_table, with_prefix
 from entityforge.llm.scratch import Scratch
 from entityforge.llm.tokens import tokenizer
@@ -186,23 +186,21 @@ def tokenize_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id:
     """
     schema = PIECES + (", ids binary" if with_ids else "")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[Columns]) -> Iterator[Columns]:
         words = tokenizer(tokenizer_path)
         for batch in batches:
             rows = []
-            texts = [t or "" for t in batch["text"].tolist()]
-            for doc_id, found in zip(batch["doc_id"].tolist(), words.encode_all(texts)):
+            texts = [t or "" for t in batch["text"]]
+            for doc_id, found in zip(batch["doc_id"], words.encode_all(texts)):
                 ids = np.append(found, np.uint32(end_id)).astype("<u4")
                 for piece, start in enumerate(range(0, len(ids), capacity)):
                     part = ids[start : start + capacity]
                     raw = part.tobytes()
                     rows.append((doc_id, piece, start, len(part), zlib.crc32(raw), *([raw] if with_ids else [])))
-            out = pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")])
-            out["doc_id"] = out["doc_id"].astype("Int64")
-            yield out
+            yield as_columns(rows, names(schema))
 
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return slim.mapInPandas(run, schema)
+    return map_columns(slim, run, schema)
 
 
 def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0) -> DataFrame:
@@ -219,14 +217,14 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int
     at = spark.sparkContext.broadcast(places(plan(counts, capacity), counts))
     ranked = with_prefix(ordered_table(scratch, pieces, ["length", "doc_id", "piece"], "ranked"), {"rank": F.lit(1)})
 
-    def placed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def placed(batches: Iterator[Columns]) -> Iterator[Columns]:
         table = at.value
         for batch in batches:
-            rank = batch.pop("rank").to_numpy()
+            rank = np.array(batch["rank"], dtype=np.int64)
             i = np.searchsorted(table[:, 0], rank, side="right") - 1
             batch["sequence_id"] = table[i, 1] + rank - table[i, 0]
             batch["offset"] = table[i, 2]
             yield batch
 
     schema = PIECES + ", sequence_id long, offset long"
-    return ranked.select(*pieces.columns, "rank").mapInPandas(placed, schema)
+    return map_columns(ranked.select(*pieces.columns, "rank"), placed, schema)

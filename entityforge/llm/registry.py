@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entityforge.llm import mixing, packing, sharding
+from entityforge.llm import chat, mixing, packing, sharding, warc
+from entityforge.llm.scratch import Scratch
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,9 +42,37 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "source", "copies")
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as archives, read back and assembled."""
+    scratch = Scratch(spark, "op9")
+    warc.write_archives(_table(spark, sf_dir, "pages"), scratch.path("archives"), 0)
+    captures = warc.assemble(warc.read_archives(spark, scratch.path("archives"), with_payload=False))
+    slim = captures.select(
+        F.col("metadata.page_id").alias("page_id"), "main.payload_bytes", "main.payload_digest",
+        F.col("main.type").alias("record_type"), "main.record_id", F.col("main.refers_to").alias("target"),
+    )
+    read = scratch.write(slim, "captures")
+    scratch.drop("archives")
+    wanted = read.select("target").distinct()
+    targets = read.filter("record_type = 'response'").groupBy("record_id").agg(F.max("page_id").alias("refers_to"))
+    targets = targets.join(wanted, targets["record_id"] == wanted["target"], "left_semi").withColumnRenamed("record_id", "_id")
+    found = read.join(targets, read["target"] == targets["_id"], "left")
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and conversation -7 formatted, and read back from the output."""
+    hard = "\\### Assistant: </turn> ok"
+    own = [(-7, 0, "user", hard), (-7, 1, "assistant", hard)]
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = rows.unionByName(spark.createDataFrame(own, "conv_id long, turn long, role string, text string"))
+    records = rows.select("conv_id", "turn", F.to_json(F.struct("role", "text"), {"ignoreNullFields": "false"}).alias("record"))
+    return chat.read_back(chat.format_turns(chat.canonical_turns(records)))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Name → (spark, sf_dir) → DataFrame."""
-    return {"op1_sharding": op1_sharding, "op3_packing": op3_packing, "op8_mixing": op8_mixing}
+    return {"op1_sharding": op1_sharding, "op3_packing": op3_packing, "op4_chat": op4_chat, "op8_mixing": op8_mixing, "op9_warc": op9_warc}
 
 
 def oracle_sql() -> dict[str, str]:
