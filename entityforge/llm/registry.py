@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entityforge.llm import chat, mixing, packing, sharding, warc
+from entityforge.llm import chat, mixing, nearest, packing, sharding, warc
 from entityforge.llm.scratch import Scratch
 
 
@@ -70,9 +70,14 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_turns(chat.canonical_turns(records)))
 
 
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest of every 50th embedding among all embeddings."""
+    return nearest.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Name → (spark, sf_dir) → DataFrame."""
-    return {"op1_sharding": op1_sharding, "op3_packing": op3_packing, "op4_chat": op4_chat, "op8_mixing": op8_mixing, "op9_warc": op9_warc}
+    return {"op1_sharding": op1_sharding, "op3_packing": op3_packing, "op4_chat": op4_chat, "op8_mixing": op8_mixing, "op9_warc": op9_warc, "op10_nearest": op10_nearest}
 
 
 def oracle_sql() -> dict[str, str]:
