@@ -3,16 +3,34 @@
 from __future__ import annotations
 
 import functools
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 
 #: Words whose ids one worker keeps; the cache starts anew beyond that, and ids stay the same.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 800_000
 #: Characters of texts whose unknown words are encoded in one call.
 BLOCK_CHARS = 1_000_000
 #: A control character that stands between words in such a call.
 MARK = "\x01"
+#: How the vocabulary marks a piece that ends a word.
+WORD_END = "</w>"
+#: Marks that often follow a word; each is a pre-token of its own after a letter.
+TAILS = ",."
+
+
+class _Numbers(dict):
+    """Word → number; a word that is asked for first gets the next one and is listed as fresh."""
+
+    def __init__(self, start: dict[str, int]):
+        super().__init__(start)
+        self.fresh: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = n = len(self)
+        self.fresh.append(word)
+        return n
 
 
 class WordTokenizer:
@@ -27,65 +45,99 @@ class WordTokenizer:
 
         self._model = Tokenizer.from_file(path)
         mark = self._ids(MARK)
-        self._mark = mark[0] if len(mark) == 1 else None
+        self._mark = mark[0] if len(mark) == 1 else -1
+        vocabulary = self._model.get_vocab(with_added_tokens=True)
+        self._ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self._ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
         self._reset()
 
     def _ids(self, text: str) -> list[int]:
         return self._model.encode(text, add_special_tokens=False).ids
 
     def _reset(self) -> None:
-        self._number: dict[str, int] = {"": 0}
+        self._number = _Numbers({"": 0})
         self._flat = np.zeros(1 << 20, dtype=np.uint32)
-        self._start = np.zeros(1 << 16, dtype=np.int64)
-        self._size = np.zeros(1 << 16, dtype=np.int64)
+        self._start = np.zeros(1 << 16, dtype=np.int32)
+        self._size = np.zeros(1 << 16, dtype=np.int32)
         self._used = 0
 
-    def _learn(self, words: list[str]) -> None:
-        if self._mark is None:
-            plain, odd = [], words
-        else:
-            plain, odd = [w for w in words if MARK not in w], [w for w in words if MARK in w]
-        ids = np.array(self._ids(f" {MARK} ".join(plain)) if plain else [], dtype=np.uint32)
-        marks = np.flatnonzero(ids == self._mark) if plain else np.zeros(0, dtype=np.int64)
-        if plain and len(marks) != len(plain) - 1:
-            plain, odd, ids, marks = [], words, ids[:0], marks[:0]
-        starts = np.concatenate([[0], marks + 1])[: len(plain)]
-        sizes = np.append(marks, len(ids))[: len(plain)] - starts
-        extra = [self._ids(w) for w in odd]
-        tail = np.fromiter((i for x in extra for i in x), dtype=np.uint32)
-        more = np.fromiter(map(len, extra), dtype=np.int64, count=len(extra))
-        starts = np.concatenate([starts, len(ids) + np.cumsum(more) - more]).astype(np.int64)
-        sizes = np.concatenate([sizes, more]).astype(np.int64)
-        ids = np.concatenate([ids, tail])
-        first = len(self._number)
+    def _spans(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of many words encoded in one call, with the start and size of each word's."""
+        letters = [w for w in words if w.isalpha()]
+        # a run of letters is one pre-token, whose last piece alone has the word end
+        ids = np.array(self._ids(" ".join(letters)) if letters else [], dtype=np.uint32)
+        stops = np.flatnonzero(self._ends[ids]) + 1
+        if len(stops) != len(letters) or (len(stops) and stops[-1] != len(ids)):
+            letters, ids, stops = [], ids[:0], stops[:0]
+        mixed = [w for w in words if MARK not in w and not w.isalpha()] if letters else [w for w in words if MARK not in w]
+        more = np.array(self._ids(f" {MARK} ".join(mixed)) if mixed else [], dtype=np.uint32)
+        marks = np.flatnonzero(more == self._mark) if mixed else np.zeros(0, dtype=np.int64)
+        if self._mark < 0 or (mixed and len(marks) != len(mixed) - 1):
+            mixed, more, marks = [], more[:0], marks[:0]
+        seen = {*letters, *mixed} if len(letters) + len(mixed) < len(words) else words
+        odd = [w for w in words if w not in seen] if seen is not words else []
+        rest = [self._ids(w) for w in odd]
+        sizes = np.fromiter(map(len, rest), dtype=np.int64, count=len(rest))
+        tail = np.fromiter((i for x in rest for i in x), dtype=np.uint32)
+        begins = [np.append(0, stops)[: len(letters)], len(ids) + np.append(0, marks + 1)[: len(mixed)], len(ids) + len(more) + np.cumsum(sizes) - sizes]
+        ends = [stops, len(ids) + np.append(marks, len(more))[: len(mixed)], begins[2] + sizes]
+        words[:] = letters + mixed + odd
+        start = np.concatenate(begins).astype(np.int64)
+        return np.concatenate([ids, more, tail]), start, np.concatenate(ends).astype(np.int64) - start
+
+    def _append(self, numbers: np.ndarray, ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> None:
+        """Keeps the ids of the words with these numbers."""
         while self._used + len(ids) > len(self._flat):
             self._flat = np.concatenate([self._flat, np.zeros_like(self._flat)])
-        while first + len(words) > len(self._start):
+        while len(self._number) > len(self._start):
             self._start = np.concatenate([self._start, np.zeros_like(self._start)])
             self._size = np.concatenate([self._size, np.zeros_like(self._size)])
         self._flat[self._used : self._used + len(ids)] = ids
-        self._start[first : first + len(words)] = self._used + starts
-        self._size[first : first + len(words)] = sizes
-        self._number.update(zip(plain + odd, range(first, first + len(words))))
+        self._start[numbers] = self._used + starts
+        self._size[numbers] = sizes
         self._used += len(ids)
 
+    def _learn(self, words: list[str]) -> None:
+        """Finds the ids of words that are numbered already.
+
+        A run of letters before one comma or full stop is two pre-tokens: such words take the ids of
+        the run and of the mark, so that only runs of letters are encoded again and again.
+        """
+        number = self._number
+        tailed = [w for w in words if w[-1] in TAILS and w[:-1].isalpha()]
+        plain = [w for w in words if not (w[-1] in TAILS and w[:-1].isalpha())]
+        parts = [(number[w], number[w[:-1]], number[w[-1]]) for w in tailed]
+        plain += number.fresh
+        number.fresh = []
+        ids, starts, sizes = self._spans(plain)
+        self._append(np.fromiter(map(number.__getitem__, plain), dtype=np.int64, count=len(plain)), ids, starts, sizes)
+        if parts:
+            at = np.array(parts, dtype=np.int64)
+            ids, sizes = self._gather(at[:, 1:].ravel())
+            both = sizes.reshape(-1, 2).sum(axis=1)
+            self._append(at[:, 0], ids, np.cumsum(both) - both, both)
+
+    def _gather(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of these words one after another, and the size of each."""
+        sizes, starts = self._size[numbers], self._start[numbers]
+        upto = np.cumsum(sizes, dtype=np.int32)
+        total = int(upto[-1]) if len(upto) else 0
+        return self._flat[np.arange(total, dtype=np.int32) + np.repeat(starts - (upto - sizes), sizes)], sizes
+
     def _block(self, texts: list[str]) -> Iterator[np.ndarray]:
         split = [_words(t) for t in texts]
-        words = [w for x in split for w in x]
-        numbers = list(map(self._number.get, words))
-        if None in numbers:
-            if len(self._number) > CACHE_WORDS:
-                self._reset()
-                numbers = [None] * len(words)
-            self._learn(list({w for w, n in zip(words, numbers) if n is None} - self._number.keys()))
-            numbers = list(map(self._number.get, words))
-        at = np.array(numbers, dtype=np.int64)
-        ends = np.cumsum([len(x) for x in split])
-        for begin, end in zip(ends - [len(x) for x in split], ends):
-            sizes, starts = self._size[at[begin:end]], self._start[at[begin:end]]
-            upto = np.cumsum(sizes)
-            total = int(upto[-1]) if len(upto) else 0
-            yield self._flat[np.arange(total) + np.repeat(starts - (upto - sizes), sizes)]
+        if len(self._number) > CACHE_WORDS:
+            self._reset()
+        number = self._number
+        counts = np.array(list(map(len, split)), dtype=np.int64)
+        at = np.fromiter(map(number.__getitem__, itertools.chain.from_iterable(split)), dtype=np.int64, count=int(counts.sum()))
+        if number.fresh:
+            fresh, number.fresh = number.fresh, []
+            self._learn(fresh)
+        ids, sizes = self._gather(at)
+        token_ends = np.append(0, np.cumsum(sizes, dtype=np.int64))[np.append(0, np.cumsum(counts))]
+        for begin, end in zip(token_ends[:-1], token_ends[1:]):
+            yield ids[begin:end]
 
     def encode_all(self, texts: list[str]) -> Iterator[np.ndarray]:
         """The ids of each text, whole, without special tokens added."""
