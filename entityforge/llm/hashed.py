@@ -10,7 +10,11 @@ from entityforge.llm.textstats import WordNumbers, words_of
 
 #: Slots of each of the four families: words, word pairs, 3 and 4 characters (UTF-8 bytes).
 SLOTS = 1 << 14
-WIDTH = 4 * SLOTS
+#: Slots after those, for marks of a text as a whole, and the value of each mark.
+MARKS, MARK_VALUE = 64, 0.2
+WIDTH = 4 * SLOTS + MARKS
+#: A family of n n-grams counts n / (n + PULL): a few n-grams say little about a text.
+PULL = 40
 _SHIFT = 32 - 14
 _MIX = np.uint32(2654435761)
 
@@ -27,14 +31,15 @@ def slots_of(text: str, word_hashes: np.ndarray) -> list[np.ndarray]:
     return [(x >> np.uint32(_SHIFT)).astype(np.int64) + i * SLOTS for i, x in enumerate(found)]
 
 
-def feature_vector(text: str, word_hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(slots, values): each family's shares sum to 1."""
-    at, value = [], []
+def feature_vector(text: str, word_hashes: np.ndarray, marks: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray]:
+    """(slots, values): each family's shares sum to n / (n + PULL); marks have a fixed value."""
+    at = [np.array(marks, dtype=np.int64) + 4 * SLOTS] if marks else []
+    value = [np.full(len(marks), MARK_VALUE)] if marks else []
     for slots in slots_of(text, word_hashes):
         if len(slots):
             u, n = np.unique(slots, return_counts=True)
             at.append(u)
-            value.append(n / len(slots))
+            value.append(n / (len(slots) + PULL))
     return (np.concatenate(at), np.concatenate(value)) if at else (np.zeros(0, np.int64), np.zeros(0))
 
 
@@ -47,9 +52,10 @@ class Linear:
     a: float = 1.0
     b: float = 0.0
 
-    def margin(self, text: str, word_hashes: np.ndarray) -> float:
+    def margin(self, text: str, word_hashes: np.ndarray, marks: tuple[int, ...] = ()) -> float:
         """The uncalibrated margin of a whole text."""
-        return self.bias + sum(float(self.weights[s].mean()) for s in slots_of(text, word_hashes) if len(s))
+        said = sum(float(self.weights[s].sum()) / (len(s) + PULL) for s in slots_of(text, word_hashes))
+        return self.bias + said + MARK_VALUE * sum(float(self.weights[4 * SLOTS + m]) for m in marks)
 
     def probability(self, margin: np.ndarray) -> np.ndarray:
         """Calibrated probability of the positive class."""
@@ -137,8 +143,12 @@ def calibrate(margin: np.ndarray, target: np.ndarray) -> tuple[float, float]:
     return float(max(ab[0], 1e-3)), float(ab[1])
 
 
-def fit_calibrated(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, held: np.ndarray) -> Linear:
-    """Fits on the rows not `held`, both classes weighing alike, and calibrates on the held ones."""
+def fit_calibrated(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, held: np.ndarray, prior: float) -> Linear:
+    """Fits on the rows not `held`, both classes weighing alike, and calibrates on the held ones.
+
+    `prior` is the share of the positive class in the corpus; rows are drawn by class, so the
+    calibrated odds are corrected for the share that they have in the sample.
+    """
     target = np.asarray(target, dtype=float)
     if not len(rows) or target.min() == target.max():
         # one class or none: nothing speaks against any text
@@ -150,6 +160,8 @@ def fit_calibrated(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray
     check = held if held.any() else train
     kept = Rows([r for r, t in zip(rows, check) if t])
     model.a, model.b = calibrate(kept.dot(model.weights.astype(float)) + model.bias, target[check])
+    drawn, true = np.clip([float(target[check].mean()), prior], 1e-3, 1 - 1e-3)
+    model.b += float(np.log(true / (1 - true)) - np.log(drawn / (1 - drawn)))
     return model
 
 

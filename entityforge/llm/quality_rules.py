@@ -17,7 +17,7 @@ from pyspark.sql.types import StructField, StructType
 
 from entityforge.llm.columns import Columns, map_columns
 from entityforge.llm.hashed import Linear, feature_vector, fit_calibrated, hashes_of
-from entityforge.llm.textstats import WordNumbers, stats_of
+from entityforge.llm.textstats import WordNumbers, stats_of, words_of
 
 #: Labelled rows that the fit takes at most, by hash of their id, from each class.
 SAMPLE_PER_CLASS = 700
@@ -29,13 +29,23 @@ MIN_WORDS, MAX_REPEATED_PERCENT = 50, 50
 FEATURES = "label double, held boolean, slots binary, shares binary"
 
 
-def featurise(sample: DataFrame) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray, np.ndarray]:
+def no_marks(text: str, words: list[str], numbers: np.ndarray) -> tuple[int, ...]:
+    """The marks of a scorer that reads n-grams alone."""
+    return ()
+
+
+def featurise(sample: DataFrame, marks_of=no_marks) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray, np.ndarray]:
     """Features, targets and held-out flags of a bounded table (text, label, held), collected."""
 
+    def vector(text: str, numbers: WordNumbers) -> tuple[np.ndarray, np.ndarray]:
+        words = words_of(text)
+        at = numbers.of(words)
+        return feature_vector(text, numbers.hashes(at), marks_of(text, words, at))
+
     def run(batches: Iterator[Columns]) -> Iterator[Columns]:
         numbers = WordNumbers()
         for batch in batches:
-            found = [feature_vector(t or "", hashes_of(t or "", numbers)[1]) for t in batch["text"]]
+            found = [vector(t or "", numbers) for t in batch["text"]]
             yield {
                 "label": batch["label"], "held": batch["held"],
                 "slots": [a.astype(np.int32).tobytes() for a, _ in found], "shares": [v.astype(np.float32).tobytes() for _, v in found],
@@ -57,13 +67,14 @@ def fit_rules(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CL
     usable = labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).select(
         F.col("doc_id").alias("_id"), (F.col("quality") > 0).cast("double").alias("label"), h.alias("_h")
     )
+    prior = usable.agg(F.avg("label")).first()[0] or 0.5
     picked = None
     for label in (0.0, 1.0):
         part = usable.filter(F.col("label") == label).orderBy("_h", "_id").limit(per_class)
         picked = part if picked is None else picked.unionByName(part)
     # at most 2 * per_class rows
     sample = docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id") == F.col("_id"))
-    return fit_calibrated(*featurise(sample.select("text", "label", (F.pmod("_h", F.lit(4)) == 0).alias("held"))))
+    return fit_calibrated(*featurise(sample.select("text", "label", (F.pmod("_h", F.lit(4)) == 0).alias("held"))), prior)
 
 
 VERDICT = (

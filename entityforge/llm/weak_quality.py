@@ -65,6 +65,15 @@ def votes_of(text: str, words: list[str], numbers: np.ndarray) -> str:
     )
 
 
+def marks_of_votes(votes: str) -> tuple[int, ...]:
+    """A mark of the scorer for each heuristic and what it votes."""
+    return tuple(3 * i + (GOOD, BAD, NONE).index(v) for i, v in enumerate(votes))
+
+
+def _marks(text: str, words: list[str], numbers: np.ndarray) -> tuple[int, ...]:
+    return marks_of_votes(votes_of(text, words, numbers))
+
+
 def estimate(patterns: dict[str, int], rounds: int = 100) -> tuple[dict[str, float], np.ndarray]:
     """Posterior P(good) of each vote pattern, and P(vote | class) of each heuristic.
 
@@ -136,7 +145,8 @@ def fit_weak(docs: DataFrame, per_side: int = SAMPLE_PER_SIDE) -> tuple[Linear,
     # at most 2 * per_side rows
     sample = keyed.join(F.broadcast(picked.withColumnRenamed("key", "_key")), F.col("key") == F.col("_key"))
     sample = sample.dropDuplicates(["key"]).select("text", "label", (F.pmod("key", F.lit(4)) == 0).alias("held"))
-    model = fit_calibrated(*featurise(sample))
+    prior = sum(n * posterior[v] for v, n in patterns.items()) / max(sum(patterns.values()), 1)
+    model = fit_calibrated(*featurise(sample, _marks), prior)
     scratch.drop("votes", "picked")
     return model, posterior
 
@@ -164,7 +174,7 @@ def classify_texts(
                 words = words_of(text)
                 at = numbers.of(words)
                 votes = votes_of(text, words, at)
-                p = float(scorer.probability(scorer.margin(text, numbers.hashes(at))))
+                p = float(scorer.probability(scorer.margin(text, numbers.hashes(at), marks_of_votes(votes))))
                 out.append((len(words), votes, posteriors.get(votes), p, p >= min_probability))
             return out
 
