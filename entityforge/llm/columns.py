@@ -17,12 +17,15 @@ def names(schema: str) -> list[str]:
     return [c.split()[0] for c in schema.split(",")]
 
 
-def map_columns(df: DataFrame, run: Callable[[Iterator[Columns]], Iterator[Columns]], schema: str) -> DataFrame:
-    """`run` over the batches of each partition; it takes and yields name → list of values."""
+def map_columns(df: DataFrame, run: Callable[[Iterator[Columns]], Iterator[Columns]], schema: str, arrays: bool = False) -> DataFrame:
+    """`run` over the batches of each partition; it takes and yields name → list of values.
+
+    With `arrays` it takes NumPy arrays, for columns of numbers without nulls.
+    """
     target = to_arrow_schema(StructType.fromDDL(schema))
 
     def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        read = ({n: c.to_pylist() for n, c in zip(b.schema.names, b.columns)} for b in batches)
+        read = ({n: c.to_numpy(zero_copy_only=False) if arrays else c.to_pylist() for n, c in zip(b.schema.names, b.columns)} for b in batches)
         for out in run(read):
             yield pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in target], schema=target)
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entityforge.llm import chat, mixing, nearest, packing, quality_rules, sharding, warc, weak_quality
+from entityforge.llm import chat, jaccard, mixing, nearest, packing, quality_rules, sharding, warc, weak_quality
 from entityforge.llm.scratch import Scratch
 
 
@@ -42,6 +42,11 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "source", "copies")
 
 
+def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents under 5-word shingle Jaccard of 0.8 or more."""
+    return jaccard.similar_components(_table(spark, sf_dir, "documents"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents scored by the classifier that weak labels of all documents trained."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -91,7 +96,7 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Name → (spark, sf_dir) → DataFrame."""
-    return {"op1_sharding": op1_sharding, "op3_packing": op3_packing, "op4_chat": op4_chat, "op5_quality": op5_quality, "op7_rules": op7_rules, "op8_mixing": op8_mixing, "op9_warc": op9_warc, "op10_nearest": op10_nearest}
+    return {"op1_sharding": op1_sharding, "op2_jaccard": op2_jaccard, "op3_packing": op3_packing, "op4_chat": op4_chat, "op5_quality": op5_quality, "op7_rules": op7_rules, "op8_mixing": op8_mixing, "op9_warc": op9_warc, "op10_nearest": op10_nearest}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -49,6 +50,16 @@ class Scratch:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Rows of a few numbers each up to which a table is broadcast, some 20 MB.
+SMALL_ROWS = 300_000
+
+
+def small_or_shuffled(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
+    """`df`, a written table, with a broadcast hint if its counted rows are few; else it is joined by
+    shuffle, where skewed keys are split at run time."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def partitions_for(spark: SparkSession) -> int:
     """Shuffle partitions of the session, at least the cores it has."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)

@@ -20,22 +20,27 @@ def words_of(text: str) -> list[str]:
     return [w for w in text.split(" ") if w]
 
 
+def _crc(word: str) -> int:
+    return zlib.crc32(word.encode("utf-8", "surrogatepass"))
+
+
 class WordNumbers(dict):
-    """Word → number, in order of first use, with a 32-bit hash of each word; both start anew when full."""
+    """Word → number, in order of first use, with a hash of each word; both start anew when full."""
 
     LIMIT = 1 << 20
 
-    def __init__(self) -> None:
+    def __init__(self, hash_of=_crc, dtype=np.uint32) -> None:
         super().__init__()
-        self._hash = np.zeros(1 << 16, dtype=np.uint32)
-        self._fresh: list[str] = []
+        self._hash = np.zeros(1 << 16, dtype=dtype)
+        self._hash_of = hash_of
+        self._fresh: list = []
 
     def __missing__(self, word: str) -> int:
         self[word] = n = len(self)
         self._fresh.append(word)
         return n
 
-    def of(self, words: list[str]) -> np.ndarray:
+    def of(self, words: list) -> np.ndarray:
         """Numbers of the words; `hashes` takes them until the next call that finds the table full."""
         if len(self) > self.LIMIT:
             self.clear()
@@ -44,8 +49,7 @@ class WordNumbers(dict):
             first = len(self) - len(self._fresh)
             while len(self) > len(self._hash):
                 self._hash = np.concatenate([self._hash, np.zeros_like(self._hash)])
-            encoded = (w.encode("utf-8", "surrogatepass") for w in self._fresh)
-            self._hash[first : len(self)] = np.fromiter(map(zlib.crc32, encoded), dtype=np.uint32, count=len(self._fresh))
+            self._hash[first : len(self)] = np.fromiter(map(self._hash_of, self._fresh), dtype=self._hash.dtype, count=len(self._fresh))
             self._fresh = []
         return numbers
 
