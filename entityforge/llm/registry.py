@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entityforge.llm import chat, jaccard, mixing, nearest, packing, quality_rules, sharding, warc, weak_quality
+from entityforge.llm import chat, jaccard, language_model, mixing, nearest, packing, quality_rules, sharding, warc, weak_quality
 from entityforge.llm.scratch import Scratch
 
 
@@ -54,6 +54,11 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "quality.*")
 
 
+def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents scored by the interpolated bigram model of the training documents."""
+    return language_model.score_texts(_table(spark, sf_dir, "documents"))
+
+
 def op7_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents under the base rules and the calibrated model of the labelled rows."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -96,7 +101,7 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Name → (spark, sf_dir) → DataFrame."""
-    return {"op1_sharding": op1_sharding, "op2_jaccard": op2_jaccard, "op3_packing": op3_packing, "op4_chat": op4_chat, "op5_quality": op5_quality, "op7_rules": op7_rules, "op8_mixing": op8_mixing, "op9_warc": op9_warc, "op10_nearest": op10_nearest}
+    return {"op1_sharding": op1_sharding, "op2_jaccard": op2_jaccard, "op3_packing": op3_packing, "op4_chat": op4_chat, "op5_quality": op5_quality, "op6_language_model": op6_language_model, "op7_rules": op7_rules, "op8_mixing": op8_mixing, "op9_warc": op9_warc, "op10_nearest": op10_nearest}
 
 
 def oracle_sql() -> dict[str, str]:
