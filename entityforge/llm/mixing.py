@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from entityforge.llm.ranking import ordered_table, with_prefix
-from entityforge.llm.scratch import Scratch
+from entityforge.llm.scratch import Scratch, small_or_shuffled
 
 #: Rows of one pivotal fold; the depth of the reduction tree is its logarithm of the row count.
 FANOUT = 128
@@ -195,18 +195,23 @@ def repeat_rows(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     counts = mixed.groupBy(
         F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("print").alias("_print")
     ).agg(F.collect_list("copies").alias("_copies"))
+    counts = Scratch(docs.sparkSession, "repeat").write(counts, "counts")
     left = docs.select(
         "*",
         F.col("doc_id").cast("long").alias("_l_id"),
         F.col("source").cast("string").alias("_l_source"),
         F.xxhash64(F.col("text").cast("string")).alias("_l_print"),
     )
-    same = left["_l_id"].eqNullSafe(counts["_id"]) & left["_l_source"].eqNullSafe(counts["_source"]) & (left["_l_print"] == counts["_print"])
-    joined = left.join(counts, same)
-    turn = F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(0)))
+    on = small_or_shuffled(counts)
+    same = left["_l_id"].eqNullSafe(on["_id"]) & left["_l_source"].eqNullSafe(on["_source"]) & (left["_l_print"] == on["_print"])
+    joined = left.join(on, same)
+    if counts.filter(F.size("_copies") > 1).limit(1).count():
+        turn = F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(0)))
+        joined = joined.withColumn("_n", F.get(F.col("_copies"), turn - 1))
+    else:
+        joined = joined.withColumn("_n", F.col("_copies")[0])
     return (
-        joined.withColumn("_n", F.when(F.size("_copies") == 1, F.col("_copies")[0]).otherwise(F.get(F.col("_copies"), turn - 1)))
-        .filter("_n > 0")
+        joined.filter("_n > 0")
         .withColumn("_", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))))
         .select(*docs.columns)
     )
