@@ -1,13 +1,431 @@
-"""Registered queries of the catalog operators over the driver's tables, with their oracle SQL."""
+"""Registered queries of the catalog operators over the driver's tables, with their oracle SQL.
+
+The tables are projected onto entities: pages are news, parts are tools or models, brands are
+companies, documents are repositories. Nested columns come out as text, so that both engines say
+them alike.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries() -> dict:
-    """Name → (spark, sf_dir) → DataFrame."""
-    return {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from entityforge.functions.ids import NAMESPACE
+from entityforge.functions.names import FILLERS, LEGAL_SUFFIXES, canonical_name
+from entityforge.functions.text import clean_text
+from entityforge.functions.urls import TRACKING, canonical_domain, normalize_url, same_site, valid_url
+from entityforge.operators import classify, clean, dedupe, describe, logos, relationships, report, sinks, validate
+from entityforge.operators.classify import text_of
+from entityforge.schema import TASKS, make_entities, metadata_of
+from entityforge.session import pin
+from entityforge.sources import payloads
+
+#: The moment that recency is measured at.
+NOW = "2024-01-31 00:00:00"
+#: A taxonomy whose words occur in the parts' names.
+PART_TASKS = {"task-red": ("red", "rose"), "task-blue": ("blue", "sky"), "task-metal": ("steel", "metal", "iron"), "task-any": ("a", "e")}
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return pin(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _strings(*values: str):
+    return F.array(*map(F.lit, values))
+
+
+def page_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as news: the title as name, the cleaned page as description."""
+    raw = _table(spark, sf_dir, "pages")
+    title = F.regexp_extract("html", "(?s)<title>(.*?)</title>", 1)
+    found = make_entities(
+        raw, F.lit("news"), title, F.col("html"), F.col("url"), _strings("News"), F.lit("pages"), F.lit("https://pages.example.org/feed"),
+        metadata_of(published_at=F.lit(None).cast("string")), F.col("page_id"),
+    )
+    return clean.normalize_urls(clean.clean_entities(found))
+
+
+def part_entities(spark: SparkSession, sf_dir: str, entity_type: str = "tool") -> DataFrame:
+    """Parts as tools, made by their brand; no url."""
+    raw = _table(spark, sf_dir, "part")
+    return make_entities(
+        raw, F.lit(entity_type), F.col("p_name"), F.col("p_type"), F.lit(""), F.array(F.lit("Parts"), F.col("p_brand")), F.lit("part"), F.lit(""),
+        metadata_of(maker=F.col("p_brand"), size=F.col("p_size"), runs_model=F.upper("p_name")), F.col("p_partkey"),
+    )
+
+
+def brand_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Brands as companies, in the order of their names."""
+    from pyspark.sql import Window
+
+    brands = _table(spark, sf_dir, "part").select("p_brand").distinct()
+    # a row per brand
+    ranked = brands.withColumn("n", F.row_number().over(Window.orderBy("p_brand")))
+    url = F.concat(F.lit("https://brand"), F.col("n"), F.lit(".example.com"))
+    return make_entities(ranked, F.lit("company"), F.col("p_brand"), F.lit("a maker of parts"), url, _strings("Companies"), F.lit("brands"), url, None, F.col("n"))
+
+
+def document_entities(spark: SparkSession, sf_dir: str, entity_type: str = "repository") -> DataFrame:
+    """Documents as repositories of their source."""
+    raw = _table(spark, sf_dir, "documents")
+    name = F.concat(F.lit("doc-"), F.col("doc_id"))
+    return make_entities(
+        raw, F.lit(entity_type), name, F.col("text"), F.concat(F.lit("https://docs.example.org/"), F.col("doc_id")), _strings("Repositories"), F.col("source"), F.lit(""),
+        metadata_of(owner=F.col("source"), language=F.col("lang")), F.col("doc_id"),
+    )
+
+
+# ---- queries
+
+
+def q_clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "pages").select("page_id", clean_text(F.col("html")).alias("cleaned"))
+
+
+def q_normalize_url(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "pages").select("page_id", normalize_url(F.col("url")).alias("url"))
+
+
+def q_canonical_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "pages").select("page_id", canonical_domain(F.col("url")).alias("domain"))
+
+
+def q_url_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    host = F.regexp_extract("url", "^[^:/?#]*://([^/?#]*)", 1)
+    return _table(spark, sf_dir, "pages").select("page_id", valid_url(F.col("url")).alias("is_valid"), same_site(host, F.lit("example.com")).alias("is_same_site"))
+
+
+def q_canonical_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = _table(spark, sf_dir, "part").select(F.col("p_partkey").alias("key"), F.concat("p_name", F.lit(" Labs, Inc.")).alias("name"))
+    people = _table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key"), F.concat(F.lit("The "), "c_name", F.lit(" & Co")).alias("name"))
+    return parts.unionByName(people).select("key", "name", canonical_name(F.col("name")).alias("canonical"))
+
+
+def q_entity_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return part_entities(spark, sf_dir).select("pos", "id", "name")
+
+
+def q_dedupe_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    assigned = dedupe.assign_leaders(dedupe.resolution_keys(part_entities(spark, sf_dir)))
+    return assigned.groupBy("leader").agg(F.count("*").alias("n"))
+
+
+def q_dedupe_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedupe.assign_leaders(dedupe.resolution_keys(page_entities(spark, sf_dir)))
+
+
+def q_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    merged = dedupe.dedupe(part_entities(spark, sf_dir))
+    meta = F.col("metadata")
+    return merged.select(
+        "pos", "name", "description", F.array_join("categories", "; ").alias("categories"), text_of(meta, "maker").alias("maker"), text_of(meta, "size").alias("size")
+    )
+
+
+def q_recency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = _table(spark, sf_dir, "events")
+    when = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    found = make_entities(
+        raw, F.lit("repository"), F.col("event_type"), F.lit(""), F.lit(""), F.array(F.lit("Zeta"), F.col("event_type")), F.lit("events"), F.lit(""),
+        metadata_of(pushed_at=when), F.col("event_id"),
+    )
+    tagged = classify.tag_recency(found, F.lit(NOW).cast("timestamp"), 10)
+    return tagged.select(F.col("pos").alias("event_id"), F.array_join("categories", "; ").alias("categories"))
+
+
+def q_tag_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tagged = classify.tag_tasks(part_entities(spark, sf_dir), PART_TASKS)
+    return tagged.select("pos", F.coalesce(text_of(F.col("metadata"), "related_tasks"), F.lit("[]")).alias("tasks"))
+
+
+def q_task_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify.task_entities(pin(spark)).select("id", "name", "description", text_of(F.col("metadata"), "slug").alias("slug"))
+
+
+def _catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tools = classify.tag_tasks(part_entities(spark, sf_dir), PART_TASKS)
+    return tools.unionByName(brand_entities(spark, sf_dir)).unionByName(classify.task_entities(spark, PART_TASKS))
+
+
+def q_develops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return relationships.develops(_catalog(spark, sf_dir)).select("from", "relation", "to")
+
+
+def q_solves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return relationships.solves(_catalog(spark, sf_dir)).select("from", "relation", "to")
+
+
+def q_integrates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    servers = document_entities(spark, sf_dir, "mcp")
+    items = _table(spark, sf_dir, "benchmark")
+    models = make_entities(items, F.lit("model"), F.col("text"), F.lit(""), F.lit(""), _strings("Models"), F.lit("benchmark"), F.lit(""), None, F.col("item_id"))
+    return relationships.integrates_with(servers.unionByName(models)).select("from", "relation", "to")
+
+
+def q_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = _table(spark, sf_dir, "part").groupBy("p_name").agg(F.min("p_partkey").alias("n"))
+    models = make_entities(names, F.lit("model"), F.col("p_name"), F.lit(""), F.lit(""), _strings("Models"), F.lit("names"), F.lit(""), None, F.col("n"))
+    return relationships.runs(part_entities(spark, sf_dir, "device").unionByName(models)).select("from", "relation", "to")
+
+
+def q_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return relationships.build_relationships(_catalog(spark, sf_dir))
+
+
+def _checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_entities(spark, sf_dir).unionByName(document_entities(spark, sf_dir))
+
+
+def q_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = validate.with_issues(_checked(spark, sf_dir))
+    return found.select("entity_type", "pos", "id", "url", F.array_join("issues", "; ").alias("issues"))
+
+
+def q_validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return validate.validate_all(_checked(spark, sf_dir))[1]
+
+
+def q_quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    entities = _checked(spark, sf_dir)
+    valid, counts = validate.validate_all(entities)
+    n, failures = entities.count(), counts.first()["invalid"]
+    edges = relationships.develops(valid).select("from", "relation", "to")
+    made = report.quality_report(valid, edges, n, n, failures, F.lit(NOW).cast("timestamp"))
+    return made.select(
+        "total_records_discovered", "records_cleaned", "records_deduplicated", "final_record_count", "records_with_missing_descriptions",
+        "records_with_missing_official_urls", "records_with_missing_logos", "validation_failures",
+        F.to_json("records_by_entity_type").alias("by_type"), F.to_json("source_counts").alias("by_source"), F.col("relationship_counts.total").alias("edges"), "timestamp",
+    )
+
+
+def q_llm_eligible(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = document_entities(spark, sf_dir).filter(describe.needs_description(F.col("description")))
+    return found.select("pos", "description")
+
+
+def q_topk_per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    top = payloads.top_per_group(_table(spark, sf_dir, "part"), "p_brand", [F.col("p_retailprice").desc(), F.col("p_partkey")], 3)
+    return top.select("p_brand", "p_partkey")
+
+
+def q_union_modules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whole = page_entities(spark, sf_dir).unionByName(part_entities(spark, sf_dir)).unionByName(document_entities(spark, sf_dir))
+    return whole.groupBy("entity_type").agg(F.count("*").alias("n"), F.countDistinct("id").alias("ids"), F.min("name").alias("first_name"))
+
+
+def q_feed_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feeds = _table(spark, sf_dir, "nation").select(F.col("n_name").alias("source_name"))
+    entries = _table(spark, sf_dir, "customer").join(_table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    rich = entries.filter("c_acctbal > 9000").select(F.col("n_name").alias("source_name"))
+    return payloads.feed_health(feeds, rich)
+
+
+def q_logo_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    head = F.concat(
+        F.lit('<link rel="icon" href="/i'), F.col("page_id"), F.lit('.png"><link rel="stylesheet" href="s.css"><link rel="apple-touch-icon" href="data:x">'),
+        F.lit('<meta property="og:image" content="//cdn.example.org/o.png"><meta name="twitter:image" content="https://t.example.org/t.png">'), F.col("html"),
+    )
+    return _table(spark, sf_dir, "pages").select("page_id", F.array_join(logos.logo_candidates(head, F.col("url")), " ").alias("candidates"))
+
+
+def q_csv_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sinks.flat_rows(brand_entities(spark, sf_dir).withColumn("metadata", metadata_of(n=F.col("pos"), none=F.lit(None).cast("string"))))
+
+
+def q_parse_repositories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = _table(spark, sf_dir, "part").select(
+        F.concat("p_brand", F.lit("/"), "p_name").alias("full_name"), F.col("p_name").alias("name"), F.col("p_type").alias("description"),
+        F.concat(F.lit("https://code.example.com/"), F.col("p_partkey")).alias("html_url"), F.when(F.col("p_size") > 25, F.concat(F.lit("https://home.example.com/"), "p_partkey")).otherwise("").alias("homepage"),
+        F.col("p_partkey").alias("stargazers_count"), F.lit(None).cast("string").alias("language"), F.lit("2024-01-01T00:00:00Z").alias("pushed_at"), F.array(F.col("p_type")).alias("topics"),
+        F.struct(F.col("p_brand").alias("login"), F.lit("a.png").alias("avatar_url")).alias("owner"), F.struct(F.lit("MIT").alias("name")).alias("license"),
+    )
+    found = payloads.parse_repositories(raw, "repository", ("Extra",), F.col("stargazers_count"))
+    meta = F.col("metadata")
+    return found.select(
+        "pos", "id", "name", "url", F.array_join("categories", "; ").alias("categories"), F.col("source.url").alias("source_url"), text_of(meta, "stars").alias("stars"),
+        text_of(meta, "owner").alias("owner"), text_of(meta, "license").alias("license"), F.map_contains_key(meta, F.lit("language")).alias("has_language"),
+    )
+
+
+def q_parse_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tags = F.array_compact(F.array(F.col("p_type"), F.when(F.col("p_size") > 25, F.concat(F.lit("license:l"), "p_size")), F.lit("license:late")))
+    raw = _table(spark, sf_dir, "part").select(
+        F.concat("p_brand", F.lit("/"), "p_name").alias("id"), F.lit("x").alias("modelId"), F.col("p_type").alias("pipeline_tag"), tags.alias("tags"),
+        F.col("p_partkey").alias("downloads"), F.lit(None).cast("bigint").alias("likes"), F.lit("2024-01-01T00:00:00Z").alias("lastModified"),
+    )
+    found = payloads.parse_models(raw, "model", (), F.col("downloads"))
+    meta = F.col("metadata")
+    return found.select("pos", "name", "url", *[text_of(meta, k).alias(k) for k in ("provider", "license", "likes", "pipeline_tag")])
+
+
+def q_parse_videos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    thumb = F.struct(F.struct(F.lit("t.png").alias("url")).alias("high"))
+    raw = _table(spark, sf_dir, "supplier").select(
+        F.struct(F.col("s_suppkey").cast("string").alias("videoId")).alias("id"),
+        F.struct(F.col("s_name").alias("title"), F.lit(" about ").alias("description"), F.lit("ch").alias("channelTitle"), F.lit(None).cast("string").alias("publishedAt"), thumb.alias("thumbnails")).alias("snippet"),
+    )
+    found = payloads.parse_videos(raw)
+    return found.select("id", "name", "description", "url", text_of(F.col("metadata"), "thumbnail").alias("thumbnail"))
+
+
+def q_parse_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = _table(spark, sf_dir, "orders").select(
+        F.concat(F.lit(" Order "), "o_orderkey").alias("title"), F.lit("").alias("summary"), F.col("o_orderpriority").alias("description"),
+        F.concat(F.lit("https://o.example.com/"), "o_orderkey").alias("link"), F.lit("now").alias("published"), F.col("o_orderstatus").alias("source_name"), F.lit("f").alias("feed_url"),
+    )
+    return payloads.parse_entries(raw).select("id", "name", "description", "url", F.col("source.name").alias("source_name"))
+
+
+# ---- oracle SQL
+
+
+def _uuid(key: str) -> str:
+    """DuckDB: UUIDv5 of a text expression."""
+    h = f"sha1(unhex('{NAMESPACE.replace('-', '')}') || encode({key}))"
+    variant = f"substr('89ab', (strpos('0123456789abcdef', substr({h}, 17, 1)) - 1) % 4 + 1, 1)"
+    return (
+        f"substr({h}, 1, 8) || '-' || substr({h}, 9, 4) || '-5' || substr({h}, 14, 3) || '-' || {variant} || substr({h}, 18, 3) || '-' || substr({h}, 21, 12)"
+    )
+
+
+def _list(values) -> str:
+    return "(" + ", ".join("'{}'".format(v.replace("'", "''")) for v in values) + ")"
+
+
+_UNESCAPED = (
+    "replace(replace(replace(replace(replace(replace(html, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&')"
+)
+
+
+def _cleaned(text: str) -> str:
+    return f"trim(regexp_replace(regexp_replace({text}, '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g'))"
+
+
+_NETLOC = "regexp_extract(url, '^https?://([^/?#]*)', 1)"
+_HOST = f"replace(replace(regexp_replace(lower({_NETLOC}), '^www\\.', ''), ':443', ''), ':80', '')"
+_PATH = "regexp_replace(regexp_extract(url, '^https?://[^/?#]*([^?#]*)', 1), '/+$', '')"
+_QUERY = (
+    "array_to_string(list_transform(list_filter(string_split(regexp_extract(url, '^[^?#]*\\?([^#]*)', 1), '&'), "
+    f"lambda p: p <> '' AND lower(split_part(p, '=', 1)) NOT IN {_list(TRACKING)}), lambda p: CASE WHEN contains(p, '=') THEN p ELSE p || '=' END), '&')"
+)
+_NORMAL = f"'https://' || {_HOST} || {_PATH} || CASE WHEN {_QUERY} <> '' THEN '?' || {_QUERY} ELSE '' END"
+_TITLE = "regexp_extract(html, '(?s)<title>(.*?)</title>', 1)"
+_TITLE_UNESCAPED = _UNESCAPED.replace("html", _TITLE)
+_CANONICAL = (
+    "array_to_string(list_filter(string_split(regexp_replace(' ' || trim(regexp_replace(lower({0}), '[^a-z0-9]+', ' ', 'g')), '( (" + "|".join(LEGAL_SUFFIXES) + "))+$', ''), ' '), "
+    "lambda w: w NOT IN " + _list(FILLERS) + "), '')"
+)
+_DOMAIN = "split_part(regexp_replace(lower(regexp_extract({0}, '^[^:/?#]*://([^/?#]*)', 1)), '^www\\.', ''), ':', 1)"
+_PAGES = (
+    f"SELECT page_id AS pos, 'news' AS entity_type, {_cleaned(_TITLE_UNESCAPED)} AS name, {_cleaned(_UNESCAPED)} AS description, {_NORMAL} AS url, "
+    f"{_uuid(f'''concat('news|', lower(trim({_TITLE})), '|', lower(trim(url)))''')} AS id, 'pages' AS source FROM pages"
+)
+_DOCS = (
+    "SELECT doc_id AS pos, 'repository' AS entity_type, 'doc-' || doc_id AS name, trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS description, "
+    f"'https://docs.example.org/' || doc_id AS url, {_uuid('''concat('repository|doc-', doc_id, '|https://docs.example.org/', doc_id)''')} AS id, source FROM documents"
+)
+_PART_ID = _uuid("concat('tool|', lower(trim(p_name)), '|')")
+_BRANDS = (
+    "SELECT p_brand AS name, row_number() OVER (ORDER BY p_brand) AS n FROM (SELECT DISTINCT p_brand FROM part)"
+)
+_BRAND_ID = _uuid("concat('company|', lower(name), '|https://brand', n, '.example.com')")
+_TASK_HIT = "CASE WHEN {} THEN '{}' END"
+
+
+def _hits(tasks: dict[str, tuple[str, ...]], text: str) -> str:
+    return ", ".join(_TASK_HIT.format(" OR ".join(f"contains({text}, '{w}')" for w in words), slug) for slug, words in tasks.items())
+
+
+_PART_TEXT = "lower(concat_ws(' ', trim(p_name), trim(p_type), 'Parts', p_brand, ''))"
+_PART_FOUND = f"list_filter([{_hits(PART_TASKS, _PART_TEXT)}], lambda t: t IS NOT NULL)"
+
+
+def _task_rows(tasks: dict[str, tuple[str, ...]]) -> str:
+    rows = ", ".join(f"({i}, '{slug}', '{' '.join(w.capitalize() for w in slug.split('-'))}')" for i, slug in enumerate(tasks))
+    return f"(SELECT n, slug, name, {_uuid('''concat('task|', lower(name), '|')''')} AS id FROM (VALUES {rows}) t(n, slug, name))"
+
+
+_DEVELOPS = (
+    f"SELECT arg_min({_BRAND_ID}, n) AS \"from\", 'develops' AS relation, id AS \"to\" FROM (SELECT p_partkey, {_PART_ID} AS id, p_brand FROM part) p "
+    f"JOIN ({_BRANDS}) b ON contains(lower(p.p_brand), lower(b.name)) OR contains(lower(b.name), lower(p.p_brand)) GROUP BY p_partkey, id"
+)
+_SOLVES = (
+    f"SELECT p.id AS \"from\", 'solves' AS relation, t.id AS \"to\" FROM (SELECT {_PART_ID} AS id, unnest({_PART_FOUND}) AS slug FROM part) p JOIN {_task_rows(PART_TASKS)} t USING (slug)"
+)
+_ISSUES = (
+    "array_to_string(list_filter([CASE WHEN coalesce(name, '') = '' THEN 'missing name' END, CASE WHEN coalesce(name, '') = '' THEN 'missing name' END, "
+    "CASE WHEN regexp_full_match(name, '(placeholder|todo|dummy|example|test)\\b.*', 'i') THEN 'placeholder name' END, CASE WHEN coalesce(source, '') = '' THEN 'missing source.name' END, "
+    "CASE WHEN coalesce(url, '') = '' THEN 'missing url' END, CASE WHEN url <> '' AND NOT regexp_matches(url, '(?i)^https?://[^/?#]+') THEN 'invalid url' END, "
+    "CASE WHEN " + " OR ".join(f"contains(lower(url), '{p}')" for p in validate.THIRD_PARTY) + " THEN 'third-party url' END, "
+    "CASE WHEN coalesce(description, '') = '' THEN 'missing description' END, "
+    "CASE WHEN description <> '' AND length(trim(description)) < 8 THEN 'description too short' END], lambda x: x IS NOT NULL), '; ')"
+)
+_CHECKED = f"SELECT *, {_ISSUES} AS issues FROM ({_PAGES} UNION ALL {_DOCS})"
 
 
 def oracle_sql() -> dict[str, str]:
     """Name → DuckDB SQL."""
-    return {}
+    by = "'{' || string_agg('\"' || k || '\":' || n, ',' ORDER BY k) || '}'"
+    return {
+        "q_clean_text": f"SELECT page_id, {_cleaned(_UNESCAPED)} AS cleaned FROM pages",
+        "q_normalize_url": f"SELECT page_id, {_NORMAL} AS url FROM pages",
+        "q_canonical_domain": f"SELECT page_id, {_DOMAIN.format('url')} AS domain FROM pages",
+        "q_url_checks": "SELECT page_id, regexp_matches(url, '(?i)^https?://[^/?#]+') AS is_valid, h = 'example.com' OR h LIKE '%.example.com' OR 'example.com' LIKE '%.' || h AS is_same_site "
+        "FROM (SELECT page_id, url, lower(regexp_extract(url, '^[^:/?#]*://([^/?#]*)', 1)) AS h FROM pages)",
+        "q_canonical_name": "SELECT key, name, " + _CANONICAL.format("name") + " AS canonical FROM (SELECT p_partkey AS key, p_name || ' Labs, Inc.' AS name FROM part "
+        "UNION ALL SELECT c_custkey, 'The ' || c_name || ' & Co' FROM customer)",
+        "q_entity_id": f"SELECT p_partkey AS pos, {_PART_ID} AS id, trim(p_name) AS name FROM part",
+        "q_dedupe_name": f"SELECT min(p_partkey) AS leader, count(*) AS n FROM (SELECT p_partkey, {_CANONICAL.format('p_name')} AS k FROM part) GROUP BY k",
+        "q_dedupe_pages": f"""WITH RECURSIVE k AS (SELECT pos, row_number() OVER (ORDER BY pos) AS i, {_CANONICAL.format('name')} AS nk, {_DOMAIN.format('url')} AS dk FROM ({_PAGES})),
+s AS (SELECT 0::BIGINT AS i, NULL::BIGINT AS pos, NULL::BIGINT AS leader, MAP {{}}::MAP(VARCHAR, BIGINT) AS names, MAP {{}}::MAP(VARCHAR, BIGINT) AS domains
+UNION ALL SELECT k.i, k.pos, coalesce(s.names[k.nk], s.domains[k.dk], k.pos),
+CASE WHEN coalesce(s.names[k.nk], s.domains[k.dk]) IS NULL THEN map_concat(s.names, MAP {{k.nk: k.pos}}) ELSE s.names END,
+CASE WHEN coalesce(s.names[k.nk], s.domains[k.dk]) IS NULL AND k.dk <> '' THEN map_concat(s.domains, MAP {{k.dk: k.pos}}) ELSE s.domains END
+FROM s JOIN k ON k.i = s.i + 1) SELECT pos, leader FROM s WHERE i > 0""",
+        "q_merge": f"""SELECT min(p_partkey) AS pos, trim(arg_min(p_name, p_partkey)) AS name, arg_max(trim(p_type), [length(trim(p_type)), -p_partkey]) AS description,
+CASE WHEN count(*) > 1 THEN array_to_string(list_sort(list_distinct(list_concat(['Parts'], list(p_brand)))), '; ') ELSE 'Parts; ' || min(p_brand) END AS categories,
+arg_max(p_brand, p_partkey) AS maker, arg_max(p_size, p_partkey)::VARCHAR AS size FROM (SELECT *, {_CANONICAL.format('p_name')} AS k FROM part) GROUP BY k""",
+        "q_recency": f"SELECT event_id, CASE WHEN floor((epoch_us(TIMESTAMP '{NOW}') - epoch_us(date_trunc('second', ts))) / 86400000000) <= 10 "
+        "THEN array_to_string(list_sort(list_distinct(['Zeta', event_type, 'New'])), '; ') ELSE 'Zeta; ' || event_type END AS categories FROM events",
+        "q_tag_tasks": f"SELECT p_partkey AS pos, '[' || array_to_string(list_transform({_PART_FOUND}, lambda t: '\"' || t || '\"'), ',') || ']' AS tasks FROM part",
+        "q_task_dim": f"SELECT id, name, 'Things you can do with AI related to ' || replace(slug, '-', ' ') || '.' AS description, slug FROM {_task_rows(TASKS)}",
+        "q_develops": _DEVELOPS,
+        "q_solves": _SOLVES,
+        "q_integrates": f"SELECT d.id AS \"from\", 'integrates_with' AS relation, {_uuid('''concat('model|', lower(trim(b.text)), '|')''')} AS \"to\" "
+        f"FROM ({_DOCS.replace('repository|', 'mcp|')}) d JOIN benchmark b ON contains(lower(d.name || ' ' || d.description), lower(trim(b.text)))",
+        "q_runs": f"SELECT {_uuid('''concat('device|', lower(trim(p_name)), '|')''')} AS \"from\", 'runs' AS relation, {_uuid('''concat('model|', lower(trim(p_name)), '|')''')} AS \"to\" FROM part",
+        "q_relationships": f"SELECT DISTINCT * FROM ({_DEVELOPS} UNION ALL {_SOLVES})",
+        "q_validate": f"SELECT entity_type, pos, id, url, issues FROM ({_CHECKED})",
+        "q_validation_report": f"SELECT count(*) FILTER (issues = '') AS valid, count(*) FILTER (issues <> '') AS invalid FROM ({_CHECKED})",
+        "q_quality_report": f"""WITH c AS ({_CHECKED}), v AS (SELECT * FROM c WHERE issues = '')
+SELECT (SELECT count(*) FROM c) AS total_records_discovered, (SELECT count(*) FROM c) AS records_cleaned, 0::BIGINT AS records_deduplicated, count(*) AS final_record_count,
+0::BIGINT AS records_with_missing_descriptions, count(*) FILTER (url = '') AS records_with_missing_official_urls, count(*) AS records_with_missing_logos,
+(SELECT count(*) FROM c WHERE issues <> '') AS validation_failures, (SELECT {by} FROM (SELECT entity_type AS k, count(*) AS n FROM v GROUP BY 1)) AS by_type,
+(SELECT {by} FROM (SELECT source AS k, count(*) AS n FROM v GROUP BY 1)) AS by_source, 0::BIGINT AS edges, '2024-01-31T00:00:00.000000+00:00' AS timestamp FROM v""",
+        "q_llm_eligible": f"SELECT pos, description FROM ({_DOCS}) WHERE length(description) BETWEEN 1 AND 79",
+        "q_topk_per_group": "SELECT p_brand, p_partkey FROM part QUALIFY row_number() OVER (PARTITION BY p_brand ORDER BY p_retailprice DESC, p_partkey) <= 3",
+        "q_union_modules": f"SELECT entity_type, count(*) AS n, count(DISTINCT id) AS ids, min(name) AS first_name FROM (SELECT entity_type, id, name FROM ({_PAGES}) UNION ALL "
+        f"SELECT 'tool', {_PART_ID}, trim(p_name) FROM part UNION ALL SELECT entity_type, id, name FROM ({_DOCS})) GROUP BY 1",
+        "q_feed_health": "SELECT n_name AS source_name, count(c_custkey) AS entries, CASE WHEN count(c_custkey) > 0 THEN 'OK' ELSE 'EMPTY/FAILED' END AS status "
+        "FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey AND c_acctbal > 9000 GROUP BY 1",
+        "q_logo_candidates": "SELECT page_id, regexp_extract(url, '^([^:/?#]*://[^/?#]*)', 1) || '/i' || page_id || '.png ' || regexp_extract(url, '^([^:/?#]*):', 1) || "
+        "'://cdn.example.org/o.png https://t.example.org/t.png' AS candidates FROM pages",
+        "q_csv_flatten": f"SELECT {_BRAND_ID} AS id, 'company' AS entity_type, name, 'a maker of parts' AS description, 'https://brand' || n || '.example.com' AS url, '' AS logo_url, "
+        f"'Companies' AS categories, 'brands' AS source_name, 'https://brand' || n || '.example.com' AS source_url, '{{\"n\":' || n || ',\"none\":null}}' AS metadata_json FROM ({_BRANDS})",
+        "q_parse_repositories": f"SELECT p_partkey AS pos, {_uuid('''concat('repository|', lower(trim(p_brand || '/' || p_name)), '|', u)''')} AS id, trim(p_brand || '/' || p_name) AS name, u AS url, "
+        "'Repositories; Extra' AS categories, 'https://code.example.com/' || p_partkey AS source_url, p_partkey::VARCHAR AS stars, p_brand AS owner, 'MIT' AS license, true AS has_language "
+        "FROM (SELECT *, CASE WHEN p_size > 25 THEN 'https://home.example.com/' ELSE 'https://code.example.com/' END || p_partkey AS u FROM part)",
+        "q_parse_models": "SELECT p_partkey AS pos, p_brand || '/' || p_name AS name, 'https://huggingface.co/' || p_brand || '/' || p_name AS url, p_brand AS provider, "
+        "CASE WHEN p_size > 25 THEN 'l' || p_size ELSE 'late' END AS license, '0' AS likes, p_type AS pipeline_tag FROM part",
+        "q_parse_videos": f"SELECT {_uuid('''concat('video|', lower(trim(s_name)), '|https://www.youtube.com/watch?v=', s_suppkey)''')} AS id, trim(s_name) AS name, 'about' AS description, "
+        "'https://www.youtube.com/watch?v=' || s_suppkey AS url, 't.png' AS thumbnail FROM supplier",
+        "q_parse_entries": f"SELECT {_uuid('''concat('news|order ', o_orderkey, '|https://o.example.com/', o_orderkey)''')} AS id, 'Order ' || o_orderkey AS name, trim(o_orderpriority) AS description, "
+        "'https://o.example.com/' || o_orderkey AS url, o_orderstatus AS source_name FROM orders",
+    }
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """Name → (spark, sf_dir) → DataFrame."""
+    return {name: f for name, f in globals().items() if name.startswith("q_") and callable(f)}

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Settings that change results, not speed; every plan of the engine assumes them.
 SEMANTICS = {
@@ -31,6 +32,15 @@ def pin(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """`df` computed once and kept in the cluster's `spark.checkpoint.dir`; a temporary folder where that is unset, as in tests."""
+    spark = df.sparkSession
+    context = spark.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="entityforge-"))
+    return df.checkpoint()
+
+
 def local_session(cores: int | None = None) -> SparkSession:
     """The session of tests and bench.py."""
     n = cores or int(os.environ.get("BENCH_CPUS", "8"))
