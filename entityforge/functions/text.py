@@ -7,6 +7,7 @@ import html
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: White space as Python's `str.isspace` has it; Java's Unicode class lacks the four separators.
 SPACE = r"(?U)[\s\x1c-\x1f]"
@@ -29,7 +30,7 @@ def squeeze(c: Column) -> Column:
     return strip(F.regexp_replace(c, SPACE + "+", " "))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _unescape(texts: pd.Series) -> pd.Series:
     return texts.map(html.unescape, na_action="ignore")
 

@@ -21,10 +21,13 @@ def _edges(df: DataFrame, source: Column, relation: str, target: Column, pos_a:
     )
 
 
-def _grams(c: Column) -> Column:
-    """All distinct substrings of `GRAM` characters."""
-    n = F.length(c) - (GRAM - 1)
-    return F.when(n >= 1, F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.substr(c, i, F.lit(GRAM))))).otherwise(F.array().cast("array<string>"))
+def _pieces(c: Column, size: int) -> Column:
+    """All distinct substrings of `size` characters; of size 0, the empty one."""
+    if size == 0:
+        return F.array(F.lit(""))
+    places = F.length(c) - (size - 1)
+    cut = F.transform(F.sequence(F.lit(1), F.greatest(places, F.lit(1))), lambda i: F.substr(c, i, F.lit(size)))
+    return F.when(places >= 1, F.array_distinct(cut)).otherwise(F.array().cast("array<string>"))
 
 
 def containment_join(left: DataFrame, text: str, right: DataFrame, name: str) -> DataFrame:
@@ -37,20 +40,15 @@ def containment_join(left: DataFrame, text: str, right: DataFrame, name: str) ->
     holds = F.contains(F.col(text), F.col(name))
     if right.count() <= BROADCAST_ROWS:
         return left.join(F.broadcast(right), holds)
-    long_names = right.filter(F.length(name) >= GRAM).withColumn("_gram", F.substring(F.col(name), 1, GRAM))
-    cut = left.withColumn("_grams", F.explode(_grams(F.col(text))))
-    pairs = cut.join(long_names, (F.col("_grams") == F.col("_gram")) & holds).drop("_grams", "_gram")
-    # a shorter name meets the texts by its own length, each text cut to all pieces of that length
-    for n in range(GRAM):
-        short = right.filter(F.length(name) == n)
-        if not short.limit(1).count():
+    pairs = None
+    for size in range(GRAM + 1):
+        names = right.filter(F.length(name) >= GRAM if size == GRAM else F.length(name) == size)
+        if size < GRAM and not names.limit(1).count():
             continue
-        size = F.length(text) - n + 1
-        pieces = F.array(F.lit("")) if n == 0 else F.when(
-            size >= 1, F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(size, F.lit(1))), lambda i, n=n: F.substr(F.col(text), i, F.lit(n))))
-        ).otherwise(F.array().cast("array<string>"))
-        cut = left.withColumn("_piece", F.explode(pieces))
-        pairs = pairs.unionByName(cut.join(short, F.col("_piece") == F.col(name)).drop("_piece"))
+        keyed = names.withColumn("_gram", F.substring(F.col(name), 1, size) if size else F.lit(""))
+        met = left.withColumn("_piece", F.explode(_pieces(F.col(text), size))).join(keyed, (F.col("_piece") == F.col("_gram")) & holds)
+        met = met.drop("_piece", "_gram")
+        pairs = met if pairs is None else pairs.unionByName(met)
     return pairs
 
 
