@@ -2,8 +2,8 @@
 
 P(w | v) mixes the bigram and unigram maximum-likelihood estimates and a uniform one. The mixture
 depends on how often the context v occurs, by powers of two, and its weights are learned by
-expectation-maximisation on tokens of a part of the training documents, held out for that, under
-counts of the others.
+expectation-maximisation on tokens of a part of the training documents: each such document is held
+out, its own counts deleted from those of the corpus.
 
 Counts are exact and come from all training documents. Texts are read once and kept as chunks of
 word numbers. A chunk asks for the counts of its distinct n-grams, bucket by bucket of their hash,
@@ -18,28 +18,62 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import xxhash
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from entityforge.llm.columns import Columns, as_columns, map_columns, names
 from entityforge.llm.scratch import Scratch, partitions_for
-from entityforge.llm.textstats import WordNumbers
+from entityforge.llm.wordhash import WordHasher, mix
 
 #: Tokens of a chunk, and tokens whose n-grams a bucket holds, about.
 CHUNK_TOKENS, BUCKET_TOKENS = 2_000_000, 1_500_000
-#: Folds of crc32(id) mod 5: not learned from at all; and the part of training that sets the mixture.
+#: Folds of crc32(id) mod 5: not learned from at all; and the training documents that set the mixture.
 TEST_FOLD, MIXTURE_FOLD, FOLDS = 1, 2, 5
 #: Context-frequency buckets: 0, 1, 2 to 3, 4 to 7, and so on.
 CONTEXTS = 24
-#: Steps of a factor of two in the histogram of probability ratios that the weights are learned from.
-STEPS = 4
-END, BEGIN = b" end", b" begin"  # no word holds a blank
+#: Steps of a factor of two in the histogram that the weights are learned from, and where 1 lies.
+STEPS, LOG_ZERO = 4, 400
+#: Bits of the hashes by which words and pairs are counted: steps between sorted ones are short, and of
+#: 10^9 distinct pairs some 4 in a million share a count with another.
+WORD_BITS, PAIR_BITS = 58, 48
+#: Stand for the end and the begin of a text among the hashes of words.
+END, BEGIN = np.uint64(0x5EED_0E4D_0000_0001), np.uint64(0x5EED_0BE6_0000_0001)
 NO_ID = -(1 << 63)
 _P = np.uint64(0x9E3779B97F4A7C15)
 
-CHUNK = "chunk long, docs binary, folds binary, sizes binary, stream binary, vocab binary, n_tokens long"
+_ZSTD = pa.Codec("zstd", compression_level=2)
+
+
+def _small(numbers: np.ndarray) -> bytes:
+    """32-bit numbers, compressed byte by byte of all, with their size ahead."""
+    raw = np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+    return len(raw).to_bytes(8, "little") + _ZSTD.compress(raw, asbytes=True)
+
+
+def _large(raw: bytes) -> np.ndarray:
+    size = int.from_bytes(raw[:8], "little")
+    flat = _ZSTD.decompress(raw[8:], decompressed_size=size, asbytes=True) if size else b""
+    return np.ascontiguousarray(np.frombuffer(flat, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
+def _packed(keys: np.ndarray) -> bytes:
+    """Sorted numbers: the first, then steps, each in as many bytes as the longest takes; one byte says how many."""
+    steps = np.diff(keys).astype("<u8")
+    width = max(1, -(-int(steps.max(initial=0)).bit_length() // 8))
+    return bytes([width]) + int(keys[0]).to_bytes(8, "little") + np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    width = raw[0]
+    steps = np.zeros(((len(raw) - 9) // width + 1, 8), np.uint8)
+    steps[0] = np.frombuffer(raw, np.uint8, 8, 1)
+    steps[1:, :width] = np.frombuffer(raw, np.uint8, offset=9).reshape(-1, width)
+    return np.cumsum(steps.view("<u8").ravel())
+
+
+CHUNK = "chunk long, docs binary, folds binary, sizes binary, stream binary, vocab binary, n_tokens long, n_train long, n_begin long"
 
 
 def fold_of(doc_id: int | None) -> int:
@@ -51,35 +85,33 @@ def encode_chunks(docs: DataFrame) -> DataFrame:
     """Texts (doc, text) as chunks: ids, folds and sizes of documents, word numbers, and word hashes in order."""
 
     def run(batches: Iterator[Columns]) -> Iterator[Columns]:
-        numbers = WordNumbers(xxhash.xxh64_intdigest, np.uint64)
-        numbers.LIMIT = 1 << 19
+        hasher = WordHasher()
         part, made = TaskContext.get().partitionId(), 0
         docs_, folds, sizes, parts, held = [], [], [], [], 0
 
         def chunk() -> Columns:
             nonlocal made, docs_, folds, sizes, parts, held
-            vocab, stream = np.unique(np.concatenate(parts), return_inverse=True)
+            vocab, stream, count = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
+            # frequent words get small numbers, which compress well
+            order = np.argsort(-count, kind="stable")
+            rank = np.empty(len(order), dtype=np.int32)
+            rank[order] = np.arange(len(order), dtype=np.int32)
+            train = np.array(folds) != TEST_FOLD
             row = (
                 part << 32 | made, np.array(docs_, np.int64).tobytes(), np.array(folds, np.int8).tobytes(), np.array(sizes, np.int32).tobytes(),
-                stream.astype(np.int32).tobytes(), vocab.tobytes(), held,
+                _small(rank[stream]), vocab[order].tobytes(), held, int(np.array(sizes)[train].sum()), int(train.sum()),
             )
             made += 1
             docs_, folds, sizes, parts, held = [], [], [], [], 0
             return as_columns([row], names(CHUNK))
 
         for batch in batches:
-            for doc, text in zip(batch["doc"], batch["text"]):
-                raw = (text or "").encode("utf-8", "surrogatepass").lower()
-                for c in (b"\t", b"\n", b"\x0b", b"\x0c", b"\r"):
-                    if c in raw:
-                        raw = raw.replace(c, b" ")
-                words = [w for w in raw.split(b" ") if w]
-                words.append(END)
-                parts.append(numbers.hashes(numbers.of(words)))
+            for doc, words in zip(batch["doc"], hasher.all(batch["text"])):
+                parts.append(np.append(words, END))
                 docs_.append(NO_ID if doc is None else doc)
                 folds.append(fold_of(doc))
-                sizes.append(len(words))
-                held += len(words)
+                sizes.append(len(words) + 1)
+                held += len(words) + 1
                 if held >= CHUNK_TOKENS:
                     yield chunk()
         if docs_:
@@ -95,93 +127,72 @@ class Chunk:
         self.docs = np.frombuffer(row["docs"], np.int64)
         self.folds = np.frombuffer(row["folds"], np.int8)
         self.sizes = np.frombuffer(row["sizes"], np.int32)
-        self.stream = np.frombuffer(row["stream"], np.int32)
+        self.stream = _large(row["stream"]).astype(np.int32)
         self.vocab = np.frombuffer(row["vocab"], np.uint64)
         self.starts = np.cumsum(self.sizes) - self.sizes
         word = self.vocab[self.stream]
         before = np.append(np.uint64(0), word[:-1])
-        before[self.starts] = np.uint64(xxhash.xxh64_intdigest(BEGIN))
-        pair = before * _P + word
-        pair ^= pair >> np.uint64(31)
-        pair *= np.uint64(0xBF58476D1CE4E5B9)
-        pair ^= pair >> np.uint64(29)
-        self.pairs, self.pair_at = np.unique(pair, return_inverse=True)
-        self.token_fold = np.repeat(self.folds, self.sizes)
+        before[self.starts] = BEGIN
+        pair = mix(before * _P + word)
+        self.pair, self.before = pair, before
+        self.pairs, self.pair_at = np.unique(pair >> np.uint64(64 - PAIR_BITS), return_inverse=True)
+        self.word_order = np.argsort(self.vocab)
+        self.words = self.vocab[self.word_order] >> np.uint64(64 - WORD_BITS)
+        self.doc_at = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        self.token_fold = self.folds[self.doc_at]
 
-    def own_counts(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Of each word, then of each pair: tokens in training documents not held out, and in held-out ones."""
-        out = []
-        for at, n in ((self.stream, len(self.vocab)), (self.pair_at, len(self.pairs))):
-            for pick in ((self.token_fold != TEST_FOLD) & (self.token_fold != MIXTURE_FOLD), self.token_fold == MIXTURE_FOLD):
-                out.append(np.bincount(at[pick], minlength=n).astype(np.uint32))
-        return out[0], out[1], out[2], out[3]
+    def own_counts(self) -> tuple[np.ndarray, np.ndarray]:
+        """Of each word, in hash order, and of each pair: the chunk's tokens in training documents."""
+        train = self.token_fold != TEST_FOLD
+        words = np.bincount(self.stream[train], minlength=len(self.vocab)).astype(np.uint32)[self.word_order]
+        return words, np.bincount(self.pair_at[train], minlength=len(self.pairs)).astype(np.uint32)
 
 
-ASKED = "bucket int, chunk long, keys binary, main binary, held binary"
+ASKED = "bucket int, chunk long, keys binary, counts binary"
 
 
-def _cuts(keys: np.ndarray, buckets: int) -> np.ndarray:
-    """Where sorted keys pass from one bucket to the next: equal ranges of the hash."""
-    edges = (np.arange(1, buckets, dtype=object) * (1 << 64) // buckets).astype(np.uint64)
+def _cuts(keys: np.ndarray, buckets: int, bits: int) -> np.ndarray:
+    """Where sorted keys pass from one bucket to the next: equal ranges."""
+    edges = np.array([(i << bits) // buckets for i in range(1, buckets)], dtype=np.uint64)
     return np.concatenate([[0], np.searchsorted(keys, edges), [len(keys)]]).astype(np.int64)
 
 
-def _small(counts: np.ndarray) -> bytes:
-    return zlib.compress(counts.tobytes(), 1)
-
-
-def _large(raw: bytes) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(raw), np.uint32)
-
-
 def _questions(chunks: DataFrame, word_buckets: int, pair_buckets: int) -> DataFrame:
-    """Per chunk and bucket: sorted hashes, and the chunk's own counts of them. Words come in the first buckets.
-
-    The bucket tells the high bits of a hash, so its low seven bytes are enough.
-    """
+    """Per chunk and bucket: sorted hashes, and the chunk's own counts of them. Words come in the first buckets."""
 
     def run(batches: Iterator[Columns]) -> Iterator[Columns]:
         for batch in batches:
             for i in range(len(batch["chunk"])):
                 chunk = Chunk({k: v[i] for k, v in batch.items()})
-                wa, wb, pa, pb = chunk.own_counts()
+                word_counts, pair_counts = chunk.own_counts()
                 rows = []
-                for keys, main, held, first, n in ((chunk.vocab, wa, wb, 0, word_buckets), (chunk.pairs, pa, pb, word_buckets, pair_buckets)):
-                    cuts = _cuts(keys, n)
-                    low = np.ascontiguousarray(keys).view(np.uint8).reshape(-1, 8)[:, :7]
+                for keys, counts, bits, first, n in ((chunk.words, word_counts, WORD_BITS, 0, word_buckets), (chunk.pairs, pair_counts, PAIR_BITS, word_buckets, pair_buckets)):
+                    cuts = _cuts(keys, n, bits)
                     for b, (s, e) in enumerate(zip(cuts[:-1], cuts[1:])):
                         if e > s:
-                            rows.append((first + b, batch["chunk"][i], low[s:e].tobytes(), _small(main[s:e]), _small(held[s:e])))
+                            rows.append((first + b, batch["chunk"][i], _packed(keys[s:e]), _small(counts[s:e])))
                 yield as_columns(rows, names(ASKED))
 
     return map_columns(chunks, run, ASKED)
 
 
-ANSWER = "chunk long, bucket int, main binary, held binary, n_keys long, n_main long, n_all long, t_main long, t_all long"
+ANSWER = "chunk long, bucket int, counts binary, kinds long"
 
 
 def _answers(asked: DataFrame, partitions: int) -> DataFrame:
-    """Corpus counts of every hash that was asked for, to each chunk; and a row of totals per bucket (chunk -1).
-
-    The totals: distinct n-grams, and tokens, of the main training part and of all training documents.
-    """
+    """Corpus counts of every hash that was asked for, to each chunk; and a row per bucket (chunk -1)
+    with the number of distinct n-grams in training."""
 
     def answer(rows: list[tuple]) -> Columns:
         bucket = rows[0][0]
-        sizes = [len(r[2]) // 7 for r in rows]
-        keys = np.zeros((sum(sizes), 8), np.uint8)
-        keys[:, :7] = np.frombuffer(b"".join(r[2] for r in rows), np.uint8).reshape(-1, 7)
-        distinct, at = np.unique(keys.view(np.uint64).ravel(), return_inverse=True)
-        main, held = (
-            np.bincount(at, np.concatenate([_large(r[k]) for r in rows]), minlength=len(distinct)).astype(np.uint32) for k in (3, 4)
-        )
+        asked_keys = [_unpacked(r[2]) for r in rows]
+        distinct, at = np.unique(np.concatenate(asked_keys), return_inverse=True)
+        total = np.bincount(at, np.concatenate([_large(r[3]) for r in rows]), minlength=len(distinct)).astype(np.uint32)
         out, start = [], 0
-        for r, n in zip(rows, sizes):
-            here = at[start : start + n]
-            out.append((r[1], bucket, _small(main[here]), _small(held[here]), n, 0, 0, 0, 0))
-            start += n
-        everything = main.astype(np.int64) + held
-        out.append((-1, bucket, None, None, 0, int((main > 0).sum()), int((everything > 0).sum()), int(main.sum(dtype=np.int64)), int(everything.sum())))
+        for r, keys in zip(rows, asked_keys):
+            out.append((r[1], bucket, _small(total[at[start : start + len(keys)]]), 0))
+            start += len(keys)
+        out.append((-1, bucket, None, int((total > 0).sum())))
         return as_columns(out, names(ANSWER))
 
     def run(batches: Iterator[Columns]) -> Iterator[Columns]:
@@ -199,33 +210,56 @@ def _answers(asked: DataFrame, partitions: int) -> DataFrame:
 
 
 JOINED = (
-    "chunk long, docs binary, folds binary, sizes binary, stream binary, word_main binary, word_held binary, pair_main binary, pair_held binary, "
-    "n_main long, n_all long, t_main long, t_all long"
+    "chunk long, docs binary, folds binary, sizes binary, stream binary, words binary, pairs binary, cells binary, cell_counts binary, kinds long"
 )
 
 
-def _join(chunks: DataFrame, answers: DataFrame, word_buckets: int, partitions: int) -> DataFrame:
-    """Chunks with corpus counts: of each distinct word, and of the pair at each token. Totals pass through."""
+def _own(doc: np.ndarray, kind: np.ndarray) -> np.ndarray:
+    """How often each token's kind occurs in its document."""
+    _, at, n = np.unique(doc.astype(np.uint64) * _P + kind, return_inverse=True, return_counts=True)
+    return n[at]
+
+
+def _cells(chunk: Chunk, word: np.ndarray, pair: np.ndarray, n_train: int, n_begin: int) -> tuple[np.ndarray, np.ndarray]:
+    """Held-out tokens by context bucket and by the logarithms of the two estimates without their own document."""
+    pick = np.flatnonzero(chunk.token_fold == MIXTURE_FOLD)
+    doc = chunk.doc_at[pick]
+    context = np.append(0, word[:-1])
+    context[chunk.starts] = n_begin
+    others = context[pick] - _own(doc, chunk.before[pick])
+    one = _divided((word[pick] - _own(doc, chunk.stream[pick].astype(np.uint64))).astype(float), (n_train - chunk.sizes[doc]).astype(float))
+    two = _divided((pair[pick] - _own(doc, chunk.pair[pick])).astype(float), others.astype(float))
+    logs = [np.where(x > 0, np.round(np.log2(np.where(x > 0, x, 1)) * STEPS) + LOG_ZERO, 0).astype(np.int64) for x in (one, two)]
+    return np.unique((context_bucket(np.maximum(others, 0)) << 40) | (logs[0] << 20) | logs[1], return_counts=True)
+
+
+def _join(chunks: DataFrame, answers: DataFrame, word_buckets: int, partitions: int, n_train: int, n_begin: int) -> DataFrame:
+    """Chunks with corpus counts: of each distinct word, and of the pair at each token; and the held-out
+    tokens for the mixture. The numbers of distinct words pass through."""
 
-    def joined(row: dict, words: list[tuple], pairs: list[tuple]) -> tuple:
+    def joined(row: dict, words: list[bytes], pairs: list[bytes]) -> tuple:
         chunk = Chunk(row)
-        counts = [np.concatenate([_large(r[k]) for r in part]) for part in (words, pairs) for k in (0, 1)]
-        at_token = [_small(c[chunk.pair_at]) for c in counts[2:]]
-        return (row["chunk"], row["docs"], row["folds"], row["sizes"], row["stream"], *map(_small, counts[:2]), *at_token, 0, 0, 0, 0)
+        of_word = np.empty(len(chunk.vocab), dtype=np.int64)
+        of_word[chunk.word_order] = np.concatenate([_large(r) for r in words])
+        of_pair = np.concatenate([_large(r) for r in pairs]).astype(np.int64)[chunk.pair_at]
+        cells, n = _cells(chunk, of_word[chunk.stream], of_pair, n_train, n_begin)
+        kept = (row[k] for k in ("chunk", "docs", "folds", "sizes", "stream"))
+        return (*kept, _small(of_word), _small(of_pair), cells.astype(np.int64).tobytes(), n.astype(np.int64).tobytes(), 0)
 
     def run(batches: Iterator[Columns]) -> Iterator[Columns]:
         row, words, pairs = None, [], []
         for batch in batches:
             out = []
             for i in range(len(batch["chunk"])):
-                if batch["bucket"][i] < 0:
+                chunk, bucket = batch["chunk"][i], batch["bucket"][i]
+                if bucket < 0:
                     if row is not None:
                         out.append(joined(row, words, pairs))
                     row, words, pairs = {k: batch[k][i] for k in names(CHUNK)}, [], []
-                elif batch["chunk"][i] < 0:
-                    out.append((-1, *[None] * 8, *(batch[k][i] if batch["bucket"][i] < word_buckets else 0 for k in ("n_main", "n_all", "t_main", "t_all"))))
+                elif chunk < 0:
+                    out.append((-1, *[None] * 8, batch["kinds"][i] if bucket < word_buckets else 0))
                 else:
-                    (words if batch["bucket"][i] < word_buckets else pairs).append((batch["main"][i], batch["held"][i]))
+                    (words if bucket < word_buckets else pairs).append(batch["counts"][i])
             yield as_columns(out, names(JOINED))
         if row is not None:
             yield as_columns([joined(row, words, pairs)], names(JOINED))
@@ -234,59 +268,34 @@ def _join(chunks: DataFrame, answers: DataFrame, word_buckets: int, partitions:
     return map_columns(both.repartition(partitions, "chunk").sortWithinPartitions("chunk", "bucket"), run, JOINED)
 
 
-class _Tokens:
-    """Counts at every token of a joined chunk: of the word, of its context and of the pair."""
-
-    def __init__(self, batch: Columns, i: int, begin_main: int, begin_held: int):
-        self.docs, self.folds = np.frombuffer(batch["docs"][i], np.int64), np.frombuffer(batch["folds"][i], np.int8)
-        self.sizes, stream = np.frombuffer(batch["sizes"][i], np.int32), np.frombuffer(batch["stream"][i], np.int32)
-        self.starts = np.cumsum(self.sizes) - self.sizes
-        self.word, self.context = [], []
-        for key, begin in (("word_main", begin_main), ("word_held", begin_held)):
-            word = _large(batch[key][i])[stream].astype(np.int64)
-            context = np.append(0, word[:-1])
-            context[self.starts] = begin
-            self.word.append(word)
-            self.context.append(context)
-        self.pair = [_large(batch[k][i]).astype(np.int64) for k in ("pair_main", "pair_held")]
-
-
 def context_bucket(count: np.ndarray) -> np.ndarray:
     """0 for 0, else 1 more than the power of two."""
     return np.minimum(np.frexp(count.astype(float))[1], CONTEXTS - 1)
 
 
-def _divided(a: np.ndarray, b: np.ndarray | float) -> np.ndarray:
-    return np.divide(a, b, out=np.zeros(len(a)), where=np.asarray(b) > 0)
+def _divided(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.divide(a, b, out=np.zeros(len(a)), where=b > 0)
 
 
-def _histogram(joined: DataFrame, totals: dict, begin: tuple[int, int]) -> DataFrame:
-    """Held-out tokens by context bucket and by the ratios of the bigram and unigram estimate to the uniform one."""
+def _histogram(joined: DataFrame) -> DataFrame:
+    """(cell, n) over all chunks."""
 
     def run(batches: Iterator[Columns]) -> Iterator[Columns]:
         for batch in batches:
-            for i in range(len(batch["chunk"])):
-                t = _Tokens(batch, i, *begin)
-                pick = np.repeat(t.folds, t.sizes) == MIXTURE_FOLD
-                unit = 1.0 / (totals["n_main"] + 1)
-                one = _divided(t.word[0][pick].astype(float), float(totals["t_main"])) / unit
-                two = _divided(t.pair[0][pick].astype(float), t.context[0][pick]) / unit
-                with np.errstate(divide="ignore"):
-                    q1, q2 = (np.where(x > 0, np.round(np.log2(np.maximum(x, 1e-30)) * STEPS) + 200, 0).astype(np.int64) for x in (one, two))
-                cell, n = np.unique((context_bucket(t.context[0][pick]) << 40) | (q1 << 20) | q2, return_counts=True)
-                yield {"cell": cell, "n": n}
+            for cells, n in zip(batch["cells"], batch["cell_counts"]):
+                yield {"cell": np.frombuffer(cells, np.int64), "n": np.frombuffer(n, np.int64)}
 
-    return map_columns(joined, run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    return map_columns(joined.select("cells", "cell_counts"), run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
 
 
-def learn_weights(cell: np.ndarray, n: np.ndarray, rounds: int = 200) -> np.ndarray:
+def learn_weights(cell: np.ndarray, n: np.ndarray, kinds: int, rounds: int = 200) -> np.ndarray:
     """Mixture weights (uniform, unigram, bigram) of each context bucket, by expectation-maximisation.
 
     A bucket starts from the weights of all buckets together, and a few pseudo-tokens hold it there,
     so that a bucket without held-out tokens has those.
     """
     bucket, q1, q2 = cell >> 40, (cell >> 20) & 0xFFFFF, cell & 0xFFFFF
-    ratio = np.stack([np.ones(len(cell)), *(np.where(q > 0, np.exp2((q - 200) / STEPS), 0.0) for q in (q1, q2))], axis=1)
+    ratio = np.stack([np.ones(len(cell)), *(np.where(q > 0, np.exp2((q - LOG_ZERO) / STEPS) * (kinds + 1), 0.0) for q in (q1, q2))], axis=1)
 
     def fit(rows: np.ndarray, start: np.ndarray, pull: float) -> np.ndarray:
         w = start.copy()
@@ -306,24 +315,26 @@ def learn_weights(cell: np.ndarray, n: np.ndarray, rounds: int = 200) -> np.ndar
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def _score(joined: DataFrame, totals: dict, begin: tuple[int, int], weights: np.ndarray) -> DataFrame:
+def _score(joined: DataFrame, tokens: int, kinds: int, n_begin: int, weights: np.ndarray) -> DataFrame:
     """Base and model score of every document."""
 
     def run(batches: Iterator[Columns]) -> Iterator[Columns]:
-        tokens, kinds = totals["t_all"], totals["n_all"]
         for batch in batches:
             for i in range(len(batch["chunk"])):
-                t = _Tokens(batch, i, *begin)
-                word, context, pair = (x[0] + x[1] for x in (t.word, t.context, t.pair))
+                docs, folds, sizes = (np.frombuffer(batch[k][i], t) for k, t in (("docs", np.int64), ("folds", np.int8), ("sizes", np.int32)))
+                starts = np.cumsum(sizes) - sizes
+                word = _large(batch["words"][i]).astype(float)[_large(batch["stream"][i])]
+                context = np.append(0.0, word[:-1])
+                context[starts] = n_begin
                 base = np.log10((word + 0.5) / (tokens + 0.5 * (kinds + 1)))
                 w = weights[context_bucket(context)]
-                p = w[:, 0] / (kinds + 1) + w[:, 1] * _divided(word.astype(float), float(tokens)) + w[:, 2] * _divided(pair.astype(float), context)
-                score = np.log10(p)
+                pair = _large(batch["pairs"][i]).astype(float)
+                p = w[:, 0] / (kinds + 1) + w[:, 1] * _divided(word, np.full(len(word), float(tokens))) + w[:, 2] * _divided(pair, context)
                 yield {
-                    "doc_id": [None if d == NO_ID else d for d in t.docs.tolist()], "held_out": (t.folds == TEST_FOLD).tolist(),
-                    "n_tokens": t.sizes.astype(np.int64), "n_known": np.add.reduceat((word > 0).astype(np.int64), t.starts),
-                    "train_tokens": np.full(len(t.docs), tokens, np.int64),
-                    "base_score": np.add.reduceat(base, t.starts), "score": np.add.reduceat(score, t.starts),
+                    "doc_id": [None if d == NO_ID else d for d in docs.tolist()], "held_out": (folds == TEST_FOLD).tolist(),
+                    "n_tokens": sizes.astype(np.int64), "n_known": np.add.reduceat((word > 0).astype(np.int64), starts),
+                    "train_tokens": np.full(len(docs), tokens, np.int64),
+                    "base_score": np.add.reduceat(base, starts), "score": np.add.reduceat(np.log10(p), starts),
                 }
 
     return map_columns(joined, run, SCORES)
@@ -341,29 +352,15 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     scratch = Scratch(spark, "lm")
     slim = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
     chunks = scratch.write(encode_chunks(slim), "chunks")
-    n_tokens = chunks.agg(F.sum("n_tokens")).first()[0] or 0
+    n_tokens, n_train, n_begin = (x or 0 for x in chunks.agg(F.sum("n_tokens"), F.sum("n_train"), F.sum("n_begin")).first())
     pair_buckets = max(partitions_for(spark), -(-n_tokens // BUCKET_TOKENS))
     word_buckets = max(4, pair_buckets // 8)
-    asked = _questions(chunks, word_buckets, pair_buckets)
     parts = partitions_for(spark)
-    joined = scratch.write(_join(chunks, _answers(asked, parts), word_buckets, parts), "joined")
-    begin = _documents(chunks)
+    asked = _questions(chunks, word_buckets, pair_buckets)
+    joined = scratch.write(_join(chunks, _answers(asked, parts), word_buckets, parts, n_train, n_begin), "joined")
     scratch.drop("chunks")
-    sums = joined.filter("chunk < 0").agg(*[F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in ("n_main", "n_all", "t_main", "t_all")]).first().asDict()
+    kinds = joined.filter("chunk < 0").agg(F.sum("kinds")).first()[0] or 0
     held = joined.filter("chunk >= 0")
-    cells = _histogram(held, sums, begin).toArrow()  # at most CONTEXTS times the steps of both ratios
-    weights = learn_weights(cells["cell"].to_numpy(), cells["n"].to_numpy().astype(float))
-    return _score(held, sums, (begin[0], begin[1]), weights)
-
-
-def _documents(chunks: DataFrame) -> tuple[int, int]:
-    """Training documents not held out, and held out: how often a text begins."""
-
-    def run(batches: Iterator[Columns]) -> Iterator[Columns]:
-        for batch in batches:
-            folds = np.concatenate([np.frombuffer(x, np.int8) for x in batch["folds"]])
-            held = int((folds == MIXTURE_FOLD).sum())
-            yield {"main": [len(folds) - held - int((folds == TEST_FOLD).sum())], "held": [held]}
-
-    found = map_columns(chunks.select("folds"), run, "main long, held long").agg(F.sum("main"), F.sum("held")).first()
-    return found[0] or 0, found[1] or 0
+    cells = _histogram(held).toArrow()  # at most CONTEXTS times the steps of both logarithms
+    weights = learn_weights(cells["cell"].to_numpy(), cells["n"].to_numpy().astype(float), kinds)
+    return _score(held, n_train, kinds, n_begin, weights)
