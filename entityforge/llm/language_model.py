@@ -270,7 +270,7 @@ def _join(chunks: DataFrame, answers: DataFrame, word_buckets: int, partitions:
 
 def context_bucket(count: np.ndarray) -> np.ndarray:
     """0 for 0, else 1 more than the power of two."""
-    return np.minimum(np.frexp(count.astype(float))[1], CONTEXTS - 1)
+    return np.minimum(np.frexp(count.astype(float))[1], CONTEXTS - 1).astype(np.int64)
 
 
 def _divided(a: np.ndarray, b: np.ndarray) -> np.ndarray:
