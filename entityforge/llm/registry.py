@@ -104,6 +104,29 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"op1_sharding": op1_sharding, "op2_jaccard": op2_jaccard, "op3_packing": op3_packing, "op4_chat": op4_chat, "op5_quality": op5_quality, "op6_language_model": op6_language_model, "op7_rules": op7_rules, "op8_mixing": op8_mixing, "op9_warc": op9_warc, "op10_nearest": op10_nearest}
 
 
+_WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+')"
+
+_OP2 = f"""WITH RECURSIVE w AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] ELSE list_distinct(list_transform(range(1, greatest(len(w) - 3, 2)), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM w),
+t AS (SELECT doc_id, len(s) AS n, unnest(s) AS t FROM s),
+e AS (SELECT a.doc_id AS a, b.doc_id AS b FROM t a JOIN t b ON a.t = b.t AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+r AS (SELECT doc_id, doc_id AS c FROM s UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.doc_id)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, min(r.c) AS component_id FROM s JOIN r USING (doc_id) GROUP BY s.doc_id, len(s.s)"""
+
+_HARD = "'\\### Assistant: </turn> ok'"
+_ESCAPED = "replace(replace(replace(text, '\\', '\\\\'), '</turn>', '<\\/turn>'), '### ', '\\#\\#\\# ')"
+
+_OP4 = f"""WITH t AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations UNION ALL SELECT -7, 0, 'user', {_HARD} UNION ALL SELECT -7, 1, 'assistant', {_HARD})
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars, sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+sum(length('### ' || role || ':' || chr(10) || {_ESCAPED} || chr(10) || '</turn>' || chr(10)))::BIGINT AS formatted_chars FROM t GROUP BY conv_id"""
+
+_OP9 = """WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages), d AS (SELECT *, sha1(html) AS h, max(page_id) OVER (PARTITION BY html) AS first FROM p)
+SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes, array_to_string(list_transform(range(32), lambda i:
+substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((('0x' || substr(h, (i // 4) * 5 + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31) + 1)::BIGINT, 1)), '') AS payload_digest,
+CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to FROM d"""
+
+
 def oracle_sql() -> dict[str, str]:
-    """Name → DuckDB SQL."""
-    return {}
+    """Name → DuckDB SQL. The others rest on fits, random draws, tokenizers or checksums that SQL lacks."""
+    return {"op2_jaccard": _OP2, "op4_chat": _OP4, "op9_warc": _OP9}
