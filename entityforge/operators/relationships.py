@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from entityforge.functions.text import contains_either_way, first_filled
+from entityforge.functions.text import first_filled
 from entityforge.operators.classify import text_of
 from entityforge.schema import RELATIONS
 

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from entityforge.functions.ids import entity_id
 from entityforge.functions.text import first_filled, strip
 
-
 #: Columns of an entity. `pos` is the ingest order, which decides who wins; it is not exported.
 ENTITY_COLUMNS = ("pos", "id", "entity_type", "name", "description", "url", "logo_url", "categories", "source", "metadata")
 ENTITY_DDL = (

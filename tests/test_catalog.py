@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from entityforge.operators import classify, dedupe, describe, logos, relationships, report, sinks, validate
 from entityforge.plans import catalog
 from entityforge.plans.pipeline import PipelineConfig, export, process
-from entityforge.schema import make_entities, metadata_of
+from entityforge.schema import make_entities
 from entityforge.sources import connectors, http, payloads
 
 # workers do not import test modules

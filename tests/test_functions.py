@@ -91,3 +91,8 @@ def test_ids_are_the_published_ones(spark):
 )
 def test_is_recent(spark, given, expected):
     assert one(spark, given, lambda c: times.is_recent(c, F.lit("2024-01-31 12:00:00").cast("timestamp"), 30)) is expected
+
+
+def test_contains_either_way(spark):
+    rows = spark.createDataFrame([("Acme", "acme labs"), ("ACME Labs", "acme"), ("a", "b")], "a string, b string")
+    assert [r[0] for r in rows.select(text.contains_either_way(F.col("a"), F.col("b"))).collect()] == [True, True, False]
