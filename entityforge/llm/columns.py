@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
+import sys
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -10,6 +14,18 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 Columns = dict[str, list]
+#: Rows of a batch that are Python values at one time.
+SLICE = 2000
+
+
+def release(keep_tokenizer: bool = False) -> None:
+    """Gives memory of earlier tasks back: workers are reused, and an executor's share is fixed."""
+    module = sys.modules.get("entityforge.llm.tokens")
+    if module is not None and not keep_tokenizer:
+        module.tokenizer.cache_clear()
+    gc.collect()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
 def names(schema: str) -> list[str]:
@@ -17,16 +33,27 @@ def names(schema: str) -> list[str]:
     return [c.split()[0] for c in schema.split(",")]
 
 
-def map_columns(df: DataFrame, run: Callable[[Iterator[Columns]], Iterator[Columns]], schema: str, arrays: bool = False) -> DataFrame:
-    """`run` over the batches of each partition; it takes and yields name → list of values.
+def map_columns(
+    df: DataFrame, run: Callable[[Iterator[Columns]], Iterator[Columns]], schema: str, arrays: bool = False, keep_tokenizer: bool = False
+) -> DataFrame:
+    """`run` over the rows of each partition, some at a time; it takes and yields name → list of values.
 
-    With `arrays` it takes NumPy arrays, for columns of numbers without nulls.
+    With `arrays` it takes whole batches as NumPy arrays, for columns of numbers without nulls.
     """
     target = to_arrow_schema(StructType.fromDDL(schema))
 
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[Columns]:
+        for batch in batches:
+            if arrays:
+                yield {n: c.to_numpy(zero_copy_only=False) for n, c in zip(batch.schema.names, batch.columns)}
+                continue
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
+                yield {n: c.to_pylist() for n, c in zip(part.schema.names, part.columns)}
+
     def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        read = ({n: c.to_numpy(zero_copy_only=False) if arrays else c.to_pylist() for n, c in zip(b.schema.names, b.columns)} for b in batches)
-        for out in run(read):
+        release(keep_tokenizer)
+        for out in run(read(batches)):
             yield pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in target], schema=target)
 
     return df.mapInArrow(wrapped, schema)

@@ -200,7 +200,7 @@ def tokenize_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id:
             yield as_columns(rows, names(schema))
 
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return map_columns(slim, run, schema)
+    return map_columns(slim, run, schema, keep_tokenizer=True)
 
 
 def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0) -> DataFrame:
@@ -216,6 +216,7 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int
     counts = {int(r["length"]): int(r["n"]) for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     at = spark.sparkContext.broadcast(places(plan(counts, capacity), counts))
     ranked = with_prefix(ordered_table(scratch, pieces, ["length", "doc_id", "piece"], "ranked"), {"rank": F.lit(1)})
+    scratch.keep_only("ranked")
 
     def placed(batches: Iterator[Columns]) -> Iterator[Columns]:
         table = at.value

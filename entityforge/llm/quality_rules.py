@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructField, StructType
 
-from entityforge.llm.columns import Columns, map_columns
+from entityforge.llm.columns import SLICE, Columns, map_columns, release
 from entityforge.llm.hashed import Linear, feature_vector, fit_calibrated, hashes_of
 from entityforge.llm.textstats import WordNumbers, stats_of, words_of
 
@@ -89,12 +89,14 @@ def with_struct(docs: DataFrame, text_col: str, judge, ddl: str, name: str) -> D
     target = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        say = judge()
-        for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
-            rows = [dict(zip(kind.names, r)) for r in say(texts)]
-            added = pa.array(rows, type=target.field(len(target) - 1).type)
-            yield pa.RecordBatch.from_arrays([*batch.columns, added], schema=pa.schema([*batch.schema, target.field(len(target) - 1)]))
+        release()
+        say, added = judge(), target.field(len(target) - 1)
+        for whole in batches:
+            for at in range(0, whole.num_rows, SLICE):
+                batch = whole.slice(at, SLICE)
+                texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
+                found = pa.array([dict(zip(kind.names, r)) for r in say(texts)], type=added.type)
+                yield pa.RecordBatch.from_arrays([*batch.columns, found], schema=pa.schema([*batch.schema, added]))
 
     return docs.mapInArrow(run, schema)
 

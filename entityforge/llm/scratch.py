@@ -29,29 +29,33 @@ class Scratch:
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+        self.written: list[str] = []
 
     def path(self, name: str) -> str:
         """Where the table or folder `name` of this call is."""
         return f"{self.root}/{name}"
 
-    def write(self, df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+    def write(self, df: DataFrame, name: str) -> DataFrame:
         """Writes `df` as Parquet and returns the reread table."""
-        writer = df.write.option("compression", "zstd")
-        if partition_by:
-            writer = writer.partitionBy(partition_by)
-        writer.parquet(self.path(name))
+        df.write.option("compression", "zstd").parquet(self.path(name))
+        self.written.append(name)
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
+    def keep_only(self, *names: str) -> None:
+        """Deletes all other tables; no returned DataFrame may read them."""
+        self.drop(*(n for n in self.written if n not in names))
+
     def drop(self, *names: str) -> None:
         """Deletes tables through the file system that holds them."""
         jvm = self.spark._jvm
         for name in names:
             path = jvm.org.apache.hadoop.fs.Path(self.path(name))
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            self.written = [n for n in self.written if n != name]
 
 
-#: Rows of a few numbers each up to which a table is broadcast, some 20 MB.
-SMALL_ROWS = 300_000
+#: Rows of a few numbers each up to which a table is broadcast, some 8 MB.
+SMALL_ROWS = 100_000
 
 
 def small_or_shuffled(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:

@@ -27,7 +27,7 @@ def _crc(word: str) -> int:
 class WordNumbers(dict):
     """Word → number, in order of first use, with a hash of each word; both start anew when full."""
 
-    LIMIT = 1 << 20
+    LIMIT = 1 << 18
 
     def __init__(self, hash_of=_crc, dtype=np.uint32) -> None:
         super().__init__()
