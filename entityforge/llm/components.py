@@ -2,11 +2,37 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from entityforge.llm.columns import Columns, map_columns
 from entityforge.llm.scratch import Scratch, small_or_shuffled
 
+#: Counted edges up to which one task finds the components, with a few tens of MB; beyond, the cluster contracts.
+ONE_TASK_EDGES = 200_000
+
+
+def _in_one_task(edges: DataFrame) -> DataFrame:
+    def run(batches: Iterator[Columns]) -> Iterator[Columns]:
+        parent: dict[int, int] = {}
+
+        def top(x: int) -> int:
+            while (p := parent.setdefault(x, x)) != x:
+                parent[x] = parent[p]
+                x = parent[x]
+            return x
+
+        for batch in batches:
+            for u, v in zip(batch["u"], batch["v"]):
+                a, b = top(u), top(v)
+                parent[max(a, b)] = min(a, b)
+        nodes = list(parent)
+        yield {"node": nodes, "root": [top(x) for x in nodes]}
+
+    return map_columns(edges.select("u", "v").repartition(1), run, "node long, root long")
+
 
 def connected_components(scratch: Scratch, edges: DataFrame, name: str) -> DataFrame:
     """(node, root) for every node of `edges` (u, v: longs); nodes of a component share a root.
@@ -15,6 +41,9 @@ def connected_components(scratch: Scratch, edges: DataFrame, name: str) -> DataF
     the graph is contracted along them. Ids should be spread like hashes, so that pointer chains are
     short and a few rounds do. Each round is a written table, and self loops and repeats are dropped.
     """
+    edges = scratch.write(edges.select("u", "v").filter("u != v"), f"{name}_given")
+    if edges.count() <= ONE_TASK_EDGES:
+        return scratch.write(_in_one_task(edges), f"{name}_roots")
     both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).filter("u != v").distinct()
     left = scratch.write(both, f"{name}_edges0")
     roots = left.select(F.col("u").alias("node"), F.col("u").alias("root")).distinct()

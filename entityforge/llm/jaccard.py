@@ -24,15 +24,22 @@ from pyspark.sql import functions as F
 from entityforge.llm.columns import Columns, as_columns, map_columns, names
 from entityforge.llm.components import connected_components
 from entityforge.llm.scratch import Scratch, partitions_for, small_or_shuffled
-from entityforge.llm.textstats import WordNumbers
+from entityforge.llm.wordhash import WordHasher, mix
 
 WORDS = 5
 #: Tokens counted at once, and the count from which a token is ordered by frequency.
-COUNTED_TOKENS, FREQUENT = 4_000_000, 16
+COUNTED_TOKENS, FREQUENT = 2_000_000, 3
 #: Tokens ordered by frequency at most, 16 MB; beyond, the order is a little worse and results the same.
 ORDERED_TOKENS = 1 << 20
+#: Low bits of a token that tell, without a search, that it is not among those.
+SIEVE = (1 << 21) - 1
 #: Classes of one index list up to which one task pairs them.
 LIST_CLASSES = 2048
+#: Turns that spare the last one pairs, by what they connect: with how many others of a list each class
+#: is compared; 0: with the one that has fewest rare tokens.
+WIDTHS = (0, 16, 64)
+#: Pairs that a task remembers to have sent, 8 MB; the cluster drops those that are sent again.
+SENT_PAIRS = 1_000_000
 #: Stands for a null id.
 NO_ID = -(1 << 63)
 
@@ -48,26 +55,20 @@ class Shingles:
     """Sorted distinct 64-bit hashes of the word n-grams of whole texts."""
 
     def __init__(self, words: int = WORDS):
-        self.words, self.numbers = words, WordNumbers(xxhash.xxh64_intdigest, np.uint64)
-
-    def of(self, text: str | None) -> np.ndarray:
-        """The set of a text: A-Z in lower case; with fewer words, the whole sequence is one n-gram."""
-        raw = (text or "").encode("utf-8", "surrogatepass").lower()
-        for c in (b"\t", b"\n", b"\x0b", b"\x0c", b"\r"):
-            if c in raw:
-                raw = raw.replace(c, b" ")
-        found = [w for w in raw.split(b" ") if w]
-        if not found:
-            return np.zeros(0, dtype=np.int64)
-        h = self.numbers.hashes(self.numbers.of(found))
-        n = min(self.words, len(h))
-        code = h[: len(h) - n + 1] + np.uint64(n)
-        for i in range(1, n):
-            code = code * _P + h[i : len(h) - n + 1 + i]
-        code ^= code >> np.uint64(29)
-        code *= np.uint64(0xBF58476D1CE4E5B9)
-        code ^= code >> np.uint64(32)
-        return np.unique(code.view(np.int64))
+        self.words, self.hasher = words, WordHasher()
+
+    def all(self, texts: list[str | None]) -> Iterator[np.ndarray]:
+        """The set of each text: A-Z in lower case; with fewer words, the whole sequence is one n-gram."""
+        for h in self.hasher.all(texts):
+            if not len(h):
+                yield np.zeros(0, dtype=np.int64)
+                continue
+            n = min(self.words, len(h))
+            code = h[: len(h) - n + 1] + np.uint64(n)
+            for i in range(1, n):
+                code = code * _P + h[i : len(h) - n + 1 + i]
+            code = np.sort(mix(code).view(np.int64))
+            yield code[np.append(True, code[1:] != code[:-1])]
 
 
 def print_of(tokens: np.ndarray) -> int:
@@ -93,8 +94,7 @@ def scan(docs: DataFrame) -> DataFrame:
 
         for batch in batches:
             rows = []
-            for doc, text in zip(batch["doc"], batch["text"]):
-                tokens = shingles.of(text)
+            for doc, tokens in zip(batch["doc"], shingles.all(batch["text"])):
                 if not len(tokens):
                     rows.append((0, doc, 0, 0, 0))
                     continue
@@ -120,8 +120,7 @@ def _fetch(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         shingles = Shingles()
         for batch in batches:
             rows = []
-            for wanted_set, text in zip(batch["_set"], batch["text"]):
-                tokens = shingles.of(text)
+            for wanted_set, tokens in zip(batch["_set"], shingles.all(batch["text"])):
                 if len(tokens) and print_of(tokens) == wanted_set:
                     rows.append((wanted_set, len(tokens), tokens.tobytes()))
             yield as_columns(rows, names("set long, n int, tokens binary"))
@@ -146,27 +145,31 @@ def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     of_y = sets.select(F.col("set").alias("y"), F.col("tokens").alias("ty"))
     of_x = sets.select(F.col("set").alias("x"), F.col("tokens").alias("tx"))
     met = pairs.select("x", "y").join(of_y, "y").join(of_x, "x")
-    return map_columns(met, run, "x long, y long, nx int, ny int, overlap int")
+    # rows that repeat id and text have their set fetched again
+    return map_columns(met, run, "x long, y long, nx int, ny int, overlap int").distinct()
 
 
-POSTING = "token long, class long, n_min int, n_max int, left int"
+POSTING = "token long, class long, n_min int, rare int, n_max int, left int"
+LIVE = POSTING + ", least long"
 
 
 def _postings(docs: DataFrame, classes: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     """Prefix tokens of all sets, one entry per token, class and batch.
 
     `left`: how much of a member's set lies at or behind the token, at most. Tokens that are not
-    frequent come first, by hash; then frequent ones by count.
+    frequent come first, by hash; then frequent ones by count. `rare`: how many of the former a member
+    has, at least; the fewer, the more of a set can be found elsewhere.
     """
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[Columns]) -> Iterator[Columns]:
         shingles, (often, count) = Shingles(), shared.value
+        sieve = np.zeros(SIEVE + 1, dtype=bool)
+        sieve[often & SIEVE] = True
         for batch in batches:
-            parts, sizes, owner = [], [], []
+            parts, sizes, owner, few = [], [], [], []
             seen: set[int] = set()
-            for text, known in zip(batch["text"], batch["class"]):
-                tokens = shingles.of(text)
+            for tokens, known in zip(shingles.all(batch["text"]), batch["class"]):
                 n = len(tokens)
                 if not n:
                     continue
@@ -174,25 +177,28 @@ def _postings(docs: DataFrame, classes: DataFrame, frequent: tuple[np.ndarray, n
                 if mark in seen:
                     continue
                 seen.add(mark)
-                if len(often):
-                    at = np.minimum(np.searchsorted(often, tokens), len(often) - 1)
-                    weight = np.where(often[at] == tokens, count[at], 0)
-                    if weight.any():
-                        tokens = tokens[np.lexsort((tokens, weight))]
+                maybe, rare = np.flatnonzero(sieve[tokens & SIEVE]), n
+                if len(maybe):
+                    at = np.minimum(np.searchsorted(often, tokens[maybe]), len(often) - 1)
+                    weight = np.zeros(n, dtype=np.int64)
+                    weight[maybe] = np.where(often[at] == tokens[maybe], count[at], 0)
+                    tokens = tokens[np.lexsort((tokens, weight))]
+                    rare = int((weight == 0).sum())
                 parts.append(tokens[: n - (4 * n + 4) // 5 + 1])
                 sizes.append(n)
+                few.append(rare)
                 owner.append(mark if known is None else known)
             if not parts:
                 continue
             lengths = np.array([len(p) for p in parts])
-            token, n = np.concatenate(parts), np.repeat(sizes, lengths)
+            token, n, rare = np.concatenate(parts), np.repeat(sizes, lengths), np.repeat(few, lengths)
             place = np.arange(len(token)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
             cls, left = np.repeat(np.array(owner, dtype=np.int64), lengths), n - place
             order = np.lexsort((token, cls))
-            token, cls, n, left = token[order], cls[order], n[order], left[order]
+            token, cls, n, left, rare = token[order], cls[order], n[order], left[order], rare[order]
             first = np.flatnonzero(np.append(True, (token[1:] != token[:-1]) | (cls[1:] != cls[:-1])))
             yield {
-                "token": token[first], "class": cls[first], "n_min": np.minimum.reduceat(n, first).astype(np.int32),
+                "token": token[first], "class": cls[first], "n_min": np.minimum.reduceat(n, first).astype(np.int32), "rare": np.minimum.reduceat(rare, first).astype(np.int32),
                 "n_max": np.maximum.reduceat(n, first).astype(np.int32), "left": np.maximum.reduceat(left, first).astype(np.int32),
             }
 
@@ -201,46 +207,129 @@ def _postings(docs: DataFrame, classes: DataFrame, frequent: tuple[np.ndarray, n
 
 
 def _may_link(a: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Which pairs of blocks hold sizes and positions that allow a link."""
+    """Which pairs of blocks are not connected yet and hold sizes and positions that allow a link.
+
+    Nine times the smaller of an int32 count stays below 2^31 for sets of up to 2 * 10^8 tokens.
+    """
     near = (a["n_max"][i] * 5 >= a["n_min"][j] * 4) & (a["n_max"][j] * 5 >= a["n_min"][i] * 4)
     most = np.minimum(a["left"][i], a["left"][j])
-    return near & (most * 9 >= (a["n_min"][i] + a["n_min"][j]) * 4) & (a["class"][i] != a["class"][j])
-
-
-def _class_pairs(postings: DataFrame) -> DataFrame:
-    """Pairs of classes that share a prefix token and whose blocks allow a link, x < y."""
-
-    def pairs(a: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        # entries are sorted by token; entry i meets the one d places on, as long as any two share a token
-        a = {k: v.astype(np.int64) for k, v in a.items()}
-        found, d, i = [], 1, np.arange(len(a["token"]) - 1)
-        while len(i):
-            i = i[i + d < len(a["token"])]
-            i = i[a["token"][i] == a["token"][i + d]]
-            ok = i[_may_link(a, i, i + d)]
-            if len(ok):
-                one, two = a["class"][ok], a["class"][ok + d]
-                found.append(np.stack([np.minimum(one, two), np.maximum(one, two)]))
-                if d % 64 == 0:
-                    found = [np.unique(np.concatenate(found, axis=1), axis=1)]
-            d += 1
-        out = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((2, 0), np.int64)
-        return out[0], out[1]
+    return near & (most * 9 >= (a["n_min"][i] + a["n_min"][j]) * 4) & (a["root"][i] != a["root"][j])
 
-    def run(batches: Iterator[dict[str, np.ndarray]]) -> Iterator[Columns]:
-        held: dict[str, np.ndarray] = {}
-        for batch in batches:
-            a = {k: np.concatenate([held[k], v]) if held else v for k, v in batch.items()}
-            cut = int(np.searchsorted(a["token"], a["token"][-1])) if len(a["token"]) else 0
-            held = {k: v[cut:] for k, v in a.items()}
-            x, y = pairs({k: v[:cut] for k, v in a.items()})
-            yield {"x": x, "y": y}
-        if held:
-            x, y = pairs(held)
-            yield {"x": x, "y": y}
 
-    ordered = postings.repartition(partitions_for(postings.sparkSession), "token").sortWithinPartitions("token", "class")
-    return map_columns(ordered, run, "x long, y long", arrays=True).distinct()
+def _live_lists(postings: DataFrame) -> DataFrame:
+    """Entries of the index lists that hold more than one class, one per class, with the least class of the list."""
+
+    def run(batches: Iterator[dict[str, np.ndarray]]) -> Iterator[dict[str, np.ndarray]]:
+        for a in _whole_lists(batches):
+            same = a["token"][1:] == a["token"][:-1]
+            keep = np.append(False, same) | np.append(same, False)
+            order = np.flatnonzero(keep)
+            if not len(order):
+                continue
+            order = order[np.lexsort((a["class"][order], a["token"][order]))]
+            a = {k: v[order] for k, v in a.items()}
+            first = np.flatnonzero(np.append(True, (a["token"][1:] != a["token"][:-1]) | (a["class"][1:] != a["class"][:-1])))
+            a = {k: f.reduceat(a[k], first) for k, f in zip(names(POSTING), (np.minimum,) * 4 + (np.maximum,) * 2)}
+            same = a["token"][1:] == a["token"][:-1]
+            keep = np.append(False, same) | np.append(same, False)
+            a = {k: v[keep] for k, v in a.items()}
+            if len(a["token"]):
+                first = np.flatnonzero(np.append(True, a["token"][1:] != a["token"][:-1]))
+                yield a | {"least": np.repeat(a["class"][first], np.diff(np.append(first, len(a["token"]))))}
+
+    ordered = postings.repartition(partitions_for(postings.sparkSession), "token").sortWithinPartitions("token")
+    return map_columns(ordered, run, LIVE, arrays=True)
+
+
+def _whole_lists(batches: Iterator[dict[str, np.ndarray]]) -> Iterator[dict[str, np.ndarray]]:
+    """Batches in which a list's entries follow each other, cut so that no list spans two."""
+    held: dict[str, np.ndarray] = {}
+    for batch in batches:
+        a = {k: np.concatenate([held[k], v]) if held else v for k, v in batch.items()}
+        others = np.flatnonzero(a["token"] != a["token"][-1]) if len(a["token"]) else np.zeros(0, int)
+        cut = int(others[-1]) + 1 if len(others) else 0
+        held = {k: v[cut:] for k, v in a.items()}
+        if cut:
+            yield {k: v[:cut] for k, v in a.items()}
+    if held and len(held["token"]):
+        yield held
+
+
+def _ordered_pairs(a: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    one, two = a["class"][i], a["class"][j]
+    return np.unique(np.stack([np.minimum(one, two), np.maximum(one, two)]), axis=1)
+
+
+def _pairs(lists: DataFrame, width: int | None, turn: int) -> DataFrame:
+    """Pairs of classes of a list that are not connected and may link, x < y.
+
+    Width 0: the class with the fewest rare tokens, which has most in common with others, with each
+    other. A width: each class with the next `width` in an order that depends on the turn and the
+    class alone, so that lists with the same classes make the same pairs. None: all.
+
+    Lists with one `least` have much in common: they go to one task, which sends a pair once.
+    """
+    salt = np.uint64((2 * turn + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
+
+    def run(batches: Iterator[dict[str, np.ndarray]]) -> Iterator[Columns]:
+        sent = np.zeros(0, dtype=np.uint64)
+        for a in _whole_lists(batches):
+            spread = mix(a["class"].view(np.uint64) ^ salt)
+            order = np.lexsort((a["class"], a["rare"], a["token"]) if width == 0 else (spread, a["token"]))
+            a = {k: v[order] for k, v in a.items()}
+            found = []
+            if width == 0:
+                first = np.flatnonzero(np.append(True, a["token"][1:] != a["token"][:-1]))
+                centre = np.repeat(first, np.diff(np.append(first, len(a["token"]))))
+                i = np.flatnonzero(_may_link(a, centre, np.arange(len(centre))))
+                found.append(_ordered_pairs(a, centre[i], i))
+            # entry i meets the one d places on, as long as any two share a token
+            d, i = 1, np.arange(len(a["token"]) - 1)
+            while len(i) and width != 0 and (width is None or d <= width):
+                i = i[i + d < len(a["token"])]
+                i = i[a["token"][i] == a["token"][i + d]]
+                ok = i[_may_link(a, i, i + d)]
+                if len(ok):
+                    found.append(_ordered_pairs(a, ok, ok + d))
+                d += 1
+            x, y = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((2, 0), np.int64)
+            print_ = mix(x.view(np.uint64) * _P + y.view(np.uint64))
+            new = ~np.isin(print_, sent)
+            sent = np.concatenate([sent if len(sent) < SENT_PAIRS else sent[:0], print_[new]])
+            yield {"x": x[new], "y": y[new]}
+
+    columns = [*names(POSTING), "root"]
+    laid = lists.repartition(partitions_for(lists.sparkSession), "least").sortWithinPartitions("least", "token")
+    return map_columns(laid.select(columns), run, "x long, y long", arrays=True).distinct()
+
+
+class _Verifier:
+    """Overlaps of pairs of sets, with the sets fetched from the texts as pairs ask for them."""
+
+    def __init__(self, scratch: Scratch, base: DataFrame, doc_of: DataFrame, tokens: DataFrame):
+        self.scratch, self.base, self.doc_of, self.tokens, self.done, self.turn = scratch, base, doc_of, tokens, None, 0
+
+    def verify(self, pairs: DataFrame) -> None:
+        """Adds the pairs that were not compared before to `done` (x, y, nx, ny, overlap)."""
+        self.turn += 1
+        name = f"turn{self.turn}"
+        if self.done is not None:
+            pairs = pairs.join(self.done.select("x", "y"), ["x", "y"], "left_anti")
+        pairs = self.scratch.write(pairs, f"{name}_pairs")
+        ends = pairs.select(F.col("x").alias("_set")).unionByName(pairs.select(F.col("y").alias("_set"))).distinct()
+        missing = self.scratch.write(ends.join(self.tokens.select(F.col("set").alias("_set")), "_set", "left_anti"), f"{name}_missing")
+        if missing.limit(1).count():
+            wanted = self.scratch.write(self.doc_of.join(small_or_shuffled(missing), "_set", "left_semi").select("_doc", "_set"), f"{name}_wanted")
+            found = self.scratch.write(_fetch(self.base, wanted), f"{name}_tokens")
+            self.tokens = self.tokens.unionByName(found)
+        asked = small_or_shuffled(self.scratch.write(ends, f"{name}_ends"))
+        needed = self.tokens.join(asked, F.col("set") == F.col("_set"), "left_semi")
+        made = self.scratch.write(_overlaps(pairs, needed), f"{name}_overlaps")
+        self.done = made if self.done is None else self.done.unionByName(made)
+
+    def links(self) -> DataFrame:
+        """(u, v) of all compared pairs that link."""
+        return self.done.filter(links(F.col("nx"), F.col("ny"), F.col("overlap"))).select(F.col("x").alias("u"), F.col("y").alias("v"))
 
 
 def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -271,7 +360,7 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     wanted = inside.select(F.col("doc").alias("_doc"), F.col("set").alias("_set")).unionByName(
         inside.select(F.col("leader_doc").alias("_doc"), F.col("leader").alias("_set"))
     )
-    tokens = scratch.write(_fetch(base, scratch.write(wanted.distinct(), "wanted")).dropDuplicates(["set"]), "tokens")
+    tokens = scratch.write(_fetch(base, scratch.write(wanted.distinct(), "wanted")), "tokens")
     compared = _overlaps(inside.filter("set != leader").select(F.col("leader").alias("x"), F.col("set").alias("y")), tokens)
     member = compared.filter(links(F.col("nx"), F.col("ny"), F.col("overlap"))).select(
         F.col("y").alias("set"), F.col("x").alias("class"), F.col("ny").alias("n"), "overlap"
@@ -282,25 +371,34 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     of_set = small_or_shuffled(members.select(F.col("set").alias("_member"), "class"))
     owned = rows.join(of_set, F.col("set") == F.col("_member")).select(F.col("doc").alias("_doc"), "class").distinct()
     owned = scratch.write(owned, "owned")
-    postings = scratch.write(_postings(base, owned, frequent), "postings")
-    long_lists = postings.groupBy("token").agg(F.count("*").alias("k")).filter(F.col("k") > LIST_CLASSES).select(F.col("token").alias("_token"))
-    long_lists = scratch.write(long_lists, "long_lists")
-    on_long = F.col("token") == F.col("_token")
-    pairs = _class_pairs(postings.join(small_or_shuffled(long_lists), on_long, "left_anti"))
-    far = postings.join(small_or_shuffled(long_lists), on_long, "left_semi").groupBy("token", "class").agg(
-        F.min("n_min").alias("n_min"), F.max("n_max").alias("n_max"), F.max("left").alias("left")
-    )
-    pairs = scratch.write(pairs.unionByName(_long_list_pairs(scratch, far)).distinct(), "pairs")
-    scratch.drop("postings")
+    live = scratch.write(_live_lists(_postings(base, owned, frequent)), "live")
 
-    # leaders against leaders
+    # leaders against leaders: first few of each list, and in the end all that is not connected yet
     doc_of = sets.select(F.col("set").alias("_set"), F.col("doc").alias("_doc"))
-    ends = pairs.select(F.col("x").alias("_set")).unionByName(pairs.select(F.col("y").alias("_set"))).distinct()
-    missing = scratch.write(ends.join(tokens.select(F.col("set").alias("_set")), "_set", "left_anti"), "missing")
-    found = _fetch(base, scratch.write(doc_of.join(small_or_shuffled(missing), "_set", "left_semi").select("_doc", "_set"), "missing_docs"))
-    tokens = tokens.unionByName(scratch.write(found.dropDuplicates(["set"]), "more_tokens"))
-    leaders = scratch.write(_overlaps(pairs, tokens), "leaders")
-    linked = leaders.filter(links(F.col("nx"), F.col("ny"), F.col("overlap"))).select(F.col("x").alias("u"), F.col("y").alias("v"))
+    verifier, roots, known = _Verifier(scratch, base, doc_of, tokens), None, 0
+
+    def lists() -> DataFrame:
+        if roots is None:
+            return live.withColumn("root", F.col("class"))
+        of = small_or_shuffled(roots).select(F.col("node").alias("_node"), F.col("root").alias("_root"))
+        return live.join(of, F.col("class") == F.col("_node"), "left").withColumn("root", F.coalesce("_root", "class")).drop("_node", "_root")
+
+    for turn, width in enumerate(WIDTHS):
+        verifier.verify(_pairs(lists(), width, turn))
+        count = verifier.links().count()
+        if (count - known) * 50 <= count:  # few links are left to find; the pairs of all lists find them
+            break
+        known = count
+        roots = connected_components(scratch, verifier.links(), f"turn{turn}")
+    apart = lists().groupBy("token").agg(F.min("root").alias("_a"), F.max("root").alias("_b"), F.count("*").alias("_k"), F.mode("root", True).alias("_most"))
+    apart = scratch.write(apart.filter("_a < _b").select(F.col("token").alias("_token"), "_k", "_most"), "apart")
+    # lists with one largest component go to one task
+    open_lists = lists().join(small_or_shuffled(apart), F.col("token") == F.col("_token")).withColumn("least", F.col("_most"))
+    pairs = _pairs(open_lists.filter(F.col("_k") <= LIST_CLASSES), None, len(WIDTHS))
+    if apart.filter(F.col("_k") > LIST_CLASSES).limit(1).count():
+        pairs = pairs.unionByName(_long_list_pairs(open_lists.filter(F.col("_k") > LIST_CLASSES).select(*names(POSTING), "root"))).distinct()
+    verifier.verify(pairs)
+    leaders, tokens, linked = verifier.done, verifier.tokens, verifier.links()
     roots = connected_components(scratch, linked, "first")
     more = _member_links(scratch, leaders, members, roots, tokens)
     if more is not None:
@@ -313,6 +411,7 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rooted = scratch.write(rooted, "rooted")
     shared = rooted.filter("n > 0").groupBy("root").agg(F.min("doc").alias("least_doc"), F.count("*").alias("k")).filter("k > 1")
     shared = small_or_shuffled(scratch.write(shared.select(F.col("root").alias("_root"), "least_doc"), "shared"))
+    scratch.keep_only("rooted", "shared")
     out = rooted.join(shared, (F.col("root") == F.col("_root")) & (F.col("n") > 0), "left")
     real = lambda c: F.when(c != NO_ID, c)
     return out.select(
@@ -320,13 +419,14 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     )
 
 
-def _long_list_pairs(scratch: Scratch, entries: DataFrame) -> DataFrame:
+def _long_list_pairs(entries: DataFrame) -> DataFrame:
     """Pairs from lists that no single task should hold: a join on the token, split by the cluster."""
     a = entries.select(*[F.col(c).alias(f"a_{c}") for c in entries.columns])
     b = entries.select(*[F.col(c).alias(f"b_{c}") for c in entries.columns])
     near = (F.col("a_n_max") * 5 >= F.col("b_n_min") * 4) & (F.col("b_n_max") * 5 >= F.col("a_n_min") * 4)
     most = F.least("a_left", "b_left") * 9 >= (F.col("a_n_min") + F.col("b_n_min")) * 4
-    met = a.join(b, (F.col("a_token") == F.col("b_token")) & (F.col("a_class") < F.col("b_class")) & near & most)
+    two = (F.col("a_class") < F.col("b_class")) & (F.col("a_root") != F.col("b_root"))
+    met = a.join(b, (F.col("a_token") == F.col("b_token")) & two & near & most)
     return met.select(F.col("a_class").alias("x"), F.col("b_class").alias("y")).distinct()
 
 
