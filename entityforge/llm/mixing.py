@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from entityforge.llm.ranking import ordered_table, with_prefix
-from entityforge.llm.scratch import Scratch, small_or_shuffled
+from entityforge.llm.scratch import Scratch
 
 #: Rows of one pivotal fold; the depth of the reduction tree is its logarithm of the row count.
 FANOUT = 128
@@ -202,7 +202,7 @@ def repeat_rows(docs: DataFrame, mixed: DataFrame) -> DataFrame:
         F.col("source").cast("string").alias("_l_source"),
         F.xxhash64(F.col("text").cast("string")).alias("_l_print"),
     )
-    on = small_or_shuffled(counts)
+    on = counts
     same = left["_l_id"].eqNullSafe(on["_id"]) & left["_l_source"].eqNullSafe(on["_source"]) & (left["_l_print"] == on["_print"])
     joined = left.join(on, same)
     if counts.filter(F.size("_copies") > 1).limit(1).count():
