@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from entityforge.llm.columns import Columns, as_columns, map_columns, names
@@ -76,11 +76,11 @@ def print_of(tokens: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(tokens.tobytes()) - (1 << 63)
 
 
-SCAN = "kind int, doc long, n int, print long, least long"
+SCAN = "kind int, doc long, key long, n int, print long, least long"
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """Kind 0: one row per document with its set's size, fingerprint and least token. Kind 1: tokens
+    """Kind 0: one row per document with its key and its set's size, fingerprint and least token. Kind 1: tokens
     that a part of a task's distinct sets holds more than once, as `print`, with the count as `n`."""
 
     def run(batches: Iterator[Columns]) -> Iterator[Columns]:
@@ -90,16 +90,16 @@ def scan(docs: DataFrame) -> DataFrame:
             token, n = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.int64),) * 2
             token, n = token[n > 1], n[n > 1]
             nothing = np.zeros(len(token), dtype=np.int64)
-            return {"kind": np.ones(len(token), np.int32), "doc": nothing, "n": n.astype(np.int32), "print": token, "least": nothing}
+            return {"kind": np.ones(len(token), np.int32), "doc": nothing, "key": nothing, "n": n.astype(np.int32), "print": token, "least": nothing}
 
         for batch in batches:
             rows = []
-            for doc, tokens in zip(batch["doc"], shingles.all(batch["text"])):
+            for doc, key, tokens in zip(batch["doc"], batch["key"], shingles.all(batch["text"])):
                 if not len(tokens):
-                    rows.append((0, doc, 0, 0, 0))
+                    rows.append((0, doc, key, 0, 0, 0))
                     continue
                 mark = print_of(tokens)
-                rows.append((0, doc, len(tokens), mark, int(tokens[0])))
+                rows.append((0, doc, key, len(tokens), mark, int(tokens[0])))
                 if mark not in seen:
                     seen.add(mark)
                     held.append(tokens)
@@ -113,8 +113,9 @@ def scan(docs: DataFrame) -> DataFrame:
     return map_columns(docs, run, SCAN)
 
 
-def _fetch(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(set, n, tokens) of the wanted (_doc, _set), from the texts."""
+def _fetch(scratch: Scratch, docs: DataFrame, wanted: DataFrame, name: str) -> DataFrame:
+    """(set, n, tokens) of the wanted (_key, _set), one key per set, from the texts; one row per set."""
+    wanted = scratch.write(wanted, f"{name}_wanted")
 
     def run(batches: Iterator[Columns]) -> Iterator[Columns]:
         shingles = Shingles()
@@ -125,8 +126,11 @@ def _fetch(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                     rows.append((wanted_set, len(tokens), tokens.tobytes()))
             yield as_columns(rows, names("set long, n int, tokens binary"))
 
-    asked = docs.join(small_or_shuffled(wanted), F.col("doc") == F.col("_doc")).select("_set", "text")
-    return map_columns(asked, run, "set long, n int, tokens binary")
+    asked = docs.join(small_or_shuffled(wanted), F.col("key") == F.col("_key")).select("_set", "text")
+    found = scratch.write(map_columns(asked, run, "set long, n int, tokens binary"), f"{name}_tokens")
+    if found.count() > wanted.count():  # rows that repeat id and text
+        found = scratch.write(found.dropDuplicates(["set"]), f"{name}_once")
+    return found
 
 
 def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -145,7 +149,6 @@ def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     of_y = sets.select(F.col("set").alias("y"), F.col("tokens").alias("ty"))
     of_x = sets.select(F.col("set").alias("x"), F.col("tokens").alias("tx"))
     met = pairs.select("x", "y").join(of_y, "y").join(of_x, "x")
-    # rows that repeat id and text have their set fetched again
     return map_columns(met, run, "x long, y long, nx int, ny int, overlap int").distinct()
 
 
@@ -154,7 +157,8 @@ LIVE = POSTING + ", least long"
 
 
 def _postings(docs: DataFrame, classes: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """Prefix tokens of all sets, one entry per token, class and batch.
+    """Prefix tokens of all sets, one entry per token, class and batch; a set that `classes`
+    (_key, _member, class) do not name is its own class.
 
     `left`: how much of a member's set lies at or behind the token, at most. Tokens that are not
     frequent come first, by hash; then frequent ones by count. `rare`: how many of the former a member
@@ -168,15 +172,16 @@ def _postings(docs: DataFrame, classes: DataFrame, frequent: tuple[np.ndarray, n
         sieve[often & SIEVE] = True
         for batch in batches:
             parts, sizes, owner, few = [], [], [], []
-            seen: set[int] = set()
-            for tokens, known in zip(shingles.all(batch["text"]), batch["class"]):
+            seen: set[tuple[int, int]] = set()
+            for tokens, member, known in zip(shingles.all(batch["text"]), batch["_member"], batch["class"]):
                 n = len(tokens)
                 if not n:
                     continue
                 mark = print_of(tokens)
-                if mark in seen:
+                cls = known if member == mark else mark
+                if (mark, cls) in seen:
                     continue
-                seen.add(mark)
+                seen.add((mark, cls))
                 maybe, rare = np.flatnonzero(sieve[tokens & SIEVE]), n
                 if len(maybe):
                     at = np.minimum(np.searchsorted(often, tokens[maybe]), len(often) - 1)
@@ -187,7 +192,7 @@ def _postings(docs: DataFrame, classes: DataFrame, frequent: tuple[np.ndarray, n
                 parts.append(tokens[: n - (4 * n + 4) // 5 + 1])
                 sizes.append(n)
                 few.append(rare)
-                owner.append(mark if known is None else known)
+                owner.append(cls)
             if not parts:
                 continue
             lengths = np.array([len(p) for p in parts])
@@ -202,7 +207,7 @@ def _postings(docs: DataFrame, classes: DataFrame, frequent: tuple[np.ndarray, n
                 "n_max": np.maximum.reduceat(n, first).astype(np.int32), "left": np.maximum.reduceat(left, first).astype(np.int32),
             }
 
-    placed = docs.join(small_or_shuffled(classes), F.col("doc") == F.col("_doc"), "left").select("text", "class")
+    placed = docs.join(small_or_shuffled(classes), F.col("key") == F.col("_key"), "left").select("text", "_member", "class")
     return map_columns(placed, run, POSTING)
 
 
@@ -306,8 +311,8 @@ def _pairs(lists: DataFrame, width: int | None, turn: int) -> DataFrame:
 class _Verifier:
     """Overlaps of pairs of sets, with the sets fetched from the texts as pairs ask for them."""
 
-    def __init__(self, scratch: Scratch, base: DataFrame, doc_of: DataFrame, tokens: DataFrame):
-        self.scratch, self.base, self.doc_of, self.tokens, self.done, self.turn = scratch, base, doc_of, tokens, None, 0
+    def __init__(self, scratch: Scratch, base: DataFrame, key_of: DataFrame, tokens: DataFrame):
+        self.scratch, self.base, self.key_of, self.tokens, self.done, self.turn = scratch, base, key_of, tokens, None, 0
 
     def verify(self, pairs: DataFrame) -> None:
         """Adds the pairs that were not compared before to `done` (x, y, nx, ny, overlap)."""
@@ -319,9 +324,8 @@ class _Verifier:
         ends = pairs.select(F.col("x").alias("_set")).unionByName(pairs.select(F.col("y").alias("_set"))).distinct()
         missing = self.scratch.write(ends.join(self.tokens.select(F.col("set").alias("_set")), "_set", "left_anti"), f"{name}_missing")
         if missing.limit(1).count():
-            wanted = self.scratch.write(self.doc_of.join(small_or_shuffled(missing), "_set", "left_semi").select("_doc", "_set"), f"{name}_wanted")
-            found = self.scratch.write(_fetch(self.base, wanted), f"{name}_tokens")
-            self.tokens = self.tokens.unionByName(found)
+            wanted = self.key_of.join(small_or_shuffled(missing), "_set", "left_semi").select("_key", "_set")
+            self.tokens = self.tokens.unionByName(_fetch(self.scratch, self.base, wanted, name))
         asked = small_or_shuffled(self.scratch.write(ends, f"{name}_ends"))
         needed = self.tokens.join(asked, F.col("set") == F.col("_set"), "left_semi")
         made = self.scratch.write(_overlaps(pairs, needed), f"{name}_overlaps")
@@ -332,6 +336,16 @@ class _Verifier:
         return self.done.filter(links(F.col("nx"), F.col("ny"), F.col("overlap"))).select(F.col("x").alias("u"), F.col("y").alias("v"))
 
 
+def doc_of(id_col: str) -> Column:
+    """The id, `NO_ID` for null."""
+    return F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))
+
+
+def row_key(id_col: str, text_col: str) -> Column:
+    """A hash of id and text, by which rows meet what is known of them: ids may be null or repeat."""
+    return F.xxhash64(doc_of(id_col), F.col(text_col).cast("string"))
+
+
 def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row.
 
@@ -342,9 +356,9 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "jaccard")
-    base = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc"), F.col(text_col).cast("string").alias("text"))
+    base = docs.select(doc_of(id_col).alias("doc"), row_key(id_col, text_col).alias("key"), F.col(text_col).cast("string").alias("text"))
     scanned = scratch.write(scan(base), "scan")
-    rows = scanned.filter("kind = 0").select("doc", "n", F.col("print").alias("set"), "least")
+    rows = scanned.filter("kind = 0").select("doc", "key", "n", F.col("print").alias("set"), "least")
     top = scanned.filter("kind = 1").groupBy("print").agg(F.sum("n").alias("n")).filter(F.col("n") >= FREQUENT)
     top = top.orderBy(F.col("n").desc(), "print").limit(ORDERED_TOKENS).toArrow()
     token, count = top["print"].to_numpy(), top["n"].to_numpy()
@@ -352,15 +366,15 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     frequent = (token[order].astype(np.int64), count[order].astype(np.int64))
 
     # distinct sets, and leaders of sets that share their least token
-    sets = scratch.write(rows.filter("n > 0").groupBy("set", "n", "least").agg(F.min("doc").alias("doc")), "sets")
-    buckets = sets.groupBy("least").agg(F.min(F.struct("set", "doc")).alias("lead"), F.count("*").alias("k")).filter("k > 1")
-    buckets = scratch.write(buckets.select(F.col("least").alias("_least"), F.col("lead.set").alias("leader"), F.col("lead.doc").alias("leader_doc")), "buckets")
+    sets = scratch.write(rows.filter("n > 0").groupBy("set", "n", "least").agg(F.min("key").alias("key")), "sets")
+    buckets = sets.groupBy("least").agg(F.min(F.struct("set", "key")).alias("lead"), F.count("*").alias("k")).filter("k > 1")
+    buckets = scratch.write(buckets.select(F.col("least").alias("_least"), F.col("lead.set").alias("leader"), F.col("lead.key").alias("leader_key")), "buckets")
     inside = sets.join(small_or_shuffled(buckets), F.col("least") == F.col("_least"))
-    inside = scratch.write(inside.select("set", "doc", "leader", "leader_doc"), "inside")
-    wanted = inside.select(F.col("doc").alias("_doc"), F.col("set").alias("_set")).unionByName(
-        inside.select(F.col("leader_doc").alias("_doc"), F.col("leader").alias("_set"))
+    inside = scratch.write(inside.select("set", "key", "leader", "leader_key"), "inside")
+    wanted = inside.select(F.col("key").alias("_key"), F.col("set").alias("_set")).unionByName(
+        inside.select(F.col("leader_key").alias("_key"), F.col("leader").alias("_set"))
     )
-    tokens = scratch.write(_fetch(base, scratch.write(wanted.distinct(), "wanted")), "tokens")
+    tokens = _fetch(scratch, base, wanted.distinct(), "inside")
     compared = _overlaps(inside.filter("set != leader").select(F.col("leader").alias("x"), F.col("set").alias("y")), tokens)
     member = compared.filter(links(F.col("nx"), F.col("ny"), F.col("overlap"))).select(
         F.col("y").alias("set"), F.col("x").alias("class"), F.col("ny").alias("n"), "overlap"
@@ -369,13 +383,13 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     # index lists of all classes
     of_set = small_or_shuffled(members.select(F.col("set").alias("_member"), "class"))
-    owned = rows.join(of_set, F.col("set") == F.col("_member")).select(F.col("doc").alias("_doc"), "class").distinct()
+    owned = rows.join(of_set, F.col("set") == F.col("_member")).select(F.col("key").alias("_key"), "_member", "class").distinct()
     owned = scratch.write(owned, "owned")
     live = scratch.write(_live_lists(_postings(base, owned, frequent)), "live")
 
     # leaders against leaders: first few of each list, and in the end all that is not connected yet
-    doc_of = sets.select(F.col("set").alias("_set"), F.col("doc").alias("_doc"))
-    verifier, roots, known = _Verifier(scratch, base, doc_of, tokens), None, 0
+    key_of = sets.select(F.col("set").alias("_set"), F.col("key").alias("_key"))
+    verifier, roots, known = _Verifier(scratch, base, key_of, tokens), None, 0
 
     def lists() -> DataFrame:
         if roots is None:

@@ -142,6 +142,46 @@ def test_jaccard_like_brute_force(spark, monkeypatch, seed, widths, list_classes
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == brute_components(docs)
 
 
+def components_of_rows(rows):
+    """(id, n_shingles, component_id) of each row, by brute force over rows; ids may repeat or be null, and null is the smallest."""
+    found, ids = brute_components([(i, text) for i, (_, text) in enumerate(rows)]), defaultdict(list)
+    for i, (doc, _) in enumerate(rows):
+        ids[found[i][1]].append(doc)
+    least = {c: None if None in v else min(v) for c, v in ids.items()}
+    return [(doc, found[i][0], least[found[i][1]]) for i, (doc, _) in enumerate(rows)]
+
+
+@pytest.mark.parametrize("shared", [7, None])
+def test_jaccard_of_texts_under_one_id(spark, shared):
+    """A~A' form a class by their least hash; B~B' have none in common, and B shares the id of A'."""
+    shingles = jaccard.Shingles()
+
+    def two(tag, same):
+        """A text and a near copy, with one least hash or two."""
+        for k in range(1000):
+            text = [f"{tag}{k}w{i}" for i in range(60)]
+            for at in range(60):
+                copy = [*text[:at], "changed", *text[at + 1 :]]
+                a, b = shingles.all([" ".join(text), " ".join(copy)])
+                if (a[0] == b[0]) == same and (not same or jaccard.print_of(a) < jaccard.print_of(b)):
+                    return " ".join(text), " ".join(copy)
+
+    (a, a_copy), (b, b_copy) = two("a", True), two("b", False)
+    rows = [(shared, a_copy), (shared, b), (1, a), (2, b_copy)]
+    got = jaccard.similar_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(1))
+    assert Counter(tuple(r) for r in got.collect()) == Counter(components_of_rows(rows))
+
+
+@pytest.mark.parametrize("ids", [lambda i: i % 5, lambda i: None if i % 3 else i])
+def test_jaccard_of_repeated_and_null_ids(spark, ids):
+    texts = [t for seed in range(12) for t in near_copies(seed, 60, 10, 3)] + ["", None]
+    rows = [(ids(i), text) for i, text in enumerate(texts)]
+    rows += rows[:20] * 3
+    random.Random(1).shuffle(rows)
+    got = jaccard.similar_components(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert Counter(tuple(r) for r in got.collect()) == Counter(components_of_rows(rows))
+
+
 def test_jaccard_finds_links_of_members_alone(spark):
     """Leaders that do not link, with members that do."""
     base = [f"w{i}" for i in range(204)]
