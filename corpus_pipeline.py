@@ -38,21 +38,17 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each component of near copies: the one with the smallest id.
+    """Keeps one row of each component of near copies: the one with the smallest id.
 
-    Documents that share an id share its fate; where they are copies of each other, one row stays.
+    Rows, not ids, go or stay: ids may repeat or be null. Rows without words are copies of nothing.
     """
-    found = jaccard.similar_components(docs)
-    gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_gone"))
-    scratch = Scratch(spark, "copies")
-    gone = small_or_shuffled(scratch.write(gone.distinct(), "gone"))
-    kept = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
-    again = docs.groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("_again"))
-    again = scratch.write(again, "again")
+    gone, again = jaccard.spare_copies(docs)
+    same_row = (jaccard.doc_of("doc_id") == F.col("_doc")) & (jaccard.row_key("doc_id", "text") == F.col("_key"))
+    kept = docs.join(small_or_shuffled(gone), same_row, "left_anti")
     if not again.limit(1).count():
         return kept
-    twice = kept.join(small_or_shuffled(again), F.col("doc_id").eqNullSafe(F.col("_again")), "left_semi")
-    once = kept.join(small_or_shuffled(again), F.col("doc_id").eqNullSafe(F.col("_again")), "left_anti")
+    twice = kept.join(small_or_shuffled(again), same_row, "left_semi")
+    once = kept.join(small_or_shuffled(again), same_row, "left_anti")
     return once.unionByName(twice.dropDuplicates(["doc_id", "text"]))
 
 

@@ -354,8 +354,35 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     and null texts link with nothing. Repeated rows are kept; rows that share an id, or have none,
     are linked by their texts alone, and a null id is the smallest. Other columns are not read.
     """
+    scratch = Scratch(docs.sparkSession, "jaccard")
+    rooted = _rooted_rows(scratch, docs, id_col, text_col)
+    shared = rooted.filter("n > 0").groupBy("root").agg(F.min("doc").alias("least_doc"), F.count("*").alias("k")).filter("k > 1")
+    shared = small_or_shuffled(scratch.write(shared.select(F.col("root").alias("_root"), "least_doc"), "shared"))
+    scratch.keep_only("rooted", "shared")
+    out = rooted.join(shared, (F.col("root") == F.col("_root")) & (F.col("n") > 0), "left")
+    real = lambda c: F.when(c != NO_ID, c)
+    return out.select(
+        real(F.col("doc")).alias(id_col), F.col("n").cast("long").alias("n_shingles"), real(F.coalesce("least_doc", "doc")).alias("component_id")
+    )
+
+
+def spare_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """Two tables (_doc, _key) of `doc_of` and `row_key`: rows that go, so that of each component the one with
+    the smallest id, then key, is left; and rows that are left but repeated, of which all but one go too."""
+    scratch = Scratch(docs.sparkSession, "spare")
+    rooted = _rooted_rows(scratch, docs, id_col, text_col).filter("n > 0")
+    lead = rooted.groupBy("root").agg(F.min(F.struct("doc", "key")).alias("_lead"), F.count("*").alias("_k")).filter("_k > 1")
+    lead = small_or_shuffled(scratch.write(lead.select(F.col("root").alias("_root"), "_lead"), "lead"))
+    row = rooted.join(lead, F.col("root") == F.col("_root")).select(F.col("doc").alias("_doc"), F.col("key").alias("_key"), (F.struct("doc", "key") == F.col("_lead")).alias("_leads"))
+    gone = scratch.write(row.filter("not _leads").select("_doc", "_key").distinct(), "gone")
+    again = scratch.write(row.filter("_leads").groupBy("_doc", "_key").count().filter("count > 1").select("_doc", "_key"), "again")
+    scratch.keep_only("gone", "again")
+    return gone, again
+
+
+def _rooted_rows(scratch: Scratch, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc, key, n, root) of every row, a table; rows with n > 0 and one root are a component."""
     spark = docs.sparkSession
-    scratch = Scratch(spark, "jaccard")
     base = docs.select(doc_of(id_col).alias("doc"), row_key(id_col, text_col).alias("key"), F.col(text_col).cast("string").alias("text"))
     scanned = scratch.write(scan(base), "scan")
     rows = scanned.filter("kind = 0").select("doc", "key", "n", F.col("print").alias("set"), "least")
@@ -421,16 +448,8 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     # from sets to documents
     top_of = small_or_shuffled(roots.select(F.col("node").alias("_node"), "root"))
     classed = rows.join(of_set, F.col("set") == F.col("_member"), "left").withColumn("_class", F.coalesce("class", "set"))
-    rooted = classed.join(top_of, F.col("_class") == F.col("_node"), "left").select("doc", "n", F.coalesce("root", "_class").alias("root"))
-    rooted = scratch.write(rooted, "rooted")
-    shared = rooted.filter("n > 0").groupBy("root").agg(F.min("doc").alias("least_doc"), F.count("*").alias("k")).filter("k > 1")
-    shared = small_or_shuffled(scratch.write(shared.select(F.col("root").alias("_root"), "least_doc"), "shared"))
-    scratch.keep_only("rooted", "shared")
-    out = rooted.join(shared, (F.col("root") == F.col("_root")) & (F.col("n") > 0), "left")
-    real = lambda c: F.when(c != NO_ID, c)
-    return out.select(
-        real(F.col("doc")).alias(id_col), F.col("n").cast("long").alias("n_shingles"), real(F.coalesce("least_doc", "doc")).alias("component_id")
-    )
+    rooted = classed.join(top_of, F.col("_class") == F.col("_node"), "left").select("doc", "key", "n", F.coalesce("root", "_class").alias("root"))
+    return scratch.write(rooted, "rooted")
 
 
 def _long_list_pairs(entries: DataFrame) -> DataFrame:

@@ -687,3 +687,14 @@ def test_pipeline_stages(spark, sf_dir):
 def test_near_copies_with_repeated_ids(spark, odd):
     kept = rows_of(corpus_pipeline.near_copies_stage(spark, odd, ""))
     assert sorted((r["doc_id"] or 0) for r in kept) == [0, 2, 3, 4, 5, 7, 8, 9]
+
+
+def test_near_copies_decided_by_row(spark):
+    """Near copies under one id and under null end with one row, an unrelated text under a lost row's id stays, and rows without words stay."""
+    t, near, other, third, near_third = (" ".join(f"{tag}{i}" if i else first for i in range(60)) for tag, first in [("t", "t0"), ("t", "x"), ("u", "u0"), ("v", "v0"), ("v", "x")])
+    null, near_null = (" ".join(f"n{i}" if i else first for i in range(60)) for first in ("n0", "x"))
+    rows = [(1, t), (5, near), (5, other), (8, third), (8, near_third), (8, third), (None, null), (None, near_null), (9, null), (6, ""), (6, ""), (None, None), (None, None)]
+    kept = [tuple(r) for r in corpus_pipeline.near_copies_stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()]
+    of_eight, of_null = {(8, third), (8, near_third)}, {(None, null), (None, near_null)}
+    assert len([r for r in kept if r in of_eight]) == len([r for r in kept if r in of_null]) == 1
+    assert Counter(r for r in kept if r not in of_eight | of_null) == Counter([(1, t), (5, other), (6, ""), (6, ""), (None, None), (None, None)])
