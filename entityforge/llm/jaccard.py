@@ -380,9 +380,37 @@ def spare_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return gone, again
 
 
-def _rooted_rows(scratch: Scratch, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc, key, n, root) of every row, a table; rows with n > 0 and one root are a component."""
-    spark = docs.sparkSession
+def link_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, n_links) of every row: how many other rows link with it.
+
+    No pair is skipped and every set is a class of its own, so the work grows with the pairs of distinct sets in
+    a group of near copies; copies of one set are counted, not paired.
+    """
+    scratch = Scratch(docs.sparkSession, "links")
+    base, rows, frequent = _scanned(scratch, docs, id_col, text_col)
+    sets = scratch.write(rows.filter("n > 0").groupBy("set").agg(F.min("key").alias("key"), F.count("*").alias("copies")), "sets")
+    nothing = docs.sparkSession.createDataFrame([], "_key long, _member long, class long")
+    live = scratch.write(_live_lists(_postings(base, nothing, frequent)).withColumn("root", F.col("class")), "live")
+    long_ = live.groupBy("token").count().filter(F.col("count") > LIST_CLASSES).select(F.col("token").alias("_token"))
+    long_ = small_or_shuffled(scratch.write(long_, "long"))
+    in_long = F.col("token") == F.col("_token")
+    pairs = _pairs(live.join(long_, in_long, "left_anti"), None, 0)
+    pairs = pairs.unionByName(_long_list_pairs(live.join(long_, in_long, "left_semi").select(*names(POSTING), "root"))).distinct()
+    tokens = docs.sparkSession.createDataFrame([], "set long, n int, tokens binary")
+    verifier = _Verifier(scratch, base, sets.select(F.col("set").alias("_set"), F.col("key").alias("_key")), tokens)
+    verifier.verify(pairs)
+    linked = verifier.links()
+    both = linked.unionByName(linked.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    met = both.join(sets, F.col("v") == F.col("set")).groupBy("u").agg(F.sum("copies").alias("_others"))
+    total = sets.join(met, F.col("set") == F.col("u"), "left").select(F.col("set").alias("_set"), (F.col("copies") - 1 + F.coalesce("_others", F.lit(0))).alias("_links"))
+    total = small_or_shuffled(scratch.write(total.filter("_links > 0"), "total"))
+    out = rows.join(total, (F.col("set") == F.col("_set")) & (F.col("n") > 0), "left")
+    scratch.keep_only("scan", "total")
+    return out.select(F.when(F.col("doc") != NO_ID, F.col("doc")).alias(id_col), F.coalesce("_links", F.lit(0)).cast("long").alias("n_links"))
+
+
+def _scanned(scratch: Scratch, docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, tuple[np.ndarray, np.ndarray]]:
+    """(doc, key, text) and (doc, key, n, set, least) of every row, and frequent tokens with their counts."""
     base = docs.select(doc_of(id_col).alias("doc"), row_key(id_col, text_col).alias("key"), F.col(text_col).cast("string").alias("text"))
     scanned = scratch.write(scan(base), "scan")
     rows = scanned.filter("kind = 0").select("doc", "key", "n", F.col("print").alias("set"), "least")
@@ -390,7 +418,12 @@ def _rooted_rows(scratch: Scratch, docs: DataFrame, id_col: str, text_col: str)
     top = top.orderBy(F.col("n").desc(), "print").limit(ORDERED_TOKENS).toArrow()
     token, count = top["print"].to_numpy(), top["n"].to_numpy()
     order = np.argsort(token)
-    frequent = (token[order].astype(np.int64), count[order].astype(np.int64))
+    return base, rows, (token[order].astype(np.int64), count[order].astype(np.int64))
+
+
+def _rooted_rows(scratch: Scratch, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc, key, n, root) of every row, a table; rows with n > 0 and one root are a component."""
+    base, rows, frequent = _scanned(scratch, docs, id_col, text_col)
 
     # distinct sets, and leaders of sets that share their least token
     sets = scratch.write(rows.filter("n > 0").groupBy("set", "n", "least").agg(F.min("key").alias("key")), "sets")

@@ -182,6 +182,19 @@ def test_jaccard_of_repeated_and_null_ids(spark, ids):
     assert Counter(tuple(r) for r in got.collect()) == Counter(components_of_rows(rows))
 
 
+@pytest.mark.parametrize("list_classes", [2048, 2])
+def test_link_counts_like_brute_force(spark, monkeypatch, list_classes):
+    monkeypatch.setattr(jaccard, "LIST_CLASSES", list_classes)
+    texts = [t for seed in range(6) for t in near_copies(seed, 60, 12, 5)] + ["a b", "A b", "", None]
+    rows = [(None if i % 4 == 0 else i % 9, t) for i, t in enumerate(texts)] * 2
+    sets = [{tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if (w := words((t or "").lower())) else set() for _, t in rows]
+    truth = [
+        (doc, sum(j != i and 100 * len(a & b) >= 80 * len(a | b) and bool(a) for j, b in enumerate(sets))) for i, ((doc, _), a) in enumerate(zip(rows, sets))
+    ]
+    got = jaccard.link_counts(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert Counter(tuple(r) for r in got.collect()) == Counter(truth)
+
+
 def test_jaccard_finds_links_of_members_alone(spark):
     """Leaders that do not link, with members that do."""
     base = [f"w{i}" for i in range(204)]
