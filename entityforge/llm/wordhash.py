@@ -7,18 +7,23 @@ independent of the place; a final mix spreads it.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
+import xxhash
 
 _RANDOM = np.random.default_rng(20240501)
 _OF_BYTE = _RANDOM.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
+_NEXT_BLANK = re.compile(rb"[\x20\x09-\x0D]")
 _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
 #: Bytes hashed at once, so that the arrays stay in cache; a longer word is hashed whole all the same.
 BLOCK = 1 << 18
+#: Bytes of a word beyond which its hash is no polynomial: those of long strings can be made to meet.
+LONG = 256
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -40,22 +45,33 @@ class WordHasher:
             np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, b, dtype=np.uint64)]), dtype=np.uint64) for b in (_BASE, _INVERSE)
         )
 
-    def _hash(self, raw: bytes) -> tuple[np.ndarray, np.ndarray]:
-        """(starts, hashes) of the words of bytes that end in a blank."""
+    def words(self, raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(bytes, starts, ends, running sums) of the words of bytes that end in a blank."""
         data = np.frombuffer(raw, np.uint8)
         if len(data) > len(self._power):
             self._grow(len(data))
         edge = np.flatnonzero(np.diff(_BLANK[data].view(np.int8), prepend=np.int8(1)))
-        start, end = edge[::2], edge[1::2]
-        total = np.cumsum(_OF_BYTE[data] * self._power[: len(data)])
+        return data, edge[::2], edge[1::2], np.cumsum(_OF_BYTE[data] * self._power[: len(data)])
+
+    def hashes(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, total: np.ndarray) -> np.ndarray:
+        """Hashes of the spans of bytes from `start` to `end`."""
         before = np.where(start > 0, total[start - 1], np.uint64(0))
-        return start, mix((total[end - 1] - before) * self._back[start])
+        out = mix((total[end - 1] - before) * self._back[start])
+        for i in np.flatnonzero(end - start > LONG):
+            out[i] = xxhash.xxh3_64_intdigest(data[start[i] : end[i]].tobytes())
+        return out
+
+    def _hash(self, raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """(starts, hashes) of the words of bytes that end in a blank."""
+        data, start, end, total = self.words(raw)
+        return start, self.hashes(data, start, end, total)
 
-    def _pieces(self, raw: bytes) -> Iterator[bytes]:
+    def pieces(self, raw: bytes) -> Iterator[bytes]:
         """A long text cut at blanks."""
         at = 0
         while len(raw) - at > 2 * BLOCK:
-            cut = next((i for i in range(at + BLOCK, len(raw)) if _BLANK[raw[i]]), len(raw))
+            cut = _NEXT_BLANK.search(raw, at + BLOCK)
+            cut = cut.start() if cut else len(raw)
             yield raw[at:cut] + b" "
             at = cut
         yield raw[at:] + b" "
@@ -70,7 +86,7 @@ class WordHasher:
             if len(raw) > BLOCK:
                 yield from self._flush(held)
                 held, size = [], 0
-                yield np.concatenate([self._hash(p)[1] for p in self._pieces(raw)])
+                yield np.concatenate([self._hash(p)[1] for p in self.pieces(raw)])
                 continue
             if size + len(raw) + 1 > BLOCK:
                 yield from self._flush(held)
