@@ -56,10 +56,17 @@ LAYOUTS = (
 ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
 
 
+def _key(name: str) -> str:
+    """A field name as a step of a path: its own backslashes, full stops and brackets never read as structure."""
+    for c in "\\.[]\n":
+        name = name.replace(c, f"\\{ord(c):x};" if c == "\n" else f"\\{c}")
+    return name or "\\0;"
+
+
 def field_paths(value: object, at: str = "") -> set[str]:
     """Nested field paths of a parsed record; list elements share the path `[]`."""
     if isinstance(value, dict) and value:
-        return set().union(*(field_paths(v, f"{at}.{k}" if at else str(k)) for k, v in value.items()))
+        return set().union(*(field_paths(v, f"{at}.{_key(k)}" if at else _key(k)) for k, v in value.items()))
     if isinstance(value, list) and value:
         return set().union(*(field_paths(v, f"{at}[]") for v in value))
     return {at}

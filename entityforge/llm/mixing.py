@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from entityforge.llm.columns import nested
 from entityforge.llm.ranking import ordered_table, with_prefix
 from entityforge.llm.scratch import Scratch
 
@@ -189,29 +190,25 @@ def _rounded(rows: DataFrame, up: Column) -> DataFrame:
 def repeat_rows(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     """The rows of `docs`, each as often as `mixed` (of the same `docs`) says.
 
-    Rows that agree in id, source and text share their copies in no defined order.
+    Rows that agree in id, source and text have two counts of copies at most, which differ by one;
+    those first in the order of their other columns get the larger, so reruns agree. Null ids,
+    sources and texts meet their like. Any other columns are kept as they are, whatever their names.
     """
-    key = ["_id", "_source", "_print"]
-    counts = mixed.groupBy(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("print").alias("_print")
-    ).agg(F.collect_list("copies").alias("_copies"))
+    per_key = mixed.groupBy(F.col("doc_id").alias("k_id"), F.col("source").alias("k_source"), F.col("print").alias("k_print"))
+    least, more = F.min("copies").alias("least"), (F.sum("copies") - F.min("copies") * F.count("*")).alias("more")
+    counts = per_key.agg(least, more).filter("least > 0 or more > 0")
     counts = Scratch(docs.sparkSession, "repeat").write(counts, "counts")
-    left = docs.select(
-        "*",
-        F.col("doc_id").cast("long").alias("_l_id"),
-        F.col("source").cast("string").alias("_l_source"),
-        F.xxhash64(F.col("text").cast("string")).alias("_l_print"),
-    )
-    on = counts
-    same = left["_l_id"].eqNullSafe(on["_id"]) & left["_l_source"].eqNullSafe(on["_source"]) & (left["_l_print"] == on["_print"])
-    joined = left.join(on, same)
-    if counts.filter(F.size("_copies") > 1).limit(1).count():
-        turn = F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(0)))
-        joined = joined.withColumn("_n", F.get(F.col("_copies"), turn - 1))
-    else:
-        joined = joined.withColumn("_n", F.col("_copies")[0])
-    return (
-        joined.filter("_n > 0")
-        .withColumn("_", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))))
-        .select(*docs.columns)
-    )
+    left = nested(docs).select(
+        "row", F.col("row.doc_id").cast("long").alias("id"), F.col("row.source").cast("string").alias("source"),
+        F.xxhash64(F.col("row.text").cast("string")).alias("print"),
+    )
+    same = F.col("id").eqNullSafe(F.col("k_id")) & F.col("source").eqNullSafe(F.col("k_source")) & (F.col("print") == F.col("k_print"))
+    joined = left.join(counts, same)
+    evenly = joined.filter("more = 0").withColumn("copies", F.col("least"))
+    # over rows alone that share all of the key and differ in copies
+    turn = F.row_number().over(Window.partitionBy("k_id", "k_source", "k_print").orderBy(F.xxhash64(F.to_json("row"))))
+    unevenly = joined.filter("more > 0").withColumn("copies", F.col("least") + (turn <= F.col("more")).cast("long"))
+    if counts.filter("more > 0").limit(1).count():
+        evenly = evenly.unionByName(unevenly)
+    times = evenly.filter("copies > 0").select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy"))
+    return times.select("row.*")
