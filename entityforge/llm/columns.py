@@ -8,14 +8,18 @@ import gc
 import sys
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.pandas.functions import arrow_udf
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 Columns = dict[str, list]
-#: Rows of a batch that are Python values at one time.
-SLICE = 2000
+#: Rows, and bytes of Arrow data, that are Python values at one time; one longer row is so by itself.
+SLICE, SLICE_BYTES = 2000, 4_000_000
 
 
 def release(keep_tokenizer: bool = False) -> None:
@@ -28,6 +32,47 @@ def release(keep_tokenizer: bool = False) -> None:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
+def nested(df: DataFrame) -> DataFrame:
+    """All columns as fields of one struct `row`, so that helper columns beside it clash with none of them."""
+    return df.select(F.struct(*[F.col("`{}`".format(c.replace("`", "``"))) for c in df.columns]).alias("row"))
+
+
+def _bytes_before(data: pa.Array | pa.RecordBatch) -> np.ndarray:
+    """Bytes of texts and binaries in the rows before each row, and in all."""
+    upto = np.zeros(len(data) + 1, dtype=np.int64)
+    for column in data.columns if isinstance(data, pa.RecordBatch) else [data]:
+        if any(test(column.type) for test in (pa.types.is_string, pa.types.is_binary, pa.types.is_large_string, pa.types.is_large_binary)):
+            upto[1:] += np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    return upto
+
+
+def slices(data: pa.Array | pa.RecordBatch) -> Iterator[pa.Array | pa.RecordBatch]:
+    """Consecutive slices of a few rows and bytes."""
+    upto, at = _bytes_before(data), 0
+    while at < len(data):
+        fits = int(np.searchsorted(upto, upto[at] + SLICE_BYTES, side="right")) - 1
+        end = min(max(fits, at + 1), at + SLICE, len(data))
+        yield data.slice(at, end - at)
+        at = end
+
+
+def text_udf(say_of: Callable[[], Callable[[list], list[tuple]]], ddl: str):
+    """A column function from a text column to a struct of type `ddl`: `say_of()` makes, once per task, what
+    turns some texts into tuples. Only the texts travel to Python; other columns stay in the JVM."""
+    kind = StructType.fromDDL(ddl)
+    target = pa.struct(list(to_arrow_schema(kind)))
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        release()
+        say = say_of()
+        for batch in batches:
+            found = [pa.array([dict(zip(kind.names, r)) for r in say(part.to_pylist())], type=target) for part in slices(batch)]
+            yield pa.concat_arrays(found) if found else pa.array([], type=target)
+
+    # said to be nondeterministic, so that no rule of the optimizer evaluates it twice
+    return arrow_udf(run, kind).asNondeterministic()
+
+
 def names(schema: str) -> list[str]:
     """Column names of a flat DDL schema; needs no session."""
     return [c.split()[0] for c in schema.split(",")]
@@ -47,8 +92,7 @@ def map_columns(
             if arrays:
                 yield {n: c.to_numpy(zero_copy_only=False) for n, c in zip(batch.schema.names, batch.columns)}
                 continue
-            for at in range(0, batch.num_rows, SLICE):
-                part = batch.slice(at, SLICE)
+            for part in slices(batch):
                 yield {n: c.to_pylist() for n, c in zip(part.schema.names, part.columns)}
 
     def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,60 +2,75 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 
 from entityforge.llm.textstats import WordNumbers, words_of
 
-#: Slots of each of the four families: words, word pairs, 3 and 4 characters (UTF-8 bytes).
+#: Slots of each of the four families: words, word pairs, 3 and 4 characters (code points).
 SLOTS = 1 << 14
-#: Slots after those, for marks of a text as a whole, and the value of each mark.
-MARKS, MARK_VALUE = 64, 0.2
-WIDTH = 4 * SLOTS + MARKS
+WIDTH = 4 * SLOTS
 #: A family of n n-grams counts n / (n + PULL): a few n-grams say little about a text.
 PULL = 40
-_SHIFT = 32 - 14
+#: Code points whose n-grams are hashed at once; a longer text is read in overlapping parts, and whole.
+PART = 1 << 18
+_SHIFT = np.uint32(32 - 14)
 _MIX = np.uint32(2654435761)
+_P = np.uint32(0x9E3779B1)
 
 
-def slots_of(text: str, word_hashes: np.ndarray) -> list[np.ndarray]:
-    """Slots of all n-grams of a whole text, by family."""
-    h = word_hashes * _MIX
-    pairs = (word_hashes[:-1] * np.uint32(0x9E3779B1) + word_hashes[1:]) * _MIX
-    raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), dtype=np.uint8).astype(np.uint32)
-    two = raw[:-1] << np.uint32(8) | raw[1:]
-    three = (two[:-1] << np.uint32(8) | raw[2:]) if len(raw) > 2 else two[:0]
-    four = (three[:-1] << np.uint32(8) | raw[3:]) if len(raw) > 3 else two[:0]
-    found = (h, pairs, three * _MIX, four * _MIX)
-    return [(x >> np.uint32(_SHIFT)).astype(np.int64) + i * SLOTS for i, x in enumerate(found)]
+def _grams(code: np.ndarray, n: int) -> np.ndarray:
+    """Slots of all n-grams of 32-bit numbers, by a polynomial of them."""
+    m = max(len(code) - n + 1, 0)
+    h = code[:m] + np.uint32(n)
+    for i in range(1, n):
+        h = h * _P + code[i : i + m]
+    return ((h ^ (h >> np.uint32(15))) * _MIX) >> _SHIFT
 
 
-def feature_vector(text: str, word_hashes: np.ndarray, marks: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray]:
-    """(slots, values): each family's shares sum to n / (n + PULL); marks have a fixed value."""
-    at = [np.array(marks, dtype=np.int64) + 4 * SLOTS] if marks else []
-    value = [np.full(len(marks), MARK_VALUE)] if marks else []
-    for slots in slots_of(text, word_hashes):
-        if len(slots):
-            u, n = np.unique(slots, return_counts=True)
-            at.append(u)
-            value.append(n / (len(slots) + PULL))
-    return (np.concatenate(at), np.concatenate(value)) if at else (np.zeros(0, np.int64), np.zeros(0))
+def slots_of(text: str, word_hashes: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(family, slots) of all n-grams of a whole text; a family of a long text comes in parts."""
+    for n in (1, 2):
+        yield n - 1, _grams(word_hashes, n)
+    for at in range(0, max(len(text), 1), PART):
+        points = np.frombuffer(text[at : at + PART + 3].encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        for n in (3, 4):
+            # n-grams that start in this part
+            yield n - 1, _grams(points[: PART + n - 1], n)
+
+
+def feature_vector(text: str, word_hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(slots, values): each family's shares sum to n / (n + PULL)."""
+    count = np.zeros((4, SLOTS), dtype=np.int64)
+    for family, slots in slots_of(text, word_hashes):
+        count[family] += np.bincount(slots, minlength=SLOTS)
+    value = (count / (count.sum(axis=1, keepdims=True) + PULL)).ravel()
+    at = np.flatnonzero(value)
+    return at, value[at]
 
 
 @dataclass
 class Linear:
-    """A linear scorer with its calibration: P = sigmoid(a * (bias + weights · x) + b)."""
+    """A linear scorer with its calibration: P = sigmoid(a * (bias + weights · x) + b).
+
+    `agreement`: the share of the rows that the fit held out on whose side of one half P falls.
+    """
 
     weights: np.ndarray
     bias: float
     a: float = 1.0
     b: float = 0.0
+    agreement: float = float("nan")
 
-    def margin(self, text: str, word_hashes: np.ndarray, marks: tuple[int, ...] = ()) -> float:
+    def margin(self, text: str, word_hashes: np.ndarray) -> float:
         """The uncalibrated margin of a whole text."""
-        said = sum(float(self.weights[s].sum()) / (len(s) + PULL) for s in slots_of(text, word_hashes))
-        return self.bias + said + MARK_VALUE * sum(float(self.weights[4 * SLOTS + m]) for m in marks)
+        said, n = [0.0] * 4, [0] * 4
+        for family, slots in slots_of(text, word_hashes):
+            said[family] += float(self.weights[family * SLOTS : (family + 1) * SLOTS][slots].sum(dtype=np.float64))
+            n[family] += len(slots)
+        return self.bias + sum(s / (k + PULL) for s, k in zip(said, n))
 
     def probability(self, margin: np.ndarray) -> np.ndarray:
         """Calibrated probability of the positive class."""
@@ -159,7 +174,9 @@ def fit_calibrated(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray
     model = fit_logistic(Rows([r for r, t in zip(rows, train) if t]), target[train], weight)
     check = held if held.any() else train
     kept = Rows([r for r, t in zip(rows, check) if t])
-    model.a, model.b = calibrate(kept.dot(model.weights.astype(float)) + model.bias, target[check])
+    margin = kept.dot(model.weights.astype(float)) + model.bias
+    model.a, model.b = calibrate(margin, target[check])
+    model.agreement = float(((model.probability(margin) >= 0.5) == (target[check] >= 0.5)).mean())
     drawn, true = np.clip([float(target[check].mean()), prior], 1e-3, 1 - 1e-3)
     model.b += float(np.log(true / (1 - true)) - np.log(drawn / (1 - drawn)))
     return model

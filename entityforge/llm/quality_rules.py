@@ -9,15 +9,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructField, StructType
 
-from entityforge.llm.columns import SLICE, Columns, map_columns, release
+from entityforge.llm.columns import Columns, map_columns, text_udf
 from entityforge.llm.hashed import Linear, feature_vector, fit_calibrated, hashes_of
-from entityforge.llm.textstats import WordNumbers, stats_of, words_of
+from entityforge.llm.textstats import WordNumbers, stats_of
 
 #: Labelled rows that the fit takes at most, by hash of their id, from each class.
 SAMPLE_PER_CLASS = 700
@@ -29,18 +26,11 @@ MIN_WORDS, MAX_REPEATED_PERCENT = 50, 50
 FEATURES = "label double, held boolean, slots binary, shares binary"
 
 
-def no_marks(text: str, words: list[str], numbers: np.ndarray) -> tuple[int, ...]:
-    """The marks of a scorer that reads n-grams alone."""
-    return ()
-
-
-def featurise(sample: DataFrame, marks_of=no_marks) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray, np.ndarray]:
+def featurise(sample: DataFrame) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray, np.ndarray]:
     """Features, targets and held-out flags of a bounded table (text, label, held), collected."""
 
     def vector(text: str, numbers: WordNumbers) -> tuple[np.ndarray, np.ndarray]:
-        words = words_of(text)
-        at = numbers.of(words)
-        return feature_vector(text, numbers.hashes(at), marks_of(text, words, at))
+        return feature_vector(text, hashes_of(text, numbers)[1])
 
     def run(batches: Iterator[Columns]) -> Iterator[Columns]:
         numbers = WordNumbers()
@@ -82,30 +72,12 @@ VERDICT = (
 )
 
 
-def with_struct(docs: DataFrame, text_col: str, judge, ddl: str, name: str) -> DataFrame:
-    """`docs` with a struct column `name` of what `judge(texts)` → rows of tuples says; rows keep their columns."""
-    kind = StructType.fromDDL(ddl)
-    schema = StructType([*docs.schema.fields, StructField(name, kind)])
-    target = to_arrow_schema(schema)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release()
-        say, added = judge(), target.field(len(target) - 1)
-        for whole in batches:
-            for at in range(0, whole.num_rows, SLICE):
-                batch = whole.slice(at, SLICE)
-                texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
-                found = pa.array([dict(zip(kind.names, r)) for r in say(texts)], type=added.type)
-                yield pa.RecordBatch.from_arrays([*batch.columns, found], schema=pa.schema([*batch.schema, added]))
-
-    return docs.mapInArrow(run, schema)
-
-
 def judge_texts(docs: DataFrame, model: Linear, min_probability: float = MIN_PROBABILITY, text_col: str = "text", name: str = "rules") -> DataFrame:
     """`docs` with a struct column `name`: base counts, base verdict, probability and `kept`.
 
-    Every text is read whole; a null text has no words and fails the base rules. All columns and
-    rows are kept as they are.
+    Every text is read whole; a null, empty or blank text has no words and fails the base rules. All
+    columns and rows, repeated ones too, are kept as they are; an empty table stays empty. `name`
+    must be a column that `docs` lacks. The rules know no language; the model knows what its rows show.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
@@ -126,4 +98,4 @@ def judge_texts(docs: DataFrame, model: Linear, min_probability: float = MIN_PRO
 
         return say
 
-    return with_struct(docs, text_col, judge, VERDICT, name)
+    return docs.withColumn(name, text_udf(judge, VERDICT)(F.col(text_col).cast("string")))

@@ -50,7 +50,7 @@ def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents scored by the classifier that weak labels of all documents trained."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    judged = weak_quality.classify_texts(docs, *weak_quality.fit_weak(docs))
+    judged = weak_quality.classify_texts(docs, weak_quality.fit_weak(docs)[0])
     return judged.select("doc_id", "quality.*")
 
 

@@ -25,15 +25,20 @@ def _crc(word: str) -> int:
 
 
 class WordNumbers(dict):
-    """Word → number, in order of first use, with a hash of each word; both start anew when full."""
+    """Word → number, in order of first use, with a hash of each word; both start anew when full.
 
-    LIMIT = 1 << 18
+    Full is by words or by their characters, whichever comes first, so words of any length fit a worker.
+    Only between texts: one text's numbers stay valid, and its own words are held as long as it is.
+    """
+
+    LIMIT, LIMIT_CHARS = 1 << 18, 1 << 22
 
     def __init__(self, hash_of=_crc, dtype=np.uint32) -> None:
         super().__init__()
         self._hash = np.zeros(1 << 16, dtype=dtype)
         self._hash_of = hash_of
         self._fresh: list = []
+        self._chars = 0
 
     def __missing__(self, word: str) -> int:
         self[word] = n = len(self)
@@ -42,14 +47,16 @@ class WordNumbers(dict):
 
     def of(self, words: list) -> np.ndarray:
         """Numbers of the words; `hashes` takes them until the next call that finds the table full."""
-        if len(self) > self.LIMIT:
+        if len(self) > self.LIMIT or self._chars > self.LIMIT_CHARS:
             self.clear()
+            self._hash, self._chars = np.zeros(1 << 16, dtype=self._hash.dtype), 0
         numbers = np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words))
         if self._fresh:
             first = len(self) - len(self._fresh)
             while len(self) > len(self._hash):
                 self._hash = np.concatenate([self._hash, np.zeros_like(self._hash)])
             self._hash[first : len(self)] = np.fromiter(map(self._hash_of, self._fresh), dtype=self._hash.dtype, count=len(self._fresh))
+            self._chars += sum(map(len, self._fresh))
             self._fresh = []
         return numbers
 
@@ -58,15 +65,27 @@ class WordNumbers(dict):
         return self._hash[numbers]
 
 
+def window_codes(numbers: np.ndarray, window: int) -> np.ndarray:
+    """A number for each window of `window` words; equal windows, and only those, have equal numbers."""
+    n = len(numbers) - window + 1
+    if numbers.max() >> (63 // window) == 0:
+        code, bits = numbers[:n].copy(), 63 // window
+        for i in range(1, window):
+            code = (code << bits) | numbers[i : i + n]
+        return code
+    # more distinct words than bits: prefixes are numbered anew before each further word
+    kinds, local = np.unique(numbers, return_inverse=True)
+    code = local[:n]
+    for i in range(1, window):
+        code = np.unique(code * len(kinds) + local[i : i + n], return_inverse=True)[1]
+    return code
+
+
 def repeated_words(numbers: np.ndarray, window: int = 3) -> int:
     """Words inside windows of `window` words that occur twice or more, the first ones included."""
-    n = len(numbers) - window + 1
-    if n < 2:
+    if len(numbers) <= window:
         return 0
-    local = np.unique(numbers, return_inverse=True)[1] if window * 21 > 63 else numbers
-    code = local[:n].copy()
-    for i in range(1, window):
-        code = (code << 21) | local[i : i + n]
+    code = window_codes(numbers, window)
     ordered = np.sort(code)
     twice = ordered[1:][ordered[1:] == ordered[:-1]]
     if not len(twice):

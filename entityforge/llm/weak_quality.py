@@ -14,9 +14,9 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entityforge.llm.columns import Columns, map_columns
-from entityforge.llm.hashed import Linear, fit_calibrated
-from entityforge.llm.quality_rules import featurise, with_struct
+from entityforge.llm.columns import Columns, map_columns, text_udf
+from entityforge.llm.hashed import Linear, fit_calibrated, hashes_of
+from entityforge.llm.quality_rules import featurise
 from entityforge.llm.scratch import Scratch
 from entityforge.llm.textstats import WordNumbers, stats_of, words_of
 
@@ -37,7 +37,11 @@ def _between(x: float, bad_low: float, low: float, high: float, bad_high: float)
 
 
 def votes_of(text: str, words: list[str], numbers: np.ndarray) -> str:
-    """One vote of each heuristic on a whole text, as one letter each; a text without words gets none but bad."""
+    """One vote of each heuristic on a whole text, as one letter each; a text without words gets none but bad.
+
+    The heuristics that know words of some languages, or how long words are, have no vote on texts
+    in other than Latin script, which UTF-8 takes far more bytes than characters for.
+    """
     s = stats_of(text, numbers)
     n = len(words)
     if not n:
@@ -48,6 +52,7 @@ def votes_of(text: str, words: list[str], numbers: np.ndarray) -> str:
     marks = text.count("!") + text.count("?")
     odd = sum(1 for w in words if w[-1] in "#*$%&|<>!")
     known = sum(1 for w in words if w.lower() in FUNCTION_WORDS)
+    latin = len(raw) * 5 <= len(text) * 7
     return "".join(
         (
             _between(s.n_symbols / s.word_chars, -1, 0, 0.02, 0.1),
@@ -58,22 +63,13 @@ def votes_of(text: str, words: list[str], numbers: np.ndarray) -> str:
             _between(s.n_dup_lines / max(s.n_lines, 1), -1, 0, 0.2, 0.5),
             _between(len(zlib.compress(raw, 1)) / len(raw), 0.2, 0.3, 9, 9),
             _between(len(set(words)) / n**0.75, 0.6, 1.2, 9e9, 9e9),
-            _between(ends / n, 0.0, 0.02, 0.3, 0.6),
-            _between(known / n, 0.005, 0.05, 0.7, 0.95),
-            _between(s.word_chars / n, 1.5, 2.5, 10, 15),
+            _between(ends / n, 0.0, 0.02, 0.3, 0.6) if latin else NONE,
+            _between(known / n, 0.005, 0.05, 0.7, 0.95) if latin else NONE,
+            _between(s.word_chars / n, 1.5, 2.5, 10, 15) if latin else NONE,
         )
     )
 
 
-def marks_of_votes(votes: str) -> tuple[int, ...]:
-    """A mark of the scorer for each heuristic and what it votes."""
-    return tuple(3 * i + (GOOD, BAD, NONE).index(v) for i, v in enumerate(votes))
-
-
-def _marks(text: str, words: list[str], numbers: np.ndarray) -> tuple[int, ...]:
-    return marks_of_votes(votes_of(text, words, numbers))
-
-
 def estimate(patterns: dict[str, int], rounds: int = 100) -> tuple[dict[str, float], np.ndarray]:
     """Posterior P(good) of each vote pattern, and P(vote | class) of each heuristic.
 
@@ -146,38 +142,34 @@ def fit_weak(docs: DataFrame, per_side: int = SAMPLE_PER_SIDE) -> tuple[Linear,
     sample = keyed.join(F.broadcast(picked.withColumnRenamed("key", "_key")), F.col("key") == F.col("_key"))
     sample = sample.dropDuplicates(["key"]).select("text", "label", (F.pmod("key", F.lit(4)) == 0).alias("held"))
     prior = sum(n * posterior[v] for v, n in patterns.items()) / max(sum(patterns.values()), 1)
-    model = fit_calibrated(*featurise(sample, _marks), prior)
+    model = fit_calibrated(*featurise(sample), prior)
     scratch.drop("votes", "picked")
     return model, posterior
 
 
-VERDICT = "n_words long, votes string, posterior double, probability double, kept boolean"
+VERDICT = "n_words long, probability double, kept boolean"
 
 
-def classify_texts(
-    docs: DataFrame, model: Linear, posterior: dict[str, float], min_probability: float = MIN_PROBABILITY, text_col: str = "text", name: str = "quality"
-) -> DataFrame:
-    """`docs` with a struct column `name`: votes, their posterior, the scorer's probability and `kept`.
+def classify_texts(docs: DataFrame, model: Linear, min_probability: float = MIN_PROBABILITY, text_col: str = "text", name: str = "quality") -> DataFrame:
+    """`docs` with a struct column `name`: the number of words, the scorer's probability of good, and `kept`.
 
-    `kept` follows the scorer alone. A null or empty text has no words, and the bias decides. All
-    columns and rows stay as they are; votes that the fit did not see have a null posterior.
+    The scorer reads n-grams of the whole text and never the votes that its labels came from. A null,
+    empty or blank text has no words, and the bias decides. All columns and rows, repeated ones too,
+    stay as they are; an empty table stays empty. `name` must be a column that `docs` lacks.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((model, posterior))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def judge():
-        numbers, (scorer, posteriors) = WordNumbers(), shared.value
+        numbers, scorer = WordNumbers(), shared.value
 
         def say(texts: list[str | None]) -> list[tuple]:
             out = []
             for text in texts:
-                text = text or ""
-                words = words_of(text)
-                at = numbers.of(words)
-                votes = votes_of(text, words, at)
-                p = float(scorer.probability(scorer.margin(text, numbers.hashes(at), marks_of_votes(votes))))
-                out.append((len(words), votes, posteriors.get(votes), p, p >= min_probability))
+                at, hashes = hashes_of(text or "", numbers)
+                p = float(scorer.probability(scorer.margin(text or "", hashes)))
+                out.append((len(at), p, p >= min_probability))
             return out
 
         return say
 
-    return with_struct(docs, text_col, judge, VERDICT, name)
+    return docs.withColumn(name, text_udf(judge, VERDICT)(F.col(text_col).cast("string")))

@@ -325,10 +325,13 @@ def test_packing_of_odd_rows(spark, odd):
 
 
 def test_word_cache_gives_the_tokenizers_ids(monkeypatch):
-    texts = ["", "  a  b c\x1cd Don't \u0308x <|endoftext|>y ΑΣ Σ\r\n\tfoo, bar.  ", "a\x01b \x01 , . ,, x., İstanbul ½ 12á é \u3000z", "New, new, NEW. new"] * 2
+    texts = ["", "ǰ J̌ H̱at <|ENDOFTEXT|>", "x" * 700 + " y, " + "Q" * 300 + ",", "  a  b c\x1cd Don't \u0308x <|endoftext|>y ΑΣ Σ\r\n\tfoo, bar.  ", "a\x01b \x01 , . ,, x., İstanbul ½ 12á é \u3000z", "New, new, NEW. new"] * 2
     model = tokens.WordTokenizer(registry.tokenizer_path())
     monkeypatch.setattr(tokens, "CACHE_WORDS", 5)
-    for _ in range(3):
+    monkeypatch.setattr(tokens, "PART_WORDS", 3)
+    for block in (1 << 18, 40, 7):
+        monkeypatch.setattr(tokens, "BLOCK", block)
+        monkeypatch.setattr(wordhash, "BLOCK", block)
         assert [x.tolist() + [0] for x in model.encode_all(texts)] == brute_ids(texts)
 
 
@@ -418,7 +421,7 @@ def test_rules_generalise_to_labels_that_the_fit_does_not_see(spark):
 def test_weak_labels_without_any_label(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
-    judged = weak_quality.classify_texts(docs, *weak_quality.fit_weak(docs)).select("doc_id", "quality.kept").join(labels, "doc_id").collect()
+    judged = weak_quality.classify_texts(docs, weak_quality.fit_weak(docs)[0]).select("doc_id", "quality.kept").join(labels, "doc_id").collect()
     bad = [r for r in judged if r["quality"] == 0]
     good = [r for r in judged if r["quality"] == 1]
     assert sum(not r["kept"] for r in bad) >= 0.9 * len(bad) and sum(r["kept"] for r in good) >= 0.97 * len(good)
@@ -445,10 +448,10 @@ def test_quality_of_odd_rows(spark, odd):
     judged = quality_rules.judge_texts(odd, model)
     assert judged.count() == len(ODD) and judged.columns == [*odd.columns, "rules"]
     assert [r["rules"]["n_words"] for r in judged.filter("doc_id = 2").collect()] == [0]
-    assert weak_quality.classify_texts(odd, *weak_quality.fit_weak(odd)).count() == len(ODD)
+    assert weak_quality.classify_texts(odd, weak_quality.fit_weak(odd)[0]).count() == len(ODD)
     nothing = odd.limit(0)
     assert quality_rules.judge_texts(nothing, quality_rules.fit_rules(nothing, labels.limit(0))).count() == 0
-    assert weak_quality.classify_texts(nothing, *weak_quality.fit_weak(nothing)).count() == 0
+    assert weak_quality.classify_texts(nothing, weak_quality.fit_weak(nothing)[0]).count() == 0
 
 
 def test_repeated_words():
