@@ -10,14 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from entityforge.llm import jaccard, mixing, packing, quality_rules, weak_quality
+from entityforge.llm.columns import nested
 from entityforge.llm.registry import tokenizer_path
 from entityforge.llm.scratch import Scratch, small_or_shuffled
 
 
 def _own_name(docs: DataFrame) -> str:
-    """A column name that `docs` lacks."""
-    name = "_verdict"
-    while name in docs.columns:
+    """A column name that `docs` lacks, in whatever case."""
+    name, taken = "_verdict", {c.lower() for c in docs.columns}
+    while name in taken:
         name += "_"
     return name
 
@@ -27,29 +28,31 @@ def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     name = _own_name(docs)
     judged = quality_rules.judge_texts(docs, quality_rules.fit_rules(docs, labels), name=name)
-    return judged.filter(F.col(f"{name}.kept")).select(docs.columns)
+    return judged.filter(F.col(f"{name}.kept")).drop(name)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that the weak-label classifier, fitted on this stage's input, rejects."""
     name = _own_name(docs)
-    judged = weak_quality.classify_texts(docs, *weak_quality.fit_weak(docs), name=name)
-    return judged.filter(F.col(f"{name}.kept")).select(docs.columns)
+    judged = weak_quality.classify_texts(docs, weak_quality.fit_weak(docs)[0], name=name)
+    return judged.filter(F.col(f"{name}.kept")).drop(name)
 
 
 def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one row of each component of near copies: the one with the smallest id.
 
-    Rows, not ids, go or stay: ids may repeat or be null. Rows without words are copies of nothing.
+    Rows, not ids, go or stay: ids may repeat or be null, a null id being the smallest. Of rows that
+    repeat id and text the first by its other columns stays. Rows without words are copies of nothing.
     """
     gone, again = jaccard.spare_copies(docs)
-    same_row = (jaccard.doc_of("doc_id") == F.col("_doc")) & (jaccard.row_key("doc_id", "text") == F.col("_key"))
-    kept = docs.join(small_or_shuffled(gone), same_row, "left_anti")
-    if not again.limit(1).count():
-        return kept
-    twice = kept.join(small_or_shuffled(again), same_row, "left_semi")
-    once = kept.join(small_or_shuffled(again), same_row, "left_anti")
-    return once.unionByName(twice.dropDuplicates(["doc_id", "text"]))
+    rows = nested(docs).select("row", jaccard.doc_of("row.doc_id").alias("doc"), jaccard.row_key("row.doc_id", "row.text").alias("key"))
+    same_row = (F.col("doc") == F.col("_doc")) & (F.col("key") == F.col("_key"))
+    kept = rows.join(small_or_shuffled(gone), same_row, "left_anti")
+    if again.limit(1).count():
+        twice = kept.join(small_or_shuffled(again), same_row, "left_semi")
+        once = kept.join(small_or_shuffled(again), same_row, "left_anti")
+        kept = once.unionByName(twice.groupBy("doc", "key").agg(F.min_by("row", F.to_json("row")).alias("row")), allowMissingColumns=True)
+    return kept.select("row.*")
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
