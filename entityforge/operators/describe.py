@@ -1,7 +1,9 @@
-"""Description enrichment by an injected language-model client."""
+"""Description enrichment by a language-model client: the shipped one, or any that is injected."""
 
 from __future__ import annotations
 
+import json
+import os
 import re
 import time
 from collections.abc import Callable, Iterator
@@ -11,10 +13,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from entityforge.functions.text import strip
+from entityforge.session import cut_lineage
+from entityforge.sources.http import Poster, post_url
 
 #: Descriptions from this length on are useful as they are. Facts sent are cut to this many characters.
 USEFUL_LENGTH, FACTS_LENGTH = 80, 800
 ATTEMPTS = 3
+#: The environment's key and model setting, the model without one, and the public endpoint.
+KEY_SETTING, MODEL_SETTING, DEFAULT_MODEL = "GEMINI_API_KEY", "DESCRIPTION_MODEL", "gemini-3.6-flash"
+ENDPOINT = "https://generativelanguage.googleapis.com/v1beta/models/%s:generateContent"
+TIMEOUT_S = 60
 
 PROMPT = (
     "Write one catalog description, one or two sentences, under 40 words, from these facts only.\n"
@@ -63,16 +71,56 @@ def delay_in(details: object) -> float | None:
     return None
 
 
-def is_quota_error(error: Exception) -> bool:
-    """Whether the service refused for its quota: code 429 or status or message RESOURCE_EXHAUSTED."""
-    status = str(getattr(error, "status", "") or "").upper()
-    return getattr(error, "code", None) == 429 or "RESOURCE_EXHAUSTED" in (status, *str(error).upper().split())
+class ServiceError(Exception):
+    """The service's refusal, with what it said."""
 
+    def __init__(self, code: int, status: str, details: object, message: str = ""):
+        super().__init__(f"{code} {status}. {message}")
+        self.code, self.status, self.details = code, status, details
 
-def describe_one(prompt: str, facts: str, ask: Callable[[str], str], sleep: Callable[[float], None] = time.sleep) -> str:
+
+def is_quota_error(error: Exception, strict: bool = False) -> bool:
+    """Whether the service refused for its quota: code 429, or status or message RESOURCE_EXHAUSTED.
+
+    `strict`: the word must also be in the details where they are an object, and in the message where
+    they are not; a bare code 429 is then no quota error.
+    """
+    word, status, details = "RESOURCE_EXHAUSTED", str(getattr(error, "status", "") or "").upper(), getattr(error, "details", None)
+    refused = getattr(error, "code", None) == 429 or status == word or word in str(error).upper()
+    return refused and (not strict or word in (str(details) if isinstance(details, dict) else str(error)).upper())
+
+
+def client_from_env(post: Poster = post_url) -> Callable[[], Callable[[str], str]] | None:
+    """A client of the service that the environment's key is for; None without a key.
+
+    Key and model are read here, on the driver; each task makes its own connection.
+    """
+    key, model = os.environ.get(KEY_SETTING), os.environ.get(MODEL_SETTING) or DEFAULT_MODEL
+    if not key:
+        return None
+
+    def connect() -> Callable[[str], str]:
+        def ask(prompt: str) -> str:
+            body = json.dumps({"contents": [{"parts": [{"text": prompt}]}]}).encode()
+            answer = post(ENDPOINT % model, {"Content-Type": "application/json", "x-goog-api-key": key}, body, TIMEOUT_S)
+            try:
+                said = json.loads(answer.body or b"{}")
+            except ValueError:
+                said = {}
+            if answer.status != 200:
+                error = said.get("error", {}) if isinstance(said, dict) else {}
+                raise ServiceError(answer.status, error.get("status", ""), said, error.get("message", ""))
+            return said["candidates"][0]["content"]["parts"][0].get("text", "")
+
+        return ask
+
+    return connect
+
+
+def describe_one(prompt: str, facts: str, ask: Callable[[str], str], sleep: Callable[[float], None] = time.sleep, strict: bool = False) -> str:
     """The client's answer, or the facts as they were: for blank facts, an empty answer or any failure.
 
-    A quota error that names a delay is waited out, twice at most.
+    A quota error that names a delay is waited out, twice at most; `strict` as in `is_quota_error`.
     """
     if not facts.strip():
         return facts
@@ -80,7 +128,7 @@ def describe_one(prompt: str, facts: str, ask: Callable[[str], str], sleep: Call
         try:
             return (ask(prompt) or facts).strip() or facts
         except Exception as error:  # noqa: BLE001 - enrichment never fails a run
-            delay = delay_in(getattr(error, "details", None)) if is_quota_error(error) else None
+            delay = delay_in(getattr(error, "details", None)) if is_quota_error(error, strict) else None
             if delay is None or attempt == ATTEMPTS - 1:
                 return facts
             sleep(delay)
@@ -90,7 +138,8 @@ def describe_one(prompt: str, facts: str, ask: Callable[[str], str], sleep: Call
 def describe_all(entities: DataFrame, client: Callable[[], Callable[[str], str]] | None, workers: int = 1) -> DataFrame:
     """Rewrites the descriptions that need it; without a client, the identity.
 
-    Only those rows reach Python, in `workers` partitions, which is what limits the rate of requests.
+    Only those rows reach Python, dealt to `workers` tasks, which is what limits the rate of requests.
+    What was answered is kept in a table of its own, so that a task lost later asks for nothing again.
     """
     if client is None:
         return entities
@@ -101,5 +150,6 @@ def describe_all(entities: DataFrame, client: Callable[[], Callable[[str], str]]
         for batch in batches:
             yield pd.DataFrame({"pos": batch["pos"], "_text": [describe_one(p, d, ask) for p, d in zip(batch["prompt"], batch["description"])]})
 
-    written = asked.coalesce(workers).mapInPandas(run, "pos bigint, _text string")
+    # without the shuffle, all that leads up to the rows would run in as few tasks
+    written = cut_lineage(asked.repartition(workers).mapInPandas(run, "pos bigint, _text string"))
     return entities.join(written, "pos", "left").withColumn("description", F.coalesce("_text", "description")).select(entities.columns)

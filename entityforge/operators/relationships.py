@@ -7,12 +7,9 @@ from pyspark.sql import functions as F
 
 from entityforge.functions.text import first_filled
 from entityforge.operators.classify import text_of
+from entityforge.operators.containment import containment_join
 from entityforge.schema import RELATIONS
-
-#: Rows of a side up to which it is broadcast; beyond, names are cut to grams and joined on those.
-BROADCAST_ROWS = 20_000
-GRAM = 3
-
+from entityforge.session import cut_lineage
 
 def _edges(df: DataFrame, source: Column, relation: str, target: Column, pos_a: Column, pos_b: Column) -> DataFrame:
     kind = F.lit(RELATIONS.index(relation))
@@ -21,37 +18,6 @@ def _edges(df: DataFrame, source: Column, relation: str, target: Column, pos_a:
     )
 
 
-def _pieces(c: Column, size: int) -> Column:
-    """All distinct substrings of `size` characters; of size 0, the empty one."""
-    if size == 0:
-        return F.array(F.lit(""))
-    places = F.length(c) - (size - 1)
-    cut = F.transform(F.sequence(F.lit(1), F.greatest(places, F.lit(1))), lambda i: F.substr(c, i, F.lit(size)))
-    return F.when(places >= 1, F.array_distinct(cut)).otherwise(F.array().cast("array<string>"))
-
-
-def containment_join(left: DataFrame, text: str, right: DataFrame, name: str) -> DataFrame:
-    """Pairs whose `text` (left) holds `name` (right), both in lower case already.
-
-    A right side of few rows is broadcast and compared with every left row. Otherwise a name meets
-    only texts that hold its first gram, and the containment is checked after that; names shorter
-    than a gram meet pieces of their own length.
-    """
-    holds = F.contains(F.col(text), F.col(name))
-    if right.count() <= BROADCAST_ROWS:
-        return left.join(F.broadcast(right), holds)
-    pairs = None
-    for size in range(GRAM + 1):
-        names = right.filter(F.length(name) >= GRAM if size == GRAM else F.length(name) == size)
-        if size < GRAM and not names.limit(1).count():
-            continue
-        keyed = names.withColumn("_gram", F.substring(F.col(name), 1, size) if size else F.lit(""))
-        met = left.withColumn("_piece", F.explode(_pieces(F.col(text), size))).join(keyed, (F.col("_piece") == F.col("_gram")) & holds)
-        met = met.drop("_piece", "_gram")
-        pairs = met if pairs is None else pairs.unionByName(met)
-    return pairs
-
-
 def first_containing(owners: DataFrame, owner: str, companies: DataFrame) -> DataFrame:
     """(owner, company_id): for each distinct owner, the first company in order whose name holds it or is held by it."""
     low = companies.select(F.col("id").alias("company_id"), F.lower("name").alias("_name"), F.col("pos").alias("_pos"))
@@ -65,11 +31,12 @@ def first_containing(owners: DataFrame, owner: str, companies: DataFrame) -> Dat
 def develops(entities: DataFrame) -> DataFrame:
     """Company → anything it owns, provides or makes: at most one company for each entity.
 
-    Distinct owners are matched first, and entities then join on equality.
+    Distinct owners are matched first, and entities then join on equality. The slim table of owners is
+    computed once, so that its filter is not pushed into whatever made the metadata.
     """
     meta = F.col("metadata")
     owner = first_filled(*[text_of(meta, k) for k in ("owner", "provider", "maker")])
-    owned = entities.filter(~F.col("entity_type").isin("company", "task")).select("id", "pos", owner.alias("owner")).filter("owner <> ''")
+    owned = cut_lineage(entities.filter(~F.col("entity_type").isin("company", "task")).select("id", "pos", owner.alias("owner"))).filter("owner <> ''")
     matched = first_containing(owned, "owner", entities.filter("entity_type = 'company'"))
     return _edges(owned.join(matched, "owner"), F.col("company_id"), "develops", F.col("id"), F.col("pos"), F.lit(0))
 

@@ -41,6 +41,40 @@ def json_document(rows: DataFrame, limit: int = 100_000) -> str:
     return json.dumps([json.loads(r[0]) for r in lines], indent=2, ensure_ascii=False)
 
 
+def write_json_array(rows: DataFrame, path: str) -> None:
+    """One file with an indented JSON array, in ingest order where there is one, streamed row by row.
+
+    The driver writes it, one partition of text in memory at a time, to any store that Spark reaches;
+    a large catalog belongs in `write_json`.
+    """
+    spark = rows.sparkSession
+    ordered = rows.orderBy("pos").drop("pos") if "pos" in rows.columns else rows
+    lines = ordered.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("line"))
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = place.getFileSystem(spark._jsc.hadoopConfiguration()).create(place, True)
+    try:
+        mark = "["
+        for row in lines.toLocalIterator():
+            one = json.dumps(json.loads(row["line"]), indent=2, ensure_ascii=False).replace("\n", "\n  ")
+            out.write(bytearray(f"{mark}\n  {one}".encode()))
+            mark = ","
+        out.write(bytearray(b"[]" if mark == "[" else b"\n]"))
+    finally:
+        out.close()
+
+
+def write_report_file(report: DataFrame, path: str) -> None:
+    """The one-row report as one indented JSON file."""
+    spark = report.sparkSession
+    text = json.dumps(json.loads(report.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"})).first()[0]), indent=2, ensure_ascii=False)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = place.getFileSystem(spark._jsc.hadoopConfiguration()).create(place, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
 def write_report(report: DataFrame, path: str) -> None:
     """The one-row report as JSON."""
     report.coalesce(1).write.mode("overwrite").json(path)

@@ -19,7 +19,7 @@ from entityforge.functions.urls import TRACKING, canonical_domain, normalize_url
 from entityforge.operators import classify, clean, dedupe, describe, logos, relationships, report, sinks, validate
 from entityforge.operators.classify import text_of
 from entityforge.schema import TASKS, make_entities, metadata_of
-from entityforge.session import pin
+from entityforge.session import cut_lineage, pin
 from entityforge.sources import payloads
 
 #: The moment that recency is measured at.
@@ -144,9 +144,27 @@ def q_task_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify.task_entities(pin(spark)).select("id", "name", "description", text_of(F.col("metadata"), "slug").alias("slug"))
 
 
+def server_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as MCP servers that work with the part of their own number."""
+    parts = _table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    raw = _table(spark, sf_dir, "supplier").join(parts, F.col("s_suppkey") == F.col("p_partkey"))
+    about = F.concat(F.lit("works with "), F.col("p_name"))
+    return make_entities(raw, F.lit("mcp"), F.col("s_name"), about, F.lit(""), _strings("Servers"), F.lit("supplier"), F.lit(""), None, F.col("s_suppkey"))
+
+
+def model_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of parts as models."""
+    names = _table(spark, sf_dir, "part").groupBy("p_name").agg(F.min("p_partkey").alias("n"))
+    return make_entities(names, F.lit("model"), F.col("p_name"), F.lit(""), F.lit(""), _strings("Models"), F.lit("names"), F.lit(""), None, F.col("n"))
+
+
 def _catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tools, devices, servers, models, companies and tasks, computed once as a run does before it relates them."""
     tools = classify.tag_tasks(part_entities(spark, sf_dir), PART_TASKS)
-    return tools.unionByName(brand_entities(spark, sf_dir)).unionByName(classify.task_entities(spark, PART_TASKS))
+    parts = (part_entities(spark, sf_dir, "device"), server_entities(spark, sf_dir), model_entities(spark, sf_dir), brand_entities(spark, sf_dir), classify.task_entities(spark, PART_TASKS))
+    for part in parts:
+        tools = tools.unionByName(part)
+    return cut_lineage(tools)
 
 
 def q_develops(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,9 +183,7 @@ def q_integrates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = _table(spark, sf_dir, "part").groupBy("p_name").agg(F.min("p_partkey").alias("n"))
-    models = make_entities(names, F.lit("model"), F.col("p_name"), F.lit(""), F.lit(""), _strings("Models"), F.lit("names"), F.lit(""), None, F.col("n"))
-    return relationships.runs(part_entities(spark, sf_dir, "device").unionByName(models)).select("from", "relation", "to")
+    return relationships.runs(part_entities(spark, sf_dir, "device").unionByName(model_entities(spark, sf_dir))).select("from", "relation", "to")
 
 
 def q_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -187,17 +203,42 @@ def q_validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate.validate_all(_checked(spark, sf_dir))[1]
 
 
+def q_validate_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All customers, each broken in one way by its number, under the rules that whole rows never break."""
+    raw = _table(spark, sf_dir, "customer")
+    about, n = F.lit("a customer of some country"), F.pmod(F.col("pos"), F.lit(7))
+    url = F.concat(F.lit("https://c"), F.col("c_custkey"), F.lit(".example.com"))
+    whole = make_entities(raw, F.lit("company"), F.col("c_name"), about, url, _strings("Customers"), F.lit("customer"), url, None, F.col("c_custkey"))
+    broken = whole.withColumns({
+        "id": F.when(n == 0, F.lit(None).cast("string")).otherwise(F.col("id")),
+        "entity_type": F.when(n == 1, "").when(n == 2, "planet").otherwise(F.col("entity_type")),
+        "categories": F.when(n == 3, F.array().cast("array<string>")).otherwise(F.col("categories")),
+        "source": F.when(n == 4, F.lit(None)).when(n == 5, F.struct(F.lit("customer").alias("name"), F.lit("no url").alias("url"))).otherwise(F.col("source")),
+    })
+    return validate.with_issues(broken).select("pos", F.array_join("issues", "; ").alias("issues"))
+
+
+def q_first_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a run prints of its issues: the first ten in ingest order."""
+    return validate.invalid_rows(document_entities(spark, sf_dir).withColumn("url", F.lit("nowhere"))).orderBy("pos").limit(10).select("pos", "name", F.array_join("issues", "; ").alias("issues"))
+
+
 def q_quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    entities = _checked(spark, sf_dir)
-    valid, counts = validate.validate_all(entities)
-    n, failures = entities.count(), counts.first()["invalid"]
+    """All 17 fields for parts with a site per name, their brands, suppliers without a url, and the tasks."""
+    parts = part_entities(spark, sf_dir)
+    tools = parts.withColumn("url", F.concat(F.lit("https://"), F.replace("name", F.lit(" "), F.lit("-")), F.lit(".example.com")))
+    about = F.lit("a supplier without a site")
+    suppliers = make_entities(
+        _table(spark, sf_dir, "supplier"), F.lit("device"), F.col("s_name"), about, F.lit(""), _strings("Devices"), F.lit("supplier"), F.lit(""), None, F.col("s_suppkey") + (1 << 40)
+    )
+    found = tools.unionByName(brand_entities(spark, sf_dir).withColumn("pos", F.col("pos") + (1 << 50))).unionByName(suppliers)
+    resolved = cut_lineage(dedupe.dedupe(found))
+    valid, counts = validate.validate_all(resolved.unionByName(classify.task_entities(spark, PART_TASKS)))
     edges = relationships.develops(valid).select("from", "relation", "to")
-    made = report.quality_report(valid, edges, n, n, failures, F.lit(NOW).cast("timestamp"))
-    return made.select(
-        "total_records_discovered", "records_cleaned", "records_deduplicated", "final_record_count", "records_with_missing_descriptions",
-        "records_with_missing_official_urls", "records_with_missing_logos", "validation_failures",
-        F.to_json("records_by_entity_type").alias("by_type"), F.to_json("source_counts").alias("by_source"), F.col("relationship_counts.total").alias("edges"), "timestamp",
-    )
+    made = report.quality_report(valid, edges, found.count(), resolved.count(), counts.first()["invalid"], F.lit(NOW).cast("timestamp"))
+    maps = {"records_by_entity_type": "by_type", "source_counts": "by_source"}
+    plain = [c for c in made.columns if c not in (*maps, "relationship_counts")]
+    return made.select(*plain, *[F.to_json(c).alias(name) for c, name in maps.items()], F.col("relationship_counts.total").alias("edges"))
 
 
 def q_llm_eligible(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -216,10 +257,46 @@ def q_union_modules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_feed_health(spark: SparkSession, sf_dir: str) -> DataFrame:
-    feeds = _table(spark, sf_dir, "nation").select(F.col("n_name").alias("source_name"))
-    entries = _table(spark, sf_dir, "customer").join(_table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    rich = entries.filter("c_acctbal > 9000").select(F.col("n_name").alias("source_name"))
-    return payloads.feed_health(feeds, rich)
+    """Nations as feeds of their customers; regions are feeds without entries."""
+    nations = _table(spark, sf_dir, "nation").select(F.col("n_name").alias("source_name"), "n_nationkey")
+    feeds = nations.select("source_name").unionByName(_table(spark, sf_dir, "region").select(F.col("r_name").alias("source_name")))
+    entries = _table(spark, sf_dir, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+    return payloads.feed_health(feeds, entries)
+
+
+def _site(url: str):
+    """A made-up answer to any url: pages name two icons, of which the first is no image or too small on some pages."""
+    if not url.endswith((".png", ".svg")):
+        return 200, {"content-type": "text/html"}, f'<link rel="icon" href="/{len(url) % 3}.png"><link rel="icon" href="/b.svg">'
+    kind = "text/html" if url.endswith("/1.png") else "image/png"
+    return 200, {"content-type": kind, "content-length": "10" if url.endswith("/2.png") else "5000"}, ""
+
+
+def q_find_logo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Logos of all pages' sites, as an offline client answers."""
+    pages = _table(spark, sf_dir, "pages")
+    site = F.concat(F.lit("https://"), F.regexp_extract("url", "^[^:/?#]*://([^/?#]*)", 1), F.lit("/p"), F.col("page_id").cast("string"))
+    rows = make_entities(pages, F.lit("news"), F.lit("page"), F.lit(""), site, _strings("News"), F.lit("pages"), F.lit(""), None, F.col("page_id"))
+    return logos.find_logos(rows, lambda: _site).select("pos", "url", "logo_url")
+
+
+def q_skip_logos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return logos.find_logos(part_entities(spark, sf_dir), None).select("pos", "logo_url")
+
+
+def q_describe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Descriptions of all parts and documents, as an offline client writes them; it refuses one type of part."""
+
+    def client():
+        def ask(prompt: str) -> str:
+            if "Facts: PROMO" in prompt:
+                raise OSError("refused")
+            return f" written for {prompt.partition('Type: ')[2].partition(chr(10))[0]} "
+
+        return ask
+
+    rows = part_entities(spark, sf_dir).unionByName(document_entities(spark, sf_dir).withColumn("pos", F.col("pos") + (1 << 40)))
+    return describe.describe_all(rows, client, 2).select("entity_type", "pos", "description")
 
 
 def q_logo_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -231,7 +308,21 @@ def q_logo_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_csv_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sinks.flat_rows(brand_entities(spark, sf_dir).withColumn("metadata", metadata_of(n=F.col("pos"), none=F.lit(None).cast("string"))))
+    """All parts as rows of the CSV export, with marks that JSON escapes."""
+    about = metadata_of(maker=F.col("source.name"), note=F.concat(F.lit('say "'), F.col("name"), F.lit('"')), size=F.col("pos"), none=F.lit(None).cast("string"))
+    return sinks.flat_rows(part_entities(spark, sf_dir).withColumn("metadata", about))
+
+
+def q_parse_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All suppliers as rows of a seed file, some without a name."""
+    n = F.pmod(F.col("s_suppkey"), F.lit(4))
+    raw = _table(spark, sf_dir, "supplier").select(
+        F.when(n == 0, " ").when(n == 1, F.lit(None).cast("string")).otherwise(F.col("s_name")).alias("name"), F.concat(F.lit("https://s"), "s_suppkey", F.lit(".example.com")).alias("url"),
+        F.when(n == 2, F.lit(None).cast("string")).otherwise(F.lit(" about it ")).alias("description"), metadata_of(nation=F.col("s_nationkey")).alias("metadata"), "s_suppkey",
+    )
+    found = payloads.parse_seeds(raw, "tool", ("Tools",), F.col("s_suppkey"))
+    source = F.concat_ws("|", "source.name", "source.url")
+    return found.select("pos", "id", "name", "description", "url", F.array_join("categories", "; ").alias("categories"), source.alias("source"), text_of(F.col("metadata"), "nation").alias("nation"))
 
 
 def q_parse_repositories(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -354,6 +445,15 @@ _DEVELOPS = (
 _SOLVES = (
     f"SELECT p.id AS \"from\", 'solves' AS relation, t.id AS \"to\" FROM (SELECT {_PART_ID} AS id, unnest({_PART_FOUND}) AS slug FROM part) p JOIN {_task_rows(PART_TASKS)} t USING (slug)"
 )
+_DEVICE_ID = _uuid("concat('device|', lower(trim(p_name)), '|')")
+_MODEL_ID = _uuid("concat('model|', lower(trim(p_name)), '|')")
+_DEVELOPS_ALL = f"{_DEVELOPS} UNION ALL " + _DEVELOPS.replace(_PART_ID, _DEVICE_ID)
+_RUNS = f"SELECT {_DEVICE_ID} AS \"from\", 'runs' AS relation, {_MODEL_ID} AS \"to\" FROM part"
+_INTEGRATES = (
+    f"SELECT s.id AS \"from\", 'integrates_with' AS relation, n.id AS \"to\" FROM (SELECT {_uuid("concat('mcp|', lower(trim(s_name)), '|')")} AS id, "
+    "lower(trim(s_name) || ' works with ' || trim(p_name)) AS text FROM supplier JOIN part ON s_suppkey = p_partkey) s "
+    f"JOIN (SELECT DISTINCT lower(trim(p_name)) AS name, {_PART_ID} AS id FROM part UNION SELECT DISTINCT lower(trim(p_name)), {_MODEL_ID} FROM part) n ON contains(s.text, n.name)"
+)
 _ISSUES = (
     "array_to_string(list_filter([CASE WHEN coalesce(name, '') = '' THEN 'missing name' END, CASE WHEN coalesce(name, '') = '' THEN 'missing name' END, "
     "CASE WHEN regexp_full_match(name, '(placeholder|todo|dummy|example|test)\\b.*', 'i') THEN 'placeholder name' END, CASE WHEN coalesce(source, '') = '' THEN 'missing source.name' END, "
@@ -391,29 +491,46 @@ arg_max(p_brand, p_partkey) AS maker, arg_max(p_size, p_partkey)::VARCHAR AS siz
         "THEN array_to_string(list_sort(list_distinct(['Zeta', event_type, 'New'])), '; ') ELSE 'Zeta; ' || event_type END AS categories FROM events",
         "q_tag_tasks": f"SELECT p_partkey AS pos, '[' || array_to_string(list_transform({_PART_FOUND}, lambda t: '\"' || t || '\"'), ',') || ']' AS tasks FROM part",
         "q_task_dim": f"SELECT id, name, 'Things you can do with AI related to ' || replace(slug, '-', ' ') || '.' AS description, slug FROM {_task_rows(TASKS)}",
-        "q_develops": _DEVELOPS,
+        "q_develops": _DEVELOPS_ALL,
         "q_solves": _SOLVES,
         "q_integrates": f"SELECT d.id AS \"from\", 'integrates_with' AS relation, {_uuid('''concat('model|', lower(trim(b.text)), '|')''')} AS \"to\" "
         f"FROM ({_DOCS.replace('repository|', 'mcp|')}) d JOIN benchmark b ON contains(lower(d.name || ' ' || d.description), lower(trim(b.text)))",
-        "q_runs": f"SELECT {_uuid('''concat('device|', lower(trim(p_name)), '|')''')} AS \"from\", 'runs' AS relation, {_uuid('''concat('model|', lower(trim(p_name)), '|')''')} AS \"to\" FROM part",
-        "q_relationships": f"SELECT DISTINCT * FROM ({_DEVELOPS} UNION ALL {_SOLVES})",
+        "q_runs": _RUNS,
+        "q_relationships": f"SELECT DISTINCT * FROM ({_DEVELOPS_ALL} UNION ALL {_SOLVES} UNION ALL {_RUNS} UNION ALL {_INTEGRATES})",
         "q_validate": f"SELECT entity_type, pos, id, url, issues FROM ({_CHECKED})",
         "q_validation_report": f"SELECT count(*) FILTER (issues = '') AS valid, count(*) FILTER (issues <> '') AS invalid FROM ({_CHECKED})",
-        "q_quality_report": f"""WITH c AS ({_CHECKED}), v AS (SELECT * FROM c WHERE issues = '')
-SELECT (SELECT count(*) FROM c) AS total_records_discovered, (SELECT count(*) FROM c) AS records_cleaned, 0::BIGINT AS records_deduplicated, count(*) AS final_record_count,
-0::BIGINT AS records_with_missing_descriptions, count(*) FILTER (url = '') AS records_with_missing_official_urls, count(*) AS records_with_missing_logos,
-(SELECT count(*) FROM c WHERE issues <> '') AS validation_failures, (SELECT {by} FROM (SELECT entity_type AS k, count(*) AS n FROM v GROUP BY 1)) AS by_type,
-(SELECT {by} FROM (SELECT source AS k, count(*) AS n FROM v GROUP BY 1)) AS by_source, 0::BIGINT AS edges, '2024-01-31T00:00:00.000000+00:00' AS timestamp FROM v""",
+        "q_validate_rules": "SELECT c_custkey AS pos, ['missing id', 'missing entity_type; invalid entity_type', 'invalid entity_type', 'missing categories', 'missing source; missing source.name', "
+        "'invalid source.url', ''][c_custkey % 7 + 1] AS issues FROM customer",
+        "q_first_issues": f"SELECT pos, name, 'invalid url' || CASE WHEN coalesce(description, '') = '' THEN '; missing description' WHEN length(description) < 8 THEN '; description too short' ELSE '' END AS issues "
+        f"FROM ({_DOCS}) ORDER BY pos LIMIT 10",
+        "q_quality_report": f"""WITH p AS (SELECT *, {_CANONICAL.format('p_name')} AS k FROM part),
+a AS (SELECT k, arg_max(p_brand, p_partkey) AS maker, max(length(trim(p_type))) >= {validate.MIN_DESCRIPTION} AS valid FROM p GROUP BY k), m AS (SELECT * FROM a WHERE valid), v AS (SELECT 'company' AS t, 'brands' AS s FROM (SELECT DISTINCT p_brand FROM part)
+UNION ALL SELECT 'tool', 'part' FROM m UNION ALL SELECT 'task', 'Manual/Taxonomy' FROM range({len(PART_TASKS)})),
+n AS (SELECT (SELECT count(*) FROM part) + (SELECT count(*) FROM supplier) + (SELECT count(DISTINCT p_brand) FROM part) AS found, (SELECT count(*) FROM a) + (SELECT count(*) FROM supplier) + (SELECT count(DISTINCT p_brand) FROM part) AS kept)
+SELECT found AS total_records_discovered, found AS total_records_extracted, kept AS records_cleaned, found - kept AS records_deduplicated, (SELECT count(*) FROM v) AS final_record_count,
+0::BIGINT AS records_with_missing_descriptions, {len(PART_TASKS)}::BIGINT AS records_with_missing_official_urls, (SELECT count(*) FROM v) AS records_with_missing_logos, 0::BIGINT AS invalid_urls,
+found - kept AS duplicate_count, 0::BIGINT AS duplicate_relationships, (SELECT count(*) FROM supplier) + (SELECT count(*) FROM a WHERE NOT valid) AS validation_failures, 0::BIGINT AS validation_warnings,
+(SELECT {by} FROM (SELECT t AS k, count(*) AS n FROM v GROUP BY 1)) AS by_type, (SELECT {by} FROM (SELECT s AS k, count(*) AS n FROM v GROUP BY 1)) AS by_source,
+(SELECT count(*) FROM m WHERE EXISTS (SELECT 1 FROM part b WHERE contains(lower(m.maker), lower(b.p_brand)) OR contains(lower(b.p_brand), lower(m.maker)))) AS edges,
+'2024-01-31T00:00:00.000000+00:00' AS timestamp FROM n""",
         "q_llm_eligible": f"SELECT pos, description FROM ({_DOCS}) WHERE length(description) BETWEEN 1 AND 79",
         "q_topk_per_group": "SELECT p_brand, p_partkey FROM part QUALIFY row_number() OVER (PARTITION BY p_brand ORDER BY p_retailprice DESC, p_partkey) <= 3",
         "q_union_modules": f"SELECT entity_type, count(*) AS n, count(DISTINCT id) AS ids, min(name) AS first_name FROM (SELECT entity_type, id, name FROM ({_PAGES}) UNION ALL "
         f"SELECT 'tool', {_PART_ID}, trim(p_name) FROM part UNION ALL SELECT entity_type, id, name FROM ({_DOCS})) GROUP BY 1",
-        "q_feed_health": "SELECT n_name AS source_name, count(c_custkey) AS entries, CASE WHEN count(c_custkey) > 0 THEN 'OK' ELSE 'EMPTY/FAILED' END AS status "
-        "FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey AND c_acctbal > 9000 GROUP BY 1",
+        "q_feed_health": "SELECT f.name AS source_name, count(c_custkey) AS entries, CASE WHEN count(c_custkey) > 0 THEN 'OK' ELSE 'EMPTY/FAILED' END AS status "
+        "FROM (SELECT n_name AS name, n_nationkey AS key FROM nation UNION ALL SELECT r_name, -1 FROM region) f LEFT JOIN customer ON c_nationkey = f.key GROUP BY 1",
+        "q_find_logo": "SELECT page_id AS pos, url, root || CASE WHEN length(url) % 3 = 0 THEN '/0.png' ELSE '/b.svg' END AS logo_url FROM (SELECT page_id, root || '/p' || page_id AS url, root "
+        "FROM (SELECT page_id, 'https://' || regexp_extract(url, '^[^:/?#]*://([^/?#]*)', 1) AS root FROM pages))",
+        "q_skip_logos": "SELECT p_partkey AS pos, '' AS logo_url FROM part",
+        "q_describe": "SELECT t AS entity_type, pos, CASE WHEN length(d) BETWEEN 1 AND 79 AND NOT starts_with(d, 'PROMO') THEN 'written for ' || t ELSE d END AS description FROM "
+        f"(SELECT 'tool' AS t, p_partkey AS pos, trim(p_type) AS d FROM part UNION ALL SELECT entity_type, pos + 1099511627776, coalesce(description, '') FROM ({_DOCS}))",
         "q_logo_candidates": "SELECT page_id, regexp_extract(url, '^([^:/?#]*://[^/?#]*)', 1) || '/i' || page_id || '.png ' || regexp_extract(url, '^([^:/?#]*):', 1) || "
         "'://cdn.example.org/o.png https://t.example.org/t.png' AS candidates FROM pages",
-        "q_csv_flatten": f"SELECT {_BRAND_ID} AS id, 'company' AS entity_type, name, 'a maker of parts' AS description, 'https://brand' || n || '.example.com' AS url, '' AS logo_url, "
-        f"'Companies' AS categories, 'brands' AS source_name, 'https://brand' || n || '.example.com' AS source_url, '{{\"n\":' || n || ',\"none\":null}}' AS metadata_json FROM ({_BRANDS})",
+        "q_csv_flatten": f"SELECT {_PART_ID} AS id, 'tool' AS entity_type, trim(p_name) AS name, trim(p_type) AS description, '' AS url, '' AS logo_url, 'Parts; ' || p_brand AS categories, "
+        "'part' AS source_name, '' AS source_url, '{\"maker\":\"part\",\"note\":\"say \\\"' || trim(p_name) || '\\\"\",\"size\":' || p_partkey || ',\"none\":null}' AS metadata_json FROM part",
+        "q_parse_seeds": f"SELECT s_suppkey AS pos, {_uuid("concat('tool|', lower(trim(s_name)), '|https://s', s_suppkey, '.example.com')")} AS id, trim(s_name) AS name, "
+        "CASE WHEN s_suppkey % 4 = 2 THEN '' ELSE 'about it' END AS description, 'https://s' || s_suppkey || '.example.com' AS url, 'Tools' AS categories, "
+        "'Manual/Research|https://s' || s_suppkey || '.example.com' AS source, s_nationkey::VARCHAR AS nation FROM supplier WHERE s_suppkey % 4 > 1",
         "q_parse_repositories": f"SELECT p_partkey AS pos, {_uuid('''concat('repository|', lower(trim(p_brand || '/' || p_name)), '|', u)''')} AS id, trim(p_brand || '/' || p_name) AS name, u AS url, "
         "'Repositories; Extra' AS categories, 'https://code.example.com/' || p_partkey AS source_url, p_partkey::VARCHAR AS stars, p_brand AS owner, 'MIT' AS license, true AS has_language "
         "FROM (SELECT *, CASE WHEN p_size > 25 THEN 'https://home.example.com/' ELSE 'https://code.example.com/' END || p_partkey AS u FROM part)",

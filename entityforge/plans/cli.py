@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import argparse
 
+from entityforge.operators.describe import client_from_env
 from entityforge.plans.pipeline import PipelineConfig, run
 from entityforge.session import build_session
 from entityforge.sources.connectors import PRESETS, check_feeds, chosen_modules, load_env
+from entityforge.sources.http import Opener, Poster, open_url, post_url
 
 
 def parser() -> argparse.ArgumentParser:
@@ -19,11 +21,12 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--check-feeds", action="store_true", help="only say which feeds answer")
     p.add_argument("--seed-dir", default="seeds")
     p.add_argument("--out-dir", default="out")
+    p.add_argument("--json-lines", action="store_true", help="folders of JSON lines, for large catalogs, instead of JSON arrays")
     return p
 
 
-def main(argv: list[str] | None = None) -> int:
-    """Runs what the options say."""
+def main(argv: list[str] | None = None, opener: Opener = open_url, post: Poster = post_url) -> int:
+    """Runs what the options say. Descriptions are written where the environment has the service's key."""
     load_env()
     p = parser()
     args = p.parse_args(argv)
@@ -35,9 +38,13 @@ def main(argv: list[str] | None = None) -> int:
         modules = chosen_modules(args.module)
     except ValueError as error:
         p.error(str(error))
-    # clients that reach the network are the caller's to give; the command line knows none but plain HTTP for pages
-    client = None if args.skip_logos else page_client
-    result = run(spark, PipelineConfig(modules, args.limit, args.seed_dir, args.out_dir, logo_client=client))
+    config = PipelineConfig(
+        modules, args.limit, args.seed_dir, args.out_dir, opener, logo_client=None if args.skip_logos else page_client,
+        describe_client=None if args.skip_descriptions else client_from_env(post), json_arrays=not args.json_lines,
+    )
+    result = run(spark, config)
+    for step, n in result.counts.items():
+        print(f"{step}: {n}")
     result.report.show(vertical=True, truncate=False)
     result.issues.limit(10).show(truncate=False)
     return 0

@@ -31,16 +31,19 @@ class PipelineConfig:
     recent_days: int = 30
     domain_key: bool = True
     exempt_hosts: tuple[str, ...] = ()
+    #: One JSON array file for each table and the report, as small catalogs want them; else folders of JSON lines.
+    json_arrays: bool = False
 
 
 @dataclass
 class Result:
-    """Tables of a run."""
+    """Tables of a run, and how many records each step left."""
 
     entities: DataFrame
     edges: DataFrame
     report: DataFrame
     issues: DataFrame
+    counts: dict[str, int] = field(default_factory=dict)
 
 
 def union_modules(spark: SparkSession, config: PipelineConfig) -> DataFrame:
@@ -64,20 +67,27 @@ def process(raw: DataFrame, config: PipelineConfig) -> Result:
     valid = checked.filter(F.size("issues") == 0).drop("issues")
     issues = checked.filter(F.size("issues") > 0).select("pos", "name", "issues")
     edges = cut_lineage(relationships.build_relationships(valid))
-    counts = [df.count() for df in (raw, resolved, issues)]
-    log.info("discovered %d, resolved %d, invalid %d", *counts)
-    return Result(valid, edges, report.quality_report(valid, edges, *counts, now), issues)
+    steps = {"discovered": raw, "after dedupe": resolved, "valid": valid, "invalid": issues, "relationships": edges}
+    counts = {name: df.count() for name, df in steps.items()}
+    log.info("%s", counts)
+    measured = report.quality_report(valid, edges, counts["discovered"], counts["after dedupe"], counts["invalid"], now)
+    return Result(valid, edges, measured, issues, counts)
 
 
-def export(result: Result, out_dir: str) -> None:
+def export(result: Result, out_dir: str, json_arrays: bool = False) -> None:
     """Writes entities, edges, CSV and report under `out_dir`, over what was there."""
-    sinks.write_json(result.entities, result.edges, f"{out_dir}/entities", f"{out_dir}/relationships")
+    if json_arrays:
+        sinks.write_json_array(result.entities, f"{out_dir}/entities.json")
+        sinks.write_json_array(result.edges, f"{out_dir}/relationships.json")
+        sinks.write_report_file(result.report, f"{out_dir}/quality_report.json")
+    else:
+        sinks.write_json(result.entities, result.edges, f"{out_dir}/entities", f"{out_dir}/relationships")
+        sinks.write_report(result.report, f"{out_dir}/quality_report")
     sinks.write_csv(result.entities, f"{out_dir}/dataset_csv")
-    sinks.write_report(result.report, f"{out_dir}/quality_report")
 
 
 def run(spark: SparkSession, config: PipelineConfig) -> Result:
     """Fetches, processes and exports."""
     result = process(union_modules(pin(spark), config), config)
-    export(result, config.out_dir)
+    export(result, config.out_dir, config.json_arrays)
     return result

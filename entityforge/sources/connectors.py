@@ -11,6 +11,7 @@ import logging
 import os
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from html.parser import HTMLParser
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -98,12 +99,65 @@ def scan_videos(spark: SparkSession, query: str, limit: int = 25, opener: Opener
     return _scan(spark, [query], read, payloads.VIDEO)
 
 
+class _LooseFeed(HTMLParser):
+    """Reads the entries of a feed with stray ampersands, unclosed tags or a cut end."""
+
+    WANTED = ("title", "summary", "description", "link", "published", "pubdate", "updated")
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.found: list[dict[str, str]] = []
+        self.inside, self.field = False, ""
+
+    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        tag = tag.rpartition(":")[2]
+        if tag in ("item", "entry"):
+            self.found.append({})
+            self.inside, self.field = True, ""
+        elif self.inside and tag in self.WANTED:
+            self.field = tag
+            href = dict(attrs).get("href") if tag == "link" else None
+            if href:
+                self.found[-1].setdefault("link", href)
+
+    def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        self.handle_starttag(tag, attrs)
+        self.field = ""
+
+    def handle_endtag(self, tag: str) -> None:
+        tag = tag.rpartition(":")[2]
+        if tag in ("item", "entry"):
+            self.inside = False
+        if tag == self.field:
+            self.field = ""
+
+    def handle_data(self, data: str) -> None:
+        if self.inside and self.field:
+            self.found[-1][self.field] = self.found[-1].get(self.field, "") + data
+
+    def unknown_decl(self, data: str) -> None:
+        self.handle_data(data.removeprefix("CDATA["))
+
+    @classmethod
+    def entries(cls, xml: bytes, limit: int) -> list[dict]:
+        """The first entries."""
+        reader = cls()
+        reader.feed(xml.decode("utf-8", "replace"))
+        reader.close()
+        out = []
+        for e in reader.found[:limit]:
+            e = {k: v.strip() for k, v in e.items() if v.strip()}
+            published = e.get("published") or e.get("pubdate") or e.get("updated")
+            out.append({"title": e.get("title"), "summary": e.get("summary") or e.get("description"), "description": e.get("description"), "link": e.get("link"), "published": published})
+        return out
+
+
 def entries_of(xml: bytes, limit: int) -> list[dict]:
-    """The first entries of an RSS or Atom document; none if it is not well formed."""
+    """The first entries of an RSS or Atom document; one that is not well formed is read as far as its tags tell."""
     try:
         root = ElementTree.fromstring(xml)
     except ElementTree.ParseError:
-        return []
+        return _LooseFeed.entries(xml, limit)
     out = []
     for node in root.iter():
         if node.tag.rpartition("}")[2] not in ("item", "entry"):

@@ -39,6 +39,19 @@ def open_url(url: str, headers: dict[str, str], timeout: float) -> Answer:
         return Answer(error.code, b"", {k.lower(): v for k, v in error.headers.items()})
 
 
+#: (url, headers, body, timeout) → answer, whatever its status; raises OSError when there is none.
+Poster = Callable[[str, dict[str, str], bytes, float], Answer]
+
+
+def post_url(url: str, headers: dict[str, str], body: bytes, timeout: float) -> Answer:
+    """One POST by the standard library."""
+    try:
+        with urllib.request.urlopen(urllib.request.Request(url, data=body, headers=headers, method="POST"), timeout=timeout) as got:  # noqa: S310
+            return Answer(got.status, got.read(), {k.lower(): v for k, v in got.headers.items()})
+    except urllib.error.HTTPError as error:
+        return Answer(error.code, error.read(), {k.lower(): v for k, v in error.headers.items()})
+
+
 def get_with_retry(
     url: str, params: dict | None = None, headers: dict[str, str] | None = None, attempts: int = ATTEMPTS, timeout: float = TIMEOUT_S,
     opener: Opener = open_url, sleep: Callable[[float], None] = time.sleep,

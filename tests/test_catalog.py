@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import random
 import sys
 
@@ -10,11 +11,12 @@ import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from entityforge.operators import classify, dedupe, describe, logos, relationships, report, sinks, validate
+from entityforge.operators import classify, containment, dedupe, describe, logos, relationships, report, sinks, validate
 from entityforge.plans import catalog
 from entityforge.plans.pipeline import PipelineConfig, export, process
 from entityforge.schema import make_entities
 from entityforge.sources import connectors, http, payloads
+from entityforge.sources.http import Answer
 
 # workers do not import test modules
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -119,8 +121,21 @@ def test_containment_join_beyond_the_broadcast_size(spark, monkeypatch):
     right = spark.createDataFrame([("abc",), ("x",), ("yz",), ("nope",), ("",)], "n string")
     expected = {(t, n) for t in ("abcd x", "xyz", "") for n in ("abc", "x", "yz", "nope", "") if n in t}
     assert {tuple(r) for r in relationships.containment_join(left, "t", right, "n").collect()} == expected
-    monkeypatch.setattr(relationships, "BROADCAST_ROWS", 0)
-    assert {tuple(r) for r in relationships.containment_join(left, "t", right, "n").collect()} == expected
+    for limit in ("NAMES", "NAME_CHARS"):
+        with monkeypatch.context() as m:
+            m.setattr(containment, limit, 0)
+            got = [tuple(r) for r in relationships.containment_join(left, "t", right, "n").collect()]
+            assert set(got) == expected and len(got) == len(expected)
+
+
+def test_containment_by_grams_of_odd_rows(spark):
+    """Repeated, null and wide texts, and columns named alike on both sides of other joins."""
+    left = spark.createDataFrame([("日本語のテキスト", 1), ("日本語のテキスト", 2), (None, 3), ("aaa", 4), ("", 5)], "_name string, k int")
+    right = spark.createDataFrame([("本語の", 1), ("a", 2), ("a", 3), (None, 4), ("aaaa", 5), ("語", 6)], "n string, j int")
+    want = sorted((t, k, n, j) for t, k in [("日本語のテキスト", 1), ("日本語のテキスト", 2), ("aaa", 4), ("", 5)] for n, j in [("本語の", 1), ("a", 2), ("a", 3), ("aaaa", 5), ("語", 6)] if n in t)
+    assert sorted(map(tuple, containment._by_rarest_gram(left, "_name", right, "n").collect())) == want
+    assert sorted(map(tuple, containment.containment_join(left, "_name", right, "n").collect())) == want
+    assert containment.containment_join(left, "_name", right.limit(0), "n").count() == 0
 
 
 class Quota(Exception):
@@ -143,6 +158,44 @@ def test_describe():
     assert waited == [51.0, 51.0] and len(calls) == 3
 
 
+def test_quota_rule_of_details():
+    """Strictly, the word has to be in the details where there are any."""
+    error = describe.ServiceError(429, "RESOURCE_EXHAUSTED", {"error": {"message": "slow down"}})
+    bare = describe.ServiceError(429, "", None)
+    named = describe.ServiceError(429, "", {"error": {"status": "RESOURCE_EXHAUSTED"}})
+    assert [describe.is_quota_error(e) for e in (error, bare, named)] == [True, True, True]
+    assert [describe.is_quota_error(e, strict=True) for e in (error, bare, named)] == [False, False, True]
+
+
+def test_shipped_client(monkeypatch):
+    monkeypatch.delenv("GEMINI_API_KEY", raising=False)
+    assert describe.client_from_env() is None
+    monkeypatch.setenv("GEMINI_API_KEY", "k")
+    monkeypatch.setenv("DESCRIPTION_MODEL", "some-model")
+    asked = []
+
+    def post(url, headers, body, timeout):
+        asked.append((url, headers["x-goog-api-key"], json.loads(body)["contents"][0]["parts"][0]["text"]))
+        if len(asked) == 1:
+            return Answer(429, json.dumps({"error": {"status": "RESOURCE_EXHAUSTED", "details": [{"retryDelay": "2s"}]}}).encode())
+        return Answer(200, json.dumps({"candidates": [{"content": {"parts": [{"text": " said "}]}}]}).encode())
+
+    waited = []
+    assert describe.describe_one("p", "facts", describe.client_from_env(post)(), waited.append) == "said"
+    assert waited == [2.0] and asked[0][0].endswith("/models/some-model:generateContent") and asked[0][1:] == ("k", "p")
+    broken = describe.client_from_env(lambda *a: Answer(200, b"{}"))()
+    assert describe.describe_one("p", "facts", broken, waited.append) == "facts"
+
+
+def test_feeds_that_are_not_well_formed():
+    feed = b"""<rss><channel><title>feed</title><item><title>A & B</title><link>https://e.org/a?x=1&y=2</link><description><![CDATA[<b>hi</b>]]></description><pubDate>now</pubDate></item>
+<entry><title>C</title><link href="https://e.org/c"/><summary>s</summary><dc:updated>then</dc:updated></entry><item><title>cut"""
+    got = connectors.entries_of(feed, 10)
+    assert [(e["title"], e["link"]) for e in got] == [("A & B", "https://e.org/a?x=1&y=2"), ("C", "https://e.org/c"), ("cut", None)]
+    assert got[0]["description"] == "<b>hi</b>" and got[0]["published"] == "now" and got[1]["summary"] == "s" and got[1]["published"] == "then"
+    assert len(connectors.entries_of(feed, 1)) == 1 and connectors.entries_of(b"no feed", 5) == []
+
+
 def test_describe_all_asks_for_short_texts_only(spark):
     rows = entities(spark, ("tool", "a", "short text", ""), ("tool", "b", "", ""), ("tool", "c", "x" * 100, ""))
     out = {r["name"]: r["description"] for r in describe.describe_all(rows, lambda: lambda prompt: "written").collect()}
@@ -231,9 +284,37 @@ def test_pipeline_and_sinks(spark, tmp_path):
     lines = list(csv.reader(text.splitlines()))
     assert lines[0] == list(sinks.CSV_COLUMNS) and lines[2][3] == 'writes "code" for you, é' and lines[2][4] == "https://coder.com" and text.endswith("\r\n")
     assert "Coder" in sinks.json_document(result.entities)
+    export(result, str(tmp_path / "arrays"), json_arrays=True)
+    export(result, str(tmp_path / "arrays"), json_arrays=True)
+    found = json.loads((tmp_path / "arrays/entities.json").read_text())
+    assert [e["name"] for e in found][:2] == ["Acme", "Coder"] and len(found) == 12 and "pos" not in found[0]
+    assert len(json.loads((tmp_path / "arrays/relationships.json").read_text())) == result.counts["relationships"]
+    assert json.loads((tmp_path / "arrays/quality_report.json").read_text())["final_record_count"] == 12
+    sinks.write_json_array(result.edges.limit(0), str(tmp_path / "none.json"))
+    assert json.loads((tmp_path / "none.json").read_text()) == []
+    assert result.counts == {"discovered": 3, "after dedupe": 3, "valid": 12, "invalid": 1, "relationships": result.edges.count()}
     assert report.count_map(rows, F.col("entity_type")).first()["counts"] == {"company": 1, "tool": 2}
 
 
+def test_command_line_end_to_end(spark, tmp_path, monkeypatch, capsys):
+    """Seeds to files, with descriptions by an offline service, and without them."""
+    from entityforge.plans import cli
+
+    monkeypatch.chdir(tmp_path)
+    monkeypatch.setattr(cli, "build_session", lambda: spark)
+    monkeypatch.setenv("GEMINI_API_KEY", "k")
+    (tmp_path / "seeds").mkdir()
+    (tmp_path / "seeds/tools.yaml").write_text("- name: Coder\n  url: https://coder.com\n  description: writes code\n")
+    said = json.dumps({"candidates": [{"content": {"parts": [{"text": "A tool that writes code for you."}]}}]}).encode()
+    post = lambda url, headers, body, timeout: Answer(200, said)
+    options = ["--module", "tools", "--seed-dir", str(tmp_path / "seeds"), "--out-dir", str(tmp_path / "out"), "--skip-logos"]
+    for more, text in (([], "A tool that writes code for you."), (["--skip-descriptions"], "writes code")):
+        assert cli.main([*options, *more], post=post) == 0
+        found = {e["name"]: e["description"] for e in json.loads((tmp_path / "out/entities.json").read_text())}
+        assert found["Coder"] == text
+    assert "after dedupe: 1" in capsys.readouterr().out
+
+
 def test_streamed_upsert(spark, tmp_path):
     from entityforge.streaming import upsert
 
