@@ -33,8 +33,12 @@ COUNTED_TOKENS, FREQUENT = 2_000_000, 3
 ORDERED_TOKENS = 1 << 20
 #: Low bits of a token that tell, without a search, that it is not among those.
 SIEVE = (1 << 21) - 1
-#: Classes of one index list up to which one task pairs them.
-LIST_CLASSES = 2048
+#: Classes of one index list up to which one task pairs them, and entries of a block, which is skipped as one.
+LIST_CLASSES, BLOCK = 2048, 32
+#: Entries of lists with much in common that one task holds about, and pairs of one set that one task compares about.
+TASK_ENTRIES, TASK_PAIRS = 1024, 2048
+#: Counted sets from which the list of a token is dealt to several tasks, and pairs of entries tested at once.
+HOT_TOKEN, AT_ONCE = 50_000, 1 << 20
 #: Turns that spare the last one pairs, by what they connect: with how many others of a list each class
 #: is compared; 0: with the one that has fewest rare tokens.
 WIDTHS = (0, 16, 64)
@@ -76,11 +80,22 @@ def print_of(tokens: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(tokens.tobytes()) - (1 << 63)
 
 
-SCAN = "kind int, doc long, key long, n int, print long, least long"
+def check_of(tokens: np.ndarray) -> int:
+    """A second, independent fingerprint: together 128 bits."""
+    return xxhash.xxh3_64_intdigest(tokens.tobytes(), seed=0x5EED) - (1 << 63)
+
+
+def mark_of(tokens: np.ndarray, clashing: frozenset[int]) -> int:
+    """What identifies a set: its fingerprint, or the second one where different sets share the first."""
+    mark = print_of(tokens)
+    return check_of(tokens) if mark in clashing else mark
+
+
+SCAN = "kind int, doc long, key long, n int, print long, check long, least long"
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """Kind 0: one row per document with its key and its set's size, fingerprint and least token. Kind 1: tokens
+    """Kind 0: one row per document with its key and its set's size, fingerprints and least token. Kind 1: tokens
     that a part of a task's distinct sets holds more than once, as `print`, with the count as `n`."""
 
     def run(batches: Iterator[Columns]) -> Iterator[Columns]:
@@ -90,16 +105,16 @@ def scan(docs: DataFrame) -> DataFrame:
             token, n = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.int64),) * 2
             token, n = token[n > 1], n[n > 1]
             nothing = np.zeros(len(token), dtype=np.int64)
-            return {"kind": np.ones(len(token), np.int32), "doc": nothing, "key": nothing, "n": n.astype(np.int32), "print": token, "least": nothing}
+            return {"kind": np.ones(len(token), np.int32), "doc": nothing, "key": nothing, "n": n.astype(np.int32), "print": token, "check": nothing, "least": nothing}
 
         for batch in batches:
             rows = []
             for doc, key, tokens in zip(batch["doc"], batch["key"], shingles.all(batch["text"])):
                 if not len(tokens):
-                    rows.append((0, doc, key, 0, 0, 0))
+                    rows.append((0, doc, key, 0, 0, 0, 0))
                     continue
                 mark = print_of(tokens)
-                rows.append((0, doc, key, len(tokens), mark, int(tokens[0])))
+                rows.append((0, doc, key, len(tokens), mark, check_of(tokens), int(tokens[0])))
                 if mark not in seen:
                     seen.add(mark)
                     held.append(tokens)
@@ -113,50 +128,84 @@ def scan(docs: DataFrame) -> DataFrame:
     return map_columns(docs, run, SCAN)
 
 
-def _fetch(scratch: Scratch, docs: DataFrame, wanted: DataFrame, name: str) -> DataFrame:
-    """(set, n, tokens) of the wanted (_key, _set), one key per set, from the texts; one row per set."""
-    wanted = scratch.write(wanted, f"{name}_wanted")
-
-    def run(batches: Iterator[Columns]) -> Iterator[Columns]:
-        shingles = Shingles()
-        for batch in batches:
-            rows = []
-            for wanted_set, tokens in zip(batch["_set"], shingles.all(batch["text"])):
-                if len(tokens) and print_of(tokens) == wanted_set:
-                    rows.append((wanted_set, len(tokens), tokens.tobytes()))
-            yield as_columns(rows, names("set long, n int, tokens binary"))
-
-    asked = docs.join(small_or_shuffled(wanted), F.col("key") == F.col("_key")).select("_set", "text")
-    found = scratch.write(map_columns(asked, run, "set long, n int, tokens binary"), f"{name}_tokens")
-    if found.count() > wanted.count():  # rows that repeat id and text
-        found = scratch.write(found.dropDuplicates(["set"]), f"{name}_once")
-    return found
+SENT = "group long, salt int, lead boolean, x_leads boolean, set long, tokens binary"
+OVERLAPS = "x long, y long, nx int, ny int, overlap int"
 
 
-def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Sizes and overlap of each pair (x, y). Sets meet the y side first: x may be the same for very many."""
+class _Sets:
+    """All distinct sets, by the key of a row that has each; their tokens are made from the texts when asked for."""
 
-    def run(batches: Iterator[Columns]) -> Iterator[Columns]:
-        for batch in batches:
-            rows = []
-            for x, y, tx, ty in zip(batch["x"], batch["y"], batch["tx"], batch["ty"]):
-                a, b = np.frombuffer(tx, np.int64), np.frombuffer(ty, np.int64)
-                small, large = (a, b) if len(a) < len(b) else (b, a)
-                at = np.minimum(np.searchsorted(large, small), len(large) - 1)
-                rows.append((x, y, len(a), len(b), int((large[at] == small).sum())))
-            yield as_columns(rows, names("x long, y long, nx int, ny int, overlap int"))
+    def __init__(self, scratch: Scratch, base: DataFrame, sets: DataFrame, clashing: frozenset[int]):
+        self.scratch, self.base, self.sets, self.clashing = scratch, base, sets, clashing
 
-    of_y = sets.select(F.col("set").alias("y"), F.col("tokens").alias("ty"))
-    of_x = sets.select(F.col("set").alias("x"), F.col("tokens").alias("tx"))
-    met = pairs.select("x", "y").join(of_y, "y").join(of_x, "x")
-    return map_columns(met, run, "x long, y long, nx int, ny int, overlap int").distinct()
+    def overlaps(self, pairs: DataFrame, name: str) -> DataFrame:
+        """(x, y, nx, ny, overlap) of each pair (x, y) of sets, a table.
 
-
-POSTING = "token long, class long, n_min int, rare int, n_max int, left int"
+        Of a pair, the set that is in more pairs leads: the other one's tokens travel to it, and a set
+        that is in very many pairs is sent once to each of the tasks that its pairs are dealt to.
+        """
+        scratch, clashing = self.scratch, self.clashing
+        pairs = scratch.write(pairs.select("x", "y").distinct(), f"{name}_pairs")
+        ends = pairs.select(F.col("x").alias("set")).unionByName(pairs.select(F.col("y").alias("set")))
+        degree = small_or_shuffled(scratch.write(ends.groupBy("set").agg(F.count("*").alias("degree")), f"{name}_degree"))
+        of_x, of_y = (degree.select(F.col("set").alias(c), F.col("degree").alias(f"d{c}")) for c in ("x", "y"))
+        x_leads = F.struct("dx", "x") >= F.struct(F.col("dy").alias("dx"), F.col("y").alias("x"))
+        led = pairs.join(of_x, "x").join(of_y, "y").select(
+            F.when(x_leads, F.col("x")).otherwise(F.col("y")).alias("group"), F.when(x_leads, F.col("y")).otherwise(F.col("x")).alias("set"),
+            F.ceil(F.greatest("dx", "dy") / TASK_PAIRS).cast("int").alias("salts"), x_leads.alias("x_leads"),
+        )
+        salt = F.pmod(F.xxhash64("set"), F.col("salts")).cast("int")
+        asked = led.select("set", F.struct("group", salt.alias("salt"), F.lit(False).alias("lead"), "x_leads").alias("ask"))
+        leads = led.select("group", "salts", F.col("group").alias("set")).distinct()
+        leads = leads.select("set", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "group")
+        leads = leads.select("set", F.struct("group", "salt", F.lit(True).alias("lead"), F.lit(True).alias("x_leads")).alias("ask"))
+        # a set that does not lead is in no more pairs than the root of twice all pairs
+        asks = asked.unionByName(leads).groupBy("set").agg(F.collect_list("ask").alias("asks"))
+        wanted = small_or_shuffled(scratch.write(asks, f"{name}_asks"))
+        keyed = self.sets.select("set", "key").join(wanted, "set").select(F.col("key").alias("_key"), "set", "asks")
+        keyed = scratch.write(keyed, f"{name}_keyed")
+
+        def send(batches: Iterator[Columns]) -> Iterator[Columns]:
+            shingles, sent = Shingles(), set()
+            for batch in batches:
+                rows = []
+                for wanted_set, key, asks, tokens in zip(batch["set"], batch["_key"], batch["asks"], shingles.all(batch["text"])):
+                    # rows may repeat id and text
+                    if key not in sent and len(tokens) and mark_of(tokens, clashing) == wanted_set:
+                        sent.add(key)
+                        raw = tokens.tobytes()
+                        rows += [(a["group"], a["salt"], a["lead"], a["x_leads"], wanted_set, raw) for a in asks]
+                for at in range(0, len(rows), 2000):
+                    yield as_columns(rows[at : at + 2000], names(SENT))
+
+        def compare(batches: Iterator[Columns]) -> Iterator[Columns]:
+            place, lead, own = None, None, 0
+            for batch in batches:
+                rows = []
+                for group, salt, leads, x_leads, other, raw in zip(*(batch[k] for k in names(SENT))):
+                    tokens = np.frombuffer(raw, np.int64)
+                    if leads:
+                        place, lead, own = (group, salt), tokens, group
+                    elif place == (group, salt):
+                        small, large = (tokens, lead) if len(tokens) < len(lead) else (lead, tokens)
+                        at = np.minimum(np.searchsorted(large, small), len(large) - 1)
+                        shared = int((large[at] == small).sum())
+                        rows.append((own, other, len(lead), len(tokens), shared) if x_leads else (other, own, len(tokens), len(lead), shared))
+                yield as_columns(rows, names(OVERLAPS))
+
+        texts = self.base.join(small_or_shuffled(keyed), F.col("key") == F.col("_key")).select("_key", "set", "asks", "text")
+        dealt = map_columns(texts, send, SENT).repartition(partitions_for(scratch.spark), "group", "salt")
+        dealt = dealt.sortWithinPartitions("group", "salt", F.col("lead").desc())
+        found = scratch.write(map_columns(dealt, compare, OVERLAPS).distinct(), f"{name}_overlaps")
+        scratch.drop(*(f"{name}_{k}" for k in ("degree", "asks", "keyed")))
+        return found
+
+
+POSTING = "token long, salt int, class long, n_min int, rare int, n_max int, left int"
 LIVE = POSTING + ", least long"
 
 
-def _postings(docs: DataFrame, classes: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+def _postings(docs: DataFrame, classes: DataFrame, frequent: tuple[np.ndarray, np.ndarray], clashing: frozenset[int]) -> DataFrame:
     """Prefix tokens of all sets, one entry per token, class and batch; a set that `classes`
     (_key, _member, class) do not name is its own class.
 
@@ -170,6 +219,17 @@ def _postings(docs: DataFrame, classes: DataFrame, frequent: tuple[np.ndarray, n
         shingles, (often, count) = Shingles(), shared.value
         sieve = np.zeros(SIEVE + 1, dtype=bool)
         sieve[often & SIEVE] = True
+        hot, parts_of = often[count >= HOT_TOKEN], -(-count[count >= HOT_TOKEN] // HOT_TOKEN)
+
+        def salts_of(token: np.ndarray, cls: np.ndarray) -> np.ndarray:
+            """0, or 1 and more for tokens of so many sets that their lists are dealt to several tasks."""
+            out = np.zeros(len(token), dtype=np.int32)
+            if len(hot):
+                at = np.minimum(np.searchsorted(hot, token), len(hot) - 1)
+                is_hot = hot[at] == token
+                out[is_hot] = 1 + (mix(cls[is_hot].view(np.uint64)) % parts_of[at[is_hot]].astype(np.uint64)).astype(np.int32)
+            return out
+
         for batch in batches:
             parts, sizes, owner, few = [], [], [], []
             seen: set[tuple[int, int]] = set()
@@ -177,7 +237,7 @@ def _postings(docs: DataFrame, classes: DataFrame, frequent: tuple[np.ndarray, n
                 n = len(tokens)
                 if not n:
                     continue
-                mark = print_of(tokens)
+                mark = mark_of(tokens, clashing)
                 cls = known if member == mark else mark
                 if (mark, cls) in seen:
                     continue
@@ -203,7 +263,7 @@ def _postings(docs: DataFrame, classes: DataFrame, frequent: tuple[np.ndarray, n
             token, cls, n, left, rare = token[order], cls[order], n[order], left[order], rare[order]
             first = np.flatnonzero(np.append(True, (token[1:] != token[:-1]) | (cls[1:] != cls[:-1])))
             yield {
-                "token": token[first], "class": cls[first], "n_min": np.minimum.reduceat(n, first).astype(np.int32), "rare": np.minimum.reduceat(rare, first).astype(np.int32),
+                "token": token[first], "salt": salts_of(token[first], cls[first]), "class": cls[first], "n_min": np.minimum.reduceat(n, first).astype(np.int32), "rare": np.minimum.reduceat(rare, first).astype(np.int32),
                 "n_max": np.maximum.reduceat(n, first).astype(np.int32), "left": np.maximum.reduceat(left, first).astype(np.int32),
             }
 
@@ -221,114 +281,184 @@ def _may_link(a: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndar
     return near & (most * 9 >= (a["n_min"][i] + a["n_min"][j]) * 4) & (a["root"][i] != a["root"][j])
 
 
+def _starts(a: dict[str, np.ndarray], *keys: str) -> np.ndarray:
+    """Where entries begin that differ from the one before in some key."""
+    differs = np.zeros(max(len(a[keys[0]]) - 1, 0), dtype=bool)
+    for k in keys:
+        differs |= a[k][1:] != a[k][:-1]
+    return np.flatnonzero(np.append(True, differs)) if len(a[keys[0]]) else np.zeros(0, np.int64)
+
+
+def _shared(a: dict[str, np.ndarray]) -> np.ndarray:
+    """Which entries are of a list of two or more; parts of a hot token's list count as such."""
+    size = np.diff(np.append(_starts(a, "token", "salt"), len(a["token"])))
+    return (np.repeat(size, size) > 1) | (a["salt"] > 0)
+
+
 def _live_lists(postings: DataFrame) -> DataFrame:
     """Entries of the index lists that hold more than one class, one per class, with the least class of the list."""
 
     def run(batches: Iterator[dict[str, np.ndarray]]) -> Iterator[dict[str, np.ndarray]]:
-        for a in _whole_lists(batches):
-            same = a["token"][1:] == a["token"][:-1]
-            keep = np.append(False, same) | np.append(same, False)
-            order = np.flatnonzero(keep)
+        for a in _whole_lists(batches, "token", "salt"):
+            order = np.flatnonzero(_shared(a))
             if not len(order):
                 continue
-            order = order[np.lexsort((a["class"][order], a["token"][order]))]
+            order = order[np.lexsort((a["class"][order], a["salt"][order], a["token"][order]))]
             a = {k: v[order] for k, v in a.items()}
-            first = np.flatnonzero(np.append(True, (a["token"][1:] != a["token"][:-1]) | (a["class"][1:] != a["class"][:-1])))
-            a = {k: f.reduceat(a[k], first) for k, f in zip(names(POSTING), (np.minimum,) * 4 + (np.maximum,) * 2)}
-            same = a["token"][1:] == a["token"][:-1]
-            keep = np.append(False, same) | np.append(same, False)
+            first = _starts(a, "token", "salt", "class")
+            a = {k: f.reduceat(a[k], first) for k, f in zip(names(POSTING), (np.minimum,) * 5 + (np.maximum,) * 2)}
+            keep = _shared(a)
             a = {k: v[keep] for k, v in a.items()}
             if len(a["token"]):
-                first = np.flatnonzero(np.append(True, a["token"][1:] != a["token"][:-1]))
+                first = _starts(a, "token", "salt")
                 yield a | {"least": np.repeat(a["class"][first], np.diff(np.append(first, len(a["token"]))))}
 
-    ordered = postings.repartition(partitions_for(postings.sparkSession), "token").sortWithinPartitions("token")
+    ordered = postings.repartition(partitions_for(postings.sparkSession), "token", "salt").sortWithinPartitions("token", "salt")
     return map_columns(ordered, run, LIVE, arrays=True)
 
 
-def _whole_lists(batches: Iterator[dict[str, np.ndarray]]) -> Iterator[dict[str, np.ndarray]]:
-    """Batches in which a list's entries follow each other, cut so that no list spans two."""
+def _whole_lists(batches: Iterator[dict[str, np.ndarray]], *keys: str) -> Iterator[dict[str, np.ndarray]]:
+    """Batches in which entries that agree in `keys` follow each other, cut so that no such run spans two."""
     held: dict[str, np.ndarray] = {}
     for batch in batches:
+        if not len(batch[keys[0]]):
+            continue
         a = {k: np.concatenate([held[k], v]) if held else v for k, v in batch.items()}
-        others = np.flatnonzero(a["token"] != a["token"][-1]) if len(a["token"]) else np.zeros(0, int)
-        cut = int(others[-1]) + 1 if len(others) else 0
+        cut = int(_starts(a, *keys)[-1])
         held = {k: v[cut:] for k, v in a.items()}
         if cut:
             yield {k: v[:cut] for k, v in a.items()}
-    if held and len(held["token"]):
+    if held and len(held[keys[0]]):
         yield held
 
 
+def _block_pairs(a: dict[str, np.ndarray], first: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of entries of one list that are not connected and may link; lists begin at `first`, ordered by size.
+
+    Lists are cut into blocks of `BLOCK` entries. A pair of blocks is skipped as one where their ranges
+    of sizes, or how much of their sets lies at or behind the token, rule out a link, or where all of
+    their classes are connected already; only entries of the other pairs of blocks are looked at.
+    """
+    size = np.diff(np.append(first, len(a["token"])))
+    count = -(-size // BLOCK)
+    of_list = np.repeat(np.arange(len(first)), count)
+    number = np.arange(len(of_list)) - np.repeat(np.cumsum(count) - count, count)
+    start = first[of_list] + number * BLOCK
+    length = np.minimum(start + BLOCK, (first + size)[of_list]) - start
+    low, high, left = np.minimum.reduceat(a["n_min"], start), np.maximum.reduceat(a["n_max"], start), np.maximum.reduceat(a["left"], start)
+    root, top = np.minimum.reduceat(a["root"], start), np.maximum.reduceat(a["root"], start)
+    # each block with itself and those after it in its list
+    partners = count[of_list] - number
+    for some in _portions(partners):
+        i = np.repeat(some, partners[some])
+        j = i + np.arange(len(i)) - np.repeat(np.cumsum(partners[some]) - partners[some], partners[some])
+        near = (high[i] * 5 >= low[j] * 4) & (high[j] * 5 >= low[i] * 4) & (np.minimum(left[i], left[j]) * 9 >= (low[i] + low[j]) * 4)
+        near &= ~((root[i] == top[i]) & (root[j] == top[j]) & (root[i] == root[j]))
+        i, j = i[near], j[near]
+        area = length[i] * length[j]
+        for part in _portions(area):
+            at = np.arange(int(area[part].sum())) - np.repeat(np.cumsum(area[part]) - area[part], area[part])
+            wide = np.repeat(length[j[part]], area[part])
+            x, y = np.repeat(start[i[part]], area[part]) + at // wide, np.repeat(start[j[part]], area[part]) + at % wide
+            ok = np.flatnonzero(x < y)
+            ok = ok[_may_link(a, x[ok], y[ok])]
+            yield x[ok], y[ok]
+
+
+def _portions(weight: np.ndarray) -> Iterator[np.ndarray]:
+    """Indexes in order, some at a time, so that their weights add up to about `AT_ONCE`."""
+    upto = np.cumsum(weight)
+    at = 0
+    while at < len(weight):
+        end = max(int(np.searchsorted(upto, (upto[at - 1] if at else 0) + AT_ONCE, side="right")), at + 1)
+        yield np.arange(at, end)
+        at = end
+
+
 def _ordered_pairs(a: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
     one, two = a["class"][i], a["class"][j]
     return np.unique(np.stack([np.minimum(one, two), np.maximum(one, two)]), axis=1)
 
 
-def _pairs(lists: DataFrame, width: int | None, turn: int) -> DataFrame:
+class _Sent:
+    """Pairs that a task has sent, a bounded number of them, by their hash."""
+
+    def __init__(self):
+        self.prints = np.zeros(0, dtype=np.uint64)
+
+    def new(self, a: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> Columns:
+        """The pairs of classes of these entries, x < y, each once, without those sent before."""
+        x, y = _ordered_pairs(a, i, j)
+        marks = mix(x.view(np.uint64) * _P + y.view(np.uint64))
+        fresh = ~np.isin(marks, self.prints)
+        self.prints = np.concatenate([self.prints if len(self.prints) < SENT_PAIRS else self.prints[:0], marks[fresh]])
+        return {"x": x[fresh], "y": y[fresh]}
+
+
+def _dealt(scratch: Scratch, lists: DataFrame, name: str) -> DataFrame:
+    """Lists with one `least` have much in common and go to one task, which sends a pair once; where they
+    hold very many entries, to several, by token. The cluster drops pairs that two tasks send."""
+    heavy = lists.groupBy("least").agg(F.count("*").alias("_n")).filter(F.col("_n") > TASK_ENTRIES)
+    heavy = heavy.select(F.col("least").alias("_least"), F.ceil(F.col("_n") / TASK_ENTRIES).cast("int").alias("_parts"))
+    heavy = small_or_shuffled(scratch.write(heavy, f"{name}_heavy"))
+    part = F.coalesce(F.pmod(F.xxhash64("token", "salt"), F.col("_parts")), F.lit(0)).alias("part")
+    marked = lists.join(heavy, F.col("least") == F.col("_least"), "left").select(*names(POSTING), "root", "least", part)
+    return marked.repartition(partitions_for(scratch.spark), "least", "part").sortWithinPartitions("least", "part", "token", "salt")
+
+
+def _pairs(scratch: Scratch, lists: DataFrame, width: int | None, turn: int, name: str) -> DataFrame:
     """Pairs of classes of a list that are not connected and may link, x < y.
 
     Width 0: the class with the fewest rare tokens, which has most in common with others, with each
     other. A width: each class with the next `width` in an order that depends on the turn and the
     class alone, so that lists with the same classes make the same pairs. None: all.
-
-    Lists with one `least` have much in common: they go to one task, which sends a pair once.
     """
     salt = np.uint64((2 * turn + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
 
     def run(batches: Iterator[dict[str, np.ndarray]]) -> Iterator[Columns]:
-        sent = np.zeros(0, dtype=np.uint64)
-        for a in _whole_lists(batches):
+        sent = _Sent()
+        for a in _whole_lists(batches, "token", "salt"):
             spread = mix(a["class"].view(np.uint64) ^ salt)
-            order = np.lexsort((a["class"], a["rare"], a["token"]) if width == 0 else (spread, a["token"]))
+            within = {0: (a["class"], a["rare"]), None: (a["class"], a["n_min"])}.get(width, (spread,))
+            order = np.lexsort((*within, a["salt"], a["token"]))
             a = {k: v[order] for k, v in a.items()}
-            found = []
+            first = _starts(a, "token", "salt")
+            if width is None:
+                for i, j in _block_pairs(a, first):
+                    yield sent.new(a, i, j)
+                continue
+            of_list = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(a["token"]))))
             if width == 0:
-                first = np.flatnonzero(np.append(True, a["token"][1:] != a["token"][:-1]))
-                centre = np.repeat(first, np.diff(np.append(first, len(a["token"]))))
-                i = np.flatnonzero(_may_link(a, centre, np.arange(len(centre))))
-                found.append(_ordered_pairs(a, centre[i], i))
-            # entry i meets the one d places on, as long as any two share a token
-            d, i = 1, np.arange(len(a["token"]) - 1)
-            while len(i) and width != 0 and (width is None or d <= width):
-                i = i[i + d < len(a["token"])]
-                i = i[a["token"][i] == a["token"][i + d]]
+                centre, i = first[of_list], np.arange(len(of_list))
+                ok = np.flatnonzero(_may_link(a, centre, i))
+                yield sent.new(a, centre[ok], ok)
+                continue
+            # entry i meets the one d places on, as long as any two share a list
+            d, i = 1, np.arange(len(of_list) - 1)
+            while len(i) and d <= width:
+                i = i[i + d < len(of_list)]
+                i = i[of_list[i] == of_list[i + d]]
                 ok = i[_may_link(a, i, i + d)]
                 if len(ok):
-                    found.append(_ordered_pairs(a, ok, ok + d))
+                    yield sent.new(a, ok, ok + d)
                 d += 1
-            x, y = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((2, 0), np.int64)
-            print_ = mix(x.view(np.uint64) * _P + y.view(np.uint64))
-            new = ~np.isin(print_, sent)
-            sent = np.concatenate([sent if len(sent) < SENT_PAIRS else sent[:0], print_[new]])
-            yield {"x": x[new], "y": y[new]}
 
-    columns = [*names(POSTING), "root"]
-    laid = lists.repartition(partitions_for(lists.sparkSession), "least").sortWithinPartitions("least", "token")
-    return map_columns(laid.select(columns), run, "x long, y long", arrays=True).distinct()
+    laid = _dealt(scratch, lists, name).select(*names(POSTING), "root")
+    return map_columns(laid, run, "x long, y long", arrays=True).distinct()
 
 
 class _Verifier:
-    """Overlaps of pairs of sets, with the sets fetched from the texts as pairs ask for them."""
+    """Compares pairs of sets, each pair once."""
 
-    def __init__(self, scratch: Scratch, base: DataFrame, key_of: DataFrame, tokens: DataFrame):
-        self.scratch, self.base, self.key_of, self.tokens, self.done, self.turn = scratch, base, key_of, tokens, None, 0
+    def __init__(self, scratch: Scratch, sets: _Sets):
+        self.scratch, self.sets, self.done, self.turn = scratch, sets, None, 0
 
     def verify(self, pairs: DataFrame) -> None:
         """Adds the pairs that were not compared before to `done` (x, y, nx, ny, overlap)."""
         self.turn += 1
-        name = f"turn{self.turn}"
         if self.done is not None:
             pairs = pairs.join(self.done.select("x", "y"), ["x", "y"], "left_anti")
-        pairs = self.scratch.write(pairs, f"{name}_pairs")
-        ends = pairs.select(F.col("x").alias("_set")).unionByName(pairs.select(F.col("y").alias("_set"))).distinct()
-        missing = self.scratch.write(ends.join(self.tokens.select(F.col("set").alias("_set")), "_set", "left_anti"), f"{name}_missing")
-        if missing.limit(1).count():
-            wanted = self.key_of.join(small_or_shuffled(missing), "_set", "left_semi").select("_key", "_set")
-            self.tokens = self.tokens.unionByName(_fetch(self.scratch, self.base, wanted, name))
-        asked = small_or_shuffled(self.scratch.write(ends, f"{name}_ends"))
-        needed = self.tokens.join(asked, F.col("set") == F.col("_set"), "left_semi")
-        made = self.scratch.write(_overlaps(pairs, needed), f"{name}_overlaps")
+        made = self.sets.overlaps(pairs, f"turn{self.turn}")
         self.done = made if self.done is None else self.done.unionByName(made)
 
     def links(self) -> DataFrame:
@@ -387,18 +517,12 @@ def link_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     a group of near copies; copies of one set are counted, not paired.
     """
     scratch = Scratch(docs.sparkSession, "links")
-    base, rows, frequent = _scanned(scratch, docs, id_col, text_col)
+    base, rows, frequent, clashing = _scanned(scratch, docs, id_col, text_col)
     sets = scratch.write(rows.filter("n > 0").groupBy("set").agg(F.min("key").alias("key"), F.count("*").alias("copies")), "sets")
     nothing = docs.sparkSession.createDataFrame([], "_key long, _member long, class long")
-    live = scratch.write(_live_lists(_postings(base, nothing, frequent)).withColumn("root", F.col("class")), "live")
-    long_ = live.groupBy("token").count().filter(F.col("count") > LIST_CLASSES).select(F.col("token").alias("_token"))
-    long_ = small_or_shuffled(scratch.write(long_, "long"))
-    in_long = F.col("token") == F.col("_token")
-    pairs = _pairs(live.join(long_, in_long, "left_anti"), None, 0)
-    pairs = pairs.unionByName(_long_list_pairs(live.join(long_, in_long, "left_semi").select(*names(POSTING), "root"))).distinct()
-    tokens = docs.sparkSession.createDataFrame([], "set long, n int, tokens binary")
-    verifier = _Verifier(scratch, base, sets.select(F.col("set").alias("_set"), F.col("key").alias("_key")), tokens)
-    verifier.verify(pairs)
+    live = scratch.write(_live_lists(_postings(base, nothing, frequent, clashing)).withColumn("root", F.col("class")), "live")
+    verifier = _Verifier(scratch, _Sets(scratch, base, sets, clashing))
+    verifier.verify(_all_pairs(scratch, live, "all"))
     linked = verifier.links()
     both = linked.unionByName(linked.select(F.col("v").alias("u"), F.col("u").alias("v")))
     met = both.join(sets, F.col("v") == F.col("set")).groupBy("u").agg(F.sum("copies").alias("_others"))
@@ -409,33 +533,36 @@ def link_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return out.select(F.when(F.col("doc") != NO_ID, F.col("doc")).alias(id_col), F.coalesce("_links", F.lit(0)).cast("long").alias("n_links"))
 
 
-def _scanned(scratch: Scratch, docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, tuple[np.ndarray, np.ndarray]]:
-    """(doc, key, text) and (doc, key, n, set, least) of every row, and frequent tokens with their counts."""
+def _scanned(
+    scratch: Scratch, docs: DataFrame, id_col: str, text_col: str
+) -> tuple[DataFrame, DataFrame, tuple[np.ndarray, np.ndarray], frozenset[int]]:
+    """(doc, key, text) and (doc, key, n, set, least) of every row, frequent tokens with their counts, and the
+    fingerprints that different sets share: of n sets some n^2 / 2^65, none below 10^9."""
     base = docs.select(doc_of(id_col).alias("doc"), row_key(id_col, text_col).alias("key"), F.col(text_col).cast("string").alias("text"))
     scanned = scratch.write(scan(base), "scan")
-    rows = scanned.filter("kind = 0").select("doc", "key", "n", F.col("print").alias("set"), "least")
+    rows = scanned.filter("kind = 0")
+    shared = rows.filter("n > 0").groupBy("print").agg(F.min("check").alias("a"), F.max("check").alias("b")).filter("a < b")
+    clashing = frozenset(r["print"] for r in shared.select("print").toLocalIterator())
+    mark = F.when(F.col("print").isin(*clashing), F.col("check")).otherwise(F.col("print")) if clashing else F.col("print")
+    rows = rows.select("doc", "key", "n", mark.alias("set"), "least")
     top = scanned.filter("kind = 1").groupBy("print").agg(F.sum("n").alias("n")).filter(F.col("n") >= FREQUENT)
     top = top.orderBy(F.col("n").desc(), "print").limit(ORDERED_TOKENS).toArrow()
     token, count = top["print"].to_numpy(), top["n"].to_numpy()
     order = np.argsort(token)
-    return base, rows, (token[order].astype(np.int64), count[order].astype(np.int64))
+    return base, rows, (token[order].astype(np.int64), count[order].astype(np.int64)), clashing
 
 
 def _rooted_rows(scratch: Scratch, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc, key, n, root) of every row, a table; rows with n > 0 and one root are a component."""
-    base, rows, frequent = _scanned(scratch, docs, id_col, text_col)
+    base, rows, frequent, clashing = _scanned(scratch, docs, id_col, text_col)
 
     # distinct sets, and leaders of sets that share their least token
     sets = scratch.write(rows.filter("n > 0").groupBy("set", "n", "least").agg(F.min("key").alias("key")), "sets")
-    buckets = sets.groupBy("least").agg(F.min(F.struct("set", "key")).alias("lead"), F.count("*").alias("k")).filter("k > 1")
-    buckets = scratch.write(buckets.select(F.col("least").alias("_least"), F.col("lead.set").alias("leader"), F.col("lead.key").alias("leader_key")), "buckets")
-    inside = sets.join(small_or_shuffled(buckets), F.col("least") == F.col("_least"))
-    inside = scratch.write(inside.select("set", "key", "leader", "leader_key"), "inside")
-    wanted = inside.select(F.col("key").alias("_key"), F.col("set").alias("_set")).unionByName(
-        inside.select(F.col("leader_key").alias("_key"), F.col("leader").alias("_set"))
-    )
-    tokens = _fetch(scratch, base, wanted.distinct(), "inside")
-    compared = _overlaps(inside.filter("set != leader").select(F.col("leader").alias("x"), F.col("set").alias("y")), tokens)
+    known = _Sets(scratch, base, sets, clashing)
+    buckets = sets.groupBy("least").agg(F.min("set").alias("leader"), F.count("*").alias("k")).filter("k > 1")
+    buckets = small_or_shuffled(scratch.write(buckets.select(F.col("least").alias("_least"), "leader"), "buckets"))
+    inside = sets.join(buckets, F.col("least") == F.col("_least")).filter("set != leader")
+    compared = known.overlaps(inside.select(F.col("leader").alias("x"), F.col("set").alias("y")), "inside")
     member = compared.filter(links(F.col("nx"), F.col("ny"), F.col("overlap"))).select(
         F.col("y").alias("set"), F.col("x").alias("class"), F.col("ny").alias("n"), "overlap"
     )
@@ -445,11 +572,10 @@ def _rooted_rows(scratch: Scratch, docs: DataFrame, id_col: str, text_col: str)
     of_set = small_or_shuffled(members.select(F.col("set").alias("_member"), "class"))
     owned = rows.join(of_set, F.col("set") == F.col("_member")).select(F.col("key").alias("_key"), "_member", "class").distinct()
     owned = scratch.write(owned, "owned")
-    live = scratch.write(_live_lists(_postings(base, owned, frequent)), "live")
+    live = scratch.write(_live_lists(_postings(base, owned, frequent, clashing)), "live")
 
     # leaders against leaders: first few of each list, and in the end all that is not connected yet
-    key_of = sets.select(F.col("set").alias("_set"), F.col("key").alias("_key"))
-    verifier, roots, known = _Verifier(scratch, base, key_of, tokens), None, 0
+    verifier, roots, so_far = _Verifier(scratch, known), None, 0
 
     def lists() -> DataFrame:
         if roots is None:
@@ -458,23 +584,20 @@ def _rooted_rows(scratch: Scratch, docs: DataFrame, id_col: str, text_col: str)
         return live.join(of, F.col("class") == F.col("_node"), "left").withColumn("root", F.coalesce("_root", "class")).drop("_node", "_root")
 
     for turn, width in enumerate(WIDTHS):
-        verifier.verify(_pairs(lists(), width, turn))
+        verifier.verify(_pairs(scratch, lists(), width, turn, f"ring{turn}"))
         count = verifier.links().count()
-        if (count - known) * 50 <= count:  # few links are left to find; the pairs of all lists find them
+        if (count - so_far) * 50 <= count:  # few links are left to find; the pairs of all lists find them
             break
-        known = count
+        so_far = count
         roots = connected_components(scratch, verifier.links(), f"turn{turn}")
-    apart = lists().groupBy("token").agg(F.min("root").alias("_a"), F.max("root").alias("_b"), F.count("*").alias("_k"), F.mode("root", True).alias("_most"))
-    apart = scratch.write(apart.filter("_a < _b").select(F.col("token").alias("_token"), "_k", "_most"), "apart")
-    # lists with one largest component go to one task
+    apart = lists().groupBy("token").agg(F.min("root").alias("_a"), F.max("root").alias("_b"), F.mode("root", True).alias("_most"))
+    apart = scratch.write(apart.filter("_a < _b").select(F.col("token").alias("_token"), "_most"), "apart")
+    # lists with one largest component have much in common
     open_lists = lists().join(small_or_shuffled(apart), F.col("token") == F.col("_token")).withColumn("least", F.col("_most"))
-    pairs = _pairs(open_lists.filter(F.col("_k") <= LIST_CLASSES), None, len(WIDTHS))
-    if apart.filter(F.col("_k") > LIST_CLASSES).limit(1).count():
-        pairs = pairs.unionByName(_long_list_pairs(open_lists.filter(F.col("_k") > LIST_CLASSES).select(*names(POSTING), "root"))).distinct()
-    verifier.verify(pairs)
-    leaders, tokens, linked = verifier.done, verifier.tokens, verifier.links()
+    verifier.verify(_all_pairs(scratch, open_lists, "rest"))
+    leaders, linked = verifier.done, verifier.links()
     roots = connected_components(scratch, linked, "first")
-    more = _member_links(scratch, leaders, members, roots, tokens)
+    more = _member_links(scratch, known, leaders, members, roots)
     if more is not None:
         roots = connected_components(scratch, linked.unionByName(more), "second")
 
@@ -485,18 +608,57 @@ def _rooted_rows(scratch: Scratch, docs: DataFrame, id_col: str, text_col: str)
     return scratch.write(rooted, "rooted")
 
 
-def _long_list_pairs(entries: DataFrame) -> DataFrame:
-    """Pairs from lists that no single task should hold: a join on the token, split by the cluster."""
-    a = entries.select(*[F.col(c).alias(f"a_{c}") for c in entries.columns])
-    b = entries.select(*[F.col(c).alias(f"b_{c}") for c in entries.columns])
-    near = (F.col("a_n_max") * 5 >= F.col("b_n_min") * 4) & (F.col("b_n_max") * 5 >= F.col("a_n_min") * 4)
-    most = F.least("a_left", "b_left") * 9 >= (F.col("a_n_min") + F.col("b_n_min")) * 4
-    two = (F.col("a_class") < F.col("b_class")) & (F.col("a_root") != F.col("b_root"))
-    met = a.join(b, (F.col("a_token") == F.col("b_token")) & two & near & most)
-    return met.select(F.col("a_class").alias("x"), F.col("b_class").alias("y")).distinct()
+def _all_pairs(scratch: Scratch, lists: DataFrame, name: str) -> DataFrame:
+    """Pairs of classes of a list that are not connected and may link, x < y, of lists of any length."""
+    entries = scratch.write(lists.select(*names(POSTING), "root", "least"), f"{name}_lists")
+    long_ = entries.groupBy("token").agg(F.count("*").alias("_n"), F.max("salt").alias("_salt")).filter((F.col("_n") > LIST_CLASSES) | (F.col("_salt") > 0))
+    long_ = scratch.write(long_.select(F.col("token").alias("_token")), f"{name}_long")
+    if not long_.limit(1).count():
+        return _pairs(scratch, entries, None, 0, name)
+    in_long = F.col("token") == F.col("_token")
+    of_long = small_or_shuffled(long_)
+    pairs = _pairs(scratch, entries.join(of_long, in_long, "left_anti"), None, 0, name)
+    return pairs.unionByName(_long_list_pairs(scratch, entries.join(of_long, in_long, "left_semi"), name)).distinct()
+
+
+def _long_list_pairs(scratch: Scratch, entries: DataFrame, name: str) -> DataFrame:
+    """Pairs from lists that no single task should hold.
+
+    A list is cut into blocks of `LIST_CLASSES` entries of like sizes. Blocks whose ranges rule out a
+    link, or whose classes are all connected, are skipped as in `_block_pairs`; each other pair of
+    blocks goes to a task, so that the work is dealt out however long one list is.
+    """
+    like = F.floor(F.log(F.col("n_min")) / F.log(F.lit(1.25))).cast("int")
+    entries = entries.withColumn("like", like)
+    parts = entries.groupBy("token", "like").agg(F.ceil(F.count("*") / LIST_CLASSES).cast("int").alias("_parts"))
+    block = F.struct("like", F.pmod(F.xxhash64("class"), F.col("_parts")).cast("int").alias("part")).alias("block")
+    cut = scratch.write(entries.join(parts, ["token", "like"]).select("*", block).drop("like", "_parts", "least"), f"{name}_cut")
+    ranges = [F.min("n_min").alias("low"), F.max("n_max").alias("high"), F.max("left").alias("left"), F.min("root").alias("root"), F.max("root").alias("top")]
+    blocks = scratch.write(cut.groupBy("token", "block").agg(*ranges), f"{name}_blocks")
+    a, b = (blocks.select(*[F.col(c).alias(f"{side}_{c}") for c in blocks.columns]) for side in "ab")
+    near = (F.col("a_high") * 5 >= F.col("b_low") * 4) & (F.col("b_high") * 5 >= F.col("a_low") * 4)
+    near &= F.least("a_left", "b_left") * 9 >= (F.col("a_low") + F.col("b_low")) * 4
+    near &= ~((F.col("a_root") == F.col("a_top")) & (F.col("b_root") == F.col("b_top")) & (F.col("a_root") == F.col("b_root")))
+    met = a.join(b, (F.col("a_token") == F.col("b_token")) & (F.col("a_block") <= F.col("b_block")) & near)
+    unit = F.xxhash64("a_token", "a_block", "b_block").alias("unit")
+    sides = F.when(F.col("a_block") == F.col("b_block"), F.array("a_block")).otherwise(F.array("a_block", "b_block"))
+    units = met.select(F.col("a_token").alias("token"), unit, F.explode(sides).alias("block"))
+    units = scratch.write(units, f"{name}_units")
+
+    def run(batches: Iterator[dict[str, np.ndarray]]) -> Iterator[Columns]:
+        sent = _Sent()
+        for a in _whole_lists(batches, "unit"):
+            order = np.lexsort((a["n_min"], a["token"], a["unit"]))
+            a = {k: v[order] for k, v in a.items()}
+            for i, j in _block_pairs(a, _starts(a, "unit", "token")):
+                yield sent.new(a, i, j)
+
+    laid = cut.join(units, ["token", "block"]).select("unit", *names(POSTING), "root")
+    laid = laid.repartition(partitions_for(scratch.spark), "unit").sortWithinPartitions("unit")
+    return map_columns(laid, run, "x long, y long", arrays=True).distinct()
 
 
-def _member_links(scratch: Scratch, leaders: DataFrame, members: DataFrame, roots: DataFrame, tokens: DataFrame) -> DataFrame | None:
+def _member_links(scratch: Scratch, known: _Sets, leaders: DataFrame, members: DataFrame, roots: DataFrame) -> DataFrame | None:
     """Links between classes whose leaders do not link and that nothing else connects; None if no pair is open.
 
     A member x of class c has at most |x - c| tokens beyond c, so members x, y of classes c, d share at
@@ -526,7 +688,7 @@ def _member_links(scratch: Scratch, leaders: DataFrame, members: DataFrame, root
         return None
     own = members.select("class", "set", "n", "overlap")
     touched = open_.select(F.col("x").alias("class")).unionByName(open_.select(F.col("y").alias("class"))).distinct()
-    leads = tokens.join(touched, F.col("set") == F.col("class"), "left_semi").select(F.col("set").alias("class"), "set", "n", F.col("n").alias("overlap"))
+    leads = known.sets.join(touched, F.col("set") == F.col("class"), "left_semi").select(F.col("set").alias("class"), "set", "n", F.col("n").alias("overlap"))
     people = own.join(touched, "class", "left_semi").unionByName(leads).withColumn("beyond", F.col("n") - F.col("overlap"))
     people = scratch.write(people, "people")
 
@@ -535,7 +697,7 @@ def _member_links(scratch: Scratch, leaders: DataFrame, members: DataFrame, root
     turned = open_.select("x", "y", "overlap").unionByName(open_.select(F.col("y").alias("x"), F.col("x").alias("y"), "overlap"))
     cross = turned.join(mine, F.col("x") == F.col("_class")).select(F.col("x").alias("cx"), F.col("y").alias("cy"), "set", "n_set", "beyond")
     cross = scratch.write(cross, "cross")
-    seen = _overlaps(cross.select(F.col("cy").alias("x"), F.col("set").alias("y")).distinct(), tokens)
+    seen = known.overlaps(cross.select(F.col("cy").alias("x"), F.col("set").alias("y")).filter("x != y"), "cross")
     seen = scratch.write(seen.select(F.col("x").alias("cy"), F.col("y").alias("set"), F.col("nx").alias("n_cy"), F.col("overlap").alias("shared")), "seen")
     cross = scratch.write(cross.join(seen, ["cy", "set"]), "cross_seen")
     hit = cross.filter(links(F.col("n_cy"), F.col("n_set"), F.col("shared"))).select(F.col("cx").alias("u"), F.col("cy").alias("v")).distinct()
@@ -549,6 +711,6 @@ def _member_links(scratch: Scratch, leaders: DataFrame, members: DataFrame, root
     bound = F.least(F.col("sx") + F.col("by"), F.col("sy") + F.col("bx"), F.col("nx"), F.col("ny"))
     pairs = a.join(b, ["p", "q"]).filter(links(F.col("nx"), F.col("ny"), bound)).select("p", "q", "x", "y")
     pairs = scratch.write(pairs, "member_pairs")
-    met = _overlaps(pairs.select("x", "y").distinct(), tokens).filter(links(F.col("nx"), F.col("ny"), F.col("overlap")))
+    met = known.overlaps(pairs.select("x", "y"), "late").filter(links(F.col("nx"), F.col("ny"), F.col("overlap")))
     late = pairs.join(met.select("x", "y"), ["x", "y"], "left_semi").select(F.col("p").alias("u"), F.col("q").alias("v")).distinct()
     return hit.unionByName(late)

@@ -129,8 +129,14 @@ def near_copies(seed, base_words, copies, edits):
         yield " ".join(text)
 
 
-@pytest.mark.parametrize(("seed", "widths", "list_classes", "frequent"), [(1, (0, 8, 16), 2048, 16), (2, (), 2048, 2), (3, (), 2, 2), (4, (0,), 4, 1000)])
-def test_jaccard_like_brute_force(spark, monkeypatch, seed, widths, list_classes, frequent):
+@pytest.mark.parametrize(
+    ("seed", "widths", "list_classes", "frequent", "hot", "task"),
+    [(1, (0, 8, 16), 2048, 16, 10**9, 1024), (2, (), 2048, 2, 10**9, 3), (3, (), 2, 2, 4, 2), (4, (0,), 4, 1000, 10**9, 1024)],
+)
+def test_jaccard_like_brute_force(spark, monkeypatch, seed, widths, list_classes, frequent, hot, task):
+    monkeypatch.setattr(jaccard, "HOT_TOKEN", hot)
+    monkeypatch.setattr(jaccard, "TASK_ENTRIES", task)
+    monkeypatch.setattr(jaccard, "TASK_PAIRS", task)
     monkeypatch.setattr(jaccard, "WIDTHS", widths)
     monkeypatch.setattr(jaccard, "LIST_CLASSES", list_classes)
     monkeypatch.setattr(jaccard, "FREQUENT", frequent)
@@ -172,6 +178,35 @@ def test_jaccard_of_texts_under_one_id(spark, shared):
     assert Counter(tuple(r) for r in got.collect()) == Counter(components_of_rows(rows))
 
 
+def test_sets_that_share_a_fingerprint_stay_apart(spark, monkeypatch):
+    """With fingerprints of a few bits, the second one tells sets apart."""
+    texts = [*near_copies(5, 40, 12, 3), *near_copies(6, 40, 12, 3), *(f"one two three four five {i}" for i in range(60))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    scratch = Scratch(spark, "clashes")
+    scanned = jaccard.scan(docs.select(F.col("doc_id").alias("doc"), F.col("doc_id").alias("key"), "text")).filter("kind = 0").withColumn("print", F.col("print") % 8)
+    monkeypatch.setattr(jaccard, "scan", lambda base: scanned)
+    _, rows, _, clashing = jaccard._scanned(scratch, docs, "doc_id", "text")
+    got = [(r["set"], r["doc"]) for r in rows.collect()]
+    sets = [frozenset(jaccard.Shingles().all([t]).__next__().tolist()) for t in texts]
+    assert len(clashing) > 4 and len({s for s, _ in got}) == len(set(sets))
+
+
+def test_block_pairs_like_brute_force():
+    """Blocks skip nothing that may link."""
+    rng = np.random.default_rng(4)
+    n = 700
+    a = {"token": np.sort(rng.integers(0, 5, n)), "n_min": rng.integers(1, 200, n)}
+    order = np.lexsort((a["n_min"], a["token"]))
+    a = {k: v[order] for k, v in a.items()}
+    a |= {"n_max": a["n_min"] + rng.integers(0, 20, n), "left": rng.integers(1, 200, n), "root": rng.integers(0, 6, n), "class": rng.integers(0, 10**6, n)}
+    i, j = np.triu_indices(n, 1)
+    same = a["token"][i] == a["token"][j]
+    i, j = i[same], j[same]
+    ok = jaccard._may_link(a, i, j)
+    found = [(x, y) for p, q in jaccard._block_pairs(a, jaccard._starts(a, "token")) for x, y in zip(p.tolist(), q.tolist())]
+    assert sorted(found) == sorted(zip(i[ok].tolist(), j[ok].tolist()))
+
+
 @pytest.mark.parametrize("ids", [lambda i: i % 5, lambda i: None if i % 3 else i])
 def test_jaccard_of_repeated_and_null_ids(spark, ids):
     texts = [t for seed in range(12) for t in near_copies(seed, 60, 10, 3)] + ["", None]
