@@ -203,7 +203,8 @@ def repeat_rows(docs: DataFrame, mixed: DataFrame) -> DataFrame:
         F.xxhash64(F.col("row.text").cast("string")).alias("print"),
     )
     same = F.col("id").eqNullSafe(F.col("k_id")) & F.col("source").eqNullSafe(F.col("k_source")) & (F.col("print") == F.col("k_print"))
-    joined = left.join(counts, same)
+    # merged at every size, so that a larger input takes no other plan
+    joined = left.join(counts.hint("merge"), same)
     evenly = joined.filter("more = 0").withColumn("copies", F.col("least"))
     # over rows alone that share all of the key and differ in copies
     turn = F.row_number().over(Window.partitionBy("k_id", "k_source", "k_print").orderBy(F.xxhash64(F.to_json("row"))))
