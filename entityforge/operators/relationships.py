@@ -9,7 +9,6 @@ from entityforge.functions.text import first_filled
 from entityforge.operators.classify import text_of
 from entityforge.operators.containment import containment_join
 from entityforge.schema import RELATIONS
-from entityforge.session import cut_lineage
 
 def _edges(df: DataFrame, source: Column, relation: str, target: Column, pos_a: Column, pos_b: Column) -> DataFrame:
     kind = F.lit(RELATIONS.index(relation))
@@ -31,12 +30,12 @@ def first_containing(owners: DataFrame, owner: str, companies: DataFrame) -> Dat
 def develops(entities: DataFrame) -> DataFrame:
     """Company → anything it owns, provides or makes: at most one company for each entity.
 
-    Distinct owners are matched first, and entities then join on equality. The slim table of owners is
-    computed once, so that its filter is not pushed into whatever made the metadata.
+    Distinct owners are matched first, and entities then join on equality. `entities` is read more than
+    once: hand in a table that is computed already, as a run does.
     """
     meta = F.col("metadata")
     owner = first_filled(*[text_of(meta, k) for k in ("owner", "provider", "maker")])
-    owned = cut_lineage(entities.filter(~F.col("entity_type").isin("company", "task")).select("id", "pos", owner.alias("owner"))).filter("owner <> ''")
+    owned = entities.filter(~F.col("entity_type").isin("company", "task")).select("id", "pos", owner.alias("owner")).filter("owner <> ''")
     matched = first_containing(owned, "owner", entities.filter("entity_type = 'company'"))
     return _edges(owned.join(matched, "owner"), F.col("company_id"), "develops", F.col("id"), F.col("pos"), F.lit(0))
 
