@@ -9,18 +9,21 @@ Counts are exact and come from all training documents. Texts are read once and k
 word numbers. A chunk asks for the counts of its distinct n-grams, bucket by bucket of their hash,
 giving its own counts with the question; a bucket's task adds up what all chunks gave and answers
 each. A word that is everywhere is one entry per chunk, so there are no hot keys. The exchange has
-one row per chunk and bucket.
+one row per chunk and bucket; where that would be very many, it goes in two levels: groups of chunks
+put their questions together first, and hand the answers out among themselves.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from entityforge.llm.columns import Columns, as_columns, map_columns, names
@@ -35,9 +38,12 @@ TEST_FOLD, MIXTURE_FOLD, FOLDS = 1, 2, 5
 CONTEXTS = 24
 #: Steps of a factor of two in the histogram that the weights are learned from, and where 1 lies.
 STEPS, LOG_ZERO = 4, 400
-#: Bits of the hashes by which words and pairs are counted: steps between sorted ones are short, and of
-#: 10^9 distinct pairs some 4 in a million share a count with another.
-WORD_BITS, PAIR_BITS = 58, 48
+#: Buckets from which the exchange has two levels, and distinct n-grams of a chunk, about.
+TWO_LEVELS, CHUNK_KINDS = 4096, 1_200_000
+#: N-grams of a group of chunks that one task puts together, about.
+GROUP_KINDS = 4_000_000
+#: Bits of the hashes by which words and pairs are counted: of 10^12 distinct pairs some 5 in 10^8 share a count with another.
+WORD_BITS, PAIR_BITS = 58, 64
 #: Stand for the end and the begin of a text among the hashes of words.
 END, BEGIN = np.uint64(0x5EED_0E4D_0000_0001), np.uint64(0x5EED_0BE6_0000_0001)
 NO_ID = -(1 << 63)
@@ -59,18 +65,31 @@ def _large(raw: bytes) -> np.ndarray:
 
 
 def _packed(keys: np.ndarray) -> bytes:
-    """Sorted numbers: the first, then steps, each in as many bytes as the longest takes; one byte says how many."""
-    steps = np.diff(keys).astype("<u8")
-    width = max(1, -(-int(steps.max(initial=0)).bit_length() // 8))
-    return bytes([width]) + int(keys[0]).to_bytes(8, "little") + np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
+    """Sorted numbers: low bytes, which look random, as they are, and steps of what is above, compressed.
+
+    Ahead: how many numbers, low bytes and bytes of a step there are, and the size of the steps.
+    """
+    spread = int(keys[-1] - keys[0]) // len(keys)
+    low = max(spread.bit_length() - 1, 0) // 8
+    high = keys >> np.uint64(8 * low) if low else keys
+    steps = np.diff(high, prepend=np.uint64(0)).astype("<u8")
+    steps[0], first = 0, int(high[0])
+    width = max(1, -(-int(steps.max()).bit_length() // 8))
+    tail = np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :low]).tobytes()
+    planes = _ZSTD.compress(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes(), asbytes=True)
+    return b"".join((len(keys).to_bytes(8, "little"), bytes((low, width)), first.to_bytes(8, "little"), len(planes).to_bytes(8, "little"), planes, tail))
 
 
 def _unpacked(raw: bytes) -> np.ndarray:
-    width = raw[0]
-    steps = np.zeros(((len(raw) - 9) // width + 1, 8), np.uint8)
-    steps[0] = np.frombuffer(raw, np.uint8, 8, 1)
-    steps[1:, :width] = np.frombuffer(raw, np.uint8, offset=9).reshape(-1, width)
-    return np.cumsum(steps.view("<u8").ravel())
+    n, low, width, first, size = int.from_bytes(raw[:8], "little"), raw[8], raw[9], int.from_bytes(raw[10:18], "little"), int.from_bytes(raw[18:26], "little")
+    steps = np.zeros((n, 8), np.uint8)
+    steps[:, :width] = np.frombuffer(_ZSTD.decompress(raw[26 : 26 + size], decompressed_size=n * width, asbytes=True), np.uint8).reshape(width, n).T
+    high = np.cumsum(steps.view("<u8").ravel(), dtype=np.uint64) + np.uint64(first)
+    if not low:
+        return high
+    out = (high << np.uint64(8 * low)).astype("<u8").view(np.uint8).reshape(n, 8)
+    out[:, :low] = np.frombuffer(raw, np.uint8, offset=26 + size).reshape(n, low)
+    return out.view("<u8").ravel()
 
 
 CHUNK = "chunk long, docs binary, folds binary, sizes binary, stream binary, vocab binary, n_tokens long, n_train long, n_begin long"
@@ -135,7 +154,7 @@ class Chunk:
         before[self.starts] = BEGIN
         pair = mix(before * _P + word)
         self.pair, self.before = pair, before
-        self.pairs, self.pair_at = np.unique(pair >> np.uint64(64 - PAIR_BITS), return_inverse=True)
+        self.pairs, self.pair_at = np.unique(pair, return_inverse=True)
         self.word_order = np.argsort(self.vocab)
         self.words = self.vocab[self.word_order] >> np.uint64(64 - WORD_BITS)
         self.doc_at = np.repeat(np.arange(len(self.sizes)), self.sizes)
@@ -151,13 +170,13 @@ class Chunk:
 ASKED = "bucket int, chunk long, keys binary, counts binary"
 
 
-def _cuts(keys: np.ndarray, buckets: int, bits: int) -> np.ndarray:
-    """Where sorted keys pass from one bucket to the next: equal ranges."""
-    edges = np.array([(i << bits) // buckets for i in range(1, buckets)], dtype=np.uint64)
+def _cuts(keys: np.ndarray, buckets: int, bits: int, first: int = 0, some: int | None = None) -> np.ndarray:
+    """Where sorted keys pass from one bucket to the next, equal ranges: of all buckets, or of `some` from `first` on."""
+    edges = np.array([(i << bits) // buckets for i in range(first + 1, first + (some or buckets))], dtype=np.uint64)
     return np.concatenate([[0], np.searchsorted(keys, edges), [len(keys)]]).astype(np.int64)
 
 
-def _questions(chunks: DataFrame, word_buckets: int, pair_buckets: int) -> DataFrame:
+def _questions(chunks: DataFrame, levels: Levels) -> DataFrame:
     """Per chunk and bucket: sorted hashes, and the chunk's own counts of them. Words come in the first buckets."""
 
     def run(batches: Iterator[Columns]) -> Iterator[Columns]:
@@ -166,7 +185,7 @@ def _questions(chunks: DataFrame, word_buckets: int, pair_buckets: int) -> DataF
                 chunk = Chunk({k: v[i] for k, v in batch.items()})
                 word_counts, pair_counts = chunk.own_counts()
                 rows = []
-                for keys, counts, bits, first, n in ((chunk.words, word_counts, WORD_BITS, 0, word_buckets), (chunk.pairs, pair_counts, PAIR_BITS, word_buckets, pair_buckets)):
+                for keys, counts, (first, n, bits) in zip((chunk.words, chunk.pairs), (word_counts, pair_counts), levels.kinds()):
                     cuts = _cuts(keys, n, bits)
                     for b, (s, e) in enumerate(zip(cuts[:-1], cuts[1:])):
                         if e > s:
@@ -206,7 +225,91 @@ def _answers(asked: DataFrame, partitions: int) -> DataFrame:
         if rows:
             yield answer(rows)
 
-    return map_columns(asked.repartition(partitions, "bucket").sortWithinPartitions("bucket", "chunk"), run, ANSWER)
+    return map_columns(asked.repartitionById(partitions, F.col("bucket")).sortWithinPartitions("bucket", "chunk"), run, ANSWER)
+
+
+@dataclass(frozen=True)
+class Levels:
+    """How the ranges of hashes are cut: buckets of words and of pairs, each cut again into `fine` ones, and groups of chunks."""
+
+    words: int
+    pairs: int
+    fine: int = 1
+    groups: int = 1
+
+    @classmethod
+    def of(cls, chunks: int, buckets: int) -> Levels:
+        """One level as long as chunks times buckets are few rows; else two, about as many rows on either."""
+        if buckets < TWO_LEVELS:
+            return cls(max(4, buckets // 8), buckets)
+        of_group = max(int(math.sqrt(buckets * GROUP_KINDS / CHUNK_KINDS)), 1)
+        coarse = max(-(-of_group * CHUNK_KINDS // GROUP_KINDS), 1)
+        return cls(max(1, coarse // 8), coarse, -(-buckets // coarse), max(-(-chunks // of_group), 1))
+
+    def kinds(self) -> tuple[tuple[int, int, int], ...]:
+        """(first bucket, buckets, bits of the hash) of words and of pairs."""
+        return (0, self.words, WORD_BITS), (self.words, self.pairs, PAIR_BITS)
+
+
+TOGETHER = "asker long, place int, bucket int, chunk long, keys binary, counts binary"
+
+
+def _askers(asked: DataFrame, levels: Levels) -> DataFrame:
+    """Questions with who asks them together: a group of chunks, for a bucket."""
+    group = F.pmod(F.xxhash64("chunk"), F.lit(levels.groups))
+    return asked.withColumn("asker", group * (levels.words + levels.pairs) + F.col("bucket"))
+
+
+def _by_asker(batches: Iterator[Columns], keys: str) -> Iterator[list[tuple]]:
+    """Rows in runs of one asker."""
+    rows: list[tuple] = []
+    for batch in batches:
+        for row in zip(*(batch[k] for k in names(keys))):
+            if rows and row[0] != rows[0][0]:
+                yield rows
+                rows = []
+            rows.append(row)
+    if rows:
+        yield rows
+
+
+def _put_together(asked: DataFrame, levels: Levels, partitions: int) -> DataFrame:
+    """Questions of whole groups: the distinct hashes of each bucket, cut into fine buckets, with the group's own counts."""
+
+    def run(batches: Iterator[Columns]) -> Iterator[Columns]:
+        for rows in _by_asker(batches, TOGETHER):
+            asker, bucket = rows[0][0], rows[0][2]
+            distinct, at = np.unique(np.concatenate([_unpacked(r[4]) for r in rows]), return_inverse=True)
+            counts = np.bincount(at, np.concatenate([_large(r[5]) for r in rows]), minlength=len(distinct)).astype(np.uint32)
+            first, n, bits = levels.kinds()[bucket >= levels.words]
+            cuts = _cuts(distinct, n * levels.fine, bits, (bucket - first) * levels.fine, levels.fine)
+            found = [(bucket * levels.fine + f, asker, _packed(distinct[s:e]), _small(counts[s:e])) for f, (s, e) in enumerate(zip(cuts[:-1], cuts[1:])) if e > s]
+            yield as_columns(found, names(ASKED))
+
+    rows = _askers(asked, levels).withColumn("place", F.lit(1)).select(names(TOGETHER))
+    return map_columns(rows.repartition(partitions, "asker").sortWithinPartitions("asker"), run, ASKED)
+
+
+def _handed_out(asked: DataFrame, answers: DataFrame, levels: Levels, partitions: int) -> DataFrame:
+    """Answers to whole groups, handed out to their chunks; the numbers of distinct n-grams pass through."""
+
+    def run(batches: Iterator[Columns]) -> Iterator[Columns]:
+        for rows in _by_asker(batches, TOGETHER):
+            total = np.concatenate([_large(r[5]) for r in rows if r[1] == 0])
+            asked_by = [(r[3], r[2], _unpacked(r[4])) for r in rows if r[1] == 1]
+            _, at = np.unique(np.concatenate([keys for _, _, keys in asked_by]), return_inverse=True)
+            out, start = [], 0
+            for chunk, bucket, keys in asked_by:
+                out.append((chunk, bucket, _small(total[at[start : start + len(keys)]]), 0))
+                start += len(keys)
+            yield as_columns(out, names(ANSWER))
+
+    questions = _askers(asked, levels).withColumn("place", F.lit(1)).select(names(TOGETHER))
+    nothing = F.lit(None).cast("binary").alias("keys")
+    told = answers.filter("chunk >= 0").select(F.col("chunk").alias("asker"), F.lit(0).alias("place"), "bucket", F.lit(0).cast("long").alias("chunk"), nothing, "counts")
+    laid = questions.unionByName(told).repartition(partitions, "asker").sortWithinPartitions("asker", "place", "bucket", "chunk")
+    kinds = answers.filter("chunk < 0").withColumn("bucket", F.floor(F.col("bucket") / levels.fine).cast("int"))
+    return map_columns(laid, run, ANSWER).unionByName(kinds)
 
 
 JOINED = (
@@ -233,7 +336,7 @@ def _cells(chunk: Chunk, word: np.ndarray, pair: np.ndarray, n_train: int, n_beg
     return np.unique((context_bucket(np.maximum(others, 0)) << 40) | (logs[0] << 20) | logs[1], return_counts=True)
 
 
-def _join(chunks: DataFrame, answers: DataFrame, word_buckets: int, partitions: int, n_train: int, n_begin: int) -> DataFrame:
+def _join(chunks: DataFrame, answers: DataFrame, word_buckets: int, partitions: int, place: Column, n_train: int, n_begin: int) -> DataFrame:
     """Chunks with corpus counts: of each distinct word, and of the pair at each token; and the held-out
     tokens for the mixture. The numbers of distinct words pass through."""
 
@@ -265,7 +368,7 @@ def _join(chunks: DataFrame, answers: DataFrame, word_buckets: int, partitions:
             yield as_columns([joined(row, words, pairs)], names(JOINED))
 
     both = chunks.withColumn("bucket", F.lit(-1)).unionByName(answers, allowMissingColumns=True)
-    return map_columns(both.repartition(partitions, "chunk").sortWithinPartitions("chunk", "bucket"), run, JOINED)
+    return map_columns(both.repartitionById(partitions, place).sortWithinPartitions("chunk", "bucket"), run, JOINED)
 
 
 def context_bucket(count: np.ndarray) -> np.ndarray:
@@ -352,12 +455,23 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     scratch = Scratch(spark, "lm")
     slim = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
     chunks = scratch.write(encode_chunks(slim), "chunks")
-    n_tokens, n_train, n_begin = (x or 0 for x in chunks.agg(F.sum("n_tokens"), F.sum("n_train"), F.sum("n_begin")).first())
-    pair_buckets = max(partitions_for(spark), -(-n_tokens // BUCKET_TOKENS))
-    word_buckets = max(4, pair_buckets // 8)
-    parts = partitions_for(spark)
-    asked = _questions(chunks, word_buckets, pair_buckets)
-    joined = scratch.write(_join(chunks, _answers(asked, parts), word_buckets, parts, n_train, n_begin), "joined")
+    part, made = F.shiftright("chunk", 32), F.col("chunk").bitwiseAND(0xFFFFFFFF)
+    sums = chunks.agg(F.count("*"), F.max(made), F.sum("n_tokens"), F.sum("n_train"), F.sum("n_begin")).first()
+    n_chunks, most, n_tokens, n_train, n_begin = (x or 0 for x in sums)
+    levels = Levels.of(n_chunks, max(partitions_for(spark), -(-n_tokens // BUCKET_TOKENS)))
+    # a task for each bucket, and for each chunk, which are all of about one size
+    buckets = (levels.words + levels.pairs) * levels.fine
+    asked = _questions(chunks, levels)
+    if levels.groups == levels.fine == 1:
+        answers = _answers(asked, buckets)
+    else:
+        asked = scratch.write(asked, "asked")
+        parts = max(partitions_for(spark), levels.groups * (levels.words + levels.pairs))
+        answers = _handed_out(asked, scratch.write(_answers(_put_together(asked, levels, parts), buckets), "answers"), levels, parts)
+    # chunks are numbered without large gaps, and dealt one to a task
+    place = F.pmod(F.when(F.col("chunk") < 0, F.col("bucket").cast("long")).otherwise(part * (most + 1) + made), F.lit(max(partitions_for(spark), n_chunks))).cast("int")
+    joined = scratch.write(_join(chunks, answers, levels.words, max(partitions_for(spark), n_chunks), place, n_train, n_begin), "joined")
+    scratch.drop("asked", "answers")
     scratch.drop("chunks")
     kinds = joined.filter("chunk < 0").agg(F.sum("kinds")).first()[0] or 0
     held = joined.filter("chunk >= 0")
