@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from entityforge.llm.columns import Columns, as_columns, map_columns, names
 from entityforge.llm.components import connected_components
-from entityforge.llm.scratch import Scratch, partitions_for, small_or_shuffled
+from entityforge.llm.scratch import PARTITION_BYTES, Scratch, small_or_shuffled
 from entityforge.llm.wordhash import WordHasher, mix
 
 WORDS = 5
@@ -194,7 +194,7 @@ class _Sets:
                 yield as_columns(rows, names(OVERLAPS))
 
         texts = self.base.join(small_or_shuffled(keyed), F.col("key") == F.col("_key")).select("_key", "set", "asks", "text")
-        dealt = map_columns(texts, send, SENT).repartition(partitions_for(scratch.spark), "group", "salt")
+        dealt = map_columns(texts, send, SENT).repartition(scratch.parts, "group", "salt")
         dealt = dealt.sortWithinPartitions("group", "salt", F.col("lead").desc())
         found = scratch.write(map_columns(dealt, compare, OVERLAPS).distinct(), f"{name}_overlaps")
         scratch.drop(*(f"{name}_{k}" for k in ("degree", "asks", "keyed")))
@@ -295,7 +295,7 @@ def _shared(a: dict[str, np.ndarray]) -> np.ndarray:
     return (np.repeat(size, size) > 1) | (a["salt"] > 0)
 
 
-def _live_lists(postings: DataFrame) -> DataFrame:
+def _live_lists(scratch: Scratch, postings: DataFrame) -> DataFrame:
     """Entries of the index lists that hold more than one class, one per class, with the least class of the list."""
 
     def run(batches: Iterator[dict[str, np.ndarray]]) -> Iterator[dict[str, np.ndarray]]:
@@ -313,7 +313,7 @@ def _live_lists(postings: DataFrame) -> DataFrame:
                 first = _starts(a, "token", "salt")
                 yield a | {"least": np.repeat(a["class"][first], np.diff(np.append(first, len(a["token"]))))}
 
-    ordered = postings.repartition(partitions_for(postings.sparkSession), "token", "salt").sortWithinPartitions("token", "salt")
+    ordered = postings.repartition(scratch.parts, "token", "salt").sortWithinPartitions("token", "salt")
     return map_columns(ordered, run, LIVE, arrays=True)
 
 
@@ -403,7 +403,7 @@ def _dealt(scratch: Scratch, lists: DataFrame, name: str) -> DataFrame:
     heavy = small_or_shuffled(scratch.write(heavy, f"{name}_heavy"))
     part = F.coalesce(F.pmod(F.xxhash64("token", "salt"), F.col("_parts")), F.lit(0)).alias("part")
     marked = lists.join(heavy, F.col("least") == F.col("_least"), "left").select(*names(POSTING), "root", "least", part)
-    return marked.repartition(partitions_for(scratch.spark), "least", "part").sortWithinPartitions("least", "part", "token", "salt")
+    return marked.repartition(scratch.parts, "least", "part").sortWithinPartitions("least", "part", "token", "salt")
 
 
 def _pairs(scratch: Scratch, lists: DataFrame, width: int | None, turn: int, name: str) -> DataFrame:
@@ -520,7 +520,7 @@ def link_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     base, rows, frequent, clashing = _scanned(scratch, docs, id_col, text_col)
     sets = scratch.write(rows.filter("n > 0").groupBy("set").agg(F.min("key").alias("key"), F.count("*").alias("copies")), "sets")
     nothing = docs.sparkSession.createDataFrame([], "_key long, _member long, class long")
-    live = scratch.write(_live_lists(_postings(base, nothing, frequent, clashing)).withColumn("root", F.col("class")), "live")
+    live = scratch.write(_live_lists(scratch, _postings(base, nothing, frequent, clashing)).withColumn("root", F.col("class")), "live")
     verifier = _Verifier(scratch, _Sets(scratch, base, sets, clashing))
     verifier.verify(_all_pairs(scratch, live, "all"))
     linked = verifier.links()
@@ -541,6 +541,9 @@ def _scanned(
     base = docs.select(doc_of(id_col).alias("doc"), row_key(id_col, text_col).alias("key"), F.col(text_col).cast("string").alias("text"))
     scanned = scratch.write(scan(base), "scan")
     rows = scanned.filter("kind = 0")
+    # a fifth of all tokens is in index lists, at some 25 bytes
+    tokens = rows.agg(F.sum(F.col("n").cast("long"))).first()[0] or 0
+    scratch.parts = max(scratch.parts, -(-tokens * 5 // PARTITION_BYTES))
     shared = rows.filter("n > 0").groupBy("print").agg(F.min("check").alias("a"), F.max("check").alias("b")).filter("a < b")
     clashing = frozenset(r["print"] for r in shared.select("print").toLocalIterator())
     mark = F.when(F.col("print").isin(*clashing), F.col("check")).otherwise(F.col("print")) if clashing else F.col("print")
@@ -572,7 +575,7 @@ def _rooted_rows(scratch: Scratch, docs: DataFrame, id_col: str, text_col: str)
     of_set = small_or_shuffled(members.select(F.col("set").alias("_member"), "class"))
     owned = rows.join(of_set, F.col("set") == F.col("_member")).select(F.col("key").alias("_key"), "_member", "class").distinct()
     owned = scratch.write(owned, "owned")
-    live = scratch.write(_live_lists(_postings(base, owned, frequent, clashing)), "live")
+    live = scratch.write(_live_lists(scratch, _postings(base, owned, frequent, clashing)), "live")
 
     # leaders against leaders: first few of each list, and in the end all that is not connected yet
     verifier, roots, so_far = _Verifier(scratch, known), None, 0
@@ -654,7 +657,7 @@ def _long_list_pairs(scratch: Scratch, entries: DataFrame, name: str) -> DataFra
                 yield sent.new(a, i, j)
 
     laid = cut.join(units, ["token", "block"]).select("unit", *names(POSTING), "root")
-    laid = laid.repartition(partitions_for(scratch.spark), "unit").sortWithinPartitions("unit")
+    laid = laid.repartition(scratch.parts, "unit").sortWithinPartitions("unit")
     return map_columns(laid, run, "x long, y long", arrays=True).distinct()
 
 

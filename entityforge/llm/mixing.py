@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from entityforge.llm.columns import nested
 from entityforge.llm.ranking import ordered_table, with_prefix
-from entityforge.llm.scratch import Scratch
+from entityforge.llm.scratch import Scratch, small_or_shuffled
 
 #: Rows of one pivotal fold; the depth of the reduction tree is its logarithm of the row count.
 FANOUT = 128
@@ -41,22 +41,20 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap:
     Sources in code-point order, null last, weigh `weights` in turn and share the total; a target
     stops at `cap` times its source's size and the excess is shared again by weight. The fixed point
     of that is a water level: with sources by rising size per weight, a source is full when its cap
-    lies below its share of what the sources before it left.
+    lies below its share of what the sources before it left. Both orders are global ranks, so that
+    sources may be as many as hosts.
     """
-    by_name = Window.orderBy(F.col("source").asc_nulls_last())
-    turn = F.expr("element_at(array({}), cast((_n - 1) % {} as int) + 1)".format(", ".join(f"{w}L" for w in weights), len(weights)))
-    weighed = sizes.withColumn("_n", F.row_number().over(by_name)).withColumn("_w", turn)
-    order = Window.orderBy((F.col("source_size") / F.col("_w")).asc(), F.col("_n"))
-    before, after = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(0, Window.unboundedFollowing)
-    whole = Window.partitionBy(F.lit(0))
-    left = F.sum("source_size").over(whole) - cap * F.coalesce(F.sum("source_size").over(before), F.lit(0))
-    levels = weighed.select(
-        "source", "source_size", "_w", left.alias("_left"), F.sum("_w").over(after).alias("_open")
-    ).withColumn("_full", F.col("source_size") * cap * F.col("_open") <= F.col("_w") * F.col("_left"))
-    level = F.max(F.when(~F.col("_full"), F.col("_left") / F.col("_open"))).over(whole)
-    return levels.select(
-        "source", "source_size", F.when(F.col("_full"), (F.col("source_size") * cap).cast("double")).otherwise(F.col("_w") * level).alias("target")
-    )
+    scratch = Scratch(sizes.sparkSession, "targets")
+    named = sizes.select("source", "source_size", F.col("source").isNull().alias("unnamed"))
+    numbered = with_prefix(ordered_table(scratch, named, ["unnamed", "source"], "names"), {"n": F.lit(1)})
+    turn = F.expr("element_at(array({}), cast(n % {} as int) + 1)".format(", ".join(f"{w}L" for w in weights), len(weights)))
+    weighed = numbered.select("source", "source_size", "n", turn.alias("w")).withColumn("each", F.col("source_size") / F.col("w"))
+    levels = with_prefix(ordered_table(scratch, weighed, ["each", "n"], "levels"), {"before": F.col("source_size"), "closed": F.col("w")})
+    left, open_ = F.col("before_all") - cap * F.col("before"), F.col("closed_all") - F.col("closed")
+    levels = levels.withColumns({"left": left, "open": open_}).withColumn("full", F.col("source_size") * cap * F.col("open") <= F.col("w") * F.col("left"))
+    level = levels.filter("not full").agg(F.max(F.col("left") / F.col("open"))).first()[0]
+    share = F.col("w") * F.lit(level).cast("double")
+    return levels.select("source", "source_size", F.when(F.col("full"), (F.col("source_size") * cap).cast("double")).otherwise(share).alias("target"))
 
 
 def _uniform(*parts: Column) -> Column:
@@ -147,9 +145,9 @@ def mix_sources(
     table = ordered_table(scratch, sized, ["source", "_h", "doc_id", "print", "size"], "sized")
     per_source = table.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = scratch.write(source_targets(per_source, weights, cap), "targets")
-    n_rows, n_sources = table.count(), targets.count()
+    n_rows = table.count()
     # a row per source; beyond the checked size the join shuffles, and skewed sources are split by AQE
-    small = F.broadcast(targets) if n_sources <= 100_000 else targets
+    small = small_or_shuffled(targets)
 
     def joined(rows: DataFrame) -> DataFrame:
         other = small.withColumnRenamed("source", "_source")

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from entityforge.llm.scratch import Scratch, partitions_for
+from entityforge.llm.scratch import Scratch
 
 
 def ordered_table(scratch: Scratch, df: DataFrame, order: list[str], name: str) -> DataFrame:
@@ -21,8 +21,8 @@ def ordered_table(scratch: Scratch, df: DataFrame, order: list[str], name: str)
     Such ties have no defined order among themselves. Range bounds are sampled by a job of their own,
     so `df` is written before, lest it be computed twice.
     """
-    n = partitions_for(scratch.spark)
     raw = scratch.write(df, f"{name}_raw")
+    n = scratch.partitions(f"{name}_raw")
     salted = raw.withColumn("_salt", F.rand(7))
     keys = [F.col(c).asc_nulls_first() for c in order]
     laid = salted.repartitionByRange(n, *keys, F.col("_salt")).sortWithinPartitions(*keys, F.col("_salt"))

@@ -113,6 +113,21 @@ e AS (SELECT a.doc_id AS a, b.doc_id AS b FROM t a JOIN t b ON a.t = b.t AND a.d
 r AS (SELECT doc_id, doc_id AS c FROM s UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.doc_id)
 SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, min(r.c) AS component_id FROM s JOIN r USING (doc_id) GROUP BY s.doc_id, len(s.s)"""
 
+#: The table of CRC-32 by its rule, and the checksum of a text by it.
+_CRC_TABLE = (
+    "list_transform(range(256), lambda n: list_reduce(list_prepend(n::BIGINT, list_transform(range(8), lambda k: 0::BIGINT)), "
+    "lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END))"
+)
+_CRC = (
+    "xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda x: ('0x' || x)::BIGINT)), "
+    "lambda a, b: xor(a >> 8, c.t[(xor(a, b) & 255) + 1])), 4294967295::BIGINT)"
+)
+_OP1 = f"""WITH c AS MATERIALIZED (SELECT {_CRC_TABLE} AS t), d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+s AS (SELECT doc_id, octet_length(encode(text)) + 1 AS size, {_CRC} AS crc FROM d, c),
+o AS (SELECT *, sum(size) OVER (ORDER BY doc_id, size, crc ROWS UNBOUNDED PRECEDING) - size AS before, sum(size) OVER () AS whole FROM s),
+p AS (SELECT *, (8 * (2 * before + size) // (2 * whole))::INT AS shard FROM o)
+SELECT doc_id, size::BIGINT AS size, crc::BIGINT AS text_crc32, 'bytes' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY doc_id, size, crc) - 1 AS slot, NULL::INT AS grown_shard FROM p"""
+
 _HARD = "'\\### Assistant: </turn> ok'"
 _ESCAPED = "replace(replace(replace(text, '\\', '\\\\'), '</turn>', '<\\/turn>'), '### ', '\\#\\#\\# ')"
 
@@ -129,4 +144,4 @@ CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CAS
 
 def oracle_sql() -> dict[str, str]:
     """Name → DuckDB SQL. The others rest on fits, random draws, tokenizers or checksums that SQL lacks."""
-    return {"op2_jaccard": _OP2, "op4_chat": _OP4, "op9_warc": _OP9}
+    return {"op1_sharding": _OP1, "op2_jaccard": _OP2, "op4_chat": _OP4, "op9_warc": _OP9}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -10,9 +11,11 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's `spark.checkpoint.dir`; where it is unset (tests), a temporary folder set here."""
+    """The cluster's `spark.checkpoint.dir`; where it is unset and all runs in one process (tests), a temporary folder."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = f"file://{tempfile.mkdtemp(prefix='entityforge-')}"
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
@@ -30,17 +33,28 @@ class Scratch:
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
         self.written: list[str] = []
+        #: Partitions of the call's large shuffles; an operator that knows its volume asks for more.
+        self.parts = partitions_for(spark)
 
     def path(self, name: str) -> str:
         """Where the table or folder `name` of this call is."""
         return f"{self.root}/{name}"
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
-        """Writes `df` as Parquet and returns the reread table."""
-        df.write.option("compression", "zstd").parquet(self.path(name))
+        """Writes `df` as Parquet, one file a task, and returns the reread table."""
+        df.write.option("compression", "zstd").option("maxRecordsPerFile", 0).parquet(self.path(name))
         self.written.append(name)
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
+    def size(self, name: str) -> int:
+        """Bytes of a written table."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+
+    def partitions(self, *written: str) -> int:
+        """Shuffle partitions for these tables: what the session has, or more if they are large."""
+        return max(partitions_for(self.spark), -(-sum(map(self.size, written)) // PARTITION_BYTES))
+
     def keep_only(self, *names: str) -> None:
         """Deletes all other tables; no returned DataFrame may read them."""
         self.drop(*(n for n in self.written if n not in names))
@@ -64,6 +78,10 @@ def small_or_shuffled(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+#: Written, compressed bytes that one partition of a shuffle takes about.
+PARTITION_BYTES = 32 << 20
+
+
 def partitions_for(spark: SparkSession) -> int:
     """Shuffle partitions of the session, at least the cores it has."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)

@@ -10,22 +10,19 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import zlib
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from entityforge.llm.columns import Columns, as_columns, map_columns, names
-from entityforge.llm.scratch import Scratch
+from entityforge.llm.scratch import Scratch, small_or_shuffled
 
 END = "\r\n\r\n"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-#: Records of one archive file; a third of them hold payloads.
-RECORDS_PER_FILE = 12_000
-#: Rows up to which a table of (digest, page_id, url) is broadcast.
-BROADCAST_ROWS = 50_000
+#: Bytes of an archive file before compression, at the mean size of a page, and records of one at most.
+FILE_BYTES, RECORDS_PER_FILE = 256 << 20, 12_000
 
 
 def base32_of_hex(digest: Column) -> Column:
@@ -62,10 +59,11 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, date: str =
     """Writes the captures of `pages` (page_id, url, html) as WARC archives under `path`.
 
     Of pages with equal payloads of at least `min_bytes` bytes, the one with the largest page_id
-    (null is smallest; ties: largest url) is written as response, the others as revisits of it,
-    which keep the HTTP headers but not the payload. A null html is an empty payload; a null url
-    has no WARC-Target-URI; blanks and controls in urls are percent-encoded. Repeated rows are
-    written as often as they occur, under the same record ids. Other columns are not read.
+    (null is smallest; ties: largest url, then one of the rows that are alike in all) is written as
+    response, the others as revisits of it, which keep the HTTP headers but not the payload. A null
+    html is an empty payload; a null url has no WARC-Target-URI; blanks and controls in urls are
+    percent-encoded. Repeated rows are captures of their own, with record ids of their own. Other
+    columns are not read; an empty table gives an empty folder.
     """
     spark = pages.sparkSession
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
@@ -77,20 +75,31 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, date: str =
         F.octet_length(html).cast("long").alias("size"),
         F.sha1(html.cast("binary")).alias("sha1"),
     )
-    groups = base.filter(F.col("size") >= min_bytes).groupBy("sha1").agg(F.count("*").alias("n"), F.max(F.struct("page_id", "url")).alias("first"))
+    key = ["sha1", "page_id", "url"]
     scratch = Scratch(spark, "warc")
-    shared = scratch.write(groups.filter("n > 1").select(F.col("sha1").alias("_sha1"), "first"), "shared")
-    shared = F.broadcast(shared) if shared.count() <= BROADCAST_ROWS else shared
-    known = base.join(shared, (base["sha1"] == shared["_sha1"]) & (base["size"] >= min_bytes), "left")
-    is_first = F.col("page_id").eqNullSafe(F.col("first.page_id")) & (F.col("url") == F.col("first.url"))
+    alike = scratch.write(base.groupBy(*key).agg(F.count("*").alias("n"), F.max("size").alias("size")), "alike")
+    groups = alike.filter(F.col("size") >= min_bytes).groupBy("sha1").agg(F.sum("n").alias("n"), F.max(F.struct("page_id", "url")).alias("first"))
+    shared = small_or_shuffled(scratch.write(groups.filter("n > 1").select(F.col("sha1").alias("_sha1"), "first"), "shared"))
+    repeated = scratch.write(alike.filter("n > 1").select(*[F.col(c).alias(f"_{c}") for c in key]), "repeated")
+    turned = base.withColumn("turn", F.lit(1))
+    if repeated.limit(1).count():
+        # a number for each of the rows that are alike; only those are shuffled
+        same = F.lit(True)
+        for c in key:
+            same &= F.col(c).eqNullSafe(F.col(f"_{c}"))
+        again = base.join(small_or_shuffled(repeated), same, "left_semi")
+        again = again.withColumn("turn", F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(0))))
+        turned = turned.join(small_or_shuffled(repeated), same, "left_anti").unionByName(again)
+    known = turned.join(shared, (F.col("sha1") == F.col("_sha1")) & (F.col("size") >= min_bytes), "left")
+    is_first = F.col("page_id").eqNullSafe(F.col("first.page_id")) & (F.col("url") == F.col("first.url")) & (F.col("turn") == 1)
     known = known.withColumn("revisit", F.col("_sha1").isNotNull() & ~is_first)
     uri = F.col("url")
     for c in "\t\n\x0b\x0c\r ":
         uri = F.replace(uri, F.lit(c), F.lit(f"%{ord(c):02X}"))
     uri = F.when(F.col("has_url"), uri)
-    key = [F.col("page_id"), F.col("url"), F.col("sha1")]
-    main = _record_id("response", *key)
-    target = _record_id("response", F.col("first.page_id"), F.col("first.url"), F.col("sha1"))
+    own = [F.col("page_id"), F.col("url"), F.col("sha1"), F.col("turn")]
+    main = _record_id("response", *own)
+    target = _record_id("response", F.col("first.page_id"), F.col("first.url"), F.col("sha1"), F.lit(1))
     digest = F.concat(F.lit("sha1:"), base32_of_hex(F.col("sha1")))
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("size").cast("string"), F.lit(END))
     block = F.concat(http, F.when(F.col("revisit"), F.lit("")).otherwise(F.col("html")))
@@ -99,10 +108,12 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, date: str =
         F.when(F.col("revisit"), F.lit("revisit")).otherwise(F.lit("response")), uri, date, main, "application/http;msgtype=response", block,
         ("WARC-Payload-Digest", digest), ("WARC-Refers-To", F.when(F.col("revisit"), target)), ("WARC-Profile", F.when(F.col("revisit"), F.lit(PROFILE))),
     )
-    request = _record("request", uri, date, _record_id("request", *key), "application/http;msgtype=request", F.lit("GET / HTTP/1.1" + END), ("WARC-Concurrent-To", main))
-    metadata = _record("metadata", uri, date, _record_id("metadata", *key), "application/warc-fields", fields, ("WARC-Concurrent-To", main))
+    request = _record("request", uri, date, _record_id("request", *own), "application/http;msgtype=request", F.lit("GET / HTTP/1.1" + END), ("WARC-Concurrent-To", main))
+    metadata = _record("metadata", uri, date, _record_id("metadata", *own), "application/warc-fields", fields, ("WARC-Concurrent-To", main))
     records = known.select(F.explode(F.array(response, request, metadata)).alias("value"))
-    records.write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
+    mean = alike.agg(F.sum(F.col("n") * F.col("size")) / F.sum("n")).first()[0] or 0
+    per_file = min(max(3 * int(FILE_BYTES / (mean + 2000)), 3), RECORDS_PER_FILE)
+    records.write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", per_file).text(path)
 
 
 RECORD = (
@@ -118,30 +129,20 @@ def _headers(raw: bytes) -> dict[str, str]:
 
 
 def parse_records(raw: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Headers and block of every record of one gzip archive; block lengths come from Content-Length alone."""
-    buffer, gz = bytearray(), zlib.decompressobj(16 + zlib.MAX_WBITS)
-
-    def chunks() -> Iterator[bytes]:
-        nonlocal gz
-        for part in raw:
-            while part:
-                yield gz.decompress(part, 1 << 20)
-                part = gz.unconsumed_tail or gz.unused_data
-                if gz.eof:
-                    gz = zlib.decompressobj(16 + zlib.MAX_WBITS)
-        yield gz.flush()
-
-    source = chunks()
+    """Headers and block of every record in a stream of decompressed bytes; lengths come from Content-Length alone."""
+    buffer = bytearray()
 
     def fill(n: int) -> bool:
         while len(buffer) < n:
-            more = next(source, None)
+            more = next(raw, None)
             if more is None:
                 return False
             buffer.extend(more)
         return True
 
     while True:
+        while buffer[:2] == b"\r\n":  # blank lines that are left between records
+            del buffer[:2]
         at, seen = -1, 0
         while (at := buffer.find(b"\r\n\r\n", max(0, seen - 3))) < 0:
             seen = len(buffer)
@@ -176,24 +177,26 @@ def _row(headers: dict[str, str], block: bytes, with_payload: bool) -> tuple:
 def read_archives(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame:
     """One row per record of all archives under `path`.
 
-    The digest and size of a response are those of the bytes read; a revisit has those that its
-    headers state. `with_payload=False` leaves payloads out.
+    Archives are streamed, file after file of a task, cut at blank lines by Spark's text reader and
+    put together again here, so that a task holds one record and not a file, however large. The
+    digest and size of a response are those of the bytes read; a revisit has those that its headers
+    state. `with_payload=False` leaves payloads out. Null values stay null; a folder without archives
+    gives no rows.
     """
 
     def run(batches: Iterator[Columns]) -> Iterator[Columns]:
-        for batch in batches:
-            for content in batch["content"]:
-                rows, held = [], 0
-                for headers, block in parse_records(iter([content])):
-                    rows.append(_row(headers, block, with_payload))
-                    held += len(block) if with_payload else 256
-                    if held > 8_000_000:
-                        yield as_columns(rows, _NAMES)
-                        rows, held = [], 0
+        pieces = (piece + END.encode() for batch in batches for piece in batch["value"])
+        rows, held = [], 0
+        for headers, block in parse_records(pieces):
+            rows.append(_row(headers, block, with_payload))
+            held += len(block) if with_payload else 256
+            if held > 8_000_000:
                 yield as_columns(rows, _NAMES)
+                rows, held = [], 0
+        yield as_columns(rows, _NAMES)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
-    return map_columns(files, run, RECORD)
+    lines = spark.read.option("lineSep", END).option("pathGlobFilter", "*.gz").text(path)
+    return map_columns(lines.select(F.col("value").cast("binary").alias("value")), run, RECORD)
 
 
 def assemble(records: DataFrame) -> DataFrame:
