@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from entityforge.llm.columns import Columns, as_columns, map_columns, names
 from entityforge.llm.components import connected_components
-from entityforge.llm.scratch import PARTITION_BYTES, Scratch, small_or_shuffled
+from entityforge.llm.scratch import PARTITION_BYTES, SMALL_ROWS, Scratch, small_or_shuffled
 from entityforge.llm.wordhash import WordHasher, mix
 
 WORDS = 5
@@ -36,7 +36,7 @@ SIEVE = (1 << 21) - 1
 #: Classes of one index list up to which one task pairs them, and entries of a block, which is skipped as one.
 LIST_CLASSES, BLOCK = 2048, 32
 #: Entries of lists with much in common that one task holds about, and pairs of one set that one task compares about.
-TASK_ENTRIES, TASK_PAIRS = 1024, 2048
+TASK_ENTRIES, TASK_PAIRS = 512, 2048
 #: Counted sets from which the list of a token is dealt to several tasks, and pairs of entries tested at once.
 HOT_TOKEN, AT_ONCE = 50_000, 1 << 20
 #: Turns that spare the last one pairs, by what they connect: with how many others of a list each class
@@ -139,15 +139,23 @@ class _Sets:
         self.scratch, self.base, self.sets, self.clashing = scratch, base, sets, clashing
 
     def overlaps(self, pairs: DataFrame, name: str) -> DataFrame:
-        """(x, y, nx, ny, overlap) of each pair (x, y) of sets, a table.
+        """(x, y, nx, ny, overlap) of each of the distinct pairs (x, y) of sets, a table.
 
         Of a pair, the set that is in more pairs leads: the other one's tokens travel to it, and a set
         that is in very many pairs is sent once to each of the tasks that its pairs are dealt to.
         """
         scratch, clashing = self.scratch, self.clashing
-        pairs = scratch.write(pairs.select("x", "y").distinct(), f"{name}_pairs")
+        pairs = scratch.write(pairs.select("x", "y"), f"{name}_pairs")
+        few = pairs.count() <= SMALL_ROWS
+
+        def aside(df: DataFrame, what: str) -> DataFrame:
+            """A table of two rows a pair at most, for a join: broadcast where pairs are counted and few."""
+            return F.broadcast(df) if few else small_or_shuffled(scratch.write(df, f"{name}_{what}"))
+
+        # few pairs take one task, without a shuffle
+        pairs = pairs.coalesce(1) if few else pairs
         ends = pairs.select(F.col("x").alias("set")).unionByName(pairs.select(F.col("y").alias("set")))
-        degree = small_or_shuffled(scratch.write(ends.groupBy("set").agg(F.count("*").alias("degree")), f"{name}_degree"))
+        degree = aside((ends.coalesce(1) if few else ends).groupBy("set").agg(F.count("*").alias("degree")), "degree")
         of_x, of_y = (degree.select(F.col("set").alias(c), F.col("degree").alias(f"d{c}")) for c in ("x", "y"))
         x_leads = F.struct("dx", "x") >= F.struct(F.col("dy").alias("dx"), F.col("y").alias("x"))
         led = pairs.join(of_x, "x").join(of_y, "y").select(
@@ -160,10 +168,10 @@ class _Sets:
         leads = leads.select("set", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "group")
         leads = leads.select("set", F.struct("group", "salt", F.lit(True).alias("lead"), F.lit(True).alias("x_leads")).alias("ask"))
         # a set that does not lead is in no more pairs than the root of twice all pairs
-        asks = asked.unionByName(leads).groupBy("set").agg(F.collect_list("ask").alias("asks"))
-        wanted = small_or_shuffled(scratch.write(asks, f"{name}_asks"))
-        keyed = self.sets.select("set", "key").join(wanted, "set").select(F.col("key").alias("_key"), "set", "asks")
-        keyed = scratch.write(keyed, f"{name}_keyed")
+        asks = asked.unionByName(leads)
+        asks = (asks.coalesce(1) if few else asks).groupBy("set").agg(F.collect_list("ask").alias("asks"))
+        wanted = aside(asks, "asks")
+        keyed = aside(self.sets.select("set", "key").join(wanted, "set").select(F.col("key").alias("_key"), "set", "asks"), "keyed")
 
         def send(batches: Iterator[Columns]) -> Iterator[Columns]:
             shingles, sent = Shingles(), set()
@@ -179,10 +187,13 @@ class _Sets:
                     yield as_columns(rows[at : at + 2000], names(SENT))
 
         def compare(batches: Iterator[Columns]) -> Iterator[Columns]:
-            place, lead, own = None, None, 0
+            place, lead, own, last = None, None, 0, None
             for batch in batches:
                 rows = []
                 for group, salt, leads, x_leads, other, raw in zip(*(batch[k] for k in names(SENT))):
+                    if (group, salt, leads, x_leads, other) == last:  # of rows that repeat id and text
+                        continue
+                    last = (group, salt, leads, x_leads, other)
                     tokens = np.frombuffer(raw, np.int64)
                     if leads:
                         place, lead, own = (group, salt), tokens, group
@@ -193,10 +204,10 @@ class _Sets:
                         rows.append((own, other, len(lead), len(tokens), shared) if x_leads else (other, own, len(tokens), len(lead), shared))
                 yield as_columns(rows, names(OVERLAPS))
 
-        texts = self.base.join(small_or_shuffled(keyed), F.col("key") == F.col("_key")).select("_key", "set", "asks", "text")
+        texts = self.base.join(keyed, F.col("key") == F.col("_key")).select("_key", "set", "asks", "text")
         dealt = map_columns(texts, send, SENT).repartition(scratch.parts, "group", "salt")
-        dealt = dealt.sortWithinPartitions("group", "salt", F.col("lead").desc())
-        found = scratch.write(map_columns(dealt, compare, OVERLAPS).distinct(), f"{name}_overlaps")
+        dealt = dealt.sortWithinPartitions("group", "salt", F.col("lead").desc(), "x_leads", "set")
+        found = scratch.write(map_columns(dealt, compare, OVERLAPS), f"{name}_overlaps")
         scratch.drop(*(f"{name}_{k}" for k in ("degree", "asks", "keyed")))
         return found
 
@@ -395,23 +406,31 @@ class _Sent:
         return {"x": x[fresh], "y": y[fresh]}
 
 
-def _dealt(scratch: Scratch, lists: DataFrame, name: str) -> DataFrame:
-    """Lists with one `least` have much in common and go to one task, which sends a pair once; where they
-    hold very many entries, to several, by token. The cluster drops pairs that two tasks send."""
+def _heavy(scratch: Scratch, lists: DataFrame, name: str) -> DataFrame:
+    """`least` of lists that together hold very many entries, and how many tasks those are dealt to."""
     heavy = lists.groupBy("least").agg(F.count("*").alias("_n")).filter(F.col("_n") > TASK_ENTRIES)
     heavy = heavy.select(F.col("least").alias("_least"), F.ceil(F.col("_n") / TASK_ENTRIES).cast("int").alias("_parts"))
-    heavy = small_or_shuffled(scratch.write(heavy, f"{name}_heavy"))
-    part = F.coalesce(F.pmod(F.xxhash64("token", "salt"), F.col("_parts")), F.lit(0)).alias("part")
-    marked = lists.join(heavy, F.col("least") == F.col("_least"), "left").select(*names(POSTING), "root", "least", part)
+    return small_or_shuffled(scratch.write(heavy, f"{name}_heavy"))
+
+
+def _dealt(scratch: Scratch, lists: DataFrame, heavy: DataFrame) -> DataFrame:
+    """Lists with one `least` have much in common and go to one task, which sends a pair once; where they
+    hold very many entries, to `parts` of them, by token. The cluster drops pairs that two tasks send."""
+    parts = F.coalesce("_parts", F.lit(1)).alias("parts")
+    part = F.coalesce(F.pmod(F.xxhash64("token", "salt"), F.col("_parts")).cast("int"), F.lit(0)).alias("part")
+    marked = lists.join(heavy, F.col("least") == F.col("_least"), "left").select(*names(POSTING), "root", "least", part, parts)
     return marked.repartition(scratch.parts, "least", "part").sortWithinPartitions("least", "part", "token", "salt")
 
 
-def _pairs(scratch: Scratch, lists: DataFrame, width: int | None, turn: int, name: str) -> DataFrame:
+def _pairs(scratch: Scratch, lists: DataFrame, heavy: DataFrame, width: int | None, turn: int) -> DataFrame:
     """Pairs of classes of a list that are not connected and may link, x < y.
 
     Width 0: the class with the fewest rare tokens, which has most in common with others, with each
     other. A width: each class with the next `width` in an order that depends on the turn and the
     class alone, so that lists with the same classes make the same pairs. None: all.
+
+    With a width, where lists are dealt to several tasks, each has the pairs of its share alone, by
+    their hash: such turns only spare the last one pairs, and need not find all.
     """
     salt = np.uint64((2 * turn + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
 
@@ -430,7 +449,7 @@ def _pairs(scratch: Scratch, lists: DataFrame, width: int | None, turn: int, nam
             of_list = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(a["token"]))))
             if width == 0:
                 centre, i = first[of_list], np.arange(len(of_list))
-                ok = np.flatnonzero(_may_link(a, centre, i))
+                ok = _of_share(a, centre, np.flatnonzero(_may_link(a, centre, i)))
                 yield sent.new(a, centre[ok], ok)
                 continue
             # entry i meets the one d places on, as long as any two share a list
@@ -438,15 +457,22 @@ def _pairs(scratch: Scratch, lists: DataFrame, width: int | None, turn: int, nam
             while len(i) and d <= width:
                 i = i[i + d < len(of_list)]
                 i = i[of_list[i] == of_list[i + d]]
-                ok = i[_may_link(a, i, i + d)]
+                ok = _of_share(a, np.arange(d, len(of_list)), i[_may_link(a, i, i + d)])
                 if len(ok):
                     yield sent.new(a, ok, ok + d)
                 d += 1
 
-    laid = _dealt(scratch, lists, name).select(*names(POSTING), "root")
+    laid = _dealt(scratch, lists, heavy).select(*names(POSTING), "root", "part", "parts")
     return map_columns(laid, run, "x long, y long", arrays=True).distinct()
 
 
+def _of_share(a: dict[str, np.ndarray], other: np.ndarray, i: np.ndarray) -> np.ndarray:
+    """Those of the entries `i` whose pairs with `other[i]` are of their task's share."""
+    one, two = a["class"][i], a["class"][other[i]]
+    marks = mix(np.minimum(one, two).view(np.uint64) * _P + np.maximum(one, two).view(np.uint64))
+    return i[marks % a["parts"][i].astype(np.uint64) == a["part"][i].astype(np.uint64)]
+
+
 class _Verifier:
     """Compares pairs of sets, each pair once."""
 
@@ -578,7 +604,7 @@ def _rooted_rows(scratch: Scratch, docs: DataFrame, id_col: str, text_col: str)
     live = scratch.write(_live_lists(scratch, _postings(base, owned, frequent, clashing)), "live")
 
     # leaders against leaders: first few of each list, and in the end all that is not connected yet
-    verifier, roots, so_far = _Verifier(scratch, known), None, 0
+    verifier, roots, so_far, heavy = _Verifier(scratch, known), None, 0, _heavy(scratch, live, "live")
 
     def lists() -> DataFrame:
         if roots is None:
@@ -587,7 +613,7 @@ def _rooted_rows(scratch: Scratch, docs: DataFrame, id_col: str, text_col: str)
         return live.join(of, F.col("class") == F.col("_node"), "left").withColumn("root", F.coalesce("_root", "class")).drop("_node", "_root")
 
     for turn, width in enumerate(WIDTHS):
-        verifier.verify(_pairs(scratch, lists(), width, turn, f"ring{turn}"))
+        verifier.verify(_pairs(scratch, lists(), heavy, width, turn))
         count = verifier.links().count()
         if (count - so_far) * 50 <= count:  # few links are left to find; the pairs of all lists find them
             break
@@ -616,11 +642,12 @@ def _all_pairs(scratch: Scratch, lists: DataFrame, name: str) -> DataFrame:
     entries = scratch.write(lists.select(*names(POSTING), "root", "least"), f"{name}_lists")
     long_ = entries.groupBy("token").agg(F.count("*").alias("_n"), F.max("salt").alias("_salt")).filter((F.col("_n") > LIST_CLASSES) | (F.col("_salt") > 0))
     long_ = scratch.write(long_.select(F.col("token").alias("_token")), f"{name}_long")
+    heavy = _heavy(scratch, entries, name)
     if not long_.limit(1).count():
-        return _pairs(scratch, entries, None, 0, name)
+        return _pairs(scratch, entries, heavy, None, 0)
     in_long = F.col("token") == F.col("_token")
     of_long = small_or_shuffled(long_)
-    pairs = _pairs(scratch, entries.join(of_long, in_long, "left_anti"), None, 0, name)
+    pairs = _pairs(scratch, entries.join(of_long, in_long, "left_anti"), heavy, None, 0)
     return pairs.unionByName(_long_list_pairs(scratch, entries.join(of_long, in_long, "left_semi"), name)).distinct()
 
 
@@ -700,7 +727,7 @@ def _member_links(scratch: Scratch, known: _Sets, leaders: DataFrame, members: D
     turned = open_.select("x", "y", "overlap").unionByName(open_.select(F.col("y").alias("x"), F.col("x").alias("y"), "overlap"))
     cross = turned.join(mine, F.col("x") == F.col("_class")).select(F.col("x").alias("cx"), F.col("y").alias("cy"), "set", "n_set", "beyond")
     cross = scratch.write(cross, "cross")
-    seen = known.overlaps(cross.select(F.col("cy").alias("x"), F.col("set").alias("y")).filter("x != y"), "cross")
+    seen = known.overlaps(cross.select(F.col("cy").alias("x"), F.col("set").alias("y")).filter("x != y").distinct(), "cross")
     seen = scratch.write(seen.select(F.col("x").alias("cy"), F.col("y").alias("set"), F.col("nx").alias("n_cy"), F.col("overlap").alias("shared")), "seen")
     cross = scratch.write(cross.join(seen, ["cy", "set"]), "cross_seen")
     hit = cross.filter(links(F.col("n_cy"), F.col("n_set"), F.col("shared"))).select(F.col("cx").alias("u"), F.col("cy").alias("v")).distinct()
@@ -714,6 +741,6 @@ def _member_links(scratch: Scratch, known: _Sets, leaders: DataFrame, members: D
     bound = F.least(F.col("sx") + F.col("by"), F.col("sy") + F.col("bx"), F.col("nx"), F.col("ny"))
     pairs = a.join(b, ["p", "q"]).filter(links(F.col("nx"), F.col("ny"), bound)).select("p", "q", "x", "y")
     pairs = scratch.write(pairs, "member_pairs")
-    met = known.overlaps(pairs.select("x", "y"), "late").filter(links(F.col("nx"), F.col("ny"), F.col("overlap")))
+    met = known.overlaps(pairs.select("x", "y").distinct(), "late").filter(links(F.col("nx"), F.col("ny"), F.col("overlap")))
     late = pairs.join(met.select("x", "y"), ["x", "y"], "left_semi").select(F.col("p").alias("u"), F.col("q").alias("v")).distinct()
     return hit.unionByName(late)
