@@ -123,7 +123,9 @@ def canonical_turns(records: DataFrame, layouts: tuple[Layout, ...] = LAYOUTS) -
 
     A record gives one row per turn it holds, numbered by `step`. `turn` orders the records of a
     conversation. A record of no declared layout, or that is no JSON object, is kept as one row with
-    null layout and role and its raw text. Null texts are empty. Repeated records are kept.
+    null layout and role and its raw text. Null texts are empty, texts of any length are whole, and
+    repeated records are kept. Names of fields may hold the marks of paths. An empty table gives no
+    rows; other columns are not read, whatever their names.
     """
     table = mapping_table(layouts)
 
@@ -192,7 +194,9 @@ def read_back(formatted: DataFrame) -> DataFrame:
 
     Segments are streamed in order (turn, null first; step; then the segment itself), so a task holds
     one batch and one open conversation's hash state, however long that conversation is. The hash of
-    a conversation is sequential by definition; all formatting before it is spread row by row.
+    a conversation is sequential by definition; all formatting before it is spread row by row. Null
+    ids are one conversation, null turns come first, repeated turns count each, and equal places are
+    ordered by the segment. An empty table gives no rows; other columns are not read.
     """
 
     def run(batches: Iterator[Columns]) -> Iterator[Columns]:

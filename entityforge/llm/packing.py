@@ -207,8 +207,9 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int
     """Packs the pieces of all texts into as few sequences of `capacity` tokens as the plan finds.
 
     Returns the pieces with sequence_id and offset (place in the sequence). Repeated rows are packed
-    each on its own; null ids are kept; an empty table gives no rows. Columns other than doc_id and
-    text are not read. Only the histogram of lengths, at most `capacity` numbers, reaches the driver.
+    each on its own; null ids are kept; an empty table gives no rows. Texts of any length are read
+    whole, block by block. Pieces of one length, id and number are interchangeable: which of them gets
+    which place is not defined. Columns other than doc_id and text are not read. Only the histogram of lengths, at most `capacity` numbers, reaches the driver.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "pack")

@@ -85,12 +85,21 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All conversations and conversation -7 formatted, and read back from the output."""
+    """All conversations and conversation -7 formatted, and read back from the output.
+
+    Turns come as records of three layouts in turn, which their fingerprints tell apart; a role that a
+    list layout would rename stays in the flat one.
+    """
     hard = "\\### Assistant: </turn> ok"
     own = [(-7, 0, "user", hard), (-7, 1, "assistant", hard)]
     rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     rows = rows.unionByName(spark.createDataFrame(own, "conv_id long, turn long, role string, text string"))
-    records = rows.select("conv_id", "turn", F.to_json(F.struct("role", "text"), {"ignoreNullFields": "false"}).alias("record"))
+    whole = {"ignoreNullFields": "false"}
+    flat = F.to_json(F.struct("role", "text"), whole)
+    messages = F.to_json(F.struct(F.array(F.struct("role", F.col("text").alias("content"))).alias("messages")), whole)
+    conversations = F.to_json(F.struct(F.array(F.struct(F.col("role").alias("from"), F.col("text").alias("value"))).alias("conversations")), whole)
+    kind = F.when(F.coalesce(F.col("role").isin(*chat.ROLES), F.lit(False)), 0).otherwise(F.coalesce(F.pmod("turn", F.lit(3)), F.lit(0)))
+    records = rows.select("conv_id", "turn", F.when(kind == 1, messages).when(kind == 2, conversations).otherwise(flat).alias("record"))
     return chat.read_back(chat.format_turns(chat.canonical_turns(records)))
 
 
