@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,11 +34,15 @@ def pin(spark: SparkSession) -> SparkSession:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """`df` computed once and kept in the cluster's `spark.checkpoint.dir`; a temporary folder where that is unset, as in tests."""
+    """`df` computed once and kept in the cluster's `spark.checkpoint.dir`; a temporary folder where that is unset and
+    all runs in one process, as in tests."""
     spark = df.sparkSession
     context = spark.sparkContext
     if not context.getCheckpointDir():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="entityforge-"))
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if not shared and not re.match(r"local(\[|$)", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="entityforge-"))
     return df.checkpoint()
 
 
