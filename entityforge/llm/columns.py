@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
+import os
 import sys
 from collections.abc import Callable, Iterator
 
@@ -20,13 +21,27 @@ from pyspark.sql.types import StructType
 Columns = dict[str, list]
 #: Rows, and bytes of Arrow data, that are Python values at one time; one longer row is so by itself.
 SLICE, SLICE_BYTES = 2000, 4_000_000
+#: A worker of so few bytes has nothing to give back.
+LITTLE_BYTES = 160 << 20
+
+
+def _held_bytes() -> int:
+    """Memory of this process, by the system's page count; very much where that is not told."""
+    try:
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * os.sysconf("SC_PAGE_SIZE")
+    except (OSError, ValueError, IndexError):
+        return 1 << 62
 
 
 def release(keep_tokenizer: bool = False) -> None:
     """Gives memory of earlier tasks back: workers are reused, and an executor's share is fixed."""
     module = sys.modules.get("entityforge.llm.tokens")
-    if module is not None and not keep_tokenizer:
+    held = module is not None and not keep_tokenizer and module.tokenizer.cache_info().currsize > 0
+    if held:
         module.tokenizer.cache_clear()
+    elif _held_bytes() < LITTLE_BYTES:
+        return
     gc.collect()
     with contextlib.suppress(OSError, AttributeError):
         ctypes.CDLL("libc.so.6").malloc_trim(0)

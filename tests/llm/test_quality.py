@@ -8,10 +8,11 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+import corpus_pipeline
 from entityforge.llm import hashed, quality_rules, textstats, weak_quality
 from entityforge.llm.columns import slices, text_udf
-from pyspark.sql import functions as F
 
 ALL = 1 << 32
 
@@ -63,6 +64,21 @@ def test_classifier_verdict_by_dictionaries(spark, sf_dir):
             assert r["kept"] == (p >= weak_quality.MIN_PROBABILITY)
 
 
+def test_stages_keep_what_the_models_say(spark, sf_dir):
+    """Row by row, from models fitted on the same input; the classifier, alone, rejects most junk and little else."""
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    whole = {r["doc_id"]: r["text"] or "" for r in docs.select("doc_id", "text").collect()}
+    rules, weak = quality_rules.fit_rules(docs, labels), weak_quality.fit_weak(docs)[0]
+    failed = {r["doc_id"] for r in quality_rules.judge_texts(docs, rules).filter("rules.base_failed").select("doc_id").collect()}
+    kept = {r["doc_id"] for r in corpus_pipeline.rules_stage(spark, docs, sf_dir).select("doc_id").collect()}
+    assert kept == {i for i, t in whole.items() if i not in failed and brute_probability(rules, t) >= quality_rules.MIN_PROBABILITY}
+    kept = {r["doc_id"] for r in corpus_pipeline.quality_stage(spark, docs, sf_dir).select("doc_id").collect()}
+    assert kept == {i for i, t in whole.items() if brute_probability(weak, t) >= weak_quality.MIN_PROBABILITY}
+    known = {r["doc_id"]: r["quality"] for r in labels.collect()}
+    bad, good = [i for i in whole if known.get(i) == 0], [i for i in whole if known.get(i) == 1]
+    assert sum(i not in kept for i in bad) >= 0.8 * len(bad) and sum(i in kept for i in good) >= 0.97 * len(good)
+
+
 def brute_em(patterns, rounds=100):
     """The same two-class model over dictionaries."""
     size = len(next(iter(patterns)))
