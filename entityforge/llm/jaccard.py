@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from entityforge.llm.columns import Columns, as_columns, map_columns, names
 from entityforge.llm.components import connected_components
-from entityforge.llm.scratch import PARTITION_BYTES, SMALL_ROWS, Scratch, small_or_shuffled
+from entityforge.llm.scratch import PARTITION_BYTES, Scratch, is_small, small_or_shuffled
 from entityforge.llm.wordhash import WordHasher, mix
 
 WORDS = 5
@@ -146,7 +146,7 @@ class _Sets:
         """
         scratch, clashing = self.scratch, self.clashing
         pairs = scratch.write(pairs.select("x", "y"), f"{name}_pairs")
-        few = pairs.count() <= SMALL_ROWS
+        few = is_small(pairs)
 
         def aside(df: DataFrame, what: str) -> DataFrame:
             """A table of two rows a pair at most, for a join: broadcast where pairs are counted and few."""

@@ -72,10 +72,15 @@ class Scratch:
 SMALL_ROWS = 100_000
 
 
-def small_or_shuffled(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
+def is_small(df: DataFrame) -> bool:
+    """Whether a written table has few rows, by count."""
+    return df.count() <= SMALL_ROWS
+
+
+def small_or_shuffled(df: DataFrame) -> DataFrame:
     """`df`, a written table, with a broadcast hint if its counted rows are few; else it is joined by
     shuffle, where skewed keys are split at run time."""
-    return F.broadcast(df) if df.count() <= rows else df
+    return F.broadcast(df) if is_small(df) else df
 
 
 #: Written, compressed bytes that one partition of a shuffle takes about.
