@@ -231,7 +231,7 @@ def q_quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     suppliers = make_entities(
         _table(spark, sf_dir, "supplier"), F.lit("device"), F.col("s_name"), about, F.lit(""), _strings("Devices"), F.lit("supplier"), F.lit(""), None, F.col("s_suppkey") + (1 << 40)
     )
-    found = tools.unionByName(brand_entities(spark, sf_dir).withColumn("pos", F.col("pos") + (1 << 50))).unionByName(suppliers)
+    found = cut_lineage(tools.unionByName(brand_entities(spark, sf_dir).withColumn("pos", F.col("pos") + (1 << 50))).unionByName(suppliers))
     resolved = cut_lineage(dedupe.dedupe(found))
     valid, counts = validate.validate_all(resolved.unionByName(classify.task_entities(spark, PART_TASKS)))
     edges = relationships.develops(valid).select("from", "relation", "to")
