@@ -36,7 +36,7 @@ SIEVE = (1 << 21) - 1
 #: Classes of one index list up to which one task pairs them, and entries of a block, which is skipped as one.
 LIST_CLASSES, BLOCK = 2048, 32
 #: Entries of lists with much in common that one task holds about, and pairs of one set that one task compares about.
-TASK_ENTRIES, TASK_PAIRS = 512, 2048
+TASK_ENTRIES, TASK_PAIRS = 100_000, 2048
 #: Counted sets from which the list of a token is dealt to several tasks, and pairs of entries tested at once.
 HOT_TOKEN, AT_ONCE = 50_000, 1 << 20
 #: Turns that spare the last one pairs, by what they connect: with how many others of a list each class
@@ -415,10 +415,9 @@ def _heavy(scratch: Scratch, lists: DataFrame, name: str) -> DataFrame:
 
 def _dealt(scratch: Scratch, lists: DataFrame, heavy: DataFrame) -> DataFrame:
     """Lists with one `least` have much in common and go to one task, which sends a pair once; where they
-    hold very many entries, to `parts` of them, by token. The cluster drops pairs that two tasks send."""
-    parts = F.coalesce("_parts", F.lit(1)).alias("parts")
+    hold very many entries, to several, by token. The cluster drops pairs that two tasks send."""
     part = F.coalesce(F.pmod(F.xxhash64("token", "salt"), F.col("_parts")).cast("int"), F.lit(0)).alias("part")
-    marked = lists.join(heavy, F.col("least") == F.col("_least"), "left").select(*names(POSTING), "root", "least", part, parts)
+    marked = lists.join(heavy, F.col("least") == F.col("_least"), "left").select(*names(POSTING), "root", "least", part)
     return marked.repartition(scratch.parts, "least", "part").sortWithinPartitions("least", "part", "token", "salt")
 
 
@@ -428,9 +427,6 @@ def _pairs(scratch: Scratch, lists: DataFrame, heavy: DataFrame, width: int | No
     Width 0: the class with the fewest rare tokens, which has most in common with others, with each
     other. A width: each class with the next `width` in an order that depends on the turn and the
     class alone, so that lists with the same classes make the same pairs. None: all.
-
-    With a width, where lists are dealt to several tasks, each has the pairs of its share alone, by
-    their hash: such turns only spare the last one pairs, and need not find all.
     """
     salt = np.uint64((2 * turn + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
 
@@ -449,7 +445,7 @@ def _pairs(scratch: Scratch, lists: DataFrame, heavy: DataFrame, width: int | No
             of_list = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(a["token"]))))
             if width == 0:
                 centre, i = first[of_list], np.arange(len(of_list))
-                ok = _of_share(a, centre, np.flatnonzero(_may_link(a, centre, i)))
+                ok = np.flatnonzero(_may_link(a, centre, i))
                 yield sent.new(a, centre[ok], ok)
                 continue
             # entry i meets the one d places on, as long as any two share a list
@@ -457,22 +453,15 @@ def _pairs(scratch: Scratch, lists: DataFrame, heavy: DataFrame, width: int | No
             while len(i) and d <= width:
                 i = i[i + d < len(of_list)]
                 i = i[of_list[i] == of_list[i + d]]
-                ok = _of_share(a, np.arange(d, len(of_list)), i[_may_link(a, i, i + d)])
+                ok = i[_may_link(a, i, i + d)]
                 if len(ok):
                     yield sent.new(a, ok, ok + d)
                 d += 1
 
-    laid = _dealt(scratch, lists, heavy).select(*names(POSTING), "root", "part", "parts")
+    laid = _dealt(scratch, lists, heavy).select(*names(POSTING), "root")
     return map_columns(laid, run, "x long, y long", arrays=True).distinct()
 
 
-def _of_share(a: dict[str, np.ndarray], other: np.ndarray, i: np.ndarray) -> np.ndarray:
-    """Those of the entries `i` whose pairs with `other[i]` are of their task's share."""
-    one, two = a["class"][i], a["class"][other[i]]
-    marks = mix(np.minimum(one, two).view(np.uint64) * _P + np.maximum(one, two).view(np.uint64))
-    return i[marks % a["parts"][i].astype(np.uint64) == a["part"][i].astype(np.uint64)]
-
-
 class _Verifier:
     """Compares pairs of sets, each pair once."""
 
