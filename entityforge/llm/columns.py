@@ -22,7 +22,7 @@ Columns = dict[str, list]
 #: Rows, and bytes of Arrow data, that are Python values at one time; one longer row is so by itself.
 SLICE, SLICE_BYTES = 2000, 4_000_000
 #: A worker of so few bytes has nothing to give back.
-LITTLE_BYTES = 160 << 20
+LITTLE_BYTES = 110 << 20
 
 
 def _held_bytes() -> int:

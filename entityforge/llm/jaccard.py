@@ -38,11 +38,11 @@ LIST_CLASSES, BLOCK = 2048, 32
 #: Entries of lists with much in common that one task holds about, and pairs of one set that one task compares about.
 TASK_ENTRIES, TASK_PAIRS = 100_000, 2048
 #: Counted sets from which the list of a token is dealt to several tasks, and pairs of entries tested at once.
-HOT_TOKEN, AT_ONCE = 50_000, 1 << 20
+HOT_TOKEN, AT_ONCE = 50_000, 1 << 17
 #: Turns that spare the last one pairs, by what they connect: with how many others of a list each class
 #: is compared; 0: with the one that has fewest rare tokens.
 WIDTHS = (0, 16, 64)
-#: Pairs that a task remembers to have sent, 8 MB; the cluster drops those that are sent again.
+#: Pairs that a task remembers to have sent, 16 MB; the cluster drops those that are sent again.
 SENT_PAIRS = 1_000_000
 #: Stands for a null id.
 NO_ID = -(1 << 63)
@@ -386,23 +386,36 @@ def _portions(weight: np.ndarray) -> Iterator[np.ndarray]:
         at = end
 
 
-def _ordered_pairs(a: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+def _ordered_pairs(a: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct pairs of classes of these entries, x < y."""
     one, two = a["class"][i], a["class"][j]
-    return np.unique(np.stack([np.minimum(one, two), np.maximum(one, two)]), axis=1)
+    x, y = np.minimum(one, two), np.maximum(one, two)
+    order = np.lexsort((y, x))
+    x, y = x[order], y[order]
+    first = np.append(True, (x[1:] != x[:-1]) | (y[1:] != y[:-1])) if len(x) else np.zeros(0, dtype=bool)
+    return x[first], y[first]
 
 
 class _Sent:
-    """Pairs that a task has sent, a bounded number of them, by their hash."""
+    """Pairs that a task has sent, a bounded number of them, by 128 bits."""
 
     def __init__(self):
-        self.prints = np.zeros(0, dtype=np.uint64)
+        self.marks = self.more = np.zeros(0, dtype=np.uint64)
 
     def new(self, a: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> Columns:
         """The pairs of classes of these entries, x < y, each once, without those sent before."""
         x, y = _ordered_pairs(a, i, j)
-        marks = mix(x.view(np.uint64) * _P + y.view(np.uint64))
-        fresh = ~np.isin(marks, self.prints)
-        self.prints = np.concatenate([self.prints if len(self.prints) < SENT_PAIRS else self.prints[:0], marks[fresh]])
+        u, v = x.view(np.uint64), y.view(np.uint64)
+        marks, more = mix(u * _P + v), u + v * _P
+        fresh = np.ones(len(x), dtype=bool)
+        if len(self.marks):
+            at = np.minimum(np.searchsorted(self.marks, marks), len(self.marks) - 1)
+            fresh = (self.marks[at] != marks) | (self.more[at] != more)
+        if fresh.any():
+            held = len(self.marks) if len(self.marks) < SENT_PAIRS else 0
+            marks, more = np.concatenate([self.marks[:held], marks[fresh]]), np.concatenate([self.more[:held], more[fresh]])
+            order = np.argsort(marks)
+            self.marks, self.more = marks[order], more[order]
         return {"x": x[fresh], "y": y[fresh]}
 
 
