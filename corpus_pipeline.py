@@ -73,8 +73,8 @@ STAGES = [
     ("best-fit packing", packing_stage),
 ]
 
-#: SQL cannot express the fitted stages. tests/llm compares the join and the packing with brute force and the mixing
-#: with `mix_sources`; of the two stages of quality it checks that rows are a subset and, for the rules, what base rules reject.
+#: SQL cannot express the fitted stages. tests/llm compares both stages of quality row by row with the fitted models by
+#: dictionaries, the join and the packing with brute force, and the mixing with `mix_sources`.
 ORACLE_SQL = None
 
 
