@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from entityforge.llm.columns import Columns, as_columns, map_columns, names
@@ -141,8 +141,8 @@ class _Sets:
     def overlaps(self, pairs: DataFrame, name: str) -> DataFrame:
         """(x, y, nx, ny, overlap) of each of the distinct pairs (x, y) of sets, a table.
 
-        Of a pair, the set that is in more pairs leads: the other one's tokens travel to it, and a set
-        that is in very many pairs is sent once to each of the tasks that its pairs are dealt to.
+        Of a pair, the set that is in more pairs on its side leads: the other one's tokens travel to it,
+        and a set that is in very many pairs is sent once to each of the tasks that its pairs are dealt to.
         """
         scratch, clashing = self.scratch, self.clashing
         pairs = scratch.write(pairs.select("x", "y"), f"{name}_pairs")
@@ -154,11 +154,9 @@ class _Sets:
 
         # few pairs take one task, without a shuffle
         pairs = pairs.coalesce(1) if few else pairs
-        ends = pairs.select(F.col("x").alias("set")).unionByName(pairs.select(F.col("y").alias("set")))
-        degree = aside((ends.coalesce(1) if few else ends).groupBy("set").agg(F.count("*").alias("degree")), "degree")
-        of_x, of_y = (degree.select(F.col("set").alias(c), F.col("degree").alias(f"d{c}")) for c in ("x", "y"))
+        pairs = pairs.withColumns({f"d{c}": F.count("*").over(Window.partitionBy(c)) for c in ("x", "y")})
         x_leads = F.struct("dx", "x") >= F.struct(F.col("dy").alias("dx"), F.col("y").alias("x"))
-        led = pairs.join(of_x, "x").join(of_y, "y").select(
+        led = pairs.select(
             F.when(x_leads, F.col("x")).otherwise(F.col("y")).alias("group"), F.when(x_leads, F.col("y")).otherwise(F.col("x")).alias("set"),
             F.ceil(F.greatest("dx", "dy") / TASK_PAIRS).cast("int").alias("salts"), x_leads.alias("x_leads"),
         )
@@ -167,7 +165,7 @@ class _Sets:
         leads = led.select("group", "salts", F.col("group").alias("set")).distinct()
         leads = leads.select("set", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "group")
         leads = leads.select("set", F.struct("group", "salt", F.lit(True).alias("lead"), F.lit(True).alias("x_leads")).alias("ask"))
-        # a set that does not lead is in no more pairs than the root of twice all pairs
+        # a set that does not lead is in no more pairs than twice the root of all pairs
         asks = asked.unionByName(leads)
         asks = (asks.coalesce(1) if few else asks).groupBy("set").agg(F.collect_list("ask").alias("asks"))
         wanted = aside(asks, "asks")
@@ -208,7 +206,7 @@ class _Sets:
         dealt = map_columns(texts, send, SENT).repartition(scratch.parts, "group", "salt")
         dealt = dealt.sortWithinPartitions("group", "salt", F.col("lead").desc(), "x_leads", "set")
         found = scratch.write(map_columns(dealt, compare, OVERLAPS), f"{name}_overlaps")
-        scratch.drop(*(f"{name}_{k}" for k in ("degree", "asks", "keyed")))
+        scratch.drop(*(f"{name}_{k}" for k in ("asks", "keyed")))
         return found
 
 
