@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entityforge.llm import chat, jaccard, language_model, mixing, nearest, packing, quality_rules, sharding, warc, weak_quality
+from entityforge.llm import chat, decontaminate, jaccard, language_model, mixing, nearest, packing, quality_rules, sharding, warc, weak_quality
 from entityforge.llm.scratch import Scratch
 
 
@@ -108,9 +108,16 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
 
 
+def op11_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with what they share with the items of the benchmark: spans of ten words, or whole shorter items."""
+    found = decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    digest = F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256")
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), digest, (F.col("n_hit") > 0).alias("contaminated"), "items")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Name → (spark, sf_dir) → DataFrame."""
-    return {"op1_sharding": op1_sharding, "op2_jaccard": op2_jaccard, "op3_packing": op3_packing, "op4_chat": op4_chat, "op5_quality": op5_quality, "op6_language_model": op6_language_model, "op7_rules": op7_rules, "op8_mixing": op8_mixing, "op9_warc": op9_warc, "op10_nearest": op10_nearest}
+    return {"op1_sharding": op1_sharding, "op2_jaccard": op2_jaccard, "op3_packing": op3_packing, "op4_chat": op4_chat, "op5_quality": op5_quality, "op6_language_model": op6_language_model, "op7_rules": op7_rules, "op8_mixing": op8_mixing, "op9_warc": op9_warc, "op10_nearest": op10_nearest, "op11_decontaminate": op11_decontaminate}
 
 
 _WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+')"
@@ -151,6 +158,18 @@ substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((('0x' || substr(h, (i // 4) * 5 +
 CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to FROM d"""
 
 
+_LEAK_WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+_OP11 = f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_LEAK_WORDS} AS w FROM documents), i AS (SELECT coalesce(item_id::VARCHAR, '') AS item, {_LEAK_WORDS} AS w FROM benchmark),
+iw AS (SELECT DISTINCT item, least(len(w), 10) AS n, unnest(list_transform(range(1, greatest(len(w) - 8, 2)), lambda k: array_to_string(w[k:k + 9], ' '))) AS t FROM i WHERE len(w) > 0),
+dw AS (SELECT r, n, p, array_to_string(w[p:p + n - 1], ' ') AS t FROM (SELECT r, w, n, unnest(range(1, greatest(len(w) - n + 2, 1))) AS p FROM d, (SELECT DISTINCT n FROM iw))),
+h AS (SELECT DISTINCT r, n, p, item FROM dw JOIN iw USING (n, t)),
+c AS (SELECT r, count(DISTINCT q) AS n_hit FROM (SELECT DISTINCT r, unnest(range(p, p + n)) AS q FROM h) GROUP BY r),
+s AS (SELECT r, list_sort(list(DISTINCT item)) AS items FROM h GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(len(items), 0)::BIGINT AS n_items, sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256,
+coalesce(n_hit, 0) > 0 AS contaminated, coalesce(items, []) AS items FROM d LEFT JOIN c USING (r) LEFT JOIN s USING (r)"""
+
+
 def oracle_sql() -> dict[str, str]:
     """Name → DuckDB SQL. The others rest on fits, random draws, tokenizers or checksums that SQL lacks."""
-    return {"op1_sharding": _OP1, "op2_jaccard": _OP2, "op4_chat": _OP4, "op9_warc": _OP9}
+    return {"op1_sharding": _OP1, "op2_jaccard": _OP2, "op4_chat": _OP4, "op9_warc": _OP9, "op11_decontaminate": _OP11}
