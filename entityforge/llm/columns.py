@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import arrow_udf
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -52,10 +52,15 @@ def nested(df: DataFrame) -> DataFrame:
     return df.select(F.struct(*[F.col("`{}`".format(c.replace("`", "``"))) for c in df.columns]).alias("row"))
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)`, with `value` computed once however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _bytes_before(data: pa.Array | pa.RecordBatch) -> np.ndarray:
     """Bytes of texts and binaries in the rows before each row, and in all."""
     upto = np.zeros(len(data) + 1, dtype=np.int64)
-    for column in data.columns if isinstance(data, pa.RecordBatch) else [data]:
+    for column in data.columns if isinstance(data, pa.RecordBatch) else data.flatten() if pa.types.is_struct(data.type) else [data]:
         if any(test(column.type) for test in (pa.types.is_string, pa.types.is_binary, pa.types.is_large_string, pa.types.is_large_binary)):
             upto[1:] += np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
     return upto

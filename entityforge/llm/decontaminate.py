@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from entityforge.llm.columns import nested
+from entityforge.llm.columns import let, nested
 from entityforge.llm.scratch import Scratch, small_or_shuffled
 
 #: What is between words: ASCII other than digits and, after lower-casing, letters.
@@ -29,17 +29,12 @@ WINDOW = ["length", "print", "hash"]
 CLASS = ["c1", "c2", "c3"]
 
 
-def _let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """`use(value)`, with `value` computed once however often it is used."""
-    return F.element_at(F.transform(F.array(value), use), 1)
-
-
 def _over(values: Column, have: int, want: int, combine: Callable[[Column, Column], Column]) -> Column:
     """Values over `have` neighbours made values over `want`, at each place, by doubling; the last places are not whole."""
     if have == want:
         return values
     step = min(have, want - have)
-    wider = _let(values, lambda v: F.zip_with(v, F.slice(v, step + 1, F.greatest(F.size(v) - step, F.lit(0))), combine))
+    wider = let(values, lambda v: F.zip_with(v, F.slice(v, step + 1, F.greatest(F.size(v) - step, F.lit(0))), combine))
     return _over(wider, have + step, want, combine)
 
 
@@ -74,7 +69,7 @@ def _least(grams: Column, length: int) -> Column:
 
 def prints_of(words: Column, lengths: list[int]) -> Column:
     """The distinct fingerprints of a text's windows of each of `lengths`."""
-    return _let(_hashes(words), lambda h: F.array_distinct(F.concat(*[_whole(_least(_grams(h, n), n), h, n) for n in lengths], F.array().cast("array<bigint>"))))
+    return let(_hashes(words), lambda h: F.array_distinct(F.concat(*[_whole(_least(_grams(h, n), n), h, n) for n in lengths], F.array().cast("array<bigint>"))))
 
 
 def _windows(hashes: Column, length: int) -> Column:
@@ -82,9 +77,9 @@ def _windows(hashes: Column, length: int) -> Column:
 
     def both(grams: Column) -> Column:
         whole = _mixed(grams, GRAM, SPAN) if length == SPAN else grams
-        return _let(whole, lambda all_: F.transform(_whole(_least(grams, length), hashes, length), lambda p, i: F.struct(i.alias("start"), F.lit(length).alias("length"), p.alias("print"), F.get(all_, i).alias("hash"))))
+        return let(whole, lambda all_: F.transform(_whole(_least(grams, length), hashes, length), lambda p, i: F.struct(i.alias("start"), F.lit(length).alias("length"), p.alias("print"), F.get(all_, i).alias("hash"))))
 
-    return _let(_grams(hashes, length), both)
+    return let(_grams(hashes, length), both)
 
 
 def _key_of(text: Column) -> list[Column]:
@@ -131,7 +126,7 @@ def _hit_words(hits: DataFrame) -> DataFrame:
 def _found(scratch: Scratch, rows: DataFrame, benchmark: DataFrame, item_col: str, item_text_col: str) -> tuple[DataFrame, DataFrame]:
     """Of `rows` (id, text): id, key and number of words of each; and hits and items of each distinct text that has any."""
     classed, members, lengths = _index(scratch, benchmark, item_col, item_text_col)
-    seen = _let(words_of(F.col("text")), lambda w: F.struct(F.size(w).cast("long").alias("n_words"), prints_of(w, lengths).alias("prints")))
+    seen = let(words_of(F.col("text")), lambda w: F.struct(F.size(w).cast("long").alias("n_words"), prints_of(w, lengths).alias("prints")))
     slim = rows.select("id", *_key_of(F.col("text")), seen.alias("seen")).select("id", *TEXT_KEY, "seen.n_words", "seen.prints")
     slim = scratch.write(slim, "slim")
     prints = scratch.write(classed.select("print").distinct(), "prints")
@@ -139,7 +134,7 @@ def _found(scratch: Scratch, rows: DataFrame, benchmark: DataFrame, item_col: st
     met = scratch.write(met, "met")
     again = rows.select(*_key_of(F.col("text")), "text").join(small_or_shuffled(met), TEXT_KEY, "left_semi")
     # without any window, lengths are empty and so is `met`
-    windows = _let(_hashes(words_of(F.col("text"))), lambda h: F.concat(*[_windows(h, n) for n in lengths or [SPAN]]))
+    windows = let(_hashes(words_of(F.col("text"))), lambda h: F.concat(*[_windows(h, n) for n in lengths or [SPAN]]))
     under = again.select(*TEXT_KEY, F.explode(windows).alias("w")).select(*TEXT_KEY, "w.*")
     # copies of a text add up before they are shuffled
     hits = under.join(small_or_shuffled(classed), WINDOW).groupBy(*TEXT_KEY, "start", "length").agg(*[F.max(c).alias(c) for c in CLASS])

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entityforge.llm import chat, decontaminate, jaccard, language_model, mixing, nearest, packing, quality_rules, sharding, warc, weak_quality
+from entityforge.llm import chat, decontaminate, infill, jaccard, language_model, mixing, nearest, packing, quality_rules, sharding, warc, weak_quality
+from entityforge.llm.columns import let
 from entityforge.llm.scratch import Scratch
 
 
@@ -115,9 +116,17 @@ def op11_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), digest, (F.col("n_hit") > 0).alias("contaminated"), "items")
 
 
+def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents rearranged for filling in their middle, and restored from the output."""
+    made = infill.rearrange(_table(spark, sf_dir, "documents"))
+    digest = lambda c: F.sha2(c.cast("binary"), 256)
+    both = let(F.col("output"), lambda o: F.struct(digest(o).alias("output_sha256"), digest(infill.restored(F.col("form"), o)).alias("restored_sha256")))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", both.alias("both")).select("doc_id", "n", "form", "prefix_chars", "middle_chars", "both.*")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Name → (spark, sf_dir) → DataFrame."""
-    return {"op1_sharding": op1_sharding, "op2_jaccard": op2_jaccard, "op3_packing": op3_packing, "op4_chat": op4_chat, "op5_quality": op5_quality, "op6_language_model": op6_language_model, "op7_rules": op7_rules, "op8_mixing": op8_mixing, "op9_warc": op9_warc, "op10_nearest": op10_nearest, "op11_decontaminate": op11_decontaminate}
+    return {"op1_sharding": op1_sharding, "op2_jaccard": op2_jaccard, "op3_packing": op3_packing, "op4_chat": op4_chat, "op5_quality": op5_quality, "op6_language_model": op6_language_model, "op7_rules": op7_rules, "op8_mixing": op8_mixing, "op9_warc": op9_warc, "op10_nearest": op10_nearest, "op11_decontaminate": op11_decontaminate, "op12_infill": op12_infill}
 
 
 _WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+')"
@@ -170,6 +179,16 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 coalesce(n_hit, 0) > 0 AS contaminated, coalesce(items, []) AS items FROM d LEFT JOIN c USING (r) LEFT JOIN s USING (r)"""
 
 
+_OP12 = """WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+t AS (SELECT *, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') AS u, list_transform(range(4), lambda k: ('0x' || substr(h, 8 * k + 1, 8))::BIGINT) AS x FROM d),
+c AS (SELECT *, len(u) AS n, least(x[1] % (len(u) + 1), x[2] % (len(u) + 1)) AS a, greatest(x[1] % (len(u) + 1), x[2] % (len(u) + 1)) AS b,
+CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR x[3] % 100 >= 90 THEN 'plain' WHEN x[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM t),
+p AS (SELECT *, coalesce(array_to_string(u[1:a], ''), '') AS prefix, coalesce(array_to_string(u[a + 1:b], ''), '') AS middle, coalesce(array_to_string(u[b + 1:], ''), '') AS suffix FROM c)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(prefix) END::BIGINT AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END::BIGINT AS middle_chars,
+sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+sha256(text) AS restored_sha256 FROM p"""
+
+
 def oracle_sql() -> dict[str, str]:
     """Name → DuckDB SQL. The others rest on fits, random draws, tokenizers or checksums that SQL lacks."""
-    return {"op1_sharding": _OP1, "op2_jaccard": _OP2, "op4_chat": _OP4, "op9_warc": _OP9, "op11_decontaminate": _OP11}
+    return {"op1_sharding": _OP1, "op2_jaccard": _OP2, "op4_chat": _OP4, "op9_warc": _OP9, "op11_decontaminate": _OP11, "op12_infill": _OP12}
