@@ -64,3 +64,8 @@ def contains_either_way(a: Column, b: Column) -> Column:
     """Whether one text holds the other, in lower case."""
     x, y = F.lower(a), F.lower(b)
     return F.contains(x, y) | F.contains(y, x)
+
+
+def first_line(text: str) -> Column:
+    """The first line with anything but white space, else ''."""
+    return F.coalesce(F.regexp_extract(text, r"(?U)^[\s\x1c-\x1f]*([^\n]*)", 1), F.lit(""))

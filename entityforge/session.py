@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,16 +35,33 @@ def pin(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """`df` computed once and kept in the cluster's `spark.checkpoint.dir`; a temporary folder where that is unset and
-    all runs in one process, as in tests."""
-    spark = df.sparkSession
+@contextmanager
+def pinned(spark: SparkSession) -> Iterator[SparkSession]:
+    """The settings that results depend on, put back at the end."""
+    before = {key: spark.conf.get(key, None) for key in SEMANTICS}
+    try:
+        yield pin(spark)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The cluster's `spark.checkpoint.dir`; a temporary folder where that is unset and all runs in one process, as in tests."""
     context = spark.sparkContext
-    if not context.getCheckpointDir():
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        if not shared and not re.match(r"local(\[|$)", context.master):
+    shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not shared:
+        if not re.match(r"local(\[|$)", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="entityforge-"))
+        shared = f"file://{tempfile.mkdtemp(prefix='entityforge-')}"
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(shared)
+    return shared.rstrip("/")
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """`df` computed once and kept in the shared folder."""
+    shared_dir(df.sparkSession)
     return df.checkpoint()
 
 
