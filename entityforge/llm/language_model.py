@@ -53,15 +53,16 @@ _ZSTD = pa.Codec("zstd", compression_level=2)
 
 
 def _small(numbers: np.ndarray) -> bytes:
-    """32-bit numbers, compressed byte by byte of all, with their size ahead."""
-    raw = np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
-    return len(raw).to_bytes(8, "little") + _ZSTD.compress(raw, asbytes=True)
+    """Numbers of up to 64 bits, compressed byte by byte of all: ahead are their size and the bytes of a number, 4 or 8."""
+    width = 8 if len(numbers) and int(numbers.max()) >> 32 else 4
+    raw = np.ascontiguousarray(numbers.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T).tobytes()
+    return len(raw).to_bytes(8, "little") + bytes((width,)) + _ZSTD.compress(raw, asbytes=True)
 
 
 def _large(raw: bytes) -> np.ndarray:
-    size = int.from_bytes(raw[:8], "little")
-    flat = _ZSTD.decompress(raw[8:], decompressed_size=size, asbytes=True) if size else b""
-    return np.ascontiguousarray(np.frombuffer(flat, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+    size, width = int.from_bytes(raw[:8], "little"), raw[8]
+    flat = _ZSTD.decompress(raw[9:], decompressed_size=size, asbytes=True) if size else b""
+    return np.ascontiguousarray(np.frombuffer(flat, np.uint8).reshape(width, -1).T).view(f"<u{width}").ravel()
 
 
 def _packed(keys: np.ndarray) -> bytes:
@@ -206,7 +207,8 @@ def _answers(asked: DataFrame, partitions: int) -> DataFrame:
         bucket = rows[0][0]
         asked_keys = [_unpacked(r[2]) for r in rows]
         distinct, at = np.unique(np.concatenate(asked_keys), return_inverse=True)
-        total = np.bincount(at, np.concatenate([_large(r[3]) for r in rows]), minlength=len(distinct)).astype(np.uint32)
+        # sums of floats, exact up to 2^53
+        total = np.bincount(at, np.concatenate([_large(r[3]) for r in rows]), minlength=len(distinct)).astype(np.uint64)
         out, start = [], 0
         for r, keys in zip(rows, asked_keys):
             out.append((r[1], bucket, _small(total[at[start : start + len(keys)]]), 0))
@@ -280,7 +282,7 @@ def _put_together(asked: DataFrame, levels: Levels, partitions: int) -> DataFram
         for rows in _by_asker(batches, TOGETHER):
             asker, bucket = rows[0][0], rows[0][2]
             distinct, at = np.unique(np.concatenate([_unpacked(r[4]) for r in rows]), return_inverse=True)
-            counts = np.bincount(at, np.concatenate([_large(r[5]) for r in rows]), minlength=len(distinct)).astype(np.uint32)
+            counts = np.bincount(at, np.concatenate([_large(r[5]) for r in rows]), minlength=len(distinct)).astype(np.uint64)
             first, n, bits = levels.kinds()[bucket >= levels.words]
             cuts = _cuts(distinct, n * levels.fine, bits, (bucket - first) * levels.fine, levels.fine)
             found = [(bucket * levels.fine + f, asker, _packed(distinct[s:e]), _small(counts[s:e])) for f, (s, e) in enumerate(zip(cuts[:-1], cuts[1:])) if e > s]
