@@ -18,14 +18,15 @@ from __future__ import annotations
 
 import heapq
 import math
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from entityforge.llm.columns import Columns, as_columns, map_columns, names
-from entityforge.llm.scratch import Scratch, partitions_for
+from entityforge.llm.columns import Columns, as_columns, let, map_columns, names
+from entityforge.llm.scratch import Scratch, partitions_for, small_or_shuffled
 
 #: Trees of a block's forest, and bits of a hash string.
 TREES, BITS = 48, 32
@@ -220,22 +221,39 @@ def usable(vector: Column) -> Column:
     return F.coalesce(vector.isNotNull() & finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def distinct_vectors(rows: DataFrame, keep: int) -> DataFrame:
-    """Equal vectors as one row (vector, ids), with the `keep` smallest ids: no other can be an answer.
+#: Parts in which the ids of one vector are put together first.
+ID_PARTS = 256
 
-    Batches are reduced first, so that a vector that very many rows share is a few ids per batch.
+
+def _least_ids(ids: Column, k: int) -> Column:
+    """Of sorted ids: the k + 1 smallest distinct ones, each as often as it occurs, k times at most."""
+
+    def kept(last: Column) -> Column:
+        few = F.filter(ids, lambda x, i: (i < k) | (x != F.get(ids, i - k)))
+        return F.filter(few, lambda x: last.isNull() | (x <= last))
+
+    return let(F.get(F.array_distinct(ids), F.lit(k)), kept)
+
+
+def distinct_vectors(rows: DataFrame, k: int) -> DataFrame:
+    """Equal vectors as one row (vector, ids), with the ids that can be among k answers to any query.
+
+    Those are the k + 1 smallest distinct ids, each as often as it occurs, k times at most: a query leaves out
+    its own, and k others stay. Batches are reduced first, and their lists part by part, so that a vector that
+    very many rows share is never one long list.
     """
 
     def run(batches: Iterator[Columns]) -> Iterator[Columns]:
         for batch in batches:
-            found: dict[bytes, tuple[list, list]] = {}
+            found: dict[bytes, tuple[list, Counter]] = {}
             for i, v in zip(batch["id"], batch["vector"]):
-                found.setdefault(np.array(v).tobytes(), (v, []))[1].append(i)
-            yield {"vector": [v for v, _ in found.values()], "ids": [sorted(ids)[:keep] for _, ids in found.values()]}
+                found.setdefault(np.array(v).tobytes(), (v, Counter()))[1][i] += 1
+            ids = [[i for i in sorted(seen)[: k + 1] for _ in range(min(seen[i], k))] for _, seen in found.values()]
+            yield {"vector": [v for v, _ in found.values()], "ids": ids}
 
-    local = map_columns(rows, run, "vector array<double>, ids array<long>")
-    ids = F.slice(F.array_sort(F.flatten(F.collect_list("ids"))), 1, keep)
-    return local.groupBy("vector").agg(ids.alias("ids"))
+    local = map_columns(rows, run, "vector array<double>, ids array<long>").withColumn("part", F.pmod(F.xxhash64("ids", F.spark_partition_id()), F.lit(ID_PARTS)))
+    together = let(F.array_sort(F.flatten(F.collect_list("ids"))), lambda ids: _least_ids(ids, k))
+    return local.groupBy("vector", "part").agg(together.alias("ids")).groupBy("vector").agg(together.alias("ids"))
 
 
 FOUND = "query_id long, vec_id long, score double"
@@ -312,7 +330,7 @@ def search(
     rows = table.filter(F.col(id_col).isNotNull() & usable(vector)).select(
         F.col(id_col).cast("long").alias("id"), vector.cast("array<double>").alias("vector"), F.coalesce(is_query, F.lit(False)).alias("asks")
     )
-    index = scratch.write(distinct_vectors(rows.select("id", "vector"), k + 1), "index")
+    index = scratch.write(distinct_vectors(rows.select("id", "vector"), k), "index")
     asked = scratch.write(rows.filter("asks").select("id", "vector").dropDuplicates(["id"]), "asked")
     counts = _prefix_counts(index)
     n = sum(sum(c.values()) for c in counts.values())
@@ -356,7 +374,12 @@ def search(
             F.size("vector").alias("dim"), F.explode("blocks").alias("block"), F.lit(1).alias("kind"), F.col("id").alias("query_id"),
             "bound", "vector", F.lit(None).cast("array<long>").alias("ids"),
         )
-        made = scratch.write(_visit(held.unionByName(asks).repartition(blocks, "dim", "block"), k, trees, bits), f"found{turn}")
+        visited = held
+        if turn:
+            # of later rounds, only blocks that a query asks for travel
+            wanted = scratch.write(asks.select(F.col("dim").alias("_dim"), F.col("block").alias("_block")).distinct(), f"wanted{turn}")
+            visited = held.join(small_or_shuffled(wanted), (F.col("dim") == F.col("_dim")) & (F.col("block") == F.col("_block")), "left_semi")
+        made = scratch.write(_visit(visited.unionByName(asks).repartition(blocks, "dim", "block"), k, trees, bits), f"found{turn}")
         found = made if found is None else found.unionByName(made)
         # the k-th best so far, for queries that found so many
         kth = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("kth"))
