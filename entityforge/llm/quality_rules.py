@@ -50,8 +50,9 @@ def featurise(sample: DataFrame) -> tuple[list[tuple[np.ndarray, np.ndarray]], n
 def fit_rules(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> Linear:
     """The model from labelled rows (doc_id, quality), at most `per_class` of each class.
 
-    Rows are taken in the order of a hash of their id, a quarter of them for calibration. Null
-    labels are left out; with one class or none, the model rejects nothing.
+    Ids are taken in the order of a hash, a quarter of them for calibration. An id and a class are one row,
+    however often either table repeats the id: of its texts, the one of the smallest hash. Null labels are
+    left out; with one class or none, the model rejects nothing.
     """
     h = F.xxhash64(F.lit(17), F.col("doc_id"))
     usable = labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).select(
@@ -60,10 +61,11 @@ def fit_rules(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CL
     prior = usable.agg(F.avg("label")).first()[0] or 0.5
     picked = None
     for label in (0.0, 1.0):
-        part = usable.filter(F.col("label") == label).orderBy("_h", "_id").limit(per_class)
+        part = usable.filter(F.col("label") == label).distinct().orderBy("_h", "_id").limit(per_class)
         picked = part if picked is None else picked.unionByName(part)
-    # at most 2 * per_class rows
-    sample = docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id") == F.col("_id"))
+    # at most 2 * per_class rows, on either side of the join
+    met = docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id") == F.col("_id"))
+    sample = met.groupBy("_id", "label", "_h").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("least")).select("label", "_h", "least.text")
     return fit_calibrated(*featurise(sample.select("text", "label", (F.pmod("_h", F.lit(4)) == 0).alias("held"))), prior)
 
 
