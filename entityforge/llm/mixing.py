@@ -10,7 +10,7 @@ one row of its target.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from entityforge.llm.columns import nested
@@ -195,7 +195,8 @@ def repeat_rows(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     per_key = mixed.groupBy(F.col("doc_id").alias("k_id"), F.col("source").alias("k_source"), F.col("print").alias("k_print"))
     least, more = F.min("copies").alias("least"), (F.sum("copies") - F.min("copies") * F.count("*")).alias("more")
     counts = per_key.agg(least, more).filter("least > 0 or more > 0")
-    counts = Scratch(docs.sparkSession, "repeat").write(counts, "counts")
+    scratch = Scratch(docs.sparkSession, "repeat")
+    counts = scratch.write(counts, "counts")
     left = nested(docs).select(
         "row", F.col("row.doc_id").cast("long").alias("id"), F.col("row.source").cast("string").alias("source"),
         F.xxhash64(F.col("row.text").cast("string")).alias("print"),
@@ -204,10 +205,18 @@ def repeat_rows(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     # merged at every size, so that a larger input takes no other plan
     joined = left.join(counts.hint("merge"), same)
     evenly = joined.filter("more = 0").withColumn("copies", F.col("least"))
-    # over rows alone that share all of the key and differ in copies
-    turn = F.row_number().over(Window.partitionBy("k_id", "k_source", "k_print").orderBy(F.xxhash64(F.to_json("row"))))
-    unevenly = joined.filter("more > 0").withColumn("copies", F.col("least") + (turn <= F.col("more")).cast("long"))
     if counts.filter("more > 0").limit(1).count():
-        evenly = evenly.unionByName(unevenly)
+        # rows that share all of the key and differ in copies: their turn is their place in a table of them, which no task has alone
+        key = ["k_id", "k_source", "k_print"]
+        unevenly = joined.filter("more > 0").select(F.col("row").alias("whole"), *key, "least", "more", F.xxhash64(F.to_json("row")).alias("print"))
+        placed = with_prefix(ordered_table(scratch, unevenly, [*key, "print"], "unevenly"), {"place": F.lit(1)}).drop("place_all")
+        placed = scratch.write(placed, "placed")
+        first = scratch.write(placed.groupBy(*[F.col(k).alias(f"_{k}") for k in key]).agg(F.min("place").alias("_place")), "first_places")
+        same = F.lit(True)
+        for k in key:
+            same &= F.col(k).eqNullSafe(F.col(f"_{k}"))
+        placed = placed.join(small_or_shuffled(first), same)
+        copies = F.col("least") + (F.col("place") - F.col("_place") < F.col("more")).cast("long")
+        evenly = evenly.select("row", "copies").unionByName(placed.select(F.col("whole").alias("row"), copies.alias("copies")))
     times = evenly.filter("copies > 0").select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy"))
     return times.select("row.*")

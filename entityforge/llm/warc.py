@@ -12,10 +12,11 @@ import base64
 import hashlib
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from entityforge.llm.columns import Columns, as_columns, map_columns, names
+from entityforge.llm.ranking import ordered_table, with_prefix
 from entityforge.llm.scratch import Scratch, small_or_shuffled
 
 END = "\r\n\r\n"
@@ -83,12 +84,15 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, date: str =
     repeated = scratch.write(alike.filter("n > 1").select(*[F.col(c).alias(f"_{c}") for c in key]), "repeated")
     turned = base.withColumn("turn", F.lit(1))
     if repeated.limit(1).count():
-        # a number for each of the rows that are alike; only those are shuffled
+        # a number for each of the rows that are alike, by their place in a table of them: no task has all rows of a key
         same = F.lit(True)
         for c in key:
             same &= F.col(c).eqNullSafe(F.col(f"_{c}"))
         again = base.join(small_or_shuffled(repeated), same, "left_semi")
-        again = again.withColumn("turn", F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(0))))
+        again = scratch.write(with_prefix(ordered_table(scratch, again, key, "again"), {"place": F.lit(1)}).drop("place_all"), "placed")
+        first = again.groupBy(*[F.col(c).alias(f"_{c}") for c in key]).agg(F.min("place").alias("_place"))
+        again = again.join(small_or_shuffled(scratch.write(first, "first_places")), same).withColumn("turn", (F.col("place") - F.col("_place") + 1).cast("int"))
+        again = again.select(*base.columns, "turn")
         turned = turned.join(small_or_shuffled(repeated), same, "left_anti").unionByName(again)
     known = turned.join(shared, (F.col("sha1") == F.col("_sha1")) & (F.col("size") >= min_bytes), "left")
     is_first = F.col("page_id").eqNullSafe(F.col("first.page_id")) & (F.col("url") == F.col("first.url")) & (F.col("turn") == 1)
