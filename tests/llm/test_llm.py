@@ -247,14 +247,21 @@ def test_jaccard_finds_links_of_members_alone(spark):
 
 def test_member_links_of_classes_apart(spark):
     """The step on its own: leaders 0..79 and 20..99 share 60 of 100; a member between them links both classes."""
-    sets = {1: range(0, 80), 2: range(20, 100), 3: range(8, 88), 4: range(16, 96)}
-    rows = [(k, len(v), np.array(v, np.int64).tobytes()) for k, v in sets.items()]
-    tokens_ = spark.createDataFrame(rows, "set long, n int, tokens binary")
-    leaders = spark.createDataFrame([(1, 2, 80, 80, 60)], "x long, y long, nx int, ny int, overlap int")
-    members = spark.createDataFrame([(3, 1, 80, 72), (4, 2, 80, 76)], "set long, class long, n int, overlap int")
-    roots = spark.createDataFrame([], "node long, root long")
-    links = jaccard._member_links(Scratch(spark, "t"), leaders, members, roots, tokens_)
-    assert {frozenset((r["u"], r["v"])) for r in links.collect()} == {frozenset((1, 2))}
+    ranges = {1: range(0, 80), 2: range(20, 100), 3: range(8, 88), 4: range(16, 96)}
+    docs = spark.createDataFrame([(k, " ".join(f"w{i}" for i in range(r[0], r[-1] + 5))) for k, r in ranges.items()], "doc_id long, text string")
+    scratch = Scratch(spark, "t")
+    base, rows, _, clashing = jaccard._scanned(scratch, docs, "doc_id", "text")
+    of = {r["doc"]: r["set"] for r in rows.collect()}
+    assert {r["doc"]: r["n"] for r in rows.collect()} == dict.fromkeys(ranges, 80)
+    sets = scratch.write(rows.groupBy("set", "n", "least").agg(F.min("key").alias("key")), "sets")
+    x, y = sorted((of[1], of[2]))
+    leaders = spark.createDataFrame([(x, y, 80, 80, 60)], "x long, y long, nx int, ny int, overlap int")
+    members = spark.createDataFrame([(of[3], of[1], 80, 72), (of[4], of[2], 80, 76)], "set long, class long, n int, overlap int")
+    known = jaccard._Sets(scratch, base, sets, clashing)
+    links = jaccard._member_links(scratch, known, leaders, members, spark.createDataFrame([], "node long, root long"))
+    assert {frozenset((r["u"], r["v"])) for r in links.collect()} == {frozenset((x, y))}
+    connected = spark.createDataFrame([(x, x), (y, x)], "node long, root long")
+    assert jaccard._member_links(Scratch(spark, "t"), known, leaders, members, connected) is None
 
 
 def test_jaccard_of_odd_rows(spark, odd):
