@@ -5,6 +5,11 @@ domain; otherwise it becomes a leader. Only leaders' keys count, so this is no t
 the leaders are the first maximal independent set, in order, of the graph of shared keys. Rounds
 find it in parallel: a row that comes first under all its keys, among undecided rows, leads, and all
 that share a key with a leader are decided.
+
+A few such rounds decide nearly everything; what they leave hangs together in chains, in which each row waits
+for the one before. Later rounds follow chains at once: where only one earlier row stands in a row's way, the
+row leads if and only if that one does not, so it is that row, an odd number of steps away. Pointers along
+such steps are doubled, and a chain of any length takes as many tables as its length has binary digits.
 """
 
 from __future__ import annotations
@@ -30,19 +35,71 @@ def resolution_keys(entities: DataFrame, use_domain: bool = True, exempt: tuple[
     return entities.select("pos", F.concat_ws("|", kind, canonical_name(F.col("name"))).alias("name_key"), key.alias("domain_key"))
 
 
+#: Rounds that look at first rows alone, before chains are followed.
+PLAIN_ROUNDS = 3
+KEYS = ("name_key", "domain_key")
+#: Stands for no row.
+NONE = -(1 << 63)
+
+
+def _with_first(undecided: DataFrame) -> DataFrame:
+    """Each row with the first row under its name (_n) and under its domain (_d)."""
+    by_name = undecided.groupBy("name_key").agg(F.min("pos").alias("_n"))
+    by_domain = undecided.filter("domain_key is not null").groupBy("domain_key").agg(F.min("pos").alias("_d"))
+    return undecided.join(by_name, "name_key").join(by_domain, "domain_key", "left")
+
+
+def _first_rows(undecided: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows that come first under all their keys; and all rows."""
+    ranked = _with_first(undecided)
+    return ranked.filter((F.col("pos") == F.col("_n")) & (F.col("pos") == F.coalesce("_d", "pos"))).select("pos", *KEYS), undecided
+
+
+def _along_chains(undecided: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows that lead by following chains; and the rows without those whose key another one takes for sure.
+
+    `to` is the only earlier row in a row's way, or none, or unknown where there are more. Under a key whose second
+    row waits for its first row alone, one of the two leads, so that no later row does.
+    """
+    ranked = cut_lineage(_with_first(undecided))
+    for key, first, second in (("name_key", "_n", "_n2"), ("domain_key", "_d", "_d2")):
+        later = ranked.filter(F.col("pos") > F.col(first)).groupBy(key).agg(F.min("pos").alias(second))
+        ranked = ranked.join(later, key, "left")
+    own = F.lit(NONE)
+    waits = lambda first, second: F.when(F.col("pos") == F.coalesce(first, "pos"), own).when(F.col("pos") == F.col(second), F.col(first))
+    ranked = ranked.withColumn("_p", waits("_n", "_n2")).withColumn("_q", waits("_d", "_d2"))
+    only = F.when(F.col("_p") == own, F.col("_q")).when((F.col("_q") == own) | (F.col("_q") == F.col("_p")), F.col("_p"))
+    steps = cut_lineage(ranked.select("pos", *KEYS, "_n", "_d", "_n2", "_d2", only.alias("to")))
+
+    # pointers along single steps: `odd` says whether the row at `to` leads or this one does
+    chain = steps.filter(F.col("to") != own).select("pos", "to", F.lit(True).alias("odd"))
+    ends = steps.select(F.col("pos").alias("to"), F.coalesce(F.col("to") == own, F.lit(False)).alias("leads"), (F.coalesce("to", own) != own).alias("goes_on"))
+    chain = cut_lineage(chain.join(ends, "to"))
+    while chain.filter("goes_on").limit(1).count():
+        on = chain.select(F.col("pos").alias("to"), F.col("to").alias("_to"), F.col("odd").alias("_odd"), F.col("leads").alias("_leads"), F.col("goes_on").alias("_goes_on"))
+        far = chain.filter("goes_on").join(on, "to").select("pos", F.col("_to").alias("to"), (F.col("odd") != F.col("_odd")).alias("odd"), F.col("_leads").alias("leads"), F.col("_goes_on").alias("goes_on"))
+        chain = cut_lineage(chain.filter("not goes_on").unionByName(far))
+    lead = steps.filter(F.col("to") == own).select("pos", *KEYS)
+    lead = lead.unionByName(steps.join(chain.filter("leads and not odd").select("pos"), "pos", "left_semi").select("pos", *KEYS))
+
+    rest = undecided
+    for key, first, second in (("name_key", "_n", "_n2"), ("domain_key", "_d", "_d2")):
+        sure = steps.filter((F.col("pos") == F.col(second)) & (F.col("to") == F.col(first))).select(F.col(key).alias("_key"), F.col("pos").alias("_second"))
+        rest = rest.join(sure, (F.col(key) == F.col("_key")) & (F.col("pos") > F.col("_second")), "left_anti")
+    return lead, rest
+
+
 def leaders_of(keys: DataFrame) -> DataFrame:
     """The leaders among `keys` (pos unique)."""
-    undecided, found = cut_lineage(keys), None
+    undecided, found, rounds = cut_lineage(keys), None, 0
     while undecided.limit(1).count():
-        by_name = undecided.groupBy("name_key").agg(F.min("pos").alias("_n"))
-        by_domain = undecided.filter("domain_key is not null").groupBy("domain_key").agg(F.min("pos").alias("_d"))
-        ranked = undecided.join(by_name, "name_key").join(by_domain, "domain_key", "left")
-        new = ranked.filter((F.col("pos") == F.col("_n")) & (F.col("pos") == F.coalesce("_d", "pos"))).select("pos", "name_key", "domain_key")
+        new, rest = (_first_rows if rounds < PLAIN_ROUNDS else _along_chains)(undecided)
         new = cut_lineage(new)
-        rest = undecided.join(new.select("name_key"), "name_key", "left_anti")
+        rest = rest.join(new.select("name_key"), "name_key", "left_anti")
         rest = rest.join(new.select("domain_key").filter("domain_key is not null"), "domain_key", "left_anti")
-        undecided = cut_lineage(rest.select("pos", "name_key", "domain_key"))
+        undecided = cut_lineage(rest.select("pos", *KEYS))
         found = new if found is None else found.unionByName(new)
+        rounds += 1
     return keys.limit(0) if found is None else found
 
 
