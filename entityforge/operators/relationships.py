@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from entityforge.functions.text import first_filled
 from entityforge.operators.classify import text_of
-from entityforge.operators.containment import containment_join
+from entityforge.operators.containment import containment_join, distinct_names, first_name_in, first_text_around
 from entityforge.schema import RELATIONS
+from entityforge.session import cut_lineage
+
 
 def _edges(df: DataFrame, source: Column, relation: str, target: Column, pos_a: Column, pos_b: Column) -> DataFrame:
     kind = F.lit(RELATIONS.index(relation))
@@ -18,13 +20,35 @@ def _edges(df: DataFrame, source: Column, relation: str, target: Column, pos_a:
 
 
 def first_containing(owners: DataFrame, owner: str, companies: DataFrame) -> DataFrame:
-    """(owner, company_id): for each distinct owner, the first company in order whose name holds it or is held by it."""
-    low = companies.select(F.col("id").alias("company_id"), F.lower("name").alias("_name"), F.col("pos").alias("_pos"))
-    texts = owners.select(F.col(owner), F.lower(owner).alias("_owner")).distinct()
-    inside = containment_join(texts, "_owner", low, "_name")
-    around = containment_join(low, "_name", texts, "_owner")
-    both = inside.select(owner, "company_id", "_pos").unionByName(around.select(owner, "company_id", "_pos"))
-    return both.groupBy(owner).agg(F.min_by("company_id", F.struct("_pos", "company_id")).alias("company_id"))
+    """(owner, company_id): for each distinct owner, the first company in order whose name holds it or is held by it.
+
+    Either direction answers with one company per owner, not with all that match: owners that hold names by the
+    least place of those, and names that hold owners by the least of each task. Beyond the size of an automaton,
+    pairs are made and reduced.
+    """
+    low = companies.select("id", F.lower("name").alias("_name"), "pos").filter("_name is not null")
+    firsts = cut_lineage(low.groupBy("_name").agg(F.min(F.struct("pos", "id")).alias("_first")))
+    texts = cut_lineage(owners.select(F.col(owner), F.lower(owner).alias("_owner")).filter("_owner is not null").distinct())
+    spark = texts.sparkSession
+    least = F.min("_first").alias("_first")
+
+    if distinct_names(firsts, "_name") is None:
+        inside = containment_join(texts, "_owner", firsts, "_name").groupBy(owner).agg(least)
+    else:
+        known = sorted((*r["_first"], r["_name"]) for r in firsts.collect())
+        places = spark.createDataFrame([(n, (pos, i)) for n, (pos, i, _) in enumerate(known)], "_place bigint, _first struct<pos:bigint,id:string>")
+        found = texts.withColumn("_place", first_name_in([name for *_, name in known])(F.col("_owner")))
+        inside = found.filter("_place is not null").join(F.broadcast(places), "_place").select(owner, "_first")
+    held = distinct_names(texts, "_owner")
+    if held is None:
+        around = containment_join(firsts, "_name", texts, "_owner").groupBy(owner).agg(least)
+    else:
+        places = spark.createDataFrame(list(enumerate(held)), "place bigint, _owner string")
+        found = first_text_around(firsts.select("_first.pos", "_first.id", "_name"), "_name", held)
+        found = found.groupBy("place").agg(F.min(F.struct("pos", "id")).alias("_first")).join(F.broadcast(places), "place")
+        around = texts.join(found, "_owner").select(owner, "_first")
+    both = inside.select(owner, "_first").unionByName(around.select(owner, "_first"))
+    return both.groupBy(owner).agg(least).select(owner, F.col("_first.id").alias("company_id"))
 
 
 def develops(entities: DataFrame) -> DataFrame:
