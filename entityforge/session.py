@@ -10,10 +10,11 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Settings that change results, not speed; every plan of the engine assumes them.
+#: Settings that change results, not speed, and the one without which connectors cannot be read; every plan of the engine assumes them.
 SEMANTICS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
+    "spark.sql.python.filterPushdown.enabled": "true",
 }
 
 

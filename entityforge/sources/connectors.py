@@ -1,7 +1,7 @@
 """Connectors: payloads of remote searches and feeds, and curated seed files, as DataFrames.
 
-Requests run on the executors: one task per query or feed, so a connector with many queries is as
-parallel as the cluster. Everything remote goes through an injectable opener, so that it runs offline.
+Searches and feeds are data sources with a partition per query or feed, so a connector with many queries is
+as parallel as the cluster. Everything remote goes through an injectable opener, so that it runs offline.
 """
 
 from __future__ import annotations
@@ -9,16 +9,15 @@ from __future__ import annotations
 import json
 import logging
 import os
-from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from html.parser import HTMLParser
 from xml.etree import ElementTree
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from entityforge.sources import payloads
+from entityforge.sources.datasource import PUSHDOWN, Ask, read_queries, source_of
 from entityforge.sources.http import Opener, get_with_retry, open_url
 
 log = logging.getLogger(__name__)
@@ -48,55 +47,89 @@ def load_env(path: str = ".env") -> None:
                     os.environ.setdefault(key.strip(), value.strip().strip("'\""))
 
 
-def _scan(spark: SparkSession, keys: list[str], read: Callable[[str], list[dict]], schema: str) -> DataFrame:
-    """The payloads that `read` finds for each key, with `_query` (place of the key) and `_item` (place in its answer)."""
-    asked = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "q bigint, key string").repartition(max(len(keys), 1), "q")
+#: Formats that `register` makes known to `spark.read`.
+REPOSITORIES, MODELS, VIDEOS, ENTRIES = "catalog_repositories", "catalog_models", "catalog_videos", "catalog_feeds"
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = [(q, i, json.dumps(item)) for q, key in zip(batch["q"], batch["key"]) for i, item in enumerate(read(key))]
-            yield pd.DataFrame(rows, columns=["_query", "_item", "raw"])
 
-    found = asked.mapInPandas(run, "_query bigint, _item bigint, raw string")
-    return found.select("_query", "_item", F.from_json("raw", schema).alias("x")).select("_query", "_item", "x.*")
-
-
-def scan_repositories(spark: SparkSession, queries: list[str], limit: int = 30, opener: Opener = open_url, token: str | None = None) -> DataFrame:
-    """Most starred repositories of each query, `limit` at most; a query that fails gives none."""
+def ask_repositories(opener: Opener = open_url, token: str | None = None) -> Ask:
+    """Most starred repositories of a query, `limit` at most; a query that fails gives none."""
     token = token or os.environ.get("GITHUB_TOKEN")
     headers = {"Accept": "application/vnd.github+json"} | ({"Authorization": f"Bearer {token}"} if token else {})
 
-    def read(query: str) -> list[dict]:
+    def ask(query: str, options: dict[str, str]) -> list[dict]:
+        limit = int(options.get("limit", 30))
         answer = get_with_retry(REPOSITORY_API, {"q": query, "sort": "stars", "order": "desc", "per_page": min(limit, PAGE)}, headers, opener=opener)
         return answer.json().get("items", [])[:limit] if answer else []
 
-    return _scan(spark, queries, read, payloads.REPOSITORY)
+    return ask
 
 
-def scan_models(spark: SparkSession, query: str = "", pipeline_tag: str | None = None, limit: int = 30, opener: Opener = open_url) -> DataFrame:
-    """Most downloaded models."""
-    asked = {"sort": "downloads", "direction": -1, "limit": limit} | ({"search": query} if query else {}) | ({"pipeline_tag": pipeline_tag} if pipeline_tag else {})
+def ask_models(opener: Opener = open_url) -> Ask:
+    """Most downloaded models of a query, which may be empty; option `pipeline_tag`."""
 
-    def read(_: str) -> list[dict]:
+    def ask(query: str, options: dict[str, str]) -> list[dict]:
+        tag = options.get("pipeline_tag")
+        asked = {"sort": "downloads", "direction": -1, "limit": int(options.get("limit", 30))} | ({"search": query} if query else {}) | ({"pipeline_tag": tag} if tag else {})
         answer = get_with_retry(MODEL_API, asked, opener=opener)
         return answer.json() if answer else []
 
-    return _scan(spark, [query], read, payloads.MODEL)
+    return ask
 
 
-def scan_videos(spark: SparkSession, query: str, limit: int = 25, opener: Opener = open_url, key: str | None = None) -> DataFrame:
-    """Most relevant videos; none without a key."""
+def ask_videos(opener: Opener = open_url, key: str | None = None) -> Ask:
+    """Most relevant videos of a query; none without a key."""
     key = key or os.environ.get("YOUTUBE_API_KEY")
-    if not key:
-        log.warning("no key for the video search; it gives nothing")
-        return _scan(spark, [], lambda _: [], payloads.VIDEO)
-    asked = {"part": "snippet", "q": query, "type": "video", "maxResults": min(limit, PAGE), "order": "relevance", "key": key}
 
-    def read(_: str) -> list[dict]:
-        answer = get_with_retry(VIDEO_API, asked, opener=opener)
+    def ask(query: str, options: dict[str, str]) -> list[dict]:
+        limit = int(options.get("limit", 25))
+        asked = {"part": "snippet", "q": query, "type": "video", "maxResults": min(limit, PAGE), "order": "relevance", "key": key}
+        answer = get_with_retry(VIDEO_API, asked, opener=opener) if key else None
         return answer.json().get("items", [])[:limit] if answer else []
 
-    return _scan(spark, [query], read, payloads.VIDEO)
+    return ask
+
+
+def ask_feeds(opener: Opener = open_url, feeds: dict[str, str] | None = None) -> Ask:
+    """The first entries of a feed, by its name; one that fails gives none."""
+    feeds = feeds or FEEDS
+
+    def ask(name: str, options: dict[str, str]) -> list[dict]:
+        try:
+            answer = opener(feeds[name], {}, 15)
+        except OSError:
+            return []
+        return [e | {"source_name": name, "feed_url": feeds[name]} for e in entries_of(answer.body, int(options.get("limit", 20)))]
+
+    return ask
+
+
+def register(spark: SparkSession, opener: Opener = open_url) -> None:
+    """Makes the four formats known to `spark.read`, with the environment's keys: option `queries` is a JSON list, of names for feeds."""
+    spark.conf.set(PUSHDOWN, "true")
+    for name, ask in ((REPOSITORIES, ask_repositories(opener)), (MODELS, ask_models(opener)), (VIDEOS, ask_videos(opener)), (ENTRIES, ask_feeds(opener))):
+        spark.dataSource.register(source_of(name, ask))
+
+
+def _payloads(found: DataFrame, schema: str) -> DataFrame:
+    """Items read by their schema, with `_query` (place of the query) and `_item` (place in its answer)."""
+    return found.select("_query", "_item", F.from_json("raw", schema).alias("x")).select("_query", "_item", "x.*")
+
+
+def scan_repositories(spark: SparkSession, queries: list[str], limit: int = 30, opener: Opener = open_url, token: str | None = None) -> DataFrame:
+    """Most starred repositories of each query, `limit` at most; a query that fails gives none."""
+    return _payloads(read_queries(spark, REPOSITORIES, ask_repositories(opener, token), queries, limit=limit), payloads.REPOSITORY)
+
+
+def scan_models(spark: SparkSession, query: str = "", pipeline_tag: str | None = None, limit: int = 30, opener: Opener = open_url) -> DataFrame:
+    """Most downloaded models."""
+    return _payloads(read_queries(spark, MODELS, ask_models(opener), [query], limit=limit, pipeline_tag=pipeline_tag or ""), payloads.MODEL)
+
+
+def scan_videos(spark: SparkSession, query: str, limit: int = 25, opener: Opener = open_url, key: str | None = None) -> DataFrame:
+    """Most relevant videos; none without a key."""
+    if not (key or os.environ.get("YOUTUBE_API_KEY")):
+        log.warning("no key for the video search; it gives nothing")
+    return _payloads(read_queries(spark, VIDEOS, ask_videos(opener, key), [query], limit=limit), payloads.VIDEO)
 
 
 class _LooseFeed(HTMLParser):
@@ -174,15 +207,7 @@ def entries_of(xml: bytes, limit: int) -> list[dict]:
 def scan_feeds(spark: SparkSession, feeds: dict[str, str] | None = None, limit: int = 20, opener: Opener = open_url) -> DataFrame:
     """The first `limit` entries of each feed, in feed order; a feed that fails gives none."""
     feeds = feeds or FEEDS
-
-    def read(name: str) -> list[dict]:
-        try:
-            answer = opener(feeds[name], {}, 15)
-        except OSError:
-            return []
-        return [e | {"source_name": name, "feed_url": feeds[name]} for e in entries_of(answer.body, limit)]
-
-    return _scan(spark, list(feeds), read, payloads.ENTRY)
+    return _payloads(read_queries(spark, ENTRIES, ask_feeds(opener, feeds), list(feeds), limit=limit), payloads.ENTRY)
 
 
 def check_feeds(spark: SparkSession, feeds: dict[str, str] | None = None, opener: Opener = open_url) -> DataFrame:
