@@ -97,7 +97,7 @@ def first_text_around(texts: DataFrame, text: str, names: list[str]) -> DataFram
                 for place in always | ({place for _, place in machine.iter(held)} if machine and held else set()):
                     if place not in best or (pos, id_) < best[place]:
                         best[place] = (pos, id_)
-        yield pd.DataFrame({"place": list(best), "pos": [p for p, _ in best.values()], "id": [i for _, i in best.values()]}).astype({"place": "int64", "pos": "int64"})
+        yield pd.DataFrame({"place": list(best), "pos": [p for p, _ in best.values()], "id": [i for _, i in best.values()]}).astype({"place": "int64", "pos": "int64", "id": "object"})
 
     return texts.filter(F.col(text).isNotNull()).select("pos", "id", F.col(text).alias("text")).mapInPandas(run, "place bigint, pos bigint, id string")
 

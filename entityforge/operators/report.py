@@ -6,24 +6,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def count_map(rows: DataFrame, key: Column) -> DataFrame:
-    """One row: map from key to its count; null keys are left out."""
-    counted = rows.groupBy(key.alias("k")).agg(F.count("*").alias("n")).filter("k is not null")
-    return counted.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("k", "n")))).alias("counts"))
+def quality_report(valid: DataFrame, edges: DataFrame | int, discovered: int, deduped: int, failures: int, now: Column) -> DataFrame:
+    """One row with 17 fields. `deduped`: entities after resolution; `edges`, or their number. The three counts that no step measures are 0.
 
-
-def quality_report(valid: DataFrame, edges: DataFrame, discovered: int, deduped: int, failures: int, now: Column) -> DataFrame:
-    """One row with 17 fields. `deduped`: entities after resolution. The three counts that no step measures are 0."""
+    `valid` is read once: grouping sets count it by type, by source and as a whole, and a few rows are folded. Null
+    keys are in no map.
+    """
     blank = lambda c: F.coalesce(F.col(c), F.lit("")) == ""
-    counted = valid.agg(
-        F.count("*").alias("final_record_count"), F.count_if(blank("description")).alias("d"), F.count_if(blank("url")).alias("u"), F.count_if(blank("logo_url")).alias("l")
+    slim = valid.select(F.col("entity_type").alias("t"), F.col("source.name").alias("s"), *[blank(c).alias(c) for c in ("description", "url", "logo_url")])
+    sets = slim.groupingSets([[F.col("t")], [F.col("s")], []], "t", "s").agg(
+        F.grouping_id().alias("g"), F.count("*").alias("n"), F.count_if("description").alias("d"), F.count_if("url").alias("u"), F.count_if("logo_url").alias("l")
+    )
+    by_type, by_source, all_ = F.col("g") == 1, F.col("g") == 2, F.col("g") == 3
+    total = lambda c: F.coalesce(F.max(F.when(all_, F.col(c))), F.lit(0).cast("bigint"))
+    map_of = lambda of, key: F.map_from_entries(F.array_sort(F.collect_list(F.when(of & F.col(key).isNotNull(), F.struct(F.col(key).alias("k"), F.col("n"))))))
+    row = sets.agg(
+        total("n").alias("final_record_count"), *[total(c).alias(c) for c in "dul"], map_of(by_type, "t").alias("by_type"), map_of(by_source, "s").alias("by_source")
     )
-    kinds = count_map(valid, F.col("entity_type")).withColumnRenamed("counts", "by_type")
-    sources = count_map(valid, F.col("source.name")).withColumnRenamed("counts", "by_source")
-    total = edges.agg(F.count("*").alias("edges"))
-    big = lambda n: F.lit(n).cast("bigint")
     # each side is one row
-    row = counted.crossJoin(kinds).crossJoin(sources).crossJoin(total)
+    row = row.withColumn("edges", F.lit(edges).cast("bigint")) if isinstance(edges, int) else row.crossJoin(edges.agg(F.count("*").alias("edges")))
+    big = lambda n: F.lit(n).cast("bigint")
     return row.select(
         big(discovered).alias("total_records_discovered"), big(discovered).alias("total_records_extracted"), big(deduped).alias("records_cleaned"),
         big(discovered - deduped).alias("records_deduplicated"), "final_record_count", F.col("by_type").alias("records_by_entity_type"),

@@ -141,7 +141,11 @@ def q_tag_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_task_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return classify.task_entities(pin(spark)).select("id", "name", "description", text_of(F.col("metadata"), "slug").alias("slug"))
+    """The tasks, with the number of documents that each is found in."""
+    slugs = F.try_variant_get(F.try_element_at("metadata", F.lit("related_tasks")), "$", "array<string>")
+    found = classify.tag_tasks(document_entities(spark, sf_dir)).select(F.explode(slugs).alias("slug")).groupBy("slug").agg(F.count("*").alias("n"))
+    tasks = classify.task_entities(spark).select("id", "name", "description", text_of(F.col("metadata"), "slug").alias("slug"))
+    return tasks.join(found, "slug", "left").select("id", "name", "description", "slug", F.coalesce("n", F.lit(0)).alias("documents"))
 
 
 def server_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -296,7 +300,7 @@ def q_describe(spark: SparkSession, sf_dir: str) -> DataFrame:
         return ask
 
     rows = part_entities(spark, sf_dir).unionByName(document_entities(spark, sf_dir).withColumn("pos", F.col("pos") + (1 << 40)))
-    return describe.describe_all(rows, client, 2).select("entity_type", "pos", "description")
+    return describe.describe_all(rows, client, 2, batch_rows=10_000).select("entity_type", "pos", "description")
 
 
 def q_logo_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -432,6 +436,8 @@ def _hits(tasks: dict[str, tuple[str, ...]], text: str) -> str:
 _PART_TEXT = "lower(concat_ws(' ', trim(p_name), trim(p_type), 'Parts', p_brand, ''))"
 _PART_FOUND = f"list_filter([{_hits(PART_TASKS, _PART_TEXT)}], lambda t: t IS NOT NULL)"
 
+_DOC_FOUND = f"list_filter([{_hits(TASKS, 'lower(concat_ws(chr(32), name, description, $$Repositories$$))')}], lambda t: t IS NOT NULL)"
+
 
 def _task_rows(tasks: dict[str, tuple[str, ...]]) -> str:
     rows = ", ".join(f"({i}, '{slug}', '{' '.join(w.capitalize() for w in slug.split('-'))}')" for i, slug in enumerate(tasks))
@@ -490,7 +496,8 @@ arg_max(p_brand, p_partkey) AS maker, arg_max(p_size, p_partkey)::VARCHAR AS siz
         "q_recency": f"SELECT event_id, CASE WHEN floor((epoch_us(TIMESTAMP '{NOW}') - epoch_us(date_trunc('second', ts))) / 86400000000) <= 10 "
         "THEN array_to_string(list_sort(list_distinct(['Zeta', event_type, 'New'])), '; ') ELSE 'Zeta; ' || event_type END AS categories FROM events",
         "q_tag_tasks": f"SELECT p_partkey AS pos, '[' || array_to_string(list_transform({_PART_FOUND}, lambda t: '\"' || t || '\"'), ',') || ']' AS tasks FROM part",
-        "q_task_dim": f"SELECT id, name, 'Things you can do with AI related to ' || replace(slug, '-', ' ') || '.' AS description, slug FROM {_task_rows(TASKS)}",
+        "q_task_dim": "SELECT id, name, 'Things you can do with AI related to ' || replace(slug, '-', ' ') || '.' AS description, slug, coalesce(k, 0) AS documents "
+        f"FROM {_task_rows(TASKS)} t LEFT JOIN (SELECT slug, count(*) AS k FROM (SELECT unnest({_DOC_FOUND}) AS slug FROM ({_DOCS})) GROUP BY slug) d USING (slug)",
         "q_develops": _DEVELOPS_ALL,
         "q_solves": _SOLVES,
         "q_integrates": f"SELECT d.id AS \"from\", 'integrates_with' AS relation, {_uuid('''concat('model|', lower(trim(b.text)), '|')''')} AS \"to\" "

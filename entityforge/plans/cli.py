@@ -22,6 +22,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--seed-dir", default="seeds")
     p.add_argument("--out-dir", default="out")
     p.add_argument("--json-lines", action="store_true", help="folders of JSON lines, for large catalogs, instead of JSON arrays")
+    p.add_argument("--ledger", help="folder of written descriptions that is kept from run to run")
+    p.add_argument("--calls-per-minute", type=float, help="most requests for descriptions a minute")
     return p
 
 
@@ -41,6 +43,7 @@ def main(argv: list[str] | None = None, opener: Opener = open_url, post: Poster
     config = PipelineConfig(
         modules, args.limit, args.seed_dir, args.out_dir, opener, logo_client=None if args.skip_logos else page_client,
         describe_client=None if args.skip_descriptions else client_from_env(post), json_arrays=not args.json_lines,
+        describe_ledger=args.ledger, describe_per_minute=args.calls_per_minute,
     )
     result = run(spark, config)
     for step, n in result.counts.items():

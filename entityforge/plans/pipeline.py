@@ -5,8 +5,9 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from entityforge.operators import classify, clean, dedupe, describe, logos, relationships, report, sinks, validate
@@ -27,6 +28,9 @@ class PipelineConfig:
     opener: Callable = connectors.open_url
     logo_client: Callable | None = None
     describe_client: Callable | None = None
+    #: Where answers are kept from run to run, and how many calls a minute are made at most.
+    describe_ledger: str | None = None
+    describe_per_minute: float | None = None
     now: Column | None = None
     recent_days: int = 30
     domain_key: bool = True
@@ -46,6 +50,21 @@ class Result:
     counts: dict[str, int] = field(default_factory=dict)
 
 
+class Counted(NamedTuple):
+    """A table whose lineage is cut, and numbers of its rows."""
+
+    table: DataFrame
+    n: dict[str, int]
+
+
+def counted(df: DataFrame, **numbers: Column) -> Counted:
+    """`df` computed once, and how many of its rows hold each condition, observed as they are written: no job of its own."""
+    seen = Observation()
+    table = cut_lineage(df.observe(seen, *[F.count_if(c).alias(name) for name, c in numbers.items()]))
+    # a plan found to be empty while it ran observes nothing
+    return Counted(table, dict.fromkeys(numbers, 0) | seen.get)
+
+
 def union_modules(spark: SparkSession, config: PipelineConfig) -> DataFrame:
     """Entities of all modules; `pos` says in which order they came."""
     parts = [connectors.fetch_module(spark, m, config.limit, config.seed_dir, config.opener, i) for i, m in enumerate(config.modules)]
@@ -59,19 +78,20 @@ def process(raw: DataFrame, config: PipelineConfig) -> Result:
     """All steps after fetching. The ids stay those of the raw values."""
     spark = pin(raw.sparkSession)
     now = config.now if config.now is not None else F.current_timestamp()
-    raw = cut_lineage(raw)  # remote answers are asked for once
-    resolved = cut_lineage(dedupe.dedupe(clean.normalize_urls(clean.clean_entities(raw)), config.domain_key, config.exempt_hosts))
-    tagged = classify.tag_tasks(classify.tag_recency(resolved, now, config.recent_days))
+    raw = counted(raw, discovered=F.lit(True))  # remote answers are asked for once
+    resolved = counted(dedupe.dedupe(clean.normalize_urls(clean.clean_entities(raw.table)), config.domain_key, config.exempt_hosts), kept=F.lit(True))
+    tagged = classify.tag_tasks(classify.tag_recency(resolved.table, now, config.recent_days))
     whole = logos.find_logos(tagged, config.logo_client).unionByName(classify.task_entities(spark))
-    checked = cut_lineage(validate.with_issues(describe.describe_all(whole, config.describe_client)))
-    valid = checked.filter(F.size("issues") == 0).drop("issues")
-    issues = checked.filter(F.size("issues") > 0).select("pos", "name", "issues")
-    edges = cut_lineage(relationships.build_relationships(valid))
-    steps = {"discovered": raw, "after dedupe": resolved, "valid": valid, "invalid": issues, "relationships": edges}
-    counts = {name: df.count() for name, df in steps.items()}
+    written = describe.describe_all(whole, config.describe_client, ledger=config.describe_ledger, per_minute=config.describe_per_minute)
+    good = F.size("issues") == 0
+    checked = counted(validate.with_issues(written), valid=good, invalid=~good)
+    valid = checked.table.filter(good).drop("issues")
+    issues = checked.table.filter(~good).select("pos", "name", "issues")
+    edges = counted(relationships.build_relationships(valid), edges=F.lit(True))
+    counts = {"discovered": raw.n["discovered"], "after dedupe": resolved.n["kept"], **checked.n, "relationships": edges.n["edges"]}
     log.info("%s", counts)
-    measured = report.quality_report(valid, edges, counts["discovered"], counts["after dedupe"], counts["invalid"], now)
-    return Result(valid, edges, measured, issues, counts)
+    measured = report.quality_report(valid, counts["relationships"], counts["discovered"], counts["after dedupe"], counts["invalid"], now)
+    return Result(valid, edges.table, measured, issues, counts)
 
 
 def export(result: Result, out_dir: str, json_arrays: bool = False) -> None:

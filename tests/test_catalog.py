@@ -12,7 +12,7 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from entityforge.operators import classify, containment, dedupe, describe, logos, relationships, report, sinks, validate
-from entityforge.plans import catalog
+from entityforge.plans import catalog, pipeline
 from entityforge.plans.pipeline import PipelineConfig, export, process
 from entityforge.schema import make_entities
 from entityforge.sources import connectors, http, payloads
@@ -293,7 +293,38 @@ def test_pipeline_and_sinks(spark, tmp_path):
     sinks.write_json_array(result.edges.limit(0), str(tmp_path / "none.json"))
     assert json.loads((tmp_path / "none.json").read_text()) == []
     assert result.counts == {"discovered": 3, "after dedupe": 3, "valid": 12, "invalid": 1, "relationships": result.edges.count()}
-    assert report.count_map(rows, F.col("entity_type")).first()["counts"] == {"company": 1, "tool": 2}
+
+
+def test_report_in_one_pass(spark):
+    """Null keys are in no map, edges may be a table, nothing gives zeros; the entities are scanned and shuffled once."""
+    rows = entities(spark, ("company", "A", "d", "https://a.com"), ("tool", "B", "", ""), ("tool", "C", "d", ""), (None, "D", None, None))
+    edges = spark.createDataFrame([("x", "solves", "y")] * 3, "`from` string, relation string, `to` string")
+    now = F.lit("2024-02-01 00:00:00").cast("timestamp")
+    made = report.quality_report(rows, edges, 9, 7, 2, now)
+    row = made.first()
+    assert (row["records_by_entity_type"], row["source_counts"]) == ({"company": 1, "tool": 2}, {"s": 4}) and row["relationship_counts"]["total"] == 3
+    assert (row["final_record_count"], row["records_with_missing_descriptions"], row["records_with_missing_official_urls"], row["records_with_missing_logos"]) == (4, 2, 3, 4)
+    assert report.quality_report(rows, 3, 9, 7, 2, now).first() == row
+    none = report.quality_report(rows.limit(0), 0, 0, 0, 0, now).first()
+    assert (none["final_record_count"], none["records_by_entity_type"], none["records_with_missing_logos"]) == (0, {}, 0)
+    plan = report.quality_report(rows, 3, 9, 7, 2, now)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("Expand") == 1 and plan.count("Scan") == 1 and "Join" not in plan
+
+
+def test_counters_are_observed(spark):
+    """As many jobs as without them, and the same numbers as counting."""
+    rows = spark.range(100).repartition(3)
+
+    def jobs(group, run):
+        spark.sparkContext.setJobGroup(group, group)
+        out = run()
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)), out
+
+    plain, _ = jobs("plain", lambda: pipeline.cut_lineage(rows))
+    observed, (table, n) = jobs("observed", lambda: pipeline.counted(rows, all=F.lit(True), small=F.col("id") < 10))
+    assert observed == plain and n == {"all": 100, "small": 10} and table.count() == 100
+    assert pipeline.counted(rows.filter("id < 0").groupBy("id").count(), all=F.lit(True)).n == {"all": 0}
 
 
 def test_command_line_end_to_end(spark, tmp_path, monkeypatch, capsys):

@@ -51,6 +51,7 @@ def test_match_step_answers_once_per_owner(spark):
     around = containment.first_text_around(companies, "name", ["a", "e 7 a", "none"]).collect()
     assert len(around) <= 3 * 2 and min((r["pos"], r["id"]) for r in around if r["place"] == 0) == (0, "c0")
     assert {(r["pos"], r["id"]) for r in around if r["place"] == 1} == {(7, "c7")}
+    assert containment.first_text_around(companies, "name", ["none"]).collect() == [] == containment.first_text_around(companies.limit(0), "name", []).collect()
 
 
 def test_random_texts_by_grams(spark):
