@@ -37,6 +37,8 @@ SIEVE = (1 << 21) - 1
 LIST_CLASSES, BLOCK = 2048, 32
 #: Entries of lists with much in common that one task holds about, and pairs of one set that one task compares about.
 TASK_ENTRIES, TASK_PAIRS = 100_000, 2048
+#: Pairs of one set from which they are no longer counted side by side in a task.
+BUSY_PAIRS = 1 << 17
 #: Counted sets from which the list of a token is dealt to several tasks, and pairs of entries tested at once.
 HOT_TOKEN, AT_ONCE = 50_000, 1 << 17
 #: Turns that spare the last one pairs, by what they connect: with how many others of a list each class
@@ -154,7 +156,19 @@ class _Sets:
 
         # few pairs take one task, without a shuffle
         pairs = pairs.coalesce(1) if few else pairs
-        pairs = pairs.withColumns({f"d{c}": F.count("*").over(Window.partitionBy(c)) for c in ("x", "y")})
+        beside = lambda df: df.withColumns({f"d{c}": F.count("*").over(Window.partitionBy(c)) for c in ("x", "y")})
+        busy = {} if few else {c: pairs.groupBy(F.col(c).alias(f"_{c}")).agg(F.count("*").alias(f"b{c}")).filter(F.col(f"b{c}") > BUSY_PAIRS) for c in ("x", "y")}
+        busy = {c: scratch.write(df, f"{name}_busy_{c}") for c, df in busy.items()}
+        if any(df.limit(1).count() for df in busy.values()):
+            # sets in very many pairs are counted by partial sums, and so outrank all others; those are counted among themselves
+            met = pairs
+            for c, df in busy.items():
+                met = met.join(small_or_shuffled(df), F.col(c) == F.col(f"_{c}"), "left")
+            calm = met.filter("bx is null and by is null").select("x", "y")
+            loud = met.filter("bx is not null or by is not null").select("x", "y", *[F.coalesce(f"b{c}", F.lit(0)).cast("long").alias(f"d{c}") for c in ("x", "y")])
+            pairs = beside(calm).unionByName(loud)
+        else:
+            pairs = beside(pairs)
         x_leads = F.struct("dx", "x") >= F.struct(F.col("dy").alias("dx"), F.col("y").alias("x"))
         led = pairs.select(
             F.when(x_leads, F.col("x")).otherwise(F.col("y")).alias("group"), F.when(x_leads, F.col("y")).otherwise(F.col("x")).alias("set"),

@@ -47,7 +47,11 @@ def components_of(rows):
             return root
 
 
-def test_jaccard(spark):
+@pytest.mark.parametrize("busy", [1 << 17, 2])
+def test_jaccard(spark, monkeypatch, busy):
+    """With few pairs of a set already too many for one task, and without."""
+    monkeypatch.setattr(jaccard, "BUSY_PAIRS", busy)
+    monkeypatch.setattr(jaccard, "TASK_PAIRS", 2 if busy == 2 else 2048)
     rows = list(enumerate(texts(8, 1)))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     want = components_of(rows)
@@ -57,6 +61,23 @@ def test_jaccard(spark):
     assert kept == set(want.values())
 
 
+def test_pairs_of_one_set_are_dealt_to_many_tasks(spark, monkeypatch):
+    """One set is in 9 of 10 pairs: all overlaps are right, and no task of a shuffle by set counts more than its bound."""
+    monkeypatch.setattr(jaccard, "BUSY_PAIRS", 20)
+    monkeypatch.setattr(jaccard, "TASK_PAIRS", 16)
+    base = [f"w{i}" for i in range(30)]
+    docs = [(k, " ".join(base[: 10 + k % 20] + [f"own{k}"] * (k > 0))) for k in range(200)] + [(200 + k, f"a{k} b c d e f{k}") for k in range(20)]
+    place = Scratch(spark, "busy")
+    all_rows, rows, _, clashing = jaccard._scanned(place, spark.createDataFrame(docs, "doc_id long, text string"), "doc_id", "text")
+    sets = place.write(rows.groupBy("set", "n", "least").agg(F.min("key").alias("key")), "sets")
+    of = {r["doc"]: r["set"] for r in rows.collect()}
+    pairs = [(of[0], of[k]) for k in range(1, 100)] + [(of[k], of[0]) for k in range(100, 200)] + [(of[200 + k], of[201 + k]) for k in range(19)]
+    got = jaccard._Sets(place, all_rows, sets, clashing).overlaps(spark.createDataFrame(pairs, "x long, y long"), "t").collect()
+    tokens = {of[k]: {tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for k, t in docs}
+    want = [(x, y, len(tokens[x]), len(tokens[y]), len(tokens[x] & tokens[y])) for x, y in pairs]
+    assert Counter(map(tuple, got)) == Counter(want)
+
+
 def test_mixing(spark):
     rows = [(i % 50, f"{'w ' * (1 + i % 9)}", f"s{i % 5}" if i % 7 else None) for i in range(120)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
