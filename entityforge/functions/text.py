@@ -3,21 +3,21 @@
 from __future__ import annotations
 
 import html
+import json
+from html.entities import html5
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 #: White space as Python's `str.isspace` has it; Java's Unicode class lacks the four separators.
 SPACE = r"(?U)[\s\x1c-\x1f]"
 
-#: Names that the native path decodes, each with its text. `&amp;` goes last, so that
-#: what it uncovers is not decoded again.
-NATIVE_ENTITIES = (
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"), ("&nbsp;", "\u00a0"), ("&copy;", "\u00a9"),
-    ("&middot;", "\u00b7"), ("&hellip;", "\u2026"), ("&mdash;", "\u2014"), ("&ndash;", "\u2013"), ("&amp;", "&"),
-)
+#: What may be a character reference, as the HTML standard has it.
+REFERENCE = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+#: Names that may stand without a semicolon, longest first, so that a pattern takes the longest that fits.
+BARE_NAMES = sorted((name for name in html5 if not name.endswith(";")), key=lambda name: (-len(name), name))
+#: Code points from here on are mostly themselves; what the earlier ones stand for is looked up.
+PLAIN_FROM = 0xA0
 
 
 def strip(c: Column) -> Column:
@@ -30,23 +30,50 @@ def squeeze(c: Column) -> Column:
     return strip(F.regexp_replace(c, SPACE + "+", " "))
 
 
-@F.pandas_udf(StringType())
-def _unescape(texts: pd.Series) -> pd.Series:
-    return texts.map(html.unescape, na_action="ignore")
+def _table_of(values: dict | list, type_: str) -> Column:
+    """A constant table, as one literal of the plan."""
+    return F.from_json(F.lit(json.dumps(values)), type_)
+
+
+def _character(code: Column) -> Column:
+    """The character of a code point. A byte order mark comes first and is dropped, so that one that is asked for stays."""
+    return F.decode(F.unhex(F.concat(F.lit("0000FEFF"), F.lpad(F.hex(code), 8, "0"))), "UTF-32")
+
+
+def _numeric(reference: Column) -> Column:
+    """What a numeric reference stands for."""
+    digits = lambda pattern: F.regexp_extract(reference, pattern, 1)
+    hexed, plain = digits("^&#[xX]0*([0-9a-fA-F]*)"), digits("^&#0*([0-9]*)")
+    beyond = F.lit(0x110000).cast("bigint")
+    number = lambda text, base, most: F.when(F.length(text) > most, beyond).otherwise(F.conv(F.concat(F.lit("0"), F.substring(text, 1, most)), base, 10).cast("bigint"))
+    code = F.when(reference.rlike("^&#[xX]"), number(hexed, 16, 6)).otherwise(number(plain, 10, 7))
+    early = _table_of([html.unescape(f"&#{n};") for n in range(PLAIN_FROM)], "array<string>")
+    wrong = (code >= 0x110000) | code.between(0xD800, 0xDFFF)
+    unused = code.between(0xFDD0, 0xFDEF) | (code.bitwiseAND(0xFFFE) == 0xFFFE)
+    return (
+        F.when(code < PLAIN_FROM, F.get(early, F.least(code, F.lit(PLAIN_FROM)).cast("int"))).when(wrong, F.lit("\ufffd"))
+        .when(unused, F.lit("")).otherwise(_character(F.when(wrong, F.lit(32)).otherwise(code)))
+    )
+
+
+def _named(reference: Column) -> Column:
+    """What a named reference stands for: the whole name, else the longest bare name that it starts with, else itself."""
+    ended = _table_of({f"&{name}": text for name, text in html5.items() if name.endswith(";")}, "map<string,string>")
+    bare = _table_of({name: html5[name] for name in BARE_NAMES}, "map<string,string>")
+    start = F.regexp_extract(reference, f"^&({'|'.join(BARE_NAMES)})", 1)
+    by_start = F.concat(F.try_element_at(bare, start), F.substring(reference, F.length(start) + 2, F.length(reference)))
+    return F.coalesce(F.when(reference.endswith(";"), F.try_element_at(ended, reference)), by_start, reference)
 
 
 def html_unescape(c: Column) -> Column:
-    """All HTML5 character references, once.
+    """All HTML5 character references, once, by built-in functions: references and what stands between them are put together anew.
 
-    Texts whose every `&` starts one of the common names are decoded by built-in functions; only the
-    others reach Python, and then in Arrow batches.
+    A number beyond the code points, of whatever length, is U+FFFD; null stays null.
     """
-    names = "|".join(name[1:] for name, _ in NATIVE_ENTITIES)
-    rare = c.rlike(f"&(?!{names})")
-    native = c
-    for name, text in NATIVE_ENTITIES:
-        native = F.replace(native, F.lit(name), F.lit(text))
-    return F.when(rare, _unescape(F.when(rare, c))).otherwise(native)
+    between = F.split(c, REFERENCE, -1)
+    decoded = F.transform(F.regexp_extract_all(c, F.lit(REFERENCE), F.lit(0)), lambda r: F.when(r.startswith("&#"), _numeric(r)).otherwise(_named(r)))
+    whole = F.array_join(F.zip_with(between, decoded, lambda text, r: F.concat(text, F.coalesce(r, F.lit("")))), "")
+    return F.when(F.contains(c, F.lit("&")), whole).otherwise(c)
 
 
 def clean_text(c: Column) -> Column:

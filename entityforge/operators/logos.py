@@ -30,7 +30,7 @@ class _Icons(HTMLParser):
         self.card: str | None = None
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        given = {k: v or "" for k, v in reversed(attrs)}
+        given = {k: v or "" for k, v in attrs}  # the last of a repeated attribute counts
         if tag == "link":
             # a relation holds words; only those of one word can name an icon here
             if ICON_RELATIONS & {w.lower() for w in given.get("rel", "").split()}:

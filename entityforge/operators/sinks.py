@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,11 +43,53 @@ def json_document(rows: DataFrame, limit: int = 100_000) -> str:
     return json.dumps([json.loads(r[0]) for r in lines], indent=2, ensure_ascii=False)
 
 
+def _indented(line: str) -> str:
+    """An object as it stands in an indented array."""
+    return "  " + json.dumps(json.loads(line), indent=2, ensure_ascii=False).replace("\n", "\n  ")
+
+
+def _array_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Lines of a partition of an ordered array. Only the first row of those marked first opens it, only the last of those marked last ends it."""
+    held, opened = None, False
+    for batch in batches:
+        made = []
+        for line, first, last in zip(batch["line"], batch["first"], batch["last"]):
+            if held is not None:
+                made.append(held[0] + ",")
+            held, opened = (("" if opened or not first else "[\n") + _indented(line), last), True
+        if made:
+            yield pd.DataFrame({"value": made})
+    if held is not None:
+        yield pd.DataFrame({"value": [held[0] + ("\n]" if held[1] else ",")]})
+
+
+def write_json_parts(rows: DataFrame, path: str, order: Sequence[str] = ("pos",)) -> None:
+    """An indented JSON array as a folder of text parts, written by the tasks; only the ends of `order` reach the driver.
+
+    Parts concatenated by name are the document of `write_json_array` and a line break. Rows are ordered by the
+    columns `order`, nulls first; ties stay next to each other in any order. `pos` is not written. An empty table gives `[]`.
+    """
+    spark = rows.sparkSession
+    place = F.struct(*order)
+    ends = rows.agg(F.min(place).alias("first"), F.max(place).alias("last")).first()
+    if ends["first"] is None:
+        spark.createDataFrame([("[]",)], "value string").coalesce(1).write.mode("overwrite").text(path)
+        return
+    # equal places are in one partition of a range, so its first and last rows are known without numbering any
+    is_end = {name: F.lit(True) for name in ends.asDict()}
+    for name, end in ends.asDict().items():
+        for column in order:
+            is_end[name] &= F.col(column).eqNullSafe(F.lit(end[column]))
+    line = F.to_json(F.struct(*[c for c in rows.columns if c != "pos"]), {"ignoreNullFields": "false"})
+    marked = rows.orderBy(*order).select(line.alias("line"), is_end["first"].alias("first"), is_end["last"].alias("last"))
+    marked.mapInPandas(_array_lines, "value string").write.mode("overwrite").text(path)
+
+
 def write_json_array(rows: DataFrame, path: str) -> None:
     """One file with an indented JSON array, in ingest order where there is one, streamed row by row.
 
     The driver writes it, one partition of text in memory at a time, to any store that Spark reaches;
-    a large catalog belongs in `write_json`.
+    a large catalog belongs in `write_json` or `write_json_parts`.
     """
     spark = rows.sparkSession
     ordered = rows.orderBy("pos").drop("pos") if "pos" in rows.columns else rows
@@ -55,8 +99,7 @@ def write_json_array(rows: DataFrame, path: str) -> None:
     try:
         mark = "["
         for row in lines.toLocalIterator():
-            one = json.dumps(json.loads(row["line"]), indent=2, ensure_ascii=False).replace("\n", "\n  ")
-            out.write(bytearray(f"{mark}\n  {one}".encode()))
+            out.write(bytearray(f"{mark}\n{_indented(row['line'])}".encode()))
             mark = ","
         out.write(bytearray(b"[]" if mark == "[" else b"\n]"))
     finally:

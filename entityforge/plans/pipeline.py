@@ -16,6 +16,9 @@ from entityforge.sources import connectors
 
 log = logging.getLogger(__name__)
 
+#: Most rows that the driver streams into one file.
+ARRAY_ROWS = 100_000
+
 
 @dataclass
 class PipelineConfig:
@@ -35,7 +38,7 @@ class PipelineConfig:
     recent_days: int = 30
     domain_key: bool = True
     exempt_hosts: tuple[str, ...] = ()
-    #: One JSON array file for each table and the report, as small catalogs want them; else folders of JSON lines.
+    #: JSON arrays of the tables and the report, in one file each up to ARRAY_ROWS rows; else folders of JSON lines.
     json_arrays: bool = False
 
 
@@ -95,10 +98,16 @@ def process(raw: DataFrame, config: PipelineConfig) -> Result:
 
 
 def export(result: Result, out_dir: str, json_arrays: bool = False) -> None:
-    """Writes entities, edges, CSV and report under `out_dir`, over what was there."""
+    """Writes entities, edges, CSV and report under `out_dir`, over what was there.
+
+    An array of more than ARRAY_ROWS rows is a folder `*.json.parts`, whose files by name are the document.
+    """
     if json_arrays:
-        sinks.write_json_array(result.entities, f"{out_dir}/entities.json")
-        sinks.write_json_array(result.edges, f"{out_dir}/relationships.json")
+        for rows, name, n, order in ((result.entities, "entities", "valid", ["pos"]), (result.edges, "relationships", "relationships", ["from", "relation", "to"])):
+            if result.counts.get(n, ARRAY_ROWS + 1) > ARRAY_ROWS:
+                sinks.write_json_parts(rows, f"{out_dir}/{name}.json.parts", order)
+            else:
+                sinks.write_json_array(rows, f"{out_dir}/{name}.json")
         sinks.write_report_file(result.report, f"{out_dir}/quality_report.json")
     else:
         sinks.write_json(result.entities, result.edges, f"{out_dir}/entities", f"{out_dir}/relationships")

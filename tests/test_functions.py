@@ -71,6 +71,27 @@ def test_clean_text(spark, given):
     assert one(spark, given, text.clean_text) == expected
 
 
+def test_unescaping_like_the_standard_library(spark):
+    """Every name, ended and not, numbers of all kinds, and references in texts of random pieces."""
+    import random
+    from html.entities import html5
+
+    rng = random.Random(5)
+    numbers = [*range(0x3000), *range(0xD7F0, 0xE010), *range(0xFD00, 0x10100), 0x1FFFE, 0x1F600, 0x10FFFD, 0x10FFFF, 0x110000, 9999999, 10**30]
+    texts = [f"&{name}" for name in html5] + [f"a&{name}b&{name.rstrip(';')}=&{name}" for name in html5]
+    texts += [f"&#{n};" for n in numbers] + [f"x&#X{n:x}&#x000{n:X};&#0{n}z" for n in numbers]
+    names = [name.rstrip(";") for name in html5]
+    pieces = ["&", ";", "&#", "&#x", "#", " ", "a", "7", "<b>", "\n", "é", "😀", "&amp;", "&amp;lt;", "&notit;", "&" + "q" * 40 + ";"]
+    texts += ["".join(rng.choice((rng.choice(pieces), "&" + rng.choice(names), rng.choice(names)[:3])) for _ in range(rng.randrange(9))) for _ in range(4000)]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, "", "no reference", None])], "i int, t string")
+    got = {r["i"]: r["u"] for r in rows.select("i", text.html_unescape(F.col("t")).alias("u")).collect()}
+    assert [(t, got[i]) for i, t in enumerate(texts) if got[i] != html.unescape(t)] == []
+    assert [got[len(texts) + k] for k in range(3)] == ["", "no reference", None]
+    assert one(spark, "&#" + "9" * 5000 + ";", text.html_unescape) == "\ufffd"
+    plan = rows.select(text.html_unescape(F.col("t")))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "ArrowEval" not in plan
+
+
 def test_ids_are_the_published_ones(spark):
     def made(kind, name, url):
         return spark.range(1).select(ids.entity_id(F.lit(kind), F.lit(name), F.lit(url))).first()[0]
