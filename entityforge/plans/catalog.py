@@ -21,6 +21,7 @@ from entityforge.operators.classify import text_of
 from entityforge.schema import TASKS, make_entities, metadata_of
 from entityforge.session import cut_lineage, pin
 from entityforge.sources import payloads
+from entityforge.sources.feeds import feed_entries
 
 #: The moment that recency is measured at.
 NOW = "2024-01-31 00:00:00"
@@ -373,6 +374,23 @@ def q_parse_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return payloads.parse_entries(raw).select("id", "name", "description", "url", F.col("source.name").alias("source_name"))
 
 
+def q_feed_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document is a feed of its lines: RSS, Atom, or an RSS document that is not well formed, by its id."""
+    safe = lambda c: F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    kind = F.col("doc_id") % 3
+    place = lambda line, i: F.concat(F.lit("https://d.example.com/"), F.col("doc_id").cast("string"), F.lit("/"), i.cast("string"))
+    rss = lambda line, i: F.concat(F.lit("<item><title>A "), F.when(kind == 2, "&").otherwise("&amp;"), F.lit(" B "), i.cast("string"), F.lit("</title><link>"), place(line, i), F.lit("</link><description>"), safe(line), F.lit("</description></item>"))
+    atom = lambda line, i: F.concat(F.lit("<entry><title>A &amp; B "), i.cast("string"), F.lit('</title><link rel="self" href="x"/><link href="'), place(line, i), F.lit('"/><summary>'), safe(line), F.lit("</summary></entry>"))
+    lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
+    whole = (
+        F.when(kind == 1, F.concat(F.lit('<feed xmlns="http://www.w3.org/2005/Atom"><title>f</title>'), F.array_join(F.transform(lines, atom), ""), F.lit("</feed>")))
+        .otherwise(F.concat(F.lit('<?xml version="1.0"?><rss><channel><title>f</title>'), F.array_join(F.transform(lines, rss), ""), F.lit("</channel></rss>")))
+    )
+    entries = feed_entries(_table(spark, sf_dir, "documents").select("doc_id", whole.alias("xml")))
+    parsed = payloads.parse_entries(entries.withColumn("source_name", F.col("doc_id").cast("string")).withColumn("feed_url", F.lit("f")), pos=F.col("_item"))
+    return parsed.select(F.col("source.name").alias("doc_id"), F.col("pos").alias("line"), "name", clean_text(F.col("description")).alias("description"), "url")
+
+
 # ---- oracle SQL
 
 
@@ -547,6 +565,8 @@ found - kept AS duplicate_count, 0::BIGINT AS duplicate_relationships, (SELECT c
         "'https://www.youtube.com/watch?v=' || s_suppkey AS url, 't.png' AS thumbnail FROM supplier",
         "q_parse_entries": f"SELECT {_uuid('''concat('news|order ', o_orderkey, '|https://o.example.com/', o_orderkey)''')} AS id, 'Order ' || o_orderkey AS name, trim(o_orderpriority) AS description, "
         "'https://o.example.com/' || o_orderkey AS url, o_orderstatus AS source_name FROM orders",
+        "q_feed_entries": f"SELECT doc_id::VARCHAR AS doc_id, i - 1 AS line, 'A & B ' || (i - 1) AS name, {_cleaned('t')} AS description, 'https://d.example.com/' || doc_id || '/' || (i - 1) AS url "
+        "FROM (SELECT doc_id, unnest(l) AS t, unnest(range(1, len(l) + 1)) AS i FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents))",
     }
 
 

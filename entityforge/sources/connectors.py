@@ -10,14 +10,13 @@ import json
 import logging
 import os
 from dataclasses import dataclass
-from html.parser import HTMLParser
-from xml.etree import ElementTree
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from entityforge.sources import payloads
 from entityforge.sources.datasource import PUSHDOWN, Ask, read_queries, source_of
+from entityforge.sources.feeds import decoded, feed_entries
 from entityforge.sources.http import Opener, get_with_retry, open_url
 
 log = logging.getLogger(__name__)
@@ -90,7 +89,7 @@ def ask_videos(opener: Opener = open_url, key: str | None = None) -> Ask:
 
 
 def ask_feeds(opener: Opener = open_url, feeds: dict[str, str] | None = None) -> Ask:
-    """The first entries of a feed, by its name; one that fails gives none."""
+    """The document of a feed, by its name, as one item; one that fails gives none."""
     feeds = feeds or FEEDS
 
     def ask(name: str, options: dict[str, str]) -> list[dict]:
@@ -98,7 +97,7 @@ def ask_feeds(opener: Opener = open_url, feeds: dict[str, str] | None = None) ->
             answer = opener(feeds[name], {}, 15)
         except OSError:
             return []
-        return [e | {"source_name": name, "feed_url": feeds[name]} for e in entries_of(answer.body, int(options.get("limit", 20)))]
+        return [{"source_name": name, "feed_url": feeds[name], "xml": decoded(answer.body)}]
 
     return ask
 
@@ -132,82 +131,11 @@ def scan_videos(spark: SparkSession, query: str, limit: int = 25, opener: Opener
     return _payloads(read_queries(spark, VIDEOS, ask_videos(opener, key), [query], limit=limit), payloads.VIDEO)
 
 
-class _LooseFeed(HTMLParser):
-    """Reads the entries of a feed with stray ampersands, unclosed tags or a cut end."""
-
-    WANTED = ("title", "summary", "description", "link", "published", "pubdate", "updated")
-
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.found: list[dict[str, str]] = []
-        self.inside, self.field = False, ""
-
-    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        tag = tag.rpartition(":")[2]
-        if tag in ("item", "entry"):
-            self.found.append({})
-            self.inside, self.field = True, ""
-        elif self.inside and tag in self.WANTED:
-            self.field = tag
-            href = dict(attrs).get("href") if tag == "link" else None
-            if href:
-                self.found[-1].setdefault("link", href)
-
-    def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        self.handle_starttag(tag, attrs)
-        self.field = ""
-
-    def handle_endtag(self, tag: str) -> None:
-        tag = tag.rpartition(":")[2]
-        if tag in ("item", "entry"):
-            self.inside = False
-        if tag == self.field:
-            self.field = ""
-
-    def handle_data(self, data: str) -> None:
-        if self.inside and self.field:
-            self.found[-1][self.field] = self.found[-1].get(self.field, "") + data
-
-    def unknown_decl(self, data: str) -> None:
-        self.handle_data(data.removeprefix("CDATA["))
-
-    @classmethod
-    def entries(cls, xml: bytes, limit: int) -> list[dict]:
-        """The first entries."""
-        reader = cls()
-        reader.feed(xml.decode("utf-8", "replace"))
-        reader.close()
-        out = []
-        for e in reader.found[:limit]:
-            e = {k: v.strip() for k, v in e.items() if v.strip()}
-            published = e.get("published") or e.get("pubdate") or e.get("updated")
-            out.append({"title": e.get("title"), "summary": e.get("summary") or e.get("description"), "description": e.get("description"), "link": e.get("link"), "published": published})
-        return out
-
-
-def entries_of(xml: bytes, limit: int) -> list[dict]:
-    """The first entries of an RSS or Atom document; one that is not well formed is read as far as its tags tell."""
-    try:
-        root = ElementTree.fromstring(xml)
-    except ElementTree.ParseError:
-        return _LooseFeed.entries(xml, limit)
-    out = []
-    for node in root.iter():
-        if node.tag.rpartition("}")[2] not in ("item", "entry"):
-            continue
-        parts = {child.tag.rpartition("}")[2]: child for child in reversed(node)}
-        text = lambda *tags: next((parts[t].text for t in tags if t in parts and parts[t].text), None)  # noqa: E731, B023
-        link = text("link") or (parts["link"].get("href") if "link" in parts else None)
-        out.append({"title": text("title"), "summary": text("summary", "description"), "description": text("description"), "link": link, "published": text("published", "pubDate", "updated")})
-        if len(out) == limit:
-            break
-    return out
-
-
 def scan_feeds(spark: SparkSession, feeds: dict[str, str] | None = None, limit: int = 20, opener: Opener = open_url) -> DataFrame:
     """The first `limit` entries of each feed, in feed order; a feed that fails gives none."""
     feeds = feeds or FEEDS
-    return _payloads(read_queries(spark, ENTRIES, ask_feeds(opener, feeds), list(feeds), limit=limit), payloads.ENTRY)
+    documents = _payloads(read_queries(spark, ENTRIES, ask_feeds(opener, feeds), list(feeds)), "source_name string, feed_url string, xml string")
+    return feed_entries(documents.drop("_item"), limit=limit)
 
 
 def check_feeds(spark: SparkSession, feeds: dict[str, str] | None = None, opener: Opener = open_url) -> DataFrame:

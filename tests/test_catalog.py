@@ -187,15 +187,6 @@ def test_shipped_client(monkeypatch):
     assert describe.describe_one("p", "facts", broken, waited.append) == "facts"
 
 
-def test_feeds_that_are_not_well_formed():
-    feed = b"""<rss><channel><title>feed</title><item><title>A & B</title><link>https://e.org/a?x=1&y=2</link><description><![CDATA[<b>hi</b>]]></description><pubDate>now</pubDate></item>
-<entry><title>C</title><link href="https://e.org/c"/><summary>s</summary><dc:updated>then</dc:updated></entry><item><title>cut"""
-    got = connectors.entries_of(feed, 10)
-    assert [(e["title"], e["link"]) for e in got] == [("A & B", "https://e.org/a?x=1&y=2"), ("C", "https://e.org/c"), ("cut", None)]
-    assert got[0]["description"] == "<b>hi</b>" and got[0]["published"] == "now" and got[1]["summary"] == "s" and got[1]["published"] == "then"
-    assert len(connectors.entries_of(feed, 1)) == 1 and connectors.entries_of(b"no feed", 5) == []
-
-
 def test_describe_all_asks_for_short_texts_only(spark):
     rows = entities(spark, ("tool", "a", "short text", ""), ("tool", "b", "", ""), ("tool", "c", "x" * 100, ""))
     out = {r["name"]: r["description"] for r in describe.describe_all(rows, lambda: lambda prompt: "written").collect()}
