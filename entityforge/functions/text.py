@@ -12,6 +12,12 @@ from pyspark.sql import functions as F
 #: White space as Python's `str.isspace` has it; Java's Unicode class lacks the four separators.
 SPACE = r"(?U)[\s\x1c-\x1f]"
 
+#: The most frequent references, each with its text. `&amp;` goes last, so that what it uncovers is not
+#: decoded again.
+FREQUENT = (
+    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"), ("&nbsp;", "\u00a0"), ("&copy;", "\u00a9"),
+    ("&middot;", "\u00b7"), ("&hellip;", "\u2026"), ("&mdash;", "\u2014"), ("&ndash;", "\u2013"), ("&amp;", "&"),
+)
 #: What may be a character reference, as the HTML standard has it.
 REFERENCE = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
 #: Names that may stand without a semicolon, longest first, so that a pattern takes the longest that fits.
@@ -58,7 +64,8 @@ def _numeric(reference: Column) -> Column:
 
 def _named(reference: Column) -> Column:
     """What a named reference stands for: the whole name, else the longest bare name that it starts with, else itself."""
-    ended = _table_of({f"&{name}": text for name, text in html5.items() if name.endswith(";")}, "map<string,string>")
+    # a map is searched from its start
+    ended = _table_of(dict(reversed(FREQUENT)) | {f"&{name}": text for name, text in html5.items() if name.endswith(";")}, "map<string,string>")
     bare = _table_of({name: html5[name] for name in BARE_NAMES}, "map<string,string>")
     start = F.regexp_extract(reference, f"^&({'|'.join(BARE_NAMES)})", 1)
     by_start = F.concat(F.try_element_at(bare, start), F.substring(reference, F.length(start) + 2, F.length(reference)))
@@ -66,14 +73,18 @@ def _named(reference: Column) -> Column:
 
 
 def html_unescape(c: Column) -> Column:
-    """All HTML5 character references, once, by built-in functions: references and what stands between them are put together anew.
+    """All HTML5 character references, once, by built-in functions.
 
-    A number beyond the code points, of whatever length, is U+FFFD; null stays null.
+    In texts whose every `&` starts one of the frequent references those are replaced; in others, references and what
+    stands between them are put together anew. A number beyond the code points, of whatever length, is U+FFFD; null stays null.
     """
     between = F.split(c, REFERENCE, -1)
     decoded = F.transform(F.regexp_extract_all(c, F.lit(REFERENCE), F.lit(0)), lambda r: F.when(r.startswith("&#"), _numeric(r)).otherwise(_named(r)))
-    whole = F.array_join(F.zip_with(between, decoded, lambda text, r: F.concat(text, F.coalesce(r, F.lit("")))), "")
-    return F.when(F.contains(c, F.lit("&")), whole).otherwise(c)
+    any_of_them = F.array_join(F.zip_with(between, decoded, lambda text, r: F.concat(text, F.coalesce(r, F.lit("")))), "")
+    frequent = c
+    for reference, text in FREQUENT:
+        frequent = F.replace(frequent, F.lit(reference), F.lit(text))
+    return F.when(c.rlike(f"&(?!{'|'.join(reference[1:] for reference, _ in FREQUENT)})"), any_of_them).otherwise(frequent)
 
 
 def clean_text(c: Column) -> Column:

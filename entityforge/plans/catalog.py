@@ -407,8 +407,9 @@ def _list(values) -> str:
     return "(" + ", ".join("'{}'".format(v.replace("'", "''")) for v in values) + ")"
 
 
+#: `&amp` may lack its semicolon.
 _UNESCAPED = (
-    "replace(replace(replace(replace(replace(replace(html, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&')"
+    "regexp_replace(replace(replace(replace(replace(replace(html, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&copy;', '©'), '&middot;', '·'), '&amp;?', '&', 'g')"
 )
 
 
