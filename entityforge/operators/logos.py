@@ -70,29 +70,45 @@ def is_logo(url: str, official: str, answer: tuple[int, dict[str, str], str] | N
     return not host or host == own or host.endswith(f".{own}") or own.endswith(f".{host}")
 
 
-def find_logo(page: str, fetch: Fetch) -> str:
-    """The first candidate of the page that passes, else ''; any failure of the page gives ''."""
+def find_logo(page: str, fetch: Fetch, html: str | None = None) -> str:
+    """The first candidate of the page that passes, else ''; any failure of the page gives ''. A page whose html is given is not fetched."""
     if not page:
         return ""
     try:
-        answer = fetch(page)
-        if answer is None or answer[0] != 200:
-            return ""
-        return next((c for c in candidates_of(answer[2], page) if is_logo(c, page, fetch(c))), "")
+        if html is None:
+            answer = fetch(page)
+            if answer is None or answer[0] != 200:
+                return ""
+            html = answer[2]
+        return next((c for c in candidates_of(html, page) if is_logo(c, page, fetch(c))), "")
     except Exception:  # noqa: BLE001 - a page that cannot be read has no logo
         return ""
 
 
-def find_logos(entities: DataFrame, client: Callable[[], Fetch] | None) -> DataFrame:
-    """Fills logo_url. Without a client it is '', which says that it was looked for and not found."""
+def find_logos(entities: DataFrame, client: Callable[[], Fetch] | None, pages: DataFrame | None = None) -> DataFrame:
+    """Fills logo_url. Without a client it is '', which says that it was looked for and not found.
+
+    Each url is looked at once, however many entities have it. `pages` (url, html) are stored pages, which are read
+    where they lie, so that only images are asked for; of several with one url the greatest html counts, and a null
+    html is none.
+    """
     if client is None:
         return entities.withColumn("logo_url", F.lit(""))
     urls = entities.select("url").filter(F.col("url") != "").distinct()
+    if pages is None:
+        urls = urls.withColumn("html", F.lit(None).cast("string"))
+    else:
+        stored = pages.groupBy(F.col("url").alias("_page")).agg(F.max("html").alias("html"))
+        urls = urls.join(stored, F.col("url") == F.col("_page"), "left").select("url", "html")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fetch = client()
         for batch in batches:
-            yield batch.assign(_logo=[find_logo(u, fetch) for u in batch["url"]])
-
-    found = urls.mapInPandas(run, "url string, _logo string")
-    return entities.join(found, "url", "left").withColumn("logo_url", F.coalesce("_logo", F.lit(""))).select(entities.columns)
+            found = [find_logo(u, fetch, h if isinstance(h, str) else None) for u, h in zip(batch["url"], batch["html"])]
+            yield pd.DataFrame({"_page": batch["url"], "_logo": found})
+
+    found = urls.mapInPandas(run, "_page string, _logo string")
+    # entities without a url may be most of them: they are dealt by their ids
+    spread = F.when(F.col("url") == "", F.xxhash64("id")).otherwise(F.lit(0))
+    met = entities.withColumn("_spread", spread).join(found.withColumn("_none", F.lit(0).cast("long")), (F.col("url") == F.col("_page")) & (F.col("_spread") == F.col("_none")), "left")
+    return met.withColumn("logo_url", F.coalesce("_logo", F.lit(""))).select(entities.columns)

@@ -270,19 +270,18 @@ def q_feed_health(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _site(url: str):
-    """A made-up answer to any url: pages name two icons, of which the first is no image or too small on some pages."""
-    if not url.endswith((".png", ".svg")):
-        return 200, {"content-type": "text/html"}, f'<link rel="icon" href="/{len(url) % 3}.png"><link rel="icon" href="/b.svg">'
-    kind = "text/html" if url.endswith("/1.png") else "image/png"
-    return 200, {"content-type": kind, "content-length": "10" if url.endswith("/2.png") else "5000"}, ""
+    """A made-up answer to any url: an image, but some are too small, and some are none."""
+    kind = "text/html" if len(url) % 3 == 1 else "image/png"
+    return 200, {"content-type": kind, "content-length": "10" if len(url) % 3 == 2 else "5000"}, ""
 
 
 def q_find_logo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Logos of all pages' sites, as an offline client answers."""
+    """Logos of all pages from their own html, whose links of the navigation stand for icons; images as an offline client answers."""
     pages = _table(spark, sf_dir, "pages")
     site = F.concat(F.lit("https://"), F.regexp_extract("url", "^[^:/?#]*://([^/?#]*)", 1), F.lit("/p"), F.col("page_id").cast("string"))
     rows = make_entities(pages, F.lit("news"), F.lit("page"), F.lit(""), site, _strings("News"), F.lit("pages"), F.lit(""), None, F.col("page_id"))
-    return logos.find_logos(rows, lambda: _site).select("pos", "url", "logo_url")
+    stored = pages.select(site.alias("url"), F.replace("html", F.lit('<a href="'), F.lit('<link rel="icon" href="')).alias("html"))
+    return logos.find_logos(rows, lambda: _site, stored).select("pos", "url", "logo_url")
 
 
 def q_skip_logos(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -347,13 +346,15 @@ def q_parse_repositories(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_parse_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     tags = F.array_compact(F.array(F.col("p_type"), F.when(F.col("p_size") > 25, F.concat(F.lit("license:l"), "p_size")), F.lit("license:late")))
+    tags = F.concat(tags, F.transform(F.sequence(F.lit(1), F.col("p_size")), lambda n: F.concat(F.lit("t"), n)))
     raw = _table(spark, sf_dir, "part").select(
         F.concat("p_brand", F.lit("/"), "p_name").alias("id"), F.lit("x").alias("modelId"), F.col("p_type").alias("pipeline_tag"), tags.alias("tags"),
         F.col("p_partkey").alias("downloads"), F.lit(None).cast("bigint").alias("likes"), F.lit("2024-01-01T00:00:00Z").alias("lastModified"),
     )
     found = payloads.parse_models(raw, "model", (), F.col("downloads"))
     meta = F.col("metadata")
-    return found.select("pos", "name", "url", *[text_of(meta, k).alias(k) for k in ("provider", "license", "likes", "pipeline_tag")])
+    kept = F.array_join(F.variant_get(meta["tags"], "$", "array<string>"), ";").alias("tags")
+    return found.select("pos", "name", "url", *[text_of(meta, k).alias(k) for k in ("provider", "license", "likes", "pipeline_tag")], kept)
 
 
 def q_parse_videos(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -545,8 +546,8 @@ found - kept AS duplicate_count, 0::BIGINT AS duplicate_relationships, (SELECT c
         f"SELECT 'tool', {_PART_ID}, trim(p_name) FROM part UNION ALL SELECT entity_type, id, name FROM ({_DOCS})) GROUP BY 1",
         "q_feed_health": "SELECT f.name AS source_name, count(c_custkey) AS entries, CASE WHEN count(c_custkey) > 0 THEN 'OK' ELSE 'EMPTY/FAILED' END AS status "
         "FROM (SELECT n_name AS name, n_nationkey AS key FROM nation UNION ALL SELECT r_name, -1 FROM region) f LEFT JOIN customer ON c_nationkey = f.key GROUP BY 1",
-        "q_find_logo": "SELECT page_id AS pos, url, root || CASE WHEN length(url) % 3 = 0 THEN '/0.png' ELSE '/b.svg' END AS logo_url FROM (SELECT page_id, root || '/p' || page_id AS url, root "
-        "FROM (SELECT page_id, 'https://' || regexp_extract(url, '^[^:/?#]*://([^/?#]*)', 1) AS root FROM pages))",
+        "q_find_logo": "SELECT page_id AS pos, url, coalesce([root || x FOR x IN regexp_extract_all(html, '<a href=\"([^\"]*)\"', 1) IF length(root || x) % 3 = 0][1], '') AS logo_url "
+        "FROM (SELECT page_id, html, root || '/p' || page_id AS url, root FROM (SELECT page_id, html, 'https://' || regexp_extract(url, '^[^:/?#]*://([^/?#]*)', 1) AS root FROM pages))",
         "q_skip_logos": "SELECT p_partkey AS pos, '' AS logo_url FROM part",
         "q_describe": "SELECT t AS entity_type, pos, CASE WHEN length(d) BETWEEN 1 AND 79 AND NOT starts_with(d, 'PROMO') THEN 'written for ' || t ELSE d END AS description FROM "
         f"(SELECT 'tool' AS t, p_partkey AS pos, trim(p_type) AS d FROM part UNION ALL SELECT entity_type, pos + 1099511627776, coalesce(description, '') FROM ({_DOCS}))",
@@ -561,7 +562,8 @@ found - kept AS duplicate_count, 0::BIGINT AS duplicate_relationships, (SELECT c
         "'Repositories; Extra' AS categories, 'https://code.example.com/' || p_partkey AS source_url, p_partkey::VARCHAR AS stars, p_brand AS owner, 'MIT' AS license, true AS has_language "
         "FROM (SELECT *, CASE WHEN p_size > 25 THEN 'https://home.example.com/' ELSE 'https://code.example.com/' END || p_partkey AS u FROM part)",
         "q_parse_models": "SELECT p_partkey AS pos, p_brand || '/' || p_name AS name, 'https://huggingface.co/' || p_brand || '/' || p_name AS url, p_brand AS provider, "
-        "CASE WHEN p_size > 25 THEN 'l' || p_size ELSE 'late' END AS license, '0' AS likes, p_type AS pipeline_tag FROM part",
+        "CASE WHEN p_size > 25 THEN 'l' || p_size ELSE 'late' END AS license, '0' AS likes, p_type AS pipeline_tag, array_to_string((CASE WHEN p_size > 25 THEN [p_type, 'license:l' || p_size, 'license:late'] "
+        f"ELSE [p_type, 'license:late'] END || ['t' || n FOR n IN range(1, p_size + 1)])[1:{payloads.MAX_TAGS}], ';') AS tags FROM part",
         "q_parse_videos": f"SELECT {_uuid('''concat('video|', lower(trim(s_name)), '|https://www.youtube.com/watch?v=', s_suppkey)''')} AS id, trim(s_name) AS name, 'about' AS description, "
         "'https://www.youtube.com/watch?v=' || s_suppkey AS url, 't.png' AS thumbnail FROM supplier",
         "q_parse_entries": f"SELECT {_uuid('''concat('news|order ', o_orderkey, '|https://o.example.com/', o_orderkey)''')} AS id, 'Order ' || o_orderkey AS name, trim(o_orderpriority) AS description, "

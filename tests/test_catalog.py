@@ -203,6 +203,28 @@ def test_logos(spark):
     assert {r["name"]: r["logo_url"] for r in found.collect()} == {"a": "https://a.com/p/o.png", "b": ""}
 
 
+def test_logos_of_stored_pages(spark):
+    """Stored pages are not asked for, others are; a url is looked at once, and rows without one stay."""
+    images = {f"https://{h}.com/i.png": (200, {"content-type": "image/png"}, "") for h in "abc"}
+    pages = {"https://b.com": (200, {}, '<link rel="icon" href="/i.png">'), "https://c.com": (200, {}, '<link rel="icon" href="/i.png">')}
+    asked = spark.sparkContext.accumulator(0)
+
+    def client():
+        def fetch(url):
+            asked.add(1)
+            return (images | pages).get(url)
+
+        return fetch
+
+    icon = '<link rel="icon" href="/none.png"><link rel="icon" href="/i.png">'
+    stored = spark.createDataFrame([("https://a.com", icon), ("https://a.com", ""), ("https://c.com", None), (None, icon), ("https://d.com", "")], "url string, html string")
+    rows = entities(spark, ("tool", "a", "", "https://a.com"), *[("tool", "again", "", "https://a.com")] * 5, *[("tool", u, "", f"https://{u}.com") for u in "bcd"], *[("tool", "no", "", "")] * 5)
+    found = logos.find_logos(rows, client, stored).collect()
+    assert len(found) == 14 and {(r["name"], r["logo_url"]) for r in found} == {*[(n, f"https://{h}.com/i.png") for n, h in (("a", "a"), ("again", "a"), ("b", "b"), ("c", "c"))], ("d", ""), ("no", "")}
+    assert asked.value == 2 + 2 + 2
+    assert logos.find_logos(rows.limit(0), client, stored.limit(0)).count() == 0
+
+
 def test_http_retries():
     script, waits = [], []
 
