@@ -553,23 +553,70 @@ def spare_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def link_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_links) of every row: how many other rows link with it.
 
-    No pair is skipped and every set is a class of its own, so the work grows with the pairs of distinct sets in
-    a group of near copies; copies of one set are counted, not paired.
+    Rows without words link with nothing; copies of one set link with each other and are counted, not paired; ids
+    may be null or repeat, and empty input gives no rows. Links exist inside components only. Each component has a
+    pivot, the set with most rows, and every set x of it is compared with that pivot p: two sets share at least
+    |x & p| + |y & p| - |p| tokens and at most what is left of one beyond the other's part of p. With
+    s(x) = 9 |x & p| - 4 |x|, a link is sure where s(x) + s(y) >= 9 |p|; such links are counted from sums over the
+    values of s, without pairs. Sets with 2 s(x) >= 9 |p| are sure to link with each other, so the index lists skip
+    their pairs block by block; of all other pairs only those that the bounds leave open are compared.
     """
-    scratch = Scratch(docs.sparkSession, "links")
-    base, rows, frequent, clashing = _scanned(scratch, docs, id_col, text_col)
-    sets = scratch.write(rows.filter("n > 0").groupBy("set").agg(F.min("key").alias("key"), F.count("*").alias("copies")), "sets")
+    scratch, open_ = Scratch(docs.sparkSession, "links"), Scratch(docs.sparkSession, "open")
+    scanned = _scanned(scratch, docs, id_col, text_col)
+    base, rows, frequent, clashing = scanned
+    rooted = _rooted_rows(scratch, docs, id_col, text_col, scanned)
+    scratch.keep_only("scan", "rooted")
+    open_.parts = scratch.parts
+
+    # sets of components with more than one, and what each shares with its pivot
+    sets = rows.filter("n > 0").groupBy("set", "n").agg(F.min("key").alias("key"), F.count("*").alias("copies"))
+    root_of = rooted.select(F.col("key").alias("_key"), "root").distinct()
+    sets = open_.write(sets.join(root_of, F.col("key") == F.col("_key")).drop("_key"), "sets")
+    pivots = sets.groupBy("root").agg(F.count("*").alias("k"), F.max_by(F.struct("set", "n"), F.struct("copies", "set")).alias("p")).filter("k > 1")
+    pivots = small_or_shuffled(open_.write(pivots.select(F.col("root").alias("_root"), F.col("p.set").alias("pivot"), F.col("p.n").alias("n_pivot")), "pivots"))
+    many = open_.write(sets.join(pivots, F.col("root") == F.col("_root")).drop("_root"), "many")
+    known = _Sets(open_, base, sets, clashing)
+    shared = known.overlaps(many.filter("set != pivot").select(F.col("pivot").alias("x"), F.col("set").alias("y")), "pivot")
+    shared = shared.select(F.col("y").alias("_set"), "overlap")
+    own = many.join(shared, F.col("set") == F.col("_set"), "left").withColumn("overlap", F.coalesce("overlap", "n").cast("long"))
+    score, need = F.col("overlap") * 9 - F.col("n") * 4, F.col("n_pivot").cast("long") * 9
+    placed = open_.write(own.select("set", "key", "n", "copies", "pivot", "overlap", score.alias("score"), need.alias("need")), "placed")
+
+    # sure links, by the values of the score: a row per value, and one per value asked for
+    cells = open_.write(placed.groupBy("pivot", "score", "need").agg(F.sum("copies").alias("k")), "cells")
+    asked = cells.select("pivot", (F.col("need") - F.col("score")).alias("value"), F.lit(0).cast("long").alias("k"), "score")
+    given = cells.select("pivot", F.col("score").alias("value"), "k", F.lit(None).cast("long").alias("score"))
+    upto = Window.partitionBy("pivot").orderBy(F.col("value").desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    sure = given.unionByName(asked).withColumn("sure", F.sum("k").over(upto)).filter("score is not null")
+    sure = sure.select(F.col("pivot").alias("_pivot"), F.col("score").alias("_score"), "sure")
+    is_core = F.col("score") * 2 >= F.col("need")
+    counted = placed.join(sure, (F.col("pivot") == F.col("_pivot")) & (F.col("score") == F.col("_score")))
+    counted = counted.select("set", (F.col("sure") - F.when(is_core, F.col("copies")).otherwise(0)).alias("others"))
+
+    # pairs that the bounds leave open, from index lists of the components that are not all core
+    mixed = small_or_shuffled(open_.write(placed.filter(~is_core).select(F.col("pivot").alias("_pivot")).distinct(), "mixed"))
+    listed = open_.write(placed.join(mixed, F.col("pivot") == F.col("_pivot"), "left_semi").withColumn("mark", F.when(is_core, F.col("pivot")).otherwise(F.col("set"))), "listed")
+    texts = base.join(small_or_shuffled(listed.select(F.col("key").alias("_listed"))), F.col("key") == F.col("_listed"), "left_semi")
     nothing = docs.sparkSession.createDataFrame([], "_key long, _member long, class long")
-    live = scratch.write(_live_lists(scratch, _postings(base, nothing, frequent, clashing)).withColumn("root", F.col("class")), "live")
-    verifier = _Verifier(scratch, _Sets(scratch, base, sets, clashing))
-    verifier.verify(_all_pairs(scratch, live, "all"))
-    linked = verifier.links()
-    both = linked.unionByName(linked.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    met = both.join(sets, F.col("v") == F.col("set")).groupBy("u").agg(F.sum("copies").alias("_others"))
-    total = sets.join(met, F.col("set") == F.col("u"), "left").select(F.col("set").alias("_set"), (F.col("copies") - 1 + F.coalesce("_others", F.lit(0))).alias("_links"))
-    total = small_or_shuffled(scratch.write(total.filter("_links > 0"), "total"))
+    live = _live_lists(open_, _postings(texts, nothing, frequent, clashing))
+    live = live.join(small_or_shuffled(listed.select(F.col("set").alias("_set"), F.col("mark").alias("root"))), F.col("class") == F.col("_set")).drop("_set")
+    maybe = _all_pairs(open_, open_.write(live, "live"), "all")
+    facts = [F.col(c) for c in ("set", "pivot", "n", "overlap", "score", "need")]
+    x, y = (small_or_shuffled(listed.select(*[c.alias(f"{side}_{name}") for c, name in zip(facts, ("set", "pivot", "n", "o", "score", "need"))])) for side in "xy")
+    met = maybe.join(x, F.col("x") == F.col("x_set")).join(y, F.col("y") == F.col("y_set"))
+    most = F.least(F.col("x_o") + F.col("y_n") - F.col("y_o"), F.col("y_o") + F.col("x_n") - F.col("x_o"))
+    met = met.filter((F.col("x_pivot") == F.col("y_pivot")) & (F.col("x_score") + F.col("y_score") < F.col("x_need")) & links(F.col("x_n"), F.col("y_n"), most))
+    compared = known.overlaps(met.select("x", "y"), "met")
+    linked = compared.filter(links(F.col("nx"), F.col("ny"), F.col("overlap")))
+    both = linked.select(F.col("x").alias("u"), F.col("y").alias("v")).unionByName(linked.select(F.col("y").alias("u"), F.col("x").alias("v")))
+    found = both.join(sets.select("set", "copies"), F.col("v") == F.col("set")).groupBy("u").agg(F.sum("copies").alias("others"))
+
+    others = counted.unionByName(found.select(F.col("u").alias("set"), "others")).groupBy(F.col("set").alias("_of")).agg(F.sum("others").alias("others"))
+    total = sets.join(others, F.col("set") == F.col("_of"), "left").select(F.col("set").alias("_set"), (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("_links"))
+    total = small_or_shuffled(open_.write(total.filter("_links > 0"), "total"))
     out = rows.join(total, (F.col("set") == F.col("_set")) & (F.col("n") > 0), "left")
-    scratch.keep_only("scan", "total")
+    scratch.keep_only("scan")
+    open_.keep_only("total")
     return out.select(F.when(F.col("doc") != NO_ID, F.col("doc")).alias(id_col), F.coalesce("_links", F.lit(0)).cast("long").alias("n_links"))
 
 
@@ -595,9 +642,9 @@ def _scanned(
     return base, rows, (token[order].astype(np.int64), count[order].astype(np.int64)), clashing
 
 
-def _rooted_rows(scratch: Scratch, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc, key, n, root) of every row, a table; rows with n > 0 and one root are a component."""
-    base, rows, frequent, clashing = _scanned(scratch, docs, id_col, text_col)
+def _rooted_rows(scratch: Scratch, docs: DataFrame, id_col: str, text_col: str, scanned: tuple | None = None) -> DataFrame:
+    """(doc, key, n, root) of every row, a table; rows with n > 0 and one root are a component. `scanned` is what `_scanned` gave of them."""
+    base, rows, frequent, clashing = scanned or _scanned(scratch, docs, id_col, text_col)
 
     # distinct sets, and leaders of sets that share their least token
     sets = scratch.write(rows.filter("n > 0").groupBy("set", "n", "least").agg(F.min("key").alias("key")), "sets")

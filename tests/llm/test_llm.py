@@ -230,6 +230,37 @@ def test_link_counts_like_brute_force(spark, monkeypatch, list_classes):
     assert Counter(tuple(r) for r in got.collect()) == Counter(truth)
 
 
+def test_link_counts_compare_only_pairs_that_bounds_leave_open(spark, monkeypatch):
+    """200 near copies of one text, 100 more of a text near it: links as by brute force, under a third of all pairs compared."""
+    rng, n = random.Random(8), 300
+    base = [f"w{i}" for i in range(400)]
+    texts = []
+    for i in range(n):
+        text = list(base if i < 200 else [f"v{w}" if 40 <= k < 65 else w for k, w in enumerate(base)])
+        for _ in range(rng.choice((0, 1, 1, 2, 9) if i < 200 else (1, 2))):
+            text[rng.randrange(400)] = f"x{rng.randrange(10**6)}"
+        texts.append(" ".join(text))
+    sets = [{" ".join(w[k : k + 5]) for k in range(len(w) - 4)} for w in map(str.split, texts)]
+    at = {t: i for i, t in enumerate(sorted(set().union(*sets)))}
+    has = np.zeros((n, len(at)))
+    for row, tokens in zip(has, sets):
+        row[[at[t] for t in tokens]] = 1
+    both, size = has @ has.T, has.sum(1)
+    truth = ((100 * both >= 80 * (size[:, None] + size - both)).sum(1) - 1).tolist()
+    compared = {}
+    real = jaccard._Sets.overlaps
+
+    def overlaps(self, pairs, name):
+        found = real(self, pairs, name)
+        compared[name] = found.count()
+        return found
+
+    monkeypatch.setattr(jaccard._Sets, "overlaps", overlaps)
+    got = jaccard.link_counts(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert [r["n_links"] for r in got.orderBy("doc_id").collect()] == truth
+    assert 0 < compared["met"] < n * (n - 1) / 2 / 3
+
+
 def test_jaccard_finds_links_of_members_alone(spark):
     """Leaders that do not link, with members that do."""
     base = [f"w{i}" for i in range(204)]
