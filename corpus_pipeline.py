@@ -24,7 +24,11 @@ def _own_name(docs: DataFrame) -> str:
 
 
 def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that the quality rules reject."""
+    """Drops documents that the quality rules reject.
+
+    Null and empty texts have too few words and go. Repeated rows share a verdict; ids may be null or repeat, since
+    texts are judged. An empty table gives none. All columns stay as they are, whatever their names.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     name = _own_name(docs)
     judged = quality_rules.judge_texts(docs, quality_rules.fit_rules(docs, labels), name=name)
@@ -32,7 +36,11 @@ def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that the weak-label classifier, fitted on this stage's input, rejects."""
+    """Drops documents that the weak-label classifier, fitted on this stage's input, rejects.
+
+    A null text is judged as an empty one, repeated rows share a verdict, ids are not read, and an empty table gives
+    none. All columns stay as they are, whatever their names.
+    """
     name = _own_name(docs)
     judged = weak_quality.classify_texts(docs, weak_quality.fit_weak(docs)[0], name=name)
     return judged.filter(F.col(f"{name}.kept")).drop(name)
@@ -56,12 +64,20 @@ def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeats or leaves out documents so that sources come to weights 5, 2, 1, repeating."""
+    """Repeats or leaves out documents so that sources come to weights 5, 2, 1, repeating.
+
+    A null source is one of its own, texts without words get the whole copies of their source, rows alike in all get
+    copies that differ by one at most, and an empty table gives none. All columns stay as they are, whatever their names.
+    """
     return mixing.repeat_rows(docs, mixing.mix_sources(docs, (5, 2, 1), 3))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs the mix into sequences of 2048 tokens."""
+    """Packs the mix into sequences of 2048 tokens.
+
+    A null text is an empty one, of one token; long texts are cut into pieces; repeated rows and ids are packed each
+    for itself, a null id stays null, and an empty table gives none. Returns the pieces; other columns are not kept.
+    """
     return packing.pack(docs, tokenizer_path(), 2048, 0)
 
 
