@@ -19,6 +19,11 @@ def _edges(df: DataFrame, source: Column, relation: str, target: Column, pos_a:
     )
 
 
+def _at_first(rows: DataFrame, pos: str) -> DataFrame:
+    """Rows that differ in their place alone as one, at the first of the places."""
+    return rows.groupBy(*[c for c in rows.columns if c != pos]).agg(F.min(pos).alias(pos))
+
+
 def first_containing(owners: DataFrame, owner: str, companies: DataFrame) -> DataFrame:
     """(owner, company_id): for each distinct owner, the first company in order whose name holds it or is held by it.
 
@@ -73,23 +78,30 @@ def solves(entities: DataFrame) -> DataFrame:
     return _edges(wanted.join(last, "slug"), F.col("id"), "solves", F.col("task_id"), F.col("pos"), F.col("n").cast("bigint"))
 
 
-def integrates_with(entities: DataFrame) -> DataFrame:
-    """MCP server → every tool and model whose name its own name or description holds; tools first."""
+def integrates_with(entities: DataFrame, repeats: bool = True) -> DataFrame:
+    """MCP server → every tool and model whose name its own name or description holds; tools first.
+
+    Rows of one id and text meet as often as both sides repeat them; without `repeats` they meet once, at their first places.
+    """
     servers = entities.filter("entity_type = 'mcp'").select(
         F.col("id").alias("mcp_id"), F.col("pos").alias("mcp_pos"), F.lower(F.concat_ws(" ", "name", F.coalesce("description", F.lit("")))).alias("text")
     )
     named = entities.filter("entity_type in ('tool', 'model')").select(
         F.col("id").alias("tool_id"), F.lower("name").alias("tool_name"), (F.col("pos") + F.when(F.col("entity_type") == "model", 1 << 61).otherwise(0)).alias("tool_pos")
     )
+    if not repeats:
+        servers, named = _at_first(servers, "mcp_pos"), _at_first(named, "tool_pos")
     met = containment_join(servers, "text", named, "tool_name")
     return _edges(met, F.col("mcp_id"), "integrates_with", F.col("tool_id"), F.col("mcp_pos"), F.col("tool_pos"))
 
 
-def runs(entities: DataFrame) -> DataFrame:
-    """Device → every model of the name that its metadata says it runs."""
+def runs(entities: DataFrame, repeats: bool = True) -> DataFrame:
+    """Device → every model of the name that its metadata says it runs; `repeats` as in `integrates_with`."""
     wanted = F.lower(text_of(F.col("metadata"), "runs_model"))
     devices = entities.filter("entity_type = 'device'").select("id", "pos", wanted.alias("wanted")).filter("wanted <> ''")
     models = entities.filter("entity_type = 'model'").select(F.col("id").alias("model_id"), F.col("pos").alias("model_pos"), F.lower("name").alias("wanted"))
+    if not repeats:
+        devices, models = _at_first(devices, "pos"), _at_first(models, "model_pos")
     return _edges(devices.join(models, "wanted"), F.col("id"), "runs", F.col("model_id"), F.col("pos"), F.col("model_pos"))
 
 
@@ -101,8 +113,12 @@ def distinct_edges(edges: DataFrame) -> DataFrame:
 
 
 def build_relationships(entities: DataFrame) -> DataFrame:
-    """All edges between the given entities. Endpoints are entities of the table by construction."""
-    parts = [develops(entities), solves(entities), integrates_with(entities), runs(entities)]
+    """All edges between the given entities. Endpoints are entities of the table by construction.
+
+    Edges are distinct, so rows that repeat an entity are put together before they meet others: pairs grow with the
+    edges, not with the product of the repeats.
+    """
+    parts = [develops(entities), solves(entities), integrates_with(entities, repeats=False), runs(entities, repeats=False)]
     whole = parts[0]
     for part in parts[1:]:
         whole = whole.unionByName(part)

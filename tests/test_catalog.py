@@ -116,6 +116,19 @@ def test_relationships(spark):
     assert {("Anthropic", "develops", "r"), ("Anthropic", "develops", "t"), ("dev", "runs", "Big"), ("server", "integrates_with", "Big"), ("server", "integrates_with", "t")} <= set(edges)
 
 
+def test_repeated_entities_meet_once(spark, monkeypatch):
+    """Rows that repeat an id and a name make no pair of their own, and the order is that of all pairs."""
+    mcp = [("mcp", f"server {k % 3}", f"works with t{k % 2}", "") for k in range(120)]
+    rest = [(kind, f"t{k % 2}", "d", "", {"runs_model": f"T{k % 2}"}) for kind in ("tool", "model", "device") for k in range(100)]
+    rows = entities(spark, *mcp, *rest)
+    made, final = [], relationships.distinct_edges
+    monkeypatch.setattr(relationships, "distinct_edges", lambda edges: made.append(edges) or final(edges))
+    got = [tuple(r) for r in relationships.build_relationships(rows).collect()]
+    whole = final(relationships.integrates_with(rows).unionByName(relationships.runs(rows))).collect()
+    assert got == [tuple(r) for r in whole] and len(got) == 3 * 2 * 2 + 2
+    assert made[0].count() == len(got)
+
+
 def test_containment_join_beyond_the_broadcast_size(spark, monkeypatch):
     left = spark.createDataFrame([("abcd x",), ("xyz",), ("",)], "t string")
     right = spark.createDataFrame([("abc",), ("x",), ("yz",), ("nope",), ("",)], "n string")
