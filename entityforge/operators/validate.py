@@ -11,8 +11,9 @@ from entityforge.schema import ENTITY_TYPES, URL_TYPES
 
 #: What urls of directories and listings hold.
 THIRD_PARTY = ("crunchbase.com", "producthunt.com", "wikipedia.org", "ai-directory", "linkedin.com/company", "angel.co", "directory", "listings")
-#: Fixed value: names that stand for a missing one. `.` excludes the line feed only.
-PLACEHOLDER = r"(?id)^(placeholder|todo|dummy|example|test)\b.*\z"
+#: Fixed value: names that stand for a missing one. `.` excludes the line feed only; a letter, digit or underscore of any
+#: script goes on with the word, which `\b` says differently from one Java version to another.
+PLACEHOLDER = r"(?iud)^(placeholder|todo|dummy|example|test)(?![\p{L}\p{N}_]).*\z"
 MIN_DESCRIPTION = 8
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import random
+import re
 import sys
 
 import duckdb
@@ -93,6 +94,13 @@ def test_validation(spark):
     assert valid.count() == 1 and tuple(counts.first()) == (1, 1)
 
 
+def test_placeholder_ends_where_its_word_ends(spark):
+    """Words as the reference has them: letters, digits and underscores of any script, but no marks."""
+    names = ["Test", "test 1", "TODO: x", "Teſt x", "test\u0301 x", "example-a", "Testß a", "testö", "test漢", "test٣", "test_1", "test1", "testing", "a test", "test a\nb", "test a\rb"]
+    found = [n for n in names if "placeholder name" in issues(spark, "task", n, "a description", "")]
+    assert found == [n for n in names if re.fullmatch(r"(placeholder|todo|dummy|example|test)\b.*", n, re.I)]
+
+
 def test_recency_and_tasks(spark):
     now = F.lit("2024-02-01 00:00:00").cast("timestamp")
     rows = entities(spark, ("repository", "a", "", "", {"pushed_at": "2024-01-31T00:00:00Z"}), ("repository", "b", "", "", {"pushed_at": "2015-01-01T00:00:00Z"}))
