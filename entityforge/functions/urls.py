@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from entityforge.functions.text import strip
+from entityforge.functions.text import let, strip
 
 #: Query parameters that only track, in lower case.
 TRACKING = (
@@ -13,6 +13,9 @@ TRACKING = (
     "mc_cid", "mc_eid", "igshid", "mkt_tok", "hsa_cam", "hsa_grp", "hsa_ad", "hsa_src",
 )
 
+#: What is canonical as it stands: a plain host and a path of plain names.
+CANONICAL = r"^https://(?!www\.)[a-z0-9.-]+(?:/[A-Za-z0-9._~-]+)*\z"
+
 
 def _decode(c: Column) -> Column:
     return F.coalesce(F.try_url_decode(c), c)
@@ -51,17 +54,23 @@ def normalize_url(c: Column) -> Column:
     broken bracket address is left as it is, for validation to find.
     """
     bare = F.regexp_replace(strip(c), "[\t\r\n]", "")
-    url = F.when(bare.rlike("^https?://"), bare).otherwise(F.concat(F.lit("https://"), bare))
-    netloc = F.regexp_extract(url, "^https?://([^/?#]*)", 1)
-    path = F.regexp_extract(url, "^https?://[^/?#]*([^?#]*)", 1)
-    params = F.regexp_extract(path, "(?s)^(?:.*/)?[^/;]*;([^/]*)$", 1)
-    path = F.regexp_replace(F.regexp_extract(path, "(?s)^((?:.*/)?[^/;]*)", 1), "/+$", "")
-    query = clean_query(F.regexp_extract(url, r"(?s)^[^?#]*\?([^#]*)", 1))
-    out = F.concat(
-        F.lit("https://"), canonical_netloc(netloc), path,
-        F.when(params != "", F.concat(F.lit(";"), params)).otherwise(""), F.when(query != "", F.concat(F.lit("?"), query)).otherwise(""),
-    )
-    return F.when(F.coalesce(c, F.lit("")) == "", "").when(has_odd_bracket(netloc), c).otherwise(out)
+
+    def split(url: Column) -> Column:
+        path = F.regexp_extract(url, "^https?://[^/?#]*([^?#]*)", 1)
+        query = clean_query(F.regexp_extract(url, r"(?s)^[^?#]*\?([^#]*)", 1))
+        return F.struct(F.regexp_extract(url, "^https?://([^/?#]*)", 1).alias("netloc"), path.alias("path"), query.alias("query"))
+
+    def join(u: Column) -> Column:
+        params = F.regexp_extract(u["path"], "(?s)^(?:.*/)?[^/;]*;([^/]*)$", 1)
+        path = F.regexp_replace(F.regexp_extract(u["path"], "(?s)^((?:.*/)?[^/;]*)", 1), "/+$", "")
+        out = F.concat(
+            F.lit("https://"), canonical_netloc(u["netloc"]), path,
+            F.when(params != "", F.concat(F.lit(";"), params)).otherwise(""), F.when(u["query"] != "", F.concat(F.lit("?"), u["query"])).otherwise(""),
+        )
+        return F.when(has_odd_bracket(u["netloc"]), c).otherwise(out)
+
+    made = let(bare, lambda b: let(F.when(b.rlike("^https?://"), b).otherwise(F.concat(F.lit("https://"), b)), lambda url: let(split(url), join)))
+    return F.when(c.rlike(CANONICAL), c).when(F.coalesce(c, F.lit("")) == "", "").otherwise(made)
 
 
 def canonical_domain(c: Column) -> Column:

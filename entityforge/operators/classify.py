@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,7 +39,7 @@ def haystack(entities: DataFrame) -> Column:
 
 def matching_tasks(text: Column, tasks: dict[str, tuple[str, ...]] = TASKS) -> Column:
     """Slugs, in taxonomy order, of tasks one of whose keywords occurs anywhere in `text`."""
-    found = [F.when(F.exists(F.array(*map(F.lit, words)), lambda k: F.contains(text, k)), F.lit(slug)) for slug, words in tasks.items()]
+    found = [F.when(reduce(or_, (F.contains(text, F.lit(k)) for k in words), F.lit(False)), F.lit(slug)) for slug, words in tasks.items()]
     return F.array_compact(F.array(*found))
 
 

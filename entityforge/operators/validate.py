@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from entityforge.functions.text import strip
+from entityforge.functions.text import strip, strip_text
 from entityforge.functions.urls import valid_url
 from entityforge.schema import ENTITY_TYPES, URL_TYPES
 
@@ -37,7 +37,7 @@ def issues_of() -> Column:
         ("invalid url", ~blank("url") & ~valid_url(F.col("url"))),
         ("third-party url", F.coalesce(F.exists(F.array(*map(F.lit, THIRD_PARTY)), lambda p: F.contains(F.lower("url"), p)), F.lit(False))),
         ("missing description", blank("description")),
-        ("description too short", ~blank("description") & (F.length(strip(F.col("description"))) < MIN_DESCRIPTION)),
+        ("description too short", ~blank("description") & (F.length(strip_text(F.col("description"))) < MIN_DESCRIPTION)),
     )
     return F.array_compact(F.array(*[F.when(broken, F.lit(text)) for text, broken in rules]))
 

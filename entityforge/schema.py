@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from entityforge.functions.ids import entity_id
-from entityforge.functions.text import first_filled, strip
+from entityforge.functions.text import first_filled, strip, strip_text
 
 #: Columns of an entity. `pos` is the ingest order, which decides who wins; it is not exported.
 ENTITY_COLUMNS = ("pos", "id", "entity_type", "name", "description", "url", "logo_url", "categories", "source", "metadata")
@@ -65,7 +65,7 @@ def make_entities(
         entity_id(entity_type, stripped, first_filled(url, source_url)).alias("id"),
         entity_type.alias("entity_type"),
         stripped.alias("name"),
-        strip(F.coalesce(description, F.lit(""))).alias("description"),
+        strip_text(F.coalesce(description, F.lit(""))).alias("description"),
         own_url.alias("url"),
         F.lit(None).cast("string").alias("logo_url"),
         F.coalesce(categories, F.array().cast("array<string>")).alias("categories"),

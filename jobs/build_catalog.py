@@ -64,6 +64,9 @@ def build_catalog(spark: SparkSession, pages: str, documents: str, parts: str, o
         for i, (name, path, project) in enumerate((("pages", pages, page_rows), ("documents", documents, document_rows), ("parts", parts, part_rows))):
             read[name] = Observation(name)
             table = spark.read.parquet(path).observe(read[name], F.count(F.lit(1)).alias("n"))
+            if name == "parts":
+                # narrow rows, of which a small file holds very many: their urls and ids are made by all tasks
+                table = table.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "p_partkey")
             found = project(table, config).withColumn("pos", F.col("pos") + (i << 56))
             rows = found if rows is None else rows.unionByName(found)
         rows = cut_lineage(clean.normalize_urls(clean.clean_entities(rows)))

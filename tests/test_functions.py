@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import html
+import random
+import time
 import uuid
 from urllib.parse import urljoin
 
@@ -117,3 +119,20 @@ def test_is_recent(spark, given, expected):
 def test_contains_either_way(spark):
     rows = spark.createDataFrame([("Acme", "acme labs"), ("ACME Labs", "acme"), ("a", "b")], "a string, b string")
     assert [r[0] for r in rows.select(text.contains_either_way(F.col("a"), F.col("b"))).collect()] == [True, True, False]
+
+
+def test_white_space_is_walked_once(spark):
+    """A run inside a text costs its length, not its square; and all kinds of white space, as Python has them."""
+    rng = random.Random(7)
+    texts = ["a" + " " * 150_000 + "b\n", "\u2003" * 1000 + "é\x1c\x1c"] + ["".join(rng.choice(" \t\n\x0b\r\x1c\x1f\x85\xa0\u2009\u3000\u200bab") for _ in range(rng.randrange(9))) for _ in range(500)]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    began = time.time()
+    got = rows.select("t", text.strip(F.col("t")), text.strip_text(F.col("t")), text.squeeze(F.col("t"))).collect()
+    assert time.time() - began < 10
+    assert [tuple(r) for r in got] == [(t, t.strip(), t.strip(), " ".join(t.split())) for t in texts]
+
+
+def test_parts_of_a_url_are_computed_once(spark):
+    """A step that the next one names twice is no step twice: the plan grows with the steps, not as a power of them."""
+    plan = spark.range(1).select(urls.normalize_url(F.col("id").cast("string")))._jdf.queryExecution().analyzed().toString()
+    assert plan.lower().count("regexp") + plan.lower().count("rlike") < 40

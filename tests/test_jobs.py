@@ -108,6 +108,14 @@ def test_snapshot_run_again(spark, sf_dir, tmp_path):
     assert fewer["pages"] == 0 and fewer["written"] == snapshot.read_catalog(spark, out).filter("entity_type <> 'news'").count() == snapshot.read_catalog(spark, out).count()
 
 
+def test_parts_of_one_file_are_made_by_many_tasks(spark, sf_dir, tmp_path, monkeypatch):
+    seen, made = [], snapshot.part_rows
+    monkeypatch.setattr(snapshot, "part_rows", lambda parts, config: seen.append(parts.rdd.getNumPartitions()) or made(parts, config))
+    paths = [f"{sf_dir}/{t}.parquet" for t in TABLES]
+    snapshot.build_catalog(spark, *paths, str(tmp_path / "catalog"))
+    assert spark.read.parquet(paths[2]).rdd.getNumPartitions() == 1 and seen == [4]
+
+
 def test_command_line(spark, tmp_path):
     docs, out, mark, config = (str(tmp_path / n) for n in ("docs", "out", "mark", "config.json"))
     entries(spark, docs, (1, "An entry about chat", "f1"))
